@@ -19,7 +19,7 @@ from driftlake.plans.refine import latest_changes, live_rows
 from driftlake.spec import TableSpec
 
 EVENT_ROWS = """
-    SELECT event_id, user_id, epoch_ms(ts) AS version,
+    SELECT event_id, user_id, epoch_us(ts) // 1000 AS version,
            CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd'
                 ELSE 'u' END AS op,
            CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
@@ -30,7 +30,7 @@ LATEST_EVENTS = f"""
     SELECT * FROM ({EVENT_ROWS})
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY version DESC, event_id DESC) = 1"""
 ORDER_ROWS = """
-    SELECT o_custkey, epoch_ms(o_orderdate) AS version, o_orderkey AS lsn,
+    SELECT o_custkey, epoch_us(o_orderdate) // 1000 AS version, o_orderkey AS lsn,
            CASE o_orderstatus WHEN 'F' THEN 'd' WHEN 'P' THEN 'c' ELSE 'u' END AS op,
            CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS o_orderkey,
            CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice,
@@ -216,7 +216,7 @@ QUERIES = {
                CASE WHEN event_type = 'purchase' THEN value END AS value,
                CASE WHEN event_type = 'purchase' THEN props END AS props,
                CASE event_type WHEN 'purchase' THEN 'u' ELSE 'd' END AS op,
-               epoch_ms(ts) AS version, event_id AS lsn
+               epoch_us(ts) // 1000 AS version, event_id AS lsn
         FROM events WHERE event_type IN ('purchase', 'error')""",
     ),
     "d_rejects": (
@@ -275,7 +275,7 @@ QUERIES = {
         """SELECT * FROM (
             SELECT l_orderkey, l_linenumber,
                    CASE l_returnflag WHEN 'R' THEN 'd' WHEN 'N' THEN 'c' ELSE 'u' END AS op,
-                   epoch_ms(l_shipdate) AS version, l_partkey AS lsn,
+                   epoch_us(l_shipdate) // 1000 AS version, l_partkey AS lsn,
                    CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS l_quantity,
                    CASE WHEN l_returnflag <> 'R' THEN l_linestatus END AS l_linestatus
             FROM lineitem)

@@ -108,7 +108,7 @@ def insert_selected(spark, sf_dir):
         name,
     )
     spark.sql(
-        f"INSERT INTO {name} VALUES (BIGINT '-2', 'Inserted', 2.5, "
+        f"INSERT INTO {name} VALUES (CAST('-2' AS BIGINT), 'Inserted', 2.5, "
         "TIMESTAMP '2024-01-01 00:00:00', DATE '2024-01-02')"
     )
     return spark.table(name).select(
@@ -148,7 +148,7 @@ QUERIES = {
     ),
     "k_typed_append": (
         typed_append,
-        """SELECT CAST(user_id AS INTEGER) AS id, epoch_ms(ts) AS event_time,
+        """SELECT CAST(user_id AS INTEGER) AS id, epoch_us(ts) // 1000 AS event_time,
                'u' || event_id AS user_id, event_type AS action,
                CASE WHEN event_type <> 'purchase' THEN props END AS page, value
         FROM events""",

@@ -123,7 +123,7 @@ def repeated_source_keys(spark, sf_dir):
     return repeated_keys(orders, ["o_custkey"]).select("o_custkey", F.col("count").alias("n"))
 
 
-DAY_MS = f"epoch_ms(TIMESTAMP '{CUTOFF}')"
+DAY_MS = f"epoch_us(TIMESTAMP '{CUTOFF}') // 1000"
 ORDER_STATE = f"""
     WITH changes AS ({ORDER_ROWS}),
     old AS (SELECT * FROM (
