@@ -83,25 +83,22 @@ def audit_access(log: DataFrame, rules: Iterable[Rule], expected: DataFrame) ->
     """Requests per team, catalog and action, and how they differ from the expectation.
 
     ``log(user, team, catalog, action, allowed)`` is what happened; ``expected(team,
-    catalog, action, expected)`` is what should.  The log is reduced to its distinct
-    outcomes first, so the join handles a few rows however large or one-sided the log is.
+    catalog, action, expected)`` is what should, one row per combination.  The log is
+    aggregated first, so the join handles a few rows however large or one-sided the log is.
     """
     decided = permits(first_match(F.col("user"), F.col("catalog"), rules), F.col("action"))
-    outcomes = (
-        log.withColumn("decided", decided)
-        .groupBy("team", "catalog", "action", "allowed", "decided")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(expected, ["team", "catalog", "action"], "left")
+    totals = log.groupBy("team", "catalog", "action").agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if("allowed").alias("let_through"),
+        F.count_if(decided).alias("rules_allow"),
     )
 
-    def total(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("n")).otherwise(0)).cast("bigint")
+    def differing(allowed: str) -> Column:
+        off = F.when(F.col("expected"), F.col("requests") - F.col(allowed))
+        return F.coalesce(off.when(~F.col("expected"), F.col(allowed)), F.lit(0).cast("bigint"))
 
-    return outcomes.groupBy("team", "catalog", "action").agg(
-        F.sum("n").cast("bigint").alias("requests"),
-        total(F.col("allowed")).alias("let_through"),
-        total(F.col("decided")).alias("rules_allow"),
-        F.first("expected").alias("expected"),
-        total(F.col("decided") != F.col("expected")).alias("rule_drift"),
-        total(F.col("allowed") != F.col("expected")).alias("violations"),
+    return totals.join(expected, ["team", "catalog", "action"], "left").select(
+        "*",
+        differing("rules_allow").alias("rule_drift"),
+        differing("let_through").alias("violations"),
     )

@@ -1,8 +1,7 @@
 """Applying changes to a table: type 1 merge with deletes, and plain upsert.
 
-Both are one full outer join on the key.  Changes carry at most one row per key, so no key
-is hot in the join, and a target bucketed on the key is not shuffled at all.  Rows without
-a key never match; they are kept out of the join so that they cannot pile up in one task.
+Changes carry at most one row per key, so no key is hot in the joins here.  A target is not
+shuffled when the changes are small or when it is bucketed on the key.
 """
 
 from __future__ import annotations
@@ -52,27 +51,32 @@ def check_unique(source: DataFrame, keys: list[str]) -> DataFrame:
     return source
 
 
-def _merge(
-    target: DataFrame,
-    source: DataFrame,
+def _is_small(source: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast ``source``."""
+    limit = source.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def _on(keys: list[str]) -> list[Column]:
+    return [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+
+
+def _outcome(
+    joined: DataFrame,
+    columns: list[str],
     keys: list[str],
     updated: list[str],
     skip_unchanged: list[str] | None,
 ) -> DataFrame:
-    """Full outer join of keyed rows.  ``source`` has the keys, ``updated`` and ``_delete``."""
-    marked = source.withColumn("_hit", F.lit(True)).alias("s")
-    kept = target.withColumn("_row", F.lit(True)).alias("t")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    joined = kept.join(marked, on, "full_outer")
-
+    """Target rows ``t`` joined with source rows ``s`` to the rows that remain."""
     hit = F.col("s._hit").isNotNull()
-    was_there = F.col("t._row").isNotNull()
     write = hit
     if skip_unchanged:
         same = _all([F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in skip_unchanged])
-        write = hit & ~(was_there & same)
+        write = hit & ~(F.col("t._row").isNotNull() & same)
     out = []
-    for name in target.columns:
+    for name in columns:
         if name in keys:
             out.append(F.coalesce(f"t.{name}", f"s.{name}").alias(name))
         elif name in updated:
@@ -82,6 +86,43 @@ def _merge(
     return joined.filter(~F.coalesce("s._delete", F.lit(False))).select(*out)
 
 
+def _merge(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    updated: list[str],
+    skip_unchanged: list[str] | None,
+) -> DataFrame:
+    """Merge ``source`` (keys, ``updated`` and ``_delete``) into ``target``.
+
+    A source small enough to broadcast goes to the target: the target is read in place and
+    its key column once more, to find the source rows that matched nothing.  Any other
+    source meets the target in one full outer join on the key.
+    """
+    marked = source.withColumn("_hit", F.lit(True))
+    rows = target.withColumn("_row", F.lit(True))
+    shape = (target.columns, keys, updated, skip_unchanged)
+    if _is_small(source):
+        there = rows.alias("t").join(marked.alias("s"), _on(keys), "left_outer")
+        matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+        new = marked.join(matched, keys, "left_anti")
+        blank = target.limit(0).withColumn("_row", F.lit(True)).alias("t")
+        added = new.alias("s").join(blank, _on(keys), "left_outer")
+        return _outcome(there, *shape).unionByName(_outcome(added, *shape))
+    # Rows without a key match nothing; outside the join they cannot pile up in one task.
+    on_key = rows.filter(_keyed(keys)).alias("t").join(
+        marked.filter(_keyed(keys)).alias("s"), _on(keys), "full_outer"
+    )
+    types = {f.name: f.dataType for f in target.schema.fields}
+    absent = [F.lit(None).cast(types[c]).alias(c) for c in target.columns if c not in source.columns]
+    loose = source.filter(~_keyed(keys) & ~F.col("_delete")).select("*", *absent)
+    return (
+        _outcome(on_key, *shape)
+        .unionByName(target.filter(~_keyed(keys)))
+        .unionByName(loose.select(*target.columns))
+    )
+
+
 def apply_scd1(
     target: DataFrame,
     changes: DataFrame,
@@ -95,17 +136,15 @@ def apply_scd1(
     nothing where there is none; rows without a change stay.  ``changes`` needs one row per
     key (``latest_per_key``).  Every change restamps its row unless ``skip_unchanged``.
     """
-    keys = spec.keys
-    usable = changes.filter(_keyed(keys) & F.col("op").isin(*OPS))
+    usable = changes.filter(F.col("op").isin(*OPS))
     source = merge_source(usable, spec, as_of).withColumn("_delete", F.col("op") == DELETE_OP)
-    merged = _merge(
-        target.filter(_keyed(keys)),
+    return _merge(
+        target,
         source.drop("op"),
-        keys,
+        spec.keys,
         [*spec.attributes, STAMP],
         spec.attributes if skip_unchanged else None,
     )
-    return merged.unionByName(target.filter(~_keyed(keys)))
 
 
 def upsert(
@@ -123,20 +162,8 @@ def upsert(
     if verify:
         check_unique(source, keys)
     updated = [c for c in source.columns if c not in keys]
-    merged = _merge(
-        target.filter(_keyed(keys)),
-        source.filter(_keyed(keys)).withColumn("_delete", F.lit(False)),
-        keys,
-        updated,
-        skip_unchanged,
-    )
-    missing = [c for c in target.columns if c not in source.columns]
-    types = {f.name: f.dataType for f in target.schema.fields}
-    unkeyed = source.filter(~_keyed(keys)).select(
-        "*", *[F.lit(None).cast(types[c]).alias(c) for c in missing]
-    )
-    return merged.unionByName(target.filter(~_keyed(keys))).unionByName(
-        unkeyed.select(*target.columns)
+    return _merge(
+        target, source.withColumn("_delete", F.lit(False)), keys, updated, skip_unchanged
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from driftlake.operators.access import audit_access, effective_privileges, first_match, load_rules
 from driftlake.plans.feeds import mapped, table
+from driftlake.sources.tables import typed_rows
 
 # Rule list, role assignments, grants and expected access per team.
 RULES = """{"catalogs": [
@@ -63,10 +64,10 @@ def privileges(spark, sf_dir):
     roles = users.select(
         F.col("user").alias("principal"), F.concat("team", F.lit("_team_role")).alias("principal_role")
     )
-    role_map = spark.createDataFrame(
-        ROLE_MAP, "principal_role STRING, catalog STRING, catalog_role STRING"
+    role_map = typed_rows(
+        spark, ROLE_MAP, "principal_role STRING, catalog STRING, catalog_role STRING"
     )
-    grants = spark.createDataFrame(GRANTS, "catalog STRING, catalog_role STRING, privilege STRING")
+    grants = typed_rows(spark, GRANTS, "catalog STRING, catalog_role STRING, privilege STRING")
     return effective_privileges(roles.dropDuplicates(), role_map, grants)
 
 
@@ -77,8 +78,8 @@ def rule_decisions(spark, sf_dir):
 
 
 def compliance(spark, sf_dir):
-    expected = spark.createDataFrame(
-        EXPECTED, "team STRING, catalog STRING, action STRING, expected BOOLEAN"
+    expected = typed_rows(
+        spark, EXPECTED, "team STRING, catalog STRING, action STRING, expected BOOLEAN"
     )
     return audit_access(access_log(spark, sf_dir), load_rules(RULES), expected)
 

@@ -10,6 +10,7 @@ from driftlake.operators.envelope import DELETE_OP, decode, valid_changes
 from driftlake.operators.latest import latest_per_key
 from driftlake.operators.merge import STAMP, apply_scd1
 from driftlake.sources import files
+from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
 
 DAY = "processed_date"
@@ -36,7 +37,7 @@ def read_current(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     versions = files.finished_children(spark, path)
     schema = table_schema(spec)
     if not versions:
-        return spark.createDataFrame([], schema)
+        return typed_rows(spark, [], schema)
     return spark.read.schema(schema).parquet(f"{path}/{versions[-1]}")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -13,9 +15,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def typed_rows(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
-    """A few literal rows under an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
+def typed_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str) -> DataFrame:
+    """A few literal rows under an explicit schema.
+
+    Handed over as one Arrow table, they become a local relation whose size the optimizer
+    knows, so that a join with them is broadcast instead of shuffling the other side.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, schema)
 
 
 def preview(table: DataFrame, rows: int = 10, order_by: list[str] | None = None) -> DataFrame:

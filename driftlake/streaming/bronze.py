@@ -11,9 +11,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from driftlake.functions.payload import normalize_value
 
-# Bounded retry of one write.
+# Bounded retry of one write, and the pause of an overloaded target.
 WRITE_ATTEMPTS = 3
 RETRY_PAUSE_SECONDS = 3.0
+TIMEOUT_PAUSE_SECONDS = 30.0
+
+JAVA_TIMEOUTS = ("java.net.SocketTimeoutException", "java.util.concurrent.TimeoutException")
+JAVA_CONNECTION_FAILURES = (
+    "java.net.ConnectException",
+    "java.net.NoRouteToHostException",
+    "java.net.SocketException",
+    "java.net.UnknownHostException",
+)
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -81,20 +90,48 @@ def start_archive(
     return _trigger(writer, every).start(path)
 
 
+def _names(failure: BaseException) -> str:
+    """Text that holds the Java exception classes behind a failed Spark job, if any."""
+    return f"{type(failure).__name__}: {failure}"
+
+
+def is_timeout(failure: BaseException) -> bool:
+    return isinstance(failure, TimeoutError) or any(n in _names(failure) for n in JAVA_TIMEOUTS)
+
+
+def is_connection_failure(failure: BaseException) -> bool:
+    return isinstance(failure, ConnectionError) or any(
+        n in _names(failure) for n in JAVA_CONNECTION_FAILURES
+    )
+
+
 def with_retries(
     write: Callable[[], None],
     attempts: int = WRITE_ATTEMPTS,
     pause: float = RETRY_PAUSE_SECONDS,
-    retry_on: tuple[type[BaseException], ...] = (ConnectionError,),
+    timeout_pause: float = TIMEOUT_PAUSE_SECONDS,
     sleep: Callable[[float], None] = time.sleep,
 ) -> None:
-    """Run ``write``; on a connection failure wait and try again, at most ``attempts`` times."""
-    for attempt in range(1, attempts + 1):
+    """Run ``write`` with bounded retries.
+
+    A connection failure is retried after ``pause``, ``attempts`` times in all.  A timeout
+    means the target is overloaded: the batch waits ``timeout_pause`` and is tried again,
+    and since the next micro-batch waits for this one, no more is read meanwhile.  Anything
+    else is raised at once.
+    """
+    failed = 0
+    while True:
         try:
             write()
             return
-        except retry_on as failure:
-            if attempt == attempts:
+        except Exception as failure:
+            if is_timeout(failure):
+                sleep(timeout_pause)
+                continue
+            if not is_connection_failure(failure):
+                raise
+            failed += 1
+            if failed == attempts:
                 raise SinkWriteError(f"write failed {attempts} times") from failure
             sleep(pause)
 

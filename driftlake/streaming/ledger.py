@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftlake.operators.envelope import DELETE_OP, decode, valid_changes
 from driftlake.operators.latest import latest_per_key, newer
 from driftlake.sources import files
+from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
 
 COVERED = "_COVERED"
@@ -100,7 +101,7 @@ def _open_deltas(spark: SparkSession, path: str, base: str | None) -> list[str]:
 def _read_deltas(spark: SparkSession, path: str, names: list[str], spec: TableSpec) -> DataFrame:
     schema = state_schema(spec)
     if not names:
-        return spark.createDataFrame([], schema)
+        return typed_rows(spark, [], schema)
     rows = spark.read.schema(schema).parquet(*[f"{path}/deltas/{n}" for n in names])
     return latest_per_key(rows, spec)
 
