@@ -135,15 +135,17 @@ def _on(spec: TableSpec) -> Column:
     return reduce(and_, [F.col(f"b.{k}") == F.col(f"d.{k}") for k in spec.keys])
 
 
-def _pick(spec: TableSpec, base_present: Column, delta_present: Column) -> list[Column]:
-    """Columns of the winning side of a base/delta join."""
+def _winners(joined: DataFrame, spec: TableSpec) -> DataFrame:
+    """The winning side of a base (``b``) and delta (``d``) join, row by row."""
     names = state_schema(spec).fieldNames()
     order = spec.order_columns(names)
-    delta_wins = ~base_present | newer(
-        [F.col(f"d.{c}") for c in order], [F.col(f"b.{c}") for c in order]
+    key = spec.keys[0]
+    later = newer([F.col(f"d.{c}") for c in order], [F.col(f"b.{c}") for c in order])
+    take = F.col(f"d.{key}").isNotNull() & (F.col(f"b.{key}").isNull() | later)
+    decided = joined.withColumn("_take", take)
+    return decided.select(
+        *[F.when(F.col("_take"), F.col(f"d.{n}")).otherwise(F.col(f"b.{n}")).alias(n) for n in names]
     )
-    take_delta = delta_present & delta_wins
-    return [F.when(take_delta, F.col(f"d.{n}")).otherwise(F.col(f"b.{n}")).alias(n) for n in names]
 
 
 def current_state(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
@@ -152,10 +154,8 @@ def current_state(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     deltas = _read_deltas(spark, path, _open_deltas(spark, path, base), spec)
     if base is None:
         return deltas
-    present = {s: F.col(f"{s}.{spec.keys[0]}").isNotNull() for s in "bd"}
-    left = _read_base(spark, path, base, spec).alias("b")
-    joined = left.join(deltas.alias("d"), _on(spec), "full_outer")
-    return joined.select(*_pick(spec, present["b"], present["d"]))
+    rows = _read_base(spark, path, base, spec).alias("b")
+    return _winners(rows.join(deltas.alias("d"), _on(spec), "full_outer"), spec)
 
 
 def current_view(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
@@ -187,9 +187,8 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
     else:
         old = _read_base(spark, path, base, spec)
         known = old.alias("b").join(deltas.alias("d"), _on(spec), "left_outer")
-        present = F.col(f"d.{spec.keys[0]}").isNotNull()
         fresh = deltas.join(old.select(*spec.keys), spec.keys, "left_anti")
-        parts = [known.select(*_pick(spec, F.lit(True), present)), fresh]
+        parts = [_winners(known, spec), fresh]
     _write_buckets(parts, folder, spec, buckets)
     listing = "\n".join([str(buckets), *sorted(covered | set(names))])
     files.write_text(spark, f"{folder}/{COVERED}", listing)

@@ -1,0 +1,184 @@
+"""One golden row per decoding, casting and normalizing rule."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from driftlake.functions import epoch_millis, lenient_bigint, lenient_cast, normalize_value
+from driftlake.functions.payload import pack_record
+from driftlake.operators import decode, rejected_changes, valid_changes
+from driftlake.spec import TableSpec
+
+CUSTOMERS = TableSpec(
+    "customers",
+    {"id": "bigint"},
+    {"first_name": "string", "last_name": "string", "email": "string"},
+)
+
+GOLDEN = [
+    ('{"before":null,"after":{"id":1,"first_name":"A"},"op":"c","ts_ms":10}', (1, "A", "c", 10)),
+    ('{"before":null,"after":{"id":1,"first_name":"A"},"op":"r","ts_ms":5}', (1, "A", "r", 5)),
+    ('{"before":{"id":1},"after":{"id":1,"first_name":"B"},"op":"U","ts_ms":20}', (1, "B", "u", 20)),
+    ('{"before":{"id":1,"first_name":"B"},"after":null,"op":"d","ts_ms":30}', (1, None, "d", 30)),
+    ('{"id":2,"first_name":"F"}', (2, "F", "u", None)),
+    ('{"value": null}', None),
+    ("null", None),
+    (None, None),
+    ("", None),
+    ('{"after":{"id":3},"op":"t","ts_ms":1}', None),
+    ('{"after":{"id":3},"op":"m","ts_ms":1}', None),
+    ('{"after":{"id":"7"},"op":"c","source":{"ts_ms":4}}', (7, None, "c", 4)),
+    ('{"after":{"id":1.5},"op":"c","ts_ms":1}', (1, None, "c", 1)),
+    ('{"after":{"id":"abc"},"op":"c","ts_ms":1}', None),
+    ("{bad", None),
+    ('{"after":{"id":4,"first_name":null},"op":"u","ts_ms":9}', (4, None, "u", 9)),
+    ('{"after":{"id":5},"op":"c","ts_ms":"12.9","source":{"ts_ms":4}}', (5, None, "c", 12)),
+    ('{"value": [{"id":6}]}', None),
+    ('[{"id":6}]', None),
+    ('{"after":"text","before":{"id":8},"op":"d"}', (8, None, "d", None)),
+    ('{"op":null,"after":{"id":9}}', (9, None, "u", None)),
+]
+
+
+@pytest.fixture(scope="module")
+def golden(spark):
+    rows = [(i, payload) for i, (payload, _) in enumerate(GOLDEN)]
+    return spark.createDataFrame(rows, "n INT, payload STRING")
+
+
+def test_golden_rows(golden):
+    valid = valid_changes(decode(golden, CUSTOMERS), CUSTOMERS)
+    got = {r.n: (r.id, r.first_name, r.op, r.version) for r in valid.collect()}
+    assert got == {i: want for i, (_, want) in enumerate(GOLDEN) if want}
+
+
+def test_golden_rows_without_ansi(golden, settings):
+    settings(spark__sql__ansi__enabled="false")
+    test_golden_rows(golden)
+
+
+def test_every_row_is_either_valid_or_rejected(golden):
+    decoded = decode(golden, CUSTOMERS)
+    rejected = {r.n: r.reason for r in rejected_changes(decoded, CUSTOMERS).collect()}
+    expected = {i for i, (_, want) in enumerate(GOLDEN) if want is None}
+    assert set(rejected) == expected
+    assert rejected[9] == "unknown operation"
+    assert rejected[5] == "no key"
+
+
+def test_observed_counts(spark, golden):
+    from pyspark.sql import Observation
+
+    seen = Observation("decode")
+    decoded = decode(golden, CUSTOMERS)
+    valid = valid_changes(decoded, CUSTOMERS)
+    counted = valid_changes(
+        decoded.observe(seen, F.count(F.lit(1)).alias("decoded")), CUSTOMERS, observe_as="rules"
+    )
+    assert counted.count() == valid.count()
+    assert seen.get["decoded"] == len(GOLDEN)
+
+
+def test_payload_is_parsed_once(golden):
+    plan = valid_changes(decode(golden, CUSTOMERS), CUSTOMERS)._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert physical.count("from_json") == 1
+
+
+def test_commit_time_can_come_first(spark):
+    raw = spark.createDataFrame(
+        [('{"after":{"id":1},"op":"c","ts_ms":10,"source":{"ts_ms":4,"lsn":77}}',)], "payload STRING"
+    )
+    spec = TableSpec("t", {"id": "bigint"}, prefer_source_time=True)
+    assert [tuple(r) for r in decode(raw, spec).collect()] == [(1, "c", 4, 77)]
+    assert decode(raw, TableSpec("t", {"id": "bigint"})).first().version == 10
+
+
+def test_composite_and_text_keys(spark):
+    raw = spark.createDataFrame(
+        [
+            ('{"after":{"a":"x","b":2,"v":"1.5"},"op":"c"}',),
+            ('{"after":{"a":"x"},"op":"c"}',),
+            ('{"before":{"a":"y","b":3},"op":"d"}',),
+        ],
+        "payload STRING",
+    )
+    spec = TableSpec("t", {"a": "string", "b": "int"}, {"v": "double"})
+    rows = valid_changes(decode(raw, spec), spec).select("a", "b", "v", "op").collect()
+    assert sorted(tuple(r) for r in rows) == [("x", 2, 1.5, "c"), ("y", 3, None, "d")]
+
+
+def test_attribute_named_like_an_envelope_field(spark):
+    raw = spark.createDataFrame(
+        [('{"after":{"id":1,"source":"web","op":"x"},"op":"c"}',)], "payload STRING"
+    )
+    spec = TableSpec("t", {"id": "bigint"}, {"source": "string"})
+    assert decode(raw, spec).first().source == "web"
+
+
+def test_carried_columns(spark):
+    raw = spark.createDataFrame([('{"id":1}', "t", 3)], "payload STRING, topic STRING, offset BIGINT")
+    row = decode(raw, TableSpec("t", {"id": "bigint"})).first()
+    assert (row.topic, row.offset) == ("t", 3)
+
+
+LENIENT = {
+    "7": 7, " 7 ": 7, "1.5": 1, "-1.9": -1, "1.": 1, ".5": 0, "+5": 5, "00012": 12,
+    "9223372036854775807": 9223372036854775807, "9223372036854775808": None, "1e3": None,
+    "7L": None, "0x10": None, "NaN": None, "true": None, "1.5x": None, "abc": None, "": None,
+}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_lenient_bigint(spark, settings, ansi):
+    settings(spark__sql__ansi__enabled=ansi)
+    df = spark.createDataFrame([(t,) for t in LENIENT], "t STRING")
+    got = {r.t: r.n for r in df.select("t", lenient_bigint(F.col("t")).alias("n")).collect()}
+    assert got == LENIENT
+
+
+def test_lenient_cast_of_other_types(spark):
+    df = spark.createDataFrame([("1.25", "300", "2024-02-30", "2024-02-28")], "a STRING, b STRING, c STRING, d STRING")
+    row = df.select(
+        lenient_cast(F.col("a"), "double"), lenient_cast(F.col("b"), "tinyint"),
+        lenient_cast(F.col("c"), "date"), lenient_cast(F.col("d"), "date").cast("string"),
+        lenient_cast(F.col("a"), "string"), lenient_cast(F.col("a"), "int"),
+    ).first()
+    assert tuple(row) == (1.25, None, None, "2024-02-28", "1.25", 1)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_epoch_millis_ignores_the_session_zone(spark, settings, zone):
+    settings(spark__sql__session__timeZone=zone)
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.123999' AS t")
+    assert df.select(epoch_millis(F.col("t"))).first()[0] == 1710037800123
+
+
+VALUES = [
+    ('{"a":1}', '{"a":1}', '{"a":1}'),
+    (' \n{"a":1}', ' \n{"a":1}', ' \n{"a":1}'),
+    ('"abc"', '{"value": "abc"}', '"abc"'),
+    ("12", '{"value": 12}', "12"),
+    ("true", '{"value": true}', "true"),
+    ("[1,2]", '{"value": [1,2]}', "[1,2]"),
+    ('[{"a":1,"a":2}]', '{"value": [{"a":1,"a":2}]}', '[{"a":1,"a":2}]'),
+    (None, '{"value": null}', "null"),
+    ("null", '{"value": null}', "null"),
+    ("plain text", '{"value": "plain text"}', '"plain text"'),
+    ('say "x"', '{"value": "say \\"x\\""}', '"say \\"x\\""'),
+    ("", '{"value": ""}', '""'),
+]
+
+
+def test_normalize_value(spark):
+    df = spark.createDataFrame([(i, v[0]) for i, v in enumerate(VALUES)], "n INT, v STRING")
+    out = df.select("n", normalize_value(F.col("v")).alias("w"), normalize_value(F.col("v"), False).alias("b"))
+    for row in out.collect():
+        assert (row.w, row.b) == VALUES[row.n][1:]
+        json.loads(row.w), json.loads(row.b)
+
+
+def test_pack_record_keeps_nulls(spark):
+    df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, named_struct('c', CAST(NULL AS INT)) AS s")
+    assert df.select(pack_record("a", "b", "s")).first()[0] == '{"a":1,"b":null,"s":{"c":null}}'
