@@ -22,8 +22,8 @@ class Rule:
     """One line of a rule file; a missing pattern matches everything."""
 
     allow: str
-    catalog: str = ".*"
-    user: str = ".*"
+    catalog: str | None = None
+    user: str | None = None
 
 
 def load_rules(text: str) -> list[Rule]:
@@ -49,10 +49,10 @@ def effective_privileges(
     return held.select("principal", "catalog", "privilege").dropDuplicates()
 
 
-def _matches(value: Column, pattern: str) -> Column:
-    """Whole-string match; plain names and match-alls need no regular expression."""
-    if pattern == ".*":
-        return value.isNotNull()
+def _matches(value: Column, pattern: str | None) -> Column:
+    """Whole-string match; a plain name needs no regular expression."""
+    if pattern is None:
+        return F.lit(True)
     if re.fullmatch(r"\w+", pattern):
         return value == pattern
     return value.rlike(rf"\A(?:{pattern})\z")

@@ -46,14 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    root = spark.conf.get(SHARED_DIR, None)
+    root = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="driftlake-")
-    spark.conf.set(SHARED_DIR, root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="driftlake-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
