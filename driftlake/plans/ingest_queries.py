@@ -25,7 +25,13 @@ from driftlake.streaming.bronze import (
     to_bronze,
 )
 from driftlake.streaming.latest import read_latest, start_latest
-from driftlake.streaming.ledger import apply_batch, compact, current_view, start_scd1
+from driftlake.streaming.ledger import (
+    apply_batch,
+    compact,
+    current_view,
+    start_scd1,
+    start_scd1_tables,
+)
 
 BATCHES = 8
 
@@ -45,7 +51,7 @@ def bronze_roundtrip(spark, sf_dir):
     root = work_dir(spark, "bronze")
     topic = _event_topic(spark, sf_dir, root)
     bronze = to_bronze(_stream(spark, topic, 2), hook=lambda rows: rows.filter("key IS NOT NULL"))
-    start_bronze(bronze, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+    start_bronze(bronze, f"{root}/checkpoint", f"{root}/bronze").awaitTermination()
     raw = spark.read.parquet(f"{root}/bronze").drop("ingest_ts")
     return valid_changes(decode(raw, EVENTS), EVENTS)
 
@@ -93,7 +99,7 @@ def multi_table(spark, sf_dir):
     feeds.write_topic(feeds.event_changes(table(spark, sf_dir, "events")), topic)
     feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), topic)
     bronze = to_bronze(_stream(spark, topic, 2))
-    start_bronze(bronze, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+    start_bronze(bronze, f"{root}/checkpoint", f"{root}/bronze").awaitTermination()
     routed = route(spark.read.parquet(f"{root}/bronze").drop("ingest_ts"), [EVENTS, ORDERS])
     events = latest_per_key(routed["events"], EVENTS).select(
         F.lit("events").alias("source"), F.col("user_id").alias("id"), "op", "version", "lsn",
@@ -106,6 +112,25 @@ def multi_table(spark, sf_dir):
     return events.unionByName(orders)
 
 
+def multi_table_state(spark, sf_dir):
+    """Two captured tables kept up to date by one query."""
+    root = work_dir(spark, "multi-state")
+    topic = f"{root}/topic"
+    feeds.write_topic(feeds.event_changes(table(spark, sf_dir, "events")), topic)
+    feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), topic)
+    targets = [(EVENTS, f"{root}/events"), (ORDERS, f"{root}/orders")]
+    bronze = to_bronze(_stream(spark, topic, 2))
+    start_scd1_tables(bronze, targets, f"{root}/checkpoint").awaitTermination()
+    events = current_view(spark, f"{root}/events", EVENTS).select(
+        F.lit("events").alias("source"), F.col("user_id").alias("id"), F.col("value").alias("amount")
+    )
+    orders = current_view(spark, f"{root}/orders", ORDERS).select(
+        F.lit("orders").alias("source"), F.col("o_custkey").alias("id"),
+        F.col("o_totalprice").alias("amount"),
+    )
+    return events.unionByName(orders)
+
+
 def incremental(spark, sf_dir):
     """Micro-batches out of order with clicks delivered twice."""
     root = work_dir(spark, "ledger")
@@ -193,6 +218,12 @@ QUERIES = {
         UNION ALL SELECT 'orders', o_custkey, op, version, lsn, o_totalprice
         FROM ({LATEST_ORDERS})""",
     ),
+    "s_multi_table_state": (
+        multi_table_state,
+        f"""SELECT 'events' AS source, user_id AS id, value AS amount
+        FROM ({LATEST_EVENTS}) WHERE op <> 'd'
+        UNION ALL SELECT 'orders', o_custkey, o_totalprice FROM ({LATEST_ORDERS}) WHERE op <> 'd'""",
+    ),
     "s_scd1_incremental": (incremental, EVENT_LIVE),
     "s_scd1_compacted": (incremental_compacted, EVENT_LIVE),
     "s_snapshot_then_changes": (

@@ -2,15 +2,19 @@ from driftlake.streaming.bronze import (
     start_archive,
     start_bronze,
     start_bronze_batches,
+    start_print,
     to_bronze,
     with_retries,
 )
+from driftlake.streaming.latest import read_latest, start_latest
 from driftlake.streaming.ledger import (
     apply_batch,
     compact,
     current_state,
     current_view,
+    drop_superseded,
     start_scd1,
+    start_scd1_tables,
 )
 
 __all__ = [
@@ -18,10 +22,15 @@ __all__ = [
     "compact",
     "current_state",
     "current_view",
+    "drop_superseded",
+    "read_latest",
     "start_archive",
     "start_bronze",
     "start_bronze_batches",
+    "start_latest",
+    "start_print",
     "start_scd1",
+    "start_scd1_tables",
     "to_bronze",
     "with_retries",
 ]

@@ -53,16 +53,18 @@ def _trigger(writer, every: str | None):
 
 def start_bronze(
     bronze: DataFrame,
-    path: str,
     checkpoint: str,
+    path: str | None = None,
+    table: str | None = None,
     fmt: str = "parquet",
     every: str | None = None,
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Append the stream to a raw table, one folder per topic.
+    """Append the stream to a raw table, given by ``path`` or catalog name, parted by topic.
 
-    The file sink's own log makes every file count once, across restarts.  Without ``every``
-    the query works off what is there and ends.  Batch size is bounded at the source
+    ``fmt`` is any streaming sink the session has (parquet, delta, iceberg, ...).  The sink's
+    own log makes every record count once, across restarts.  Without ``every`` the query
+    works off what is there and ends.  Batch size is bounded at the source
     (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``, ``maxFilesPerTrigger``).
     """
     writer = (
@@ -72,7 +74,14 @@ def start_bronze(
         .partitionBy("topic")
         .outputMode("append")
     )
-    return _trigger(writer, every).start(path)
+    writer = _trigger(writer, every)
+    return writer.toTable(table) if table else writer.start(path)
+
+
+def start_print(changes: DataFrame, rows: int = 20, every: str | None = None) -> StreamingQuery:
+    """Show the first rows of each micro-batch with their metadata, for debugging."""
+    writer = changes.writeStream.format("console").option("numRows", rows).option("truncate", "false")
+    return _trigger(writer, every).start()
 
 
 def start_archive(

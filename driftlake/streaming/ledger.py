@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from driftlake.operators.envelope import DELETE_OP, decode, valid_changes
 from driftlake.operators.latest import latest_per_key, newer
+from driftlake.operators.routing import topic_name
 from driftlake.sources import files
 from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
@@ -82,6 +83,32 @@ def start_scd1(
     return writer.start()
 
 
+def start_scd1_tables(
+    bronze: DataFrame,
+    targets: list[tuple[TableSpec, str]],
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep several tables up to date from one stream that carries all their topics.
+
+    The micro-batch is read from its source once and kept for the tables' turns.
+    """
+
+    def record(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        batch.persist()
+        try:
+            for spec, path in targets:
+                own = batch.filter(F.col("topic") == topic_name(spec))
+                apply_batch(own, f"{query}-{batch_id:012d}", path, spec)
+        finally:
+            batch.unpersist()
+
+    writer = bronze.writeStream.foreachBatch(record).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def _latest_base(spark: SparkSession, path: str) -> str | None:
     published = files.finished_children(spark, f"{path}/base", COVERED)
     return published[-1] if published else None
@@ -98,11 +125,21 @@ def _open_deltas(spark: SparkSession, path: str, base: str | None) -> list[str]:
     return [name for name in done if name not in covered]
 
 
-def _read_deltas(spark: SparkSession, path: str, names: list[str], spec: TableSpec) -> DataFrame:
+def _read_deltas(
+    spark: SparkSession, path: str, names: list[str], spec: TableSpec, buckets: int | None
+) -> DataFrame:
+    """Newest row per key over some deltas, laid out like a base of ``buckets`` if given.
+
+    Sharing the layout is what spares the base a shuffle: left to itself, Spark might move
+    the base to the session's shuffle partitions.  A key has at most one row per delta, so
+    nothing is lost by not reducing before this shuffle.
+    """
     schema = state_schema(spec)
     if not names:
         return typed_rows(spark, [], schema)
     rows = spark.read.schema(schema).parquet(*[f"{path}/deltas/{n}" for n in names])
+    if buckets:
+        rows = rows.repartition(buckets, *spec.keys)
     return latest_per_key(rows, spec)
 
 
@@ -151,11 +188,14 @@ def _winners(joined: DataFrame, spec: TableSpec) -> DataFrame:
 def current_state(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The newest change of every key seen so far, deletes included."""
     base = _latest_base(spark, path)
-    deltas = _read_deltas(spark, path, _open_deltas(spark, path, base), spec)
+    names = _open_deltas(spark, path, base)
     if base is None:
-        return deltas
-    rows = _read_base(spark, path, base, spec).alias("b")
-    return _winners(rows.join(deltas.alias("d"), _on(spec), "full_outer"), spec)
+        return _read_deltas(spark, path, names, spec, None)
+    rows = _read_base(spark, path, base, spec)
+    if not names:
+        return rows
+    deltas = _read_deltas(spark, path, names, spec, _covered(spark, path, base)[0])
+    return _winners(rows.alias("b").join(deltas.alias("d"), _on(spec), "full_outer"), spec)
 
 
 def current_view(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
@@ -180,10 +220,11 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
     number = f"{int(base) + 1:012d}" if base else f"{0:012d}"
     folder = f"{path}/base/{number}"
     files.remove(spark, folder)  # left behind by an interrupted run; it was never visible
-    deltas = _read_deltas(spark, path, names, spec)
-    if base is None or _covered(spark, path, base)[0] != buckets:
-        rows = deltas if base is None else current_state(spark, path, spec)
-        parts = [rows.repartition(buckets, *spec.keys)]
+    deltas = _read_deltas(spark, path, names, spec, buckets)
+    if base is None:
+        parts = [deltas]
+    elif _covered(spark, path, base)[0] != buckets:
+        parts = [current_state(spark, path, spec).repartition(buckets, *spec.keys)]
     else:
         old = _read_base(spark, path, base, spec)
         known = old.alias("b").join(deltas.alias("d"), _on(spec), "left_outer")

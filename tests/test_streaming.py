@@ -18,6 +18,7 @@ from driftlake.streaming import (
     start_archive,
     start_bronze,
     start_bronze_batches,
+    start_print,
     start_scd1,
     to_bronze,
     with_retries,
@@ -82,11 +83,11 @@ def test_bronze_keeps_every_record(spark, tmp_path):
     values = ['{"a":1}', "12", None, "text"]
     feed(spark, f"{root}/topic", values)
     changes = read_changes(spark, "parquet", f"{root}/topic")
-    start_bronze(to_bronze(changes), f"{root}/b", f"{root}/c").awaitTermination()
+    start_bronze(to_bronze(changes), f"{root}/c", f"{root}/b").awaitTermination()
     # The restarted query finds nothing new and only takes what is added.
-    start_bronze(to_bronze(changes), f"{root}/b", f"{root}/c").awaitTermination()
+    start_bronze(to_bronze(changes), f"{root}/c", f"{root}/b").awaitTermination()
     feed(spark, f"{root}/topic", ["[1]"], start=4)
-    start_bronze(to_bronze(changes), f"{root}/b", f"{root}/c").awaitTermination()
+    start_bronze(to_bronze(changes), f"{root}/c", f"{root}/b").awaitTermination()
     rows = spark.read.parquet(f"{root}/b")
     assert sorted((r.offset, r.payload) for r in rows.collect()) == [
         (0, '{"a":1}'), (1, '{"value": 12}'), (2, '{"value": null}'), (3, '{"value": "text"}'), (4, '{"value": [1]}'),
@@ -250,15 +251,24 @@ def test_compaction_steps(spark, tmp_path):
     assert view(spark, path) == {**expected(events), 0: "end"}
 
 
-def test_base_is_read_without_shuffling_it(spark, settings, tmp_path):
-    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+@pytest.mark.parametrize("partitions", ["3", "8", "50"])
+def test_base_is_read_without_shuffling_it(spark, settings, tmp_path, partitions):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions=partitions)
     path = str(tmp_path / "state")
     apply_batch(bronze_of(spark, [envelope(*e) for e in history(1)]), "b0", path, SPEC)
     compact(spark, path, SPEC, 8)
-    apply_batch(bronze_of(spark, [envelope(*e) for e in history(2)]), "b1", path, SPEC)
+    later = [(k + 20, v, op, version + 1000, lsn + 1000) for k, v, op, version, lsn in history(2)]
+    apply_batch(bronze_of(spark, [envelope(*e) for e in later]), "b1", path, SPEC)
     plan = current_state(spark, path, SPEC)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning(id" in plan and ", 8), REPARTITION_BY_NUM" in plan
     assert "Bucketed: true" in plan
+    assert view(spark, path) == expected(history(1) + later)
+    # Compaction keeps to the buckets: known keys in one file each, new keys in another.
+    compact(spark, path, SPEC, 8)
+    assert view(spark, path) == expected(history(1) + later)
+    written = list((tmp_path / "state" / "base" / "000000000001").glob("part-*"))
+    assert len(written) <= 16
 
 
 def test_stream_restart_after_a_crash(spark, tmp_path, monkeypatch):
@@ -333,3 +343,20 @@ def test_metrics_of_a_running_stream(spark, tmp_path):
     query.awaitTermination()
     metrics = [p.observedMetrics["decode"] for p in query.recentProgress if p.observedMetrics]
     assert [(m.decoded, m.applied, m.rejected) for m in metrics] == [(3, 1, 2)]
+
+
+def test_raw_table_by_name(spark, tmp_path):
+    root = str(tmp_path)
+    feed(spark, f"{root}/topic", ['{"a":1}', "2"])
+    bronze = to_bronze(read_changes(spark, "parquet", f"{root}/topic"))
+    start_bronze(bronze, f"{root}/c", table="raw_customers").awaitTermination()
+    assert spark.table("raw_customers").select("payload").count() == 2
+
+
+def test_printing_a_stream(spark, tmp_path):
+    root = str(tmp_path)
+    feed(spark, f"{root}/topic", ["shown"])
+    query = start_print(read_changes(spark, "parquet", f"{root}/topic"))
+    query.awaitTermination()
+    assert query.recentProgress[0].numInputRows == 1
+    assert "Console" in query.recentProgress[0].sink.description
