@@ -99,6 +99,13 @@ def _merge(
     its key column once more, to find the source rows that matched nothing.  Any other
     source meets the target in one full outer join on the key.
     """
+    types = {f.name: f.dataType for f in target.schema.fields}
+    unknown = set(source.columns) - set(types) - {"_delete"}
+    if unknown:
+        raise ValueError(f"the target has no column {sorted(unknown)}")
+    source = source.select(
+        "_delete", *[F.col(c).cast(types[c]).alias(c) for c in source.columns if c in types]
+    )
     marked = source.withColumn("_hit", F.lit(True))
     rows = target.withColumn("_row", F.lit(True))
     shape = (target.columns, keys, updated, skip_unchanged)
@@ -113,7 +120,6 @@ def _merge(
     on_key = rows.filter(_keyed(keys)).alias("t").join(
         marked.filter(_keyed(keys)).alias("s"), _on(keys), "full_outer"
     )
-    types = {f.name: f.dataType for f in target.schema.fields}
     absent = [F.lit(None).cast(types[c]).alias(c) for c in target.columns if c not in source.columns]
     loose = source.filter(~_keyed(keys) & ~F.col("_delete")).select("*", *absent)
     return (
@@ -152,12 +158,13 @@ def upsert(
     source: DataFrame,
     keys: list[str],
     skip_unchanged: list[str] | None = None,
-    verify: bool = False,
+    verify: bool = True,
 ) -> DataFrame:
     """The target with matched rows overwritten and unmatched source rows added.
 
     Target rows the source lacks stay.  ``source`` carries the columns to write, computed
-    ones included; ``verify`` checks first that no key occurs in it twice.
+    ones included.  It is checked first that no key occurs in it twice; skip that with
+    ``verify=False`` where the source is unique by construction.
     """
     if verify:
         check_unique(source, keys)

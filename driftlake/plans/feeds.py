@@ -162,5 +162,6 @@ def write_topic(changes: DataFrame, path: str, waves: int = 8, mode: str = "appe
     Each task spreads its rows over ``waves`` files by hash; no shuffle.
     """
     wave = F.pmod(F.xxhash64("key", "offset"), F.lit(waves))
-    changes.withColumn("wave", wave).write.mode(mode).partitionBy("wave").parquet(path)
+    rows = changes.withColumn("wave", wave).write.mode(mode).option("compression", "zstd")
+    rows.partitionBy("wave").parquet(path)
     return path

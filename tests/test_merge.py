@@ -141,10 +141,23 @@ def test_random_merges_with_composite_keys(spark, settings, limit, seed):
 def test_duplicate_source_is_refused(spark):
     source = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "id BIGINT, v STRING")
     with pytest.raises(DuplicateKeyError, match="1"):
-        upsert(source.limit(0), source, ["id"], verify=True)
+        upsert(source.limit(0), source, ["id"])
+    assert upsert(source.limit(0), source, ["id"], verify=False).count() == 4
     assert check_unique(source.filter("id IS NULL OR v = 'a'"), ["id"]).count() == 3
 
 
+@both_ways
+def test_source_is_cast_to_the_target(spark, settings, limit):
+    settings(spark__sql__autoBroadcastJoinThreshold=limit)
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id BIGINT, v STRING")
+    source = spark.createDataFrame([(2, 5), (3, 6), (None, 7)], "id INT, v INT")
+    merged = upsert(target, source, ["id"])
+    assert [f.dataType for f in merged.schema] == [f.dataType for f in target.schema]
+    assert sorted(map(tuple, merged.collect()), key=str) == [(1, "a"), (2, "5"), (3, "6"), (None, "7")]
+    with pytest.raises(ValueError, match="extra"):
+        upsert(target, source.withColumn("extra", F.lit(1)), ["id"])
+
+
 def test_bucketed_target_is_not_shuffled(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     target = target_of(spark, [(i, str(i)) for i in range(50)])
