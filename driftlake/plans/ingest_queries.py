@@ -18,6 +18,7 @@ from driftlake.plans.feeds import CUSTOMERS, EVENTS, ORDERS, table
 from driftlake.plans.refine import live_rows
 from driftlake.session import work_dir
 from driftlake.sources.changes import read_changes, replay_options
+from driftlake.sources.tables import typed_rows
 from driftlake.streaming.bronze import (
     start_archive,
     start_bronze,
@@ -132,15 +133,19 @@ def multi_table_state(spark, sf_dir):
 
 
 def incremental(spark, sf_dir):
-    """Micro-batches out of order with clicks delivered twice."""
+    """Micro-batches out of order with clicks delivered twice, compacted on the way."""
     root = work_dir(spark, "ledger")
     changes = feeds.event_changes(table(spark, sf_dir, "events"))
     feeds.write_topic(changes, f"{root}/topic")
     again = feeds.event_changes(table(spark, sf_dir, "events").filter("event_type = 'click'"))
     topic = feeds.write_topic(again, f"{root}/topic")
     bronze = to_bronze(_stream(spark, topic))
-    start_scd1(bronze, EVENTS, f"{root}/state", f"{root}/checkpoint").awaitTermination()
-    return current_view(spark, f"{root}/state", EVENTS)
+    state, checkpoint = f"{root}/state", f"{root}/checkpoint"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    start_scd1(
+        bronze, EVENTS, state, checkpoint, compact_every=5, buckets=buckets
+    ).awaitTermination()
+    return current_view(spark, state, EVENTS)
 
 
 def incremental_compacted(spark, sf_dir):
@@ -165,6 +170,28 @@ def incremental_compacted(spark, sf_dir):
     return current_view(spark, state, EVENTS)
 
 
+def batch_metrics(spark, sf_dir):
+    """Kept and dropped rows as counted by the running stream, summed over its batches."""
+    root = work_dir(spark, "metrics")
+    topic = _event_topic(spark, sf_dir, root)
+    shaped = to_bronze(_stream(spark, topic, 4)).select(
+        F.when(F.col("payload").contains('"event_type":"click"'), F.lit("null"))
+        .otherwise(F.col("payload"))
+        .alias("payload")
+    )
+    counted = valid_changes(decode(shaped, EVENTS), EVENTS, observe_as="changes")
+    query = (
+        counted.writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{root}/out")
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["changes"] for p in query.recentProgress if p.observedMetrics]
+    totals = tuple(sum(m[i] for m in seen) for i in range(3))
+    return typed_rows(spark, [totals], "decoded BIGINT, applied BIGINT, rejected BIGINT")
+
+
 def snapshot_then_changes(spark, sf_dir):
     """An initial snapshot as one batch, then the change stream into the same state."""
     root = work_dir(spark, "snapshot")
@@ -210,6 +237,11 @@ QUERIES = {
                CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
                user_id, event_type, value, props, op FROM ({EVENT_ROWS})""",
     ),
+    "n_batch_metrics": (
+        batch_metrics,
+        """SELECT count(*) AS decoded, count(*) FILTER (event_type <> 'click') AS applied,
+               count(*) FILTER (event_type = 'click') AS rejected FROM events""",
+    ),
     "s_duplicate_delivery": (duplicate_delivery, EVENT_LIVE),
     "s_multi_table": (
         multi_table,

@@ -88,6 +88,14 @@ def typed_append(spark, sf_dir):
     return spark.table(name).withColumn("event_time", epoch_millis(F.col("event_time")))
 
 
+def literal_rows(spark, sf_dir):
+    """A literal table under a schema, joined with a large one; only the literals travel."""
+    names = [("signup", "c"), ("view", "r"), ("click", "u"), ("purchase", "u"), ("error", "d")]
+    operations = typed_rows(spark, names, "event_type STRING, op STRING")
+    events = table(spark, sf_dir, "events")
+    return events.join(operations, "event_type").groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+
+
 def insert_selected(spark, sf_dir):
     """Append a query result and literal rows to a date-partitioned table."""
     name = f"{_namespace(spark, 'silver')}.customers"
@@ -153,6 +161,12 @@ QUERIES = {
                CASE WHEN event_type <> 'purchase' THEN props END AS page, value
         FROM events""",
     ),
+    "s_literal_rows": (
+        literal_rows,
+        """SELECT op, count(*) AS n FROM events JOIN (VALUES ('signup', 'c'), ('view', 'r'),
+               ('click', 'u'), ('purchase', 'u'), ('error', 'd')) o(event_type, op)
+               USING (event_type) GROUP BY op""",
+    ),
     "k_insert_values": (
         insert_selected,
         """SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance,

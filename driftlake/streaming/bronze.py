@@ -85,14 +85,22 @@ def start_print(changes: DataFrame, rows: int = 20, every: str | None = None) ->
 
 
 def start_archive(
-    changes: DataFrame, path: str, checkpoint: str, every: str | None = None
+    changes: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    rows_per_file: int = 1_000_000,
 ) -> StreamingQuery:
-    """Archive topic rows as gzip JSON lines under topic and partition folders, nulls kept."""
+    """Archive topic rows as gzip JSON lines under topic and partition folders, nulls kept.
+
+    Gzip files are read whole by one task each, hence the bound on their rows.
+    """
     writer = (
         changes.writeStream.format("json")
         .option("checkpointLocation", checkpoint)
         .option("compression", "gzip")
         .option("ignoreNullFields", "false")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("topic", "partition")
         .outputMode("append")
     )

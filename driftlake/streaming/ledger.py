@@ -19,6 +19,7 @@ written last and makes a base visible; a delta is visible once Spark has marked
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -65,48 +66,74 @@ def apply_batch(bronze: DataFrame, batch_name: str, path: str, spec: TableSpec)
     )
 
 
-def start_scd1(
-    bronze: DataFrame, spec: TableSpec, path: str, checkpoint: str, every: str | None = None
+def _start(
+    bronze: DataFrame,
+    targets: list[tuple[TableSpec, str]],
+    select: Callable[[DataFrame, TableSpec], DataFrame],
+    checkpoint: str,
+    every: str | None,
+    compact_every: int | None,
+    buckets: int | None,
 ) -> StreamingQuery:
-    """Keep the state under ``path`` up to date from a stream of raw rows.
-
-    Batches are named by the query's own id, which lives in the checkpoint: a restart
-    finds its batches again, a new checkpoint cannot mistake them for its own.
-    """
+    if compact_every and not buckets:
+        raise ValueError("compact_every needs the number of buckets")
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        apply_batch(batch, f"{query}-{batch_id:012d}", path, spec)
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty(QUERY_ID)
+        for spec, path in targets:
+            apply_batch(select(batch, spec), f"{query}-{batch_id:012d}", path, spec)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                compact(spark, path, spec, buckets)
+
+    def record_kept(batch: DataFrame, batch_id: int) -> None:
+        """With several tables the batch is read from its source once."""
+        batch.persist()
+        try:
+            record(batch, batch_id)
+        finally:
+            batch.unpersist()
 
-    writer = bronze.writeStream.foreachBatch(record).option("checkpointLocation", checkpoint)
+    writer = bronze.writeStream.foreachBatch(record if len(targets) == 1 else record_kept)
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def start_scd1_tables(
+def start_scd1(
     bronze: DataFrame,
-    targets: list[tuple[TableSpec, str]],
+    spec: TableSpec,
+    path: str,
     checkpoint: str,
     every: str | None = None,
+    compact_every: int | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Keep several tables up to date from one stream that carries all their topics.
+    """Keep the state under ``path`` up to date from a stream of raw rows.
 
-    The micro-batch is read from its source once and kept for the tables' turns.
+    Batches are named by the query's own id, which lives in the checkpoint: a restart
+    finds its batches again, a new checkpoint cannot mistake them for its own.  Every
+    ``compact_every`` batches the deltas are folded into the base.
     """
+    return _start(
+        bronze, [(spec, path)], lambda batch, _: batch, checkpoint, every, compact_every, buckets
+    )
 
-    def record(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        batch.persist()
-        try:
-            for spec, path in targets:
-                own = batch.filter(F.col("topic") == topic_name(spec))
-                apply_batch(own, f"{query}-{batch_id:012d}", path, spec)
-        finally:
-            batch.unpersist()
 
-    writer = bronze.writeStream.foreachBatch(record).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+def start_scd1_tables(
+    bronze: DataFrame,
+    targets: list[tuple[TableSpec, str]],
+    checkpoint: str,
+    every: str | None = None,
+    compact_every: int | None = None,
+    buckets: int | None = None,
+) -> StreamingQuery:
+    """The same for several tables out of one stream that carries all their topics."""
+
+    def own(batch: DataFrame, spec: TableSpec) -> DataFrame:
+        return batch.filter(F.col("topic") == topic_name(spec))
+
+    return _start(bronze, targets, own, checkpoint, every, compact_every, buckets)
 
 
 def _latest_base(spark: SparkSession, path: str) -> str | None:

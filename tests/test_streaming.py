@@ -281,6 +281,8 @@ def test_stream_restart_after_a_crash(spark, tmp_path, monkeypatch):
     for n in range(5):
         feed(spark, f"{root}/topic", [envelope(*e) for e in events[n::5]], start=1000 * n)
     changes = read_changes(spark, "parquet", f"{root}/topic", options={"maxFilesPerTrigger": "1"})
+    with pytest.raises(ValueError):
+        start_scd1(to_bronze(changes), SPEC, f"{root}/s", f"{root}/c", compact_every=2)
     real, seen = ledger.apply_batch, []
 
     def crashing(batch, name, path, spec):
@@ -292,7 +294,10 @@ def test_stream_restart_after_a_crash(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ledger, "apply_batch", crashing)
     with pytest.raises(Exception, match="lost"):
         start_scd1(to_bronze(changes), SPEC, f"{root}/s", f"{root}/c").awaitTermination()
-    start_scd1(to_bronze(changes), SPEC, f"{root}/s", f"{root}/c").awaitTermination()
+    start_scd1(
+        to_bronze(changes), SPEC, f"{root}/s", f"{root}/c", compact_every=2, buckets=4
+    ).awaitTermination()
+    assert [p.name for p in (tmp_path / "s" / "base").iterdir()] == ["000000000000"]
     assert seen[2] == seen[3] and len(set(seen)) == 5
     assert view(spark, f"{root}/s") == expected(events)
     # A new checkpoint reads everything again under other batch names.
