@@ -8,7 +8,7 @@ from driftlake.plans.layers import (
     promote,
     seed_if_missing,
 )
-from driftlake.plans.refine import live_rows, read_current, refine
+from driftlake.plans.refine import live_rows, merge_changes, read_current, refine, upsert_rows
 
 __all__ = [
     "append",
@@ -18,8 +18,10 @@ __all__ = [
     "list_namespaces",
     "list_tables",
     "live_rows",
+    "merge_changes",
     "promote",
     "read_current",
     "refine",
     "seed_if_missing",
+    "upsert_rows",
 ]

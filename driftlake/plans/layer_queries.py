@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,25 +9,17 @@ from driftlake.functions.casts import epoch_millis
 from driftlake.plans.feeds import table
 from driftlake.plans.layers import (
     append,
-    ensure_namespace,
     ensure_table,
     list_tables,
+    new_namespace,
     promote,
     seed_if_missing,
 )
-from driftlake.session import work_dir
 from driftlake.sources.tables import click_event_schema, preview, table_exists, typed_rows
 
 SILVER = "id BIGINT, name STRING, balance DOUBLE, processed_at TIMESTAMP, processed_date DATE"
 
 
-def _namespace(spark, label: str) -> str:
-    """A namespace of its own per run, stored in the shared folder."""
-    name = f"{label}_{uuid.uuid4().hex[:12]}"
-    ensure_namespace(spark, name, work_dir(spark, name))
-    return name
-
-
 def scan(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
 
@@ -45,7 +35,7 @@ def first_rows(spark, sf_dir):
 
 def seeded_once(spark, sf_dir):
     """The second seed finds the table and changes nothing."""
-    name = f"{_namespace(spark, 'seed')}.customers"
+    name = f"{new_namespace(spark, 'seed')}.customers"
     customers = table(spark, sf_dir, "customer")
     first = seed_if_missing(spark, name, lambda: customers)
     second = seed_if_missing(spark, name, lambda: table(spark, sf_dir, "supplier"))
@@ -55,7 +45,7 @@ def seeded_once(spark, sf_dir):
 
 def listing(spark, sf_dir):
     """Tables of a namespace after seeding it with whole given tables."""
-    namespace = _namespace(spark, "listing")
+    namespace = new_namespace(spark, "listing")
     for name in ("customer", "orders", "supplier"):
         seed_if_missing(spark, f"{namespace}.{name}", lambda n=name: table(spark, sf_dir, n))
     counts = [
@@ -72,7 +62,7 @@ def listing(spark, sf_dir):
 
 def typed_append(spark, sf_dir):
     """Click events appended to a table with a fixed schema, twice."""
-    name = f"{_namespace(spark, 'clicks')}.click_events"
+    name = f"{new_namespace(spark, 'clicks')}.click_events"
     ensure_table(spark, name, click_event_schema())
     events = table(spark, sf_dir, "events")
     clicks = events.select(
@@ -98,7 +88,7 @@ def literal_rows(spark, sf_dir):
 
 def insert_selected(spark, sf_dir):
     """Append a query result and literal rows to a date-partitioned table."""
-    name = f"{_namespace(spark, 'silver')}.customers"
+    name = f"{new_namespace(spark, 'silver')}.customers"
     ensure_table(spark, name, T.StructType.fromDDL(SILVER), partition_by=["processed_date"])
     day = F.lit("2024-01-01")
     customers = table(spark, sf_dir, "customer").select(
@@ -126,7 +116,7 @@ def insert_selected(spark, sf_dir):
 
 def promoted(spark, sf_dir):
     """Raw to refined to serving layer; repeating a step leaves the table as it is."""
-    bronze, silver, gold = (_namespace(spark, layer) for layer in ("bronze", "silver", "gold"))
+    bronze, silver, gold = (new_namespace(spark, layer) for layer in ("bronze", "silver", "gold"))
     promote(table(spark, sf_dir, "orders"), f"{bronze}.orders")
     refined = spark.table(f"{bronze}.orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("order_year")

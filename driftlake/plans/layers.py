@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from driftlake.session import work_dir
 from driftlake.sources.tables import table_exists
 
 
@@ -16,6 +18,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{where}")
 
 
+def new_namespace(spark: SparkSession, label: str) -> str:
+    """A namespace of its own, stored in the shared folder; returns its name."""
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    ensure_namespace(spark, name, work_dir(spark, name))
+    return name
+
+
 def ensure_table(
     spark: SparkSession,
     name: str,

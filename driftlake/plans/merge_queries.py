@@ -9,7 +9,15 @@ from driftlake.operators.merge import STAMP, apply_scd1, repeated_keys, upsert
 from driftlake.plans import feeds
 from driftlake.plans.decode_queries import ORDER_ROWS
 from driftlake.plans.feeds import ORDERS, table
-from driftlake.plans.refine import DAY, latest_changes, refine
+from driftlake.plans.layers import ensure_table, new_namespace, seed_if_missing
+from driftlake.plans.refine import (
+    DAY,
+    latest_changes,
+    merge_changes,
+    refine,
+    table_schema,
+    upsert_rows,
+)
 from driftlake.session import work_dir
 
 # Orders before this day make the target, the others are the changes to apply.
@@ -67,6 +75,31 @@ def refine_two_runs(spark, sf_dir):
     return rows.withColumn(DAY, F.col(DAY).cast("string")).drop(STAMP)
 
 
+def scd1_catalog_table(spark, sf_dir):
+    """The same two runs on a catalog table parted by processing day."""
+    before, since = _split(spark, sf_dir)
+    name = f"{new_namespace(spark, 'scd1')}.orders"
+    schema = table_schema(ORDERS).add(DAY, "date")
+    ensure_table(spark, name, schema, partition_by=[DAY])
+    merge_changes(before, ORDERS, name, _stamp(FIRST_RUN))
+    merge_changes(since, ORDERS, name, _stamp(SECOND_RUN))
+    return spark.table(name).withColumn(DAY, F.col(DAY).cast("string")).drop(STAMP)
+
+
+def upsert_catalog_table(spark, sf_dir):
+    """Raw typed table to refined table, twice; rows gone from the raw table stay."""
+    customers = _customers(spark, sf_dir)
+    bronze, silver = (f"{new_namespace(spark, layer)}.customers" for layer in ("bronze", "silver"))
+    seed_if_missing(spark, bronze, lambda: customers)
+    schema = customers.schema.add(DAY, "date")
+    ensure_table(spark, silver, schema, partition_by=[DAY])
+    raw = spark.table(bronze)
+    upsert_rows(raw.withColumn(DAY, F.lit(FIRST_RUN).cast("date")), silver, ["c_custkey"])
+    changed = raw.filter("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.col("c_acctbal") + 100)
+    upsert_rows(changed.withColumn(DAY, F.lit(SECOND_RUN).cast("date")), silver, ["c_custkey"])
+    return spark.table(silver).withColumn(DAY, F.col(DAY).cast("string"))
+
+
 def _customers(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
@@ -138,10 +171,19 @@ ORDER_STATE = f"""
     SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority, '{FIRST_RUN}'
     FROM old WHERE o_custkey NOT IN (SELECT o_custkey FROM new)"""
 
+RAISED_BUILDING = f"""
+    SELECT c_custkey, c_name, c_mktsegment,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN '{SECOND_RUN}' ELSE '{FIRST_RUN}' END
+               AS processed_date
+    FROM customer"""
+
 QUERIES = {
     "m_scd1": (scd1, ORDER_STATE.format(touched=SECOND_RUN)),
     "m_rerun": (scd1_rerun, ORDER_STATE.format(touched=SECOND_RUN)),
     "m_refine_two_runs": (refine_two_runs, ORDER_STATE.format(touched=SECOND_RUN)),
+    "m_scd1_table": (scd1_catalog_table, ORDER_STATE.format(touched=SECOND_RUN)),
+    "m_upsert_table": (upsert_catalog_table, RAISED_BUILDING),
     "m_scd1_skip_unchanged": (scd1_skip_unchanged, ORDER_STATE.format(touched=CUTOFF)),
     "m_upsert": (
         upsert_sql_source,
@@ -151,15 +193,7 @@ QUERIES = {
         UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment, '{FIRST_RUN}'
         FROM customer WHERE c_mktsegment = 'FURNITURE'""",
     ),
-    "m_skip_unchanged": (
-        upsert_skip_unchanged,
-        f"""SELECT c_custkey, c_name, c_mktsegment,
-               CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END
-                   AS c_acctbal,
-               CASE WHEN c_mktsegment = 'BUILDING' THEN '{SECOND_RUN}' ELSE '{FIRST_RUN}' END
-                   AS processed_date
-        FROM customer""",
-    ),
+    "m_skip_unchanged": (upsert_skip_unchanged, RAISED_BUILDING),
     "m_null_keys": (
         upsert_null_keys,
         f"""SELECT CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END AS c_custkey,

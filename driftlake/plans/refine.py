@@ -1,4 +1,9 @@
-"""Batch jobs from the raw log to a type 1 table, for formats without row-level merges."""
+"""Batch jobs from the raw log to a type 1 table.
+
+``merge_changes`` and ``upsert_rows`` work on catalog tables: through ``MERGE INTO`` where the
+format has row-level operations (``native=True``), else by rewriting the table from a staged
+copy.  ``refine`` keeps complete versions of a table under a path.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,8 @@ from pyspark.sql import types as T
 
 from driftlake.operators.envelope import DELETE_OP, decode, valid_changes
 from driftlake.operators.latest import latest_per_key
-from driftlake.operators.merge import STAMP, apply_scd1
+from driftlake.operators.merge import STAMP, apply_scd1, check_unique, merge_into_table, upsert
+from driftlake.session import work_dir
 from driftlake.sources import files
 from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
@@ -74,3 +80,61 @@ def refine(
     merged = apply_scd1(target, latest_changes(bronze, spec), spec, as_of, skip_unchanged)
     write_version(merged, path)
     return read_current(spark, path, spec)
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def replace_rows(rows: DataFrame, table: str) -> None:
+    """Make ``rows``, which may be computed from ``table``, the table's whole content.
+
+    They are written to the shared folder first, so the table is not read while it is
+    replaced.  A failure before that leaves the table as it was; after one during the last
+    step the staged copy still holds all rows.
+    """
+    spark = rows.sparkSession
+    staged = work_dir(spark, "staged")
+    columns = spark.table(table).columns
+    rows.select(*columns).write.option("compression", "zstd").parquet(staged)
+    ready = spark.read.schema(rows.select(*columns).schema).parquet(staged)
+    parts = _partition_columns(spark, table)
+    if parts:
+        ready = ready.hint("rebalance", *parts)
+    writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.insertInto(table)
+    files.remove(spark, staged)
+
+
+def merge_changes(
+    bronze: DataFrame,
+    spec: TableSpec,
+    table: str,
+    as_of: Column | None = None,
+    native: bool = False,
+) -> None:
+    """Apply the newest change per key of a raw log to a type 1 table."""
+    spark = bronze.sparkSession
+    changes = latest_changes(bronze, spec)
+    if native:
+        merge_into_table(changes, table, spec, as_of).merge()
+        return
+    target = spark.table(table)
+    merged = apply_scd1(target.drop(DAY), changes, spec, as_of)
+    if DAY in target.columns:
+        merged = merged.withColumn(DAY, F.to_date(STAMP))
+    replace_rows(merged, table)
+
+
+def upsert_rows(
+    source: DataFrame, table: str, keys: list[str], native: bool = False, verify: bool = True
+) -> None:
+    """Overwrite the table's rows that ``source`` has, add the others, keep the rest."""
+    spark = source.sparkSession
+    if not native:
+        replace_rows(upsert(spark.table(table), source, keys, verify=verify), table)
+        return
+    if verify:
+        check_unique(source, keys)
+    on = F.expr(" AND ".join(f"{table}.`{k}` = source.`{k}`" for k in keys))
+    source.alias("source").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
