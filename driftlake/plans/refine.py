@@ -20,6 +20,7 @@ from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
 
 DAY = "processed_date"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def latest_changes(bronze: DataFrame, spec: TableSpec) -> DataFrame:
@@ -101,8 +102,13 @@ def replace_rows(rows: DataFrame, table: str) -> None:
     parts = _partition_columns(spark, table)
     if parts:
         ready = ready.hint("rebalance", *parts)
-    writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.insertInto(table)
+    # Under dynamic overwriting a partition without rows left would keep its old ones.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "static")
+    try:
+        ready.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
     files.remove(spark, staged)
 
 
