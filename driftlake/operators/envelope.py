@@ -24,16 +24,16 @@ def _text(names) -> T.StructType:
 
 def envelope_schema(spec: TableSpec) -> T.StructType:
     """Every leaf is text, so a quoted, fractional or broken number cannot void the record."""
+    keys = [spec.json_field(n) for n in spec.keys]
+    row = [spec.json_field(n) for n in spec.row_columns]
     envelope = [
-        T.StructField("before", _text(spec.keys)),
-        T.StructField("after", _text(spec.row_columns)),
+        T.StructField("before", _text(keys)),
+        T.StructField("after", _text(row)),
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.StringType()),
         T.StructField("source", _text(["ts_ms", "lsn"])),
     ]
-    flat = [
-        T.StructField(n, T.StringType()) for n in spec.row_columns if n not in ENVELOPE_FIELDS
-    ]
+    flat = [T.StructField(n, T.StringType()) for n in row if n not in ENVELOPE_FIELDS]
     return T.StructType(envelope + flat)
 
 
@@ -52,17 +52,19 @@ def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFra
         F.inline(F.array(F.from_json(payload, schema))).alias(*names),
     )
 
-    def root(name: str) -> list[Column]:
-        return [] if name in ENVELOPE_FIELDS else [F.col(f"_{name}")]
+    def first(column: str, *parents: str) -> Column:
+        name = spec.json_field(column)
+        found = [F.col(p)[name] for p in parents]
+        if name not in ENVELOPE_FIELDS:
+            found.append(F.col(f"_{name}"))
+        return F.coalesce(*found)
 
     keys = [
-        lenient_cast(
-            F.coalesce(F.col("_after")[n], F.col("_before")[n], *root(n)), data_type
-        ).alias(n)
+        lenient_cast(first(n, "_after", "_before"), data_type).alias(n)
         for n, data_type in spec.key.items()
     ]
     attributes = [
-        lenient_cast(F.coalesce(F.col("_after")[n], *root(n)), data_type).alias(n)
+        lenient_cast(first(n, "_after"), data_type).alias(n)
         for n, data_type in spec.columns.items()
     ]
     clocks = [F.col("_ts_ms"), F.col("_source")["ts_ms"]]

@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from dataclasses import field as dataclass_field
+
+
+# Columns that decoding adds; a captured column of the same name needs another one.
+RESERVED = {"op", "version", "lsn", "offset", "payload"}
 
 
 @dataclass(frozen=True)
 class TableSpec:
     """Describes one captured table.
 
-    ``key`` and ``columns`` map a field name to the Spark SQL type it is cast to.
+    ``key`` and ``columns`` map a column name to the Spark SQL type it is cast to.
+    ``fields`` names the JSON field of a column where it differs from the column.
     ``tie_breakers`` are the decoded or lineage columns that order two events of the
     same key and version; columns a DataFrame does not carry are skipped.
     """
 
     name: str
     key: dict[str, str]
-    columns: dict[str, str] = field(default_factory=dict)
+    columns: dict[str, str] = dataclass_field(default_factory=dict)
     topic: str | None = None
+    fields: dict[str, str] = dataclass_field(default_factory=dict)
     tie_breakers: tuple[str, ...] = ("lsn", "offset")
     prefer_source_time: bool = False
 
+    def __post_init__(self):
+        if not self.key:
+            raise ValueError(f"{self.name}: a captured table needs a key")
+        clash = (set(self.key) & set(self.columns)) | (set(self.row_columns) & RESERVED)
+        if clash:
+            raise ValueError(f"{self.name}: rename {sorted(clash)}, see fields")
+
     @property
     def keys(self) -> list[str]:
         return list(self.key)
@@ -33,6 +47,9 @@ class TableSpec:
     def row_columns(self) -> list[str]:
         return self.keys + self.attributes
 
+    def json_field(self, column: str) -> str:
+        return self.fields.get(column, column)
+
     def order_columns(self, available: list[str]) -> list[str]:
         """Event order, most significant first: version, tie-breakers, then content.
 

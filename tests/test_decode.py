@@ -117,6 +117,21 @@ def test_attribute_named_like_an_envelope_field(spark):
     assert decode(raw, spec).first().source == "web"
 
 
+def test_columns_named_like_change_metadata(spark):
+    with pytest.raises(ValueError, match="version"):
+        TableSpec("t", {"id": "bigint"}, {"version": "int"})
+    with pytest.raises(ValueError, match="key"):
+        TableSpec("t", {})
+    spec = TableSpec(
+        "t", {"row_op": "bigint"}, {"row_version": "int"}, fields={"row_op": "op", "row_version": "version"}
+    )
+    raw = spark.createDataFrame(
+        [('{"after":{"op":5,"version":3},"op":"c","ts_ms":9}',), ('{"before":{"op":6},"op":"d"}',)], "payload STRING"
+    )
+    rows = valid_changes(decode(raw, spec), spec).select("row_op", "row_version", "op", "version")
+    assert sorted(map(tuple, rows.collect())) == [(5, 3, "c", 9), (6, None, "d", None)]
+
+
 def test_carried_columns(spark):
     raw = spark.createDataFrame([('{"id":1}', "t", 3)], "payload STRING, topic STRING, offset BIGINT")
     row = decode(raw, TableSpec("t", {"id": "bigint"})).first()
