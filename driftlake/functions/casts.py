@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 
 
+# A plain decimal number, blanks around it; its fraction is left out of the two groups.
+DECIMAL_TEXT = r"^[\x00-\x20\x7f]*(?<sign>[+-]?)(?<whole>[0-9]*)\.[0-9]*[\x00-\x20\x7f]*$"
+
+
 def lenient_bigint(text: Column) -> Column:
     """Text to BIGINT: fractions are cut off, anything that is no plain number is NULL.
 
-    Almost every value is settled by the first ``try_cast``; the decimal detour only
-    runs for the rest.  Exponents stay NULL as in a non-ANSI string cast.
+    Almost every value is settled by the first ``try_cast``; the pattern only runs for the
+    rest.  The zero stands in for a missing whole part, as in ``.5``.
     """
-    whole = text.try_cast("bigint")
-    cut = text.try_cast("decimal(38,18)").try_cast("bigint")
-    return F.coalesce(whole, F.when(~text.rlike("[eE]"), cut))
+    cut = F.regexp_replace(text, F.lit(DECIMAL_TEXT), F.lit("${sign}0${whole}"))
+    return F.coalesce(text.try_cast("bigint"), cut.try_cast("bigint"))
 
 
 def lenient_cast(text: Column, data_type: str) -> Column:

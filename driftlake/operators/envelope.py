@@ -17,6 +17,9 @@ DEFAULT_OP = "u"
 
 ENVELOPE_FIELDS = ("before", "after", "op", "ts_ms", "source")
 
+# Where from_json puts the text of a record it could not read in full.
+UNREAD = "_unread"
+
 
 def _text(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -34,7 +37,7 @@ def envelope_schema(spec: TableSpec) -> T.StructType:
         T.StructField("source", _text(["ts_ms", "lsn"])),
     ]
     flat = [T.StructField(n, T.StringType()) for n in row if n not in ENVELOPE_FIELDS]
-    return T.StructType(envelope + flat)
+    return T.StructType([*envelope, *flat, T.StructField(UNREAD, T.StringType())])
 
 
 def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFrame:
@@ -43,14 +46,18 @@ def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFra
     Columns other than the payload (topic, partition, offset, ...) are carried along.
     The text is parsed once: ``inline`` keeps the optimizer from copying ``from_json``
     into every expression and filter that reads one of its fields.
+
+    A record of broken JSON gets no key, although its first fields could be read.  A field
+    of an unexpected shape (``"source": "web"``) is merely NULL; both kinds end up in
+    ``UNREAD``, so only those few are looked at a second time.
     """
     carried = [c for c in raw.columns if c != payload]
     schema = envelope_schema(spec)
     names = [f"_{n}" for n in schema.fieldNames()]
-    parsed = raw.select(
-        *carried,
-        F.inline(F.array(F.from_json(payload, schema))).alias(*names),
-    )
+    record = F.from_json(payload, schema, {"columnNameOfCorruptRecord": UNREAD})
+    parsed = raw.select(*carried, F.inline(F.array(record)).alias(*names))
+    unread = F.col(f"_{UNREAD}")
+    readable = unread.isNull() | F.get_json_object(unread, "$").isNotNull()
 
     def first(column: str, *parents: str) -> Column:
         name = spec.json_field(column)
@@ -60,7 +67,7 @@ def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFra
         return F.coalesce(*found)
 
     keys = [
-        lenient_cast(first(n, "_after", "_before"), data_type).alias(n)
+        F.when(readable, lenient_cast(first(n, "_after", "_before"), data_type)).alias(n)
         for n, data_type in spec.key.items()
     ]
     attributes = [

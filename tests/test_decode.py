@@ -197,3 +197,20 @@ def test_normalize_value(spark):
 def test_pack_record_keeps_nulls(spark):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, named_struct('c', CAST(NULL AS INT)) AS s")
     assert df.select(pack_record("a", "b", "s")).first()[0] == '{"a":1,"b":null,"s":{"c":null}}'
+
+
+def test_lenient_bigint_is_the_cast_without_ansi(spark, settings):
+    """Differential test on random number-like texts."""
+    import random
+
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("0123456789") for _ in range(rnd.randrange(1, 22))) for _ in range(500)]
+    texts += ["".join(rnd.choice("0123456789+-. eE") for _ in range(rnd.randrange(1, 9))) for _ in range(20_000)]
+    texts += [f"{rnd.choice(['', '-', '+'])}{rnd.randrange(10**rnd.randrange(1, 21))}.{rnd.randrange(10**6)}" for _ in range(2_000)]
+    texts += ["\t7\n", "7 ", "٣", "1_000", "9223372036854775807.9", "-9223372036854775808.5", "." , "-", "0x1f", "1d", "1f"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = df.select("t", lenient_bigint(F.col("t")).alias("n"))
+    settings(spark__sql__ansi__enabled="false")
+    both = got.select("t", "n", F.col("t").cast("bigint").alias("legacy"))
+    different = both.filter("NOT (n <=> legacy)").collect()
+    assert different == []
