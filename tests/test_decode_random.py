@@ -42,6 +42,21 @@ def damaged(rnd, text):
     return text[:at] + rnd.choice(['"', "{", "}", ",", ":", "x", "\\"]) + text[at:]
 
 
+def repeats_a_name(text):
+    """Repeated names are told apart elsewhere: decoding takes the last, a lookup the first."""
+    found = []
+
+    def look(pairs):
+        found.append(len(pairs) != len({k for k, _ in pairs}))
+        return dict(pairs)
+
+    try:
+        json.JSONDecoder(object_pairs_hook=look).raw_decode(text)
+    except ValueError:
+        return False
+    return any(found)
+
+
 def lookups(df):
     def at(*paths):
         return F.coalesce(*[F.get_json_object("payload", f"$.{p}") for p in paths])
@@ -61,7 +76,7 @@ def test_same_rows_as_path_lookups(spark, settings, damage):
     rnd = random.Random(5)
     records = [random_record(rnd) for _ in range(6000)]
     if damage:
-        records = [damaged(rnd, r) for r in records]
+        records = [r for r in (damaged(rnd, r) for r in records) if not repeats_a_name(r)]
     df = spark.createDataFrame(list(enumerate(records)), "n INT, payload STRING").cache()
     columns = ["n", "id", "a", "b", "op", "version"]
 
@@ -71,4 +86,10 @@ def test_same_rows_as_path_lookups(spark, settings, damage):
     got = usable(decode(df, SPEC).select(columns).collect())
     settings(spark__sql__ansi__enabled="false")
     assert got == usable(lookups(df).collect())
-    assert len(got) > 500
+    assert len(got) > 400
+
+
+def test_the_last_of_repeated_names_counts(spark):
+    raw = spark.createDataFrame([('{"id":1,"id":2,"a":"x","a":"y"}',)], "payload STRING")
+    row = decode(raw, SPEC).first()
+    assert (row.id, row.a) == ("2", "y")
