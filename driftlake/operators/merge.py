@@ -92,12 +92,16 @@ def _merge(
     keys: list[str],
     updated: list[str],
     skip_unchanged: list[str] | None,
+    unkeyed: bool,
 ) -> DataFrame:
     """Merge ``source`` (keys, ``updated`` and ``_delete``) into ``target``.
 
     A source small enough to broadcast goes to the target: the target is read in place and
     its key column once more, to find the source rows that matched nothing.  Any other
-    source meets the target in one full outer join on the key.
+    source meets the target in one full outer join on the key.  ``unkeyed`` says that many
+    rows may lack a key; they match nothing and are kept out of that join, where they would
+    all be in one task.  That reads both inputs again, with a filter that stored tables
+    answer from their statistics.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     unknown = set(source.columns) - set(types) - {"_delete"}
@@ -116,7 +120,9 @@ def _merge(
         blank = target.limit(0).withColumn("_row", F.lit(True)).alias("t")
         added = new.alias("s").join(blank, _on(keys), "left_outer")
         return _outcome(there, *shape).unionByName(_outcome(added, *shape))
-    # Rows without a key match nothing; outside the join they cannot pile up in one task.
+    if not unkeyed:
+        everything = rows.alias("t").join(marked.alias("s"), _on(keys), "full_outer")
+        return _outcome(everything, *shape)
     on_key = rows.filter(_keyed(keys)).alias("t").join(
         marked.filter(_keyed(keys)).alias("s"), _on(keys), "full_outer"
     )
@@ -140,7 +146,8 @@ def apply_scd1(
 
     Upserts overwrite every attribute, NULLs included; a delete removes the row, or does
     nothing where there is none; rows without a change stay.  ``changes`` needs one row per
-    key (``latest_per_key``).  Every change restamps its row unless ``skip_unchanged``.
+    key (``latest_per_key``) and keys throughout (``valid_changes``).  Every change restamps
+    its row unless ``skip_unchanged``.
     """
     usable = changes.filter(F.col("op").isin(*OPS))
     source = merge_source(usable, spec, as_of).withColumn("_delete", F.col("op") == DELETE_OP)
@@ -150,6 +157,7 @@ def apply_scd1(
         spec.keys,
         [*spec.attributes, STAMP],
         spec.attributes if skip_unchanged else None,
+        unkeyed=False,
     )
 
 
@@ -170,7 +178,12 @@ def upsert(
         check_unique(source, keys)
     updated = [c for c in source.columns if c not in keys]
     return _merge(
-        target, source.withColumn("_delete", F.lit(False)), keys, updated, skip_unchanged
+        target,
+        source.withColumn("_delete", F.lit(False)),
+        keys,
+        updated,
+        skip_unchanged,
+        unkeyed=True,
     )
 
 

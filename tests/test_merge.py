@@ -17,7 +17,7 @@ from driftlake.operators import (
     upsert,
 )
 from driftlake.operators.merge import DuplicateKeyError
-from driftlake.plans.refine import read_current, refine
+from driftlake.plans.refine import latest_changes, read_current, refine
 from driftlake.spec import TableSpec
 
 SPEC = TableSpec("t", {"id": "bigint"}, {"v": "string"})
@@ -168,6 +168,16 @@ def test_bucketed_target_is_not_shuffled(spark, settings):
     assert merged.count() == 50
 
 
+def test_large_changes_are_decoded_once(spark, settings):
+    """A merge straight from a raw log must not parse the log again for its side branches."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    bronze = spark.createDataFrame([('{"id":1,"v":"a"}',)], "payload STRING")
+    merged = apply_scd1(target_of(spark, [(1, "x")]), latest_changes(bronze, SPEC), SPEC, new())
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_merge_into_is_handed_to_spark(spark):
     """Tables here have no row-level operations: Spark itself must be the one to refuse."""
     spark.sql("CREATE TABLE IF NOT EXISTS plain_target (id BIGINT, v STRING, processed_at TIMESTAMP) USING parquet")
