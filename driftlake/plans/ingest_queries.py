@@ -17,7 +17,7 @@ from driftlake.plans.decode_queries import EVENT_ROWS, LATEST_EVENTS, LATEST_ORD
 from driftlake.plans.feeds import CUSTOMERS, EVENTS, ORDERS, table
 from driftlake.plans.refine import live_rows
 from driftlake.session import work_dir
-from driftlake.sources.changes import read_changes, replay_options
+from driftlake.sources.changes import read_changes, read_raw, replay_options
 from driftlake.sources.tables import typed_rows
 from driftlake.streaming.bronze import (
     start_archive,
@@ -53,7 +53,7 @@ def bronze_roundtrip(spark, sf_dir):
     topic = _event_topic(spark, sf_dir, root)
     bronze = to_bronze(_stream(spark, topic, 2), hook=lambda rows: rows.filter("key IS NOT NULL"))
     start_bronze(bronze, f"{root}/checkpoint", f"{root}/bronze").awaitTermination()
-    raw = spark.read.parquet(f"{root}/bronze").drop("ingest_ts")
+    raw = read_raw(spark, f"{root}/bronze").drop("ingest_ts")
     return valid_changes(decode(raw, EVENTS), EVENTS)
 
 
@@ -101,7 +101,7 @@ def multi_table(spark, sf_dir):
     feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), topic)
     bronze = to_bronze(_stream(spark, topic, 2))
     start_bronze(bronze, f"{root}/checkpoint", f"{root}/bronze").awaitTermination()
-    routed = route(spark.read.parquet(f"{root}/bronze").drop("ingest_ts"), [EVENTS, ORDERS])
+    routed = route(read_raw(spark, f"{root}/bronze").drop("ingest_ts"), [EVENTS, ORDERS])
     events = latest_per_key(routed["events"], EVENTS).select(
         F.lit("events").alias("source"), F.col("user_id").alias("id"), "op", "version", "lsn",
         F.col("value").alias("amount"),
@@ -132,6 +132,19 @@ def multi_table_state(spark, sf_dir):
     return events.unionByName(orders)
 
 
+def bronze_to_state(spark, sf_dir):
+    """Two streams in a row: topic to raw table, raw table to state."""
+    root = work_dir(spark, "chain")
+    feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), f"{root}/topic")
+    bronze = to_bronze(_stream(spark, f"{root}/topic", 2))
+    start_bronze(bronze, f"{root}/ingest", f"{root}/bronze").awaitTermination()
+    raw = read_raw(
+        spark, f"{root}/bronze", streaming=True, options=replay_options(spark, f"{root}/bronze", 2)
+    )
+    start_scd1(raw, ORDERS, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return current_view(spark, f"{root}/state", ORDERS)
+
+
 def incremental(spark, sf_dir):
     """Micro-batches out of order with clicks delivered twice, compacted on the way."""
     root = work_dir(spark, "ledger")
@@ -256,6 +269,11 @@ QUERIES = {
         FROM ({LATEST_EVENTS}) WHERE op <> 'd'
         UNION ALL SELECT 'orders', o_custkey, o_totalprice FROM ({LATEST_ORDERS}) WHERE op <> 'd'""",
     ),
+    "s_bronze_to_state": (
+        bronze_to_state,
+        f"""SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority
+        FROM ({LATEST_ORDERS}) WHERE op <> 'd'""",
+    ),
     "s_scd1_incremental": (incremental, EVENT_LIVE),
     "s_scd1_compacted": (incremental_compacted, EVENT_LIVE),
     "s_snapshot_then_changes": (

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from driftlake.sources import files
 
-# What every reader yields.
+# What every topic reader yields, and what the raw table holds.
 CONTRACT = "key STRING, value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+RAW = "payload STRING, topic STRING, partition INT, offset BIGINT, ingest_ts TIMESTAMP"
 
 
 def topic_schema() -> T.StructType:
@@ -58,6 +59,22 @@ def read_changes(
     )
 
 
+def raw_schema() -> T.StructType:
+    return T.StructType.fromDDL(RAW)
+
+
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    streaming: bool = False,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """The raw table written by the ingest stream, as a whole or as a stream of its own."""
+    reader = spark.readStream if streaming else spark.read
+    return reader.format(fmt).schema(raw_schema()).options(**(options or {})).load(path)
+
+
 def replay_options(spark: SparkSession, path: str, batches: int) -> dict[str, str]:
     """Options that let a stream work through the files of ``path`` in about ``batches`` steps.
 
