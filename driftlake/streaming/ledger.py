@@ -22,6 +22,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,14 +142,22 @@ def _latest_base(spark: SparkSession, path: str) -> str | None:
     return published[-1] if published else None
 
 
-def _covered(spark: SparkSession, path: str, base: str) -> tuple[int, set[str]]:
-    buckets, *names = files.read_lines(spark, f"{path}/base/{base}/{COVERED}")
-    return int(buckets), set(names)
+class _Base(NamedTuple):
+    """What the marker file of a base says."""
+
+    buckets: int
+    table: str
+    covered: set[str]
+
+
+def _describe(spark: SparkSession, path: str, base: str) -> _Base:
+    buckets, table, *names = files.read_lines(spark, f"{path}/base/{base}/{COVERED}")
+    return _Base(int(buckets), table, set(names))
 
 
 def _open_deltas(spark: SparkSession, path: str, base: str | None) -> list[str]:
     done = files.finished_children(spark, f"{path}/deltas")
-    covered = _covered(spark, path, base)[1] if base else set()
+    covered = _describe(spark, path, base).covered if base else set()
     return [name for name in done if name not in covered]
 
 
@@ -174,23 +183,20 @@ def _quoted(names: list[str]) -> str:
     return ", ".join(f"`{n}`" for n in names)
 
 
-def _base_table(path: str, base: str) -> str:
-    return f"driftlake_base_{uuid.uuid5(uuid.NAMESPACE_URL, f'{path}/{base}').hex}"
-
-
 def _read_base(spark: SparkSession, path: str, base: str, spec: TableSpec) -> DataFrame:
     """The base as a bucketed table, so that joins on the key need no shuffle of it.
 
-    The catalog entry only names files that stay where they are.
+    The catalog entry, under a name no other base ever has, only points at files that stay
+    where they are.
     """
-    buckets, _ = _covered(spark, path, base)
-    table = _base_table(path, base)
+    about = _describe(spark, path, base)
+    table = about.table
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in state_schema(spec).fields
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"CLUSTERED BY ({_quoted(spec.keys)}) INTO {buckets} BUCKETS LOCATION '{path}/base/{base}'"
+        f"CLUSTERED BY ({_quoted(spec.keys)}) INTO {about.buckets} BUCKETS LOCATION '{path}/base/{base}'"
     )
     return spark.table(table)
 
@@ -221,7 +227,7 @@ def current_state(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     rows = _read_base(spark, path, base, spec)
     if not names:
         return rows
-    deltas = _read_deltas(spark, path, names, spec, _covered(spark, path, base)[0])
+    deltas = _read_deltas(spark, path, names, spec, _describe(spark, path, base).buckets)
     return _winners(rows.alias("b").join(deltas.alias("d"), _on(spec), "full_outer"), spec)
 
 
@@ -236,13 +242,14 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
 
     Known keys are rewritten bucket by bucket out of the previous base without moving it
     between tasks; keys new since then are appended to the same buckets.  The first base,
-    and one with another bucket count, is shuffled once.
+    and one with another bucket count, is shuffled once.  Only one compaction may run at a
+    time.
     """
     base = _latest_base(spark, path)
     names = _open_deltas(spark, path, base)
     if not names:
         return None
-    covered = _covered(spark, path, base)[1] if base else set()
+    covered = _describe(spark, path, base).covered if base else set()
     covered &= set(files.finished_children(spark, f"{path}/deltas"))
     number = f"{int(base) + 1:012d}" if base else f"{0:012d}"
     folder = f"{path}/base/{number}"
@@ -250,7 +257,7 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
     deltas = _read_deltas(spark, path, names, spec, buckets)
     if base is None:
         parts = [deltas]
-    elif _covered(spark, path, base)[0] != buckets:
+    elif _describe(spark, path, base).buckets != buckets:
         parts = [current_state(spark, path, spec).repartition(buckets, *spec.keys)]
     else:
         old = _read_base(spark, path, base, spec)
@@ -258,7 +265,8 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
         fresh = deltas.join(old.select(*spec.keys), spec.keys, "left_anti")
         parts = [_winners(known, spec), fresh]
     _write_buckets(parts, folder, spec, buckets)
-    listing = "\n".join([str(buckets), *sorted(covered | set(names))])
+    name = f"driftlake_base_{uuid.uuid4().hex}"
+    listing = "\n".join([str(buckets), name, *sorted(covered | set(names))])
     files.write_text(spark, f"{folder}/{COVERED}", listing)
     return number
 
@@ -288,7 +296,7 @@ def drop_superseded(spark: SparkSession, path: str) -> None:
         return
     for name in files.finished_children(spark, f"{path}/base", COVERED):
         if name < base:
-            spark.sql(f"DROP TABLE IF EXISTS {_base_table(path, name)}")
+            spark.sql(f"DROP TABLE IF EXISTS {_describe(spark, path, name).table}")
             files.remove(spark, f"{path}/base/{name}")
-    for name in _covered(spark, path, base)[1]:
+    for name in _describe(spark, path, base).covered:
         files.remove(spark, f"{path}/deltas/{name}")

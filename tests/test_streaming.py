@@ -251,6 +251,17 @@ def test_compaction_steps(spark, tmp_path):
     assert view(spark, path) == {**expected(events), 0: "end"}
 
 
+def test_a_state_may_start_over_in_the_same_place(spark, tmp_path):
+    import shutil
+
+    path = str(tmp_path / "state")
+    for buckets, value in ((4, "first"), (3, "second")):
+        apply_batch(bronze_of(spark, [envelope(k, value, "c", 1, 1) for k in range(20)]), "b0", path, SPEC)
+        compact(spark, path, SPEC, buckets)
+        assert view(spark, path) == {k: value for k in range(20)}
+        shutil.rmtree(path)
+
+
 @pytest.mark.parametrize("partitions", ["3", "8", "50"])
 def test_base_is_read_without_shuffling_it(spark, settings, tmp_path, partitions):
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions=partitions)
