@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.operators.envelope import DELETE_OP, OPS, UPSERT_OPS
+from driftlake.operators.sizes import broadcast_limit, estimated_bytes
 from driftlake.spec import TableSpec
 
 STAMP = "processed_at"
@@ -51,13 +52,6 @@ def check_unique(source: DataFrame, keys: list[str]) -> DataFrame:
     return source
 
 
-def _is_small(source: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``source``."""
-    limit = source.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def _on(keys: list[str]) -> list[Column]:
     return [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
 
@@ -113,7 +107,7 @@ def _merge(
     marked = source.withColumn("_hit", F.lit(True))
     rows = target.withColumn("_row", F.lit(True))
     shape = (target.columns, keys, updated, skip_unchanged)
-    if _is_small(source):
+    if estimated_bytes(source) <= broadcast_limit(source):
         there = rows.alias("t").join(marked.alias("s"), _on(keys), "left_outer")
         matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
         new = marked.join(matched, keys, "left_anti")

@@ -32,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftlake.operators.envelope import DELETE_OP, decode, valid_changes
 from driftlake.operators.latest import latest_per_key, newer
 from driftlake.operators.routing import topic_name
+from driftlake.operators.sizes import broadcast_limit, estimated_bytes
 from driftlake.sources import files
 from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
@@ -162,7 +163,7 @@ def _open_deltas(spark: SparkSession, path: str, base: str | None) -> list[str]:
 
 
 def _read_deltas(
-    spark: SparkSession, path: str, names: list[str], spec: TableSpec, buckets: int | None
+    spark: SparkSession, path: str, names: list[str], spec: TableSpec, buckets: int | None = None
 ) -> DataFrame:
     """Newest row per key over some deltas, laid out like a base of ``buckets`` if given.
 
@@ -179,6 +180,12 @@ def _read_deltas(
     return latest_per_key(rows, spec)
 
 
+def _hashed_if_light(deltas: DataFrame, buckets: int) -> DataFrame:
+    """Deltas that fit in memory bucket by bucket are hashed, so the base is not sorted."""
+    light = estimated_bytes(deltas) // buckets <= broadcast_limit(deltas)
+    return deltas.hint("shuffle_hash") if light else deltas
+
+
 def _quoted(names: list[str]) -> str:
     return ", ".join(f"`{n}`" for n in names)
 
@@ -219,15 +226,26 @@ def _winners(joined: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def current_state(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The newest change of every key seen so far, deletes included."""
+    """The newest change of every key seen so far, deletes included.
+
+    Deltas small enough to broadcast go to the base, which is then read in place, and its
+    keys once more to find the delta rows that are new.  Larger ones meet it bucket by bucket.
+    """
     base = _latest_base(spark, path)
     names = _open_deltas(spark, path, base)
     if base is None:
-        return _read_deltas(spark, path, names, spec, None)
+        return _read_deltas(spark, path, names, spec)
     rows = _read_base(spark, path, base, spec)
     if not names:
         return rows
-    deltas = _read_deltas(spark, path, names, spec, _describe(spark, path, base).buckets)
+    deltas = _read_deltas(spark, path, names, spec)
+    if estimated_bytes(deltas) <= broadcast_limit(deltas):
+        known = rows.alias("b").join(deltas.alias("d"), _on(spec), "left_outer")
+        seen = rows.select(*spec.keys).join(deltas.select(*spec.keys), spec.keys, "left_semi")
+        fresh = deltas.join(seen, spec.keys, "left_anti")
+        return _winners(known, spec).unionByName(fresh)
+    buckets = _describe(spark, path, base).buckets
+    deltas = _hashed_if_light(_read_deltas(spark, path, names, spec, buckets), buckets)
     return _winners(rows.alias("b").join(deltas.alias("d"), _on(spec), "full_outer"), spec)
 
 
@@ -261,7 +279,8 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
         parts = [current_state(spark, path, spec).repartition(buckets, *spec.keys)]
     else:
         old = _read_base(spark, path, base, spec)
-        known = old.alias("b").join(deltas.alias("d"), _on(spec), "left_outer")
+        light = _hashed_if_light(deltas, buckets).alias("d")
+        known = old.alias("b").join(light, _on(spec), "left_outer")
         fresh = deltas.join(old.select(*spec.keys), spec.keys, "left_anti")
         parts = [_winners(known, spec), fresh]
     _write_buckets(parts, folder, spec, buckets)

@@ -262,26 +262,51 @@ def test_a_state_may_start_over_in_the_same_place(spark, tmp_path):
         shutil.rmtree(path)
 
 
-@pytest.mark.parametrize("partitions", ["3", "8", "50"])
-def test_base_is_read_without_shuffling_it(spark, settings, tmp_path, partitions):
-    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions=partitions)
-    path = str(tmp_path / "state")
+def two_histories(spark, path):
+    """A compacted first part and an open second one; returns what should be there."""
+    later = [(k + 20, v, op, version + 1000, lsn + 1000) for k, v, op, version, lsn in history(2)]
     apply_batch(bronze_of(spark, [envelope(*e) for e in history(1)]), "b0", path, SPEC)
     compact(spark, path, SPEC, 8)
-    later = [(k + 20, v, op, version + 1000, lsn + 1000) for k, v, op, version, lsn in history(2)]
     apply_batch(bronze_of(spark, [envelope(*e) for e in later]), "b1", path, SPEC)
-    plan = current_state(spark, path, SPEC)._jdf.queryExecution().executedPlan().toString()
+    return expected(history(1) + later)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# Broadcast off: sorted. A limit between the deltas' size per bucket and in all: hashed.
+@pytest.mark.parametrize("limit,join", [("-1", "SortMergeJoin"), ("2000", "ShuffledHashJoin")])
+@pytest.mark.parametrize("partitions", ["3", "50"])
+def test_base_is_read_without_shuffling_it(spark, settings, tmp_path, limit, join, partitions):
+    settings(spark__sql__autoBroadcastJoinThreshold=limit, spark__sql__shuffle__partitions=partitions)
+    path = str(tmp_path / "state")
+    want = two_histories(spark, path)
+    plan = plan_of(current_state(spark, path, SPEC))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "hashpartitioning(id" in plan and ", 8), REPARTITION_BY_NUM" in plan
-    assert "Bucketed: true" in plan
-    assert view(spark, path) == expected(history(1) + later)
+    assert "Bucketed: true" in plan and join in plan
+    assert view(spark, path) == want
     # Compaction keeps to the buckets: known keys in one file each, new keys in another.
     compact(spark, path, SPEC, 8)
-    assert view(spark, path) == expected(history(1) + later)
+    assert view(spark, path) == want
     written = list((tmp_path / "state" / "base" / "000000000001").glob("part-*"))
     assert len(written) <= 16
 
 
+def test_small_deltas_are_sent_to_the_base(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="10485760")
+    path = str(tmp_path / "state")
+    want = two_histories(spark, path)
+    state = current_state(spark, path, SPEC)
+    assert plan_of(state).count("BroadcastHashJoin") >= 2
+    assert view(spark, path) == want
+    per_key = state.groupBy("id").count()
+    assert per_key.filter("count > 1").count() == 0 and per_key.count() == state.count()
+    compact(spark, path, SPEC, 8)
+    assert view(spark, path) == want
+
+
 def test_stream_restart_after_a_crash(spark, tmp_path, monkeypatch):
     """The third micro-batch fails after its state was written; the restarted query goes on."""
     import driftlake.streaming.ledger as ledger
