@@ -255,13 +255,20 @@ def current_view(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return state.filter(F.col("op") != DELETE_OP).select(*spec.row_columns)
 
 
-def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> str | None:
+def compact(
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    buckets: int,
+    forget_deletes_before: int | None = None,
+) -> str | None:
     """Fold the open deltas into a new base; returns its name, or None if there are none.
 
     Known keys are rewritten bucket by bucket out of the previous base without moving it
     between tasks; keys new since then are appended to the same buckets.  The first base,
     and one with another bucket count, is shuffled once.  Only one compaction may run at a
-    time.
+    time.  Deletes with a version below ``forget_deletes_before`` are let go; an even older
+    event arriving after that would count as new.
     """
     base = _latest_base(spark, path)
     names = _open_deltas(spark, path, base)
@@ -283,6 +290,9 @@ def compact(spark: SparkSession, path: str, spec: TableSpec, buckets: int) -> st
         known = old.alias("b").join(light, _on(spec), "left_outer")
         fresh = deltas.join(old.select(*spec.keys), spec.keys, "left_anti")
         parts = [_winners(known, spec), fresh]
+    if forget_deletes_before is not None:
+        old_delete = (F.col("op") == DELETE_OP) & (F.col("version") < forget_deletes_before)
+        parts = [part.filter(~F.coalesce(old_delete, F.lit(False))) for part in parts]
     _write_buckets(parts, folder, spec, buckets)
     name = f"driftlake_base_{uuid.uuid4().hex}"
     listing = "\n".join([str(buckets), name, *sorted(covered | set(names))])

@@ -38,6 +38,8 @@ GOLDEN = [
     ('[{"id":6}]', None),
     ('{"after":"text","before":{"id":8},"op":"d"}', (8, None, "d", None)),
     ('{"op":null,"after":{"id":9}}', (9, None, "u", None)),
+    ('{"before":{"id":10},"after":{"id":11},"op":"u","ts_ms":3}', (11, None, "u", 3)),
+    ('{"after":{"id":12},"op":"c","ts_ms":3', None),
 ]
 
 

@@ -25,9 +25,9 @@ from driftlake.sources.changes import table_topic
 from driftlake.spec import TableSpec
 
 SEED = [
-    (1001, "Sally", "Thomas", "sally.thomas@acme.com"),
-    (1002, "George", "Bailey", "gbailey@foobar.com"),
-    (1003, "Edward", "Walker", "ed@walker.com"),
+    (11, "Ada", "Quist", "ada@example.org"),
+    (12, "Bo", "Renner", "bo@example.org"),
+    (13, "Cy", "Stone", None),
 ]
 SEED_SCHEMA = "id BIGINT, first_name STRING, last_name STRING, email STRING"
 
@@ -57,8 +57,8 @@ def test_click_events_append(spark):
     name = "event_streaming.click_events"
     assert ensure_table(spark, name, click_event_schema()).count() == 0
     rows = [
-        (1001, dt.datetime(2026, 2, 24, 14, 30), "u78912", "click", "/products/book", 29.99),
-        (1002, dt.datetime(2026, 2, 24, 14, 32), "u12345", "purchase", None, 149.0),
+        (1, dt.datetime(2025, 5, 1, 8, 15, 0, 250), "u1", "click", "/start", 0.5),
+        (2, dt.datetime(2025, 5, 1, 8, 16), "u2", "purchase", None, 12.0),
     ]
     clicks = typed_rows(spark, rows, click_event_schema())
     append(clicks, name)
@@ -87,11 +87,11 @@ def test_date_partitioned_table_and_properties(spark):
 def test_promote_is_create_if_not_exists(spark):
     for layer in ("l_bronze", "l_silver", "l_gold"):
         ensure_namespace(spark, layer)
-    promote(spark.sql("SELECT * FROM VALUES (1L, 10.0D), (2L, 20.0D) AS t(id, amount)"), "l_bronze.events")
+    promote(spark.sql("SELECT * FROM VALUES (5L, 1.5D), (6L, 2.5D) AS t(id, amount)"), "l_bronze.events")
     promote(spark.table("l_bronze.events").select("id", "amount"), "l_silver.daily_totals")
     promote(spark.table("l_bronze.events").limit(0), "l_silver.daily_totals")
     promote(spark.table("l_silver.daily_totals"), "l_gold.model_output")
-    assert sorted(map(tuple, spark.table("l_gold.model_output").collect())) == [(1, 10.0), (2, 20.0)]
+    assert sorted(map(tuple, spark.table("l_gold.model_output").collect())) == [(5, 1.5), (6, 2.5)]
 
 
 def test_partitioned_promote_writes_few_files(spark):
@@ -114,7 +114,7 @@ def test_upsert_and_merge_on_catalog_tables(spark, settings):
         return seed.withColumn("processed_at", stamp).withColumn("processed_date", F.to_date(stamp))
 
     upsert_rows(stamped(SEED, "2024-01-01"), name, ["id"])
-    upsert_rows(stamped([(1002, "G", "B", None), (1004, "N", "N", "n")], "2024-01-02"), name, ["id"])
+    upsert_rows(stamped([(12, "G", "B", None), (14, "N", "N", "n")], "2024-01-02"), name, ["id"])
     upsert_rows(stamped([], "2024-01-03"), name, ["id"])
 
     def rows():
@@ -122,14 +122,14 @@ def test_upsert_and_merge_on_catalog_tables(spark, settings):
         return sorted(map(tuple, table.selectExpr("id", "first_name", "email", "cast(processed_date AS STRING)").collect()))
 
     assert rows() == [
-        (1001, "Sally", "sally.thomas@acme.com", "2024-01-01"), (1002, "G", None, "2024-01-02"),
-        (1003, "Edward", "ed@walker.com", "2024-01-01"), (1004, "N", "n", "2024-01-02"),
+        (11, "Ada", "ada@example.org", "2024-01-01"), (12, "G", None, "2024-01-02"),
+        (13, "Cy", None, "2024-01-01"), (14, "N", "n", "2024-01-02"),
     ]
     customers = TableSpec("c", {"id": "bigint"}, {c: "string" for c in ("first_name", "last_name", "email")})
-    log = typed_rows(spark, [('{"before":{"id":1001},"op":"d"}',), ('{"id":1003,"first_name":"Ed"}',)], "payload STRING")
+    log = typed_rows(spark, [('{"before":{"id":11},"op":"d"}',), ('{"id":13,"first_name":"Ed"}',)], "payload STRING")
     merge_changes(log, customers, name, F.lit("2024-01-04").cast("timestamp"))
     assert rows() == [
-        (1002, "G", None, "2024-01-02"), (1003, "Ed", None, "2024-01-04"), (1004, "N", "n", "2024-01-02"),
+        (12, "G", None, "2024-01-02"), (13, "Ed", None, "2024-01-04"), (14, "N", "n", "2024-01-02"),
     ]
     # The first test of a format with row-level operations is Spark's own; parquet has none.
     for native in (

@@ -251,6 +251,18 @@ def test_compaction_steps(spark, tmp_path):
     assert view(spark, path) == {**expected(events), 0: "end"}
 
 
+def test_old_deletes_can_be_forgotten(spark, tmp_path):
+    path = str(tmp_path / "state")
+    events = [(1, "a", "d", 5, 1), (2, "b", "d", 50, 2), (3, "c", "c", 5, 3), (4, None, "d", None, 4)]
+    apply_batch(bronze_of(spark, [envelope(*e) for e in events]), "b0", path, SPEC)
+    compact(spark, path, SPEC, 4, forget_deletes_before=10)
+    assert sorted(r.id for r in current_state(spark, path, SPEC).collect()) == [2, 3, 4]
+    apply_batch(bronze_of(spark, [envelope(5, "e", "c", 60, 5)]), "b1", path, SPEC)
+    compact(spark, path, SPEC, 4, forget_deletes_before=51)
+    assert sorted(r.id for r in current_state(spark, path, SPEC).collect()) == [3, 4, 5]
+    assert view(spark, path) == {3: "c", 5: "e"}
+
+
 def test_a_state_may_start_over_in_the_same_place(spark, tmp_path):
     import shutil
 
