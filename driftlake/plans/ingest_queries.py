@@ -16,7 +16,7 @@ from driftlake.plans import feeds
 from driftlake.plans.decode_queries import EVENT_ROWS, LATEST_EVENTS, LATEST_ORDERS
 from driftlake.plans.feeds import CUSTOMERS, EVENTS, ORDERS, table
 from driftlake.plans.refine import live_rows
-from driftlake.session import work_dir
+from driftlake.session import scratch_dir
 from driftlake.sources.changes import read_changes, read_raw, replay_options
 from driftlake.sources.tables import typed_rows
 from driftlake.streaming.bronze import (
@@ -49,7 +49,7 @@ def _event_topic(spark, sf_dir, root: str) -> str:
 
 def bronze_roundtrip(spark, sf_dir):
     """Topic to raw table through the file sink, a user hook in between, and decoded back."""
-    root = work_dir(spark, "bronze")
+    root = scratch_dir(spark, "bronze")
     topic = _event_topic(spark, sf_dir, root)
     bronze = to_bronze(_stream(spark, topic, 2), hook=lambda rows: rows.filter("key IS NOT NULL"))
     start_bronze(bronze, f"{root}/checkpoint", f"{root}/bronze").awaitTermination()
@@ -59,7 +59,7 @@ def bronze_roundtrip(spark, sf_dir):
 
 def topic_replay(spark, sf_dir):
     """Bounded read of a topic from its beginning."""
-    root = work_dir(spark, "replay")
+    root = scratch_dir(spark, "replay")
     topic = _event_topic(spark, sf_dir, root)
     rows = read_changes(spark, "parquet", topic, topics=[EVENTS.topic], streaming=False)
     return rows.groupBy("topic", "partition").agg(
@@ -70,7 +70,7 @@ def topic_replay(spark, sf_dir):
 
 
 def archive_json(spark, sf_dir):
-    root = work_dir(spark, "archive")
+    root = scratch_dir(spark, "archive")
     topic = _event_topic(spark, sf_dir, root)
     query = start_archive(_stream(spark, topic, 2), f"{root}/archive", f"{root}/checkpoint")
     query.awaitTermination()
@@ -81,7 +81,7 @@ def archive_json(spark, sf_dir):
 
 def duplicate_delivery(spark, sf_dir):
     """Every append is repeated, as after a lost acknowledgement; the result is not affected."""
-    root = work_dir(spark, "duplicates")
+    root = scratch_dir(spark, "duplicates")
     topic = _event_topic(spark, sf_dir, root)
 
     def append_twice(batch: DataFrame) -> None:
@@ -95,7 +95,7 @@ def duplicate_delivery(spark, sf_dir):
 
 def multi_table(spark, sf_dir):
     """Two captured tables in one stream and one raw table, told apart by topic."""
-    root = work_dir(spark, "multi")
+    root = scratch_dir(spark, "multi")
     topic = f"{root}/topic"
     feeds.write_topic(feeds.event_changes(table(spark, sf_dir, "events")), topic)
     feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), topic)
@@ -115,7 +115,7 @@ def multi_table(spark, sf_dir):
 
 def multi_table_state(spark, sf_dir):
     """Two captured tables kept up to date by one query."""
-    root = work_dir(spark, "multi-state")
+    root = scratch_dir(spark, "multi-state")
     topic = f"{root}/topic"
     feeds.write_topic(feeds.event_changes(table(spark, sf_dir, "events")), topic)
     feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), topic)
@@ -134,7 +134,7 @@ def multi_table_state(spark, sf_dir):
 
 def bronze_to_state(spark, sf_dir):
     """Two streams in a row: topic to raw table, raw table to state."""
-    root = work_dir(spark, "chain")
+    root = scratch_dir(spark, "chain")
     feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), f"{root}/topic")
     bronze = to_bronze(_stream(spark, f"{root}/topic", 2))
     start_bronze(bronze, f"{root}/ingest", f"{root}/bronze").awaitTermination()
@@ -147,7 +147,7 @@ def bronze_to_state(spark, sf_dir):
 
 def incremental(spark, sf_dir):
     """Micro-batches out of order with clicks delivered twice, compacted on the way."""
-    root = work_dir(spark, "ledger")
+    root = scratch_dir(spark, "ledger")
     changes = feeds.event_changes(table(spark, sf_dir, "events"))
     feeds.write_topic(changes, f"{root}/topic")
     again = feeds.event_changes(table(spark, sf_dir, "events").filter("event_type = 'click'"))
@@ -164,7 +164,7 @@ def incremental(spark, sf_dir):
 def incremental_compacted(spark, sf_dir):
     """Newer half first, then a compaction, a restart on the older half, another compaction
     into the same buckets, and a last late batch."""
-    root = work_dir(spark, "compacted")
+    root = scratch_dir(spark, "compacted")
     state, checkpoint = f"{root}/state", f"{root}/checkpoint"
     events = table(spark, sf_dir, "events")
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
@@ -185,7 +185,7 @@ def incremental_compacted(spark, sf_dir):
 
 def batch_metrics(spark, sf_dir):
     """Kept and dropped rows as counted by the running stream, summed over its batches."""
-    root = work_dir(spark, "metrics")
+    root = scratch_dir(spark, "metrics")
     topic = _event_topic(spark, sf_dir, root)
     shaped = to_bronze(_stream(spark, topic, 4)).select(
         F.when(F.col("payload").contains('"event_type":"click"'), F.lit("null"))
@@ -207,7 +207,7 @@ def batch_metrics(spark, sf_dir):
 
 def snapshot_then_changes(spark, sf_dir):
     """An initial snapshot as one batch, then the change stream into the same state."""
-    root = work_dir(spark, "snapshot")
+    root = scratch_dir(spark, "snapshot")
     state = f"{root}/state"
     apply_batch(
         feeds.customer_snapshot(table(spark, sf_dir, "customer")), "snapshot", state, CUSTOMERS
@@ -221,7 +221,7 @@ def snapshot_then_changes(spark, sf_dir):
 
 def streaming_newest(spark, sf_dir):
     """Newest change per key held in Spark's own streaming state."""
-    root = work_dir(spark, "stream-latest")
+    root = scratch_dir(spark, "stream-latest")
     topic = _event_topic(spark, sf_dir, root)
     raw = to_bronze(_stream(spark, topic, 2)).select("payload")
     changes = valid_changes(decode(raw, EVENTS), EVENTS)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from driftlake.session import work_dir
+from driftlake.session import scratch_dir
 from driftlake.sources.tables import table_exists
 
 
@@ -19,9 +19,9 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def new_namespace(spark: SparkSession, label: str) -> str:
-    """A namespace of its own, stored in the shared folder; returns its name."""
+    """A namespace of its own for the time of the session; returns its name."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
-    ensure_namespace(spark, name, work_dir(spark, name))
+    ensure_namespace(spark, name, scratch_dir(spark, name))
     return name
 
 

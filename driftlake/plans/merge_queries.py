@@ -18,7 +18,7 @@ from driftlake.plans.refine import (
     table_schema,
     upsert_rows,
 )
-from driftlake.session import work_dir
+from driftlake.session import scratch_dir
 
 # Orders before this day make the target, the others are the changes to apply.
 CUTOFF = "2001-01-01"
@@ -67,7 +67,7 @@ def scd1_rerun(spark, sf_dir):
 def refine_two_runs(spark, sf_dir):
     """Two batch jobs on a stored table, one folder per processing day."""
     before, since = _split(spark, sf_dir)
-    path = work_dir(spark, "scd1-table")
+    path = scratch_dir(spark, "scd1-table")
     refine(before, ORDERS, path, _stamp(FIRST_RUN))
     refine(since, ORDERS, path, _stamp(SECOND_RUN))
     # Read as its consumers do: the folder column comes back as a date.

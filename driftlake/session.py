@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from driftlake.sources import files
+
 SHARED_DIR = "spark.checkpoint.dir"
 
 
@@ -58,3 +60,12 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder under the shared one."""
     return f"{shared_dir(spark)}/driftlake/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared one that goes away when the session's process ends."""
+    path = work_dir(spark, label)
+    fs, handle = files.open_path(spark, path)
+    fs.mkdirs(handle)
+    fs.deleteOnExit(handle)
+    return path

@@ -7,30 +7,31 @@ from pyspark.sql import SparkSession
 DONE = "_SUCCESS"
 
 
-def _open(spark: SparkSession, path: str):
+def open_path(spark: SparkSession, path: str):
+    """The file system a path lives on, and the path as that file system takes it."""
     handle = spark._jvm.org.apache.hadoop.fs.Path(path)
     return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, handle = _open(spark, path)
+    fs, handle = open_path(spark, path)
     return fs.exists(handle)
 
 
 def size_of(spark: SparkSession, path: str) -> int:
-    fs, handle = _open(spark, path)
+    fs, handle = open_path(spark, path)
     return fs.getContentSummary(handle).getLength()
 
 
 def finished_children(spark: SparkSession, path: str, marker: str = DONE) -> list[str]:
     """Names of the direct subfolders whose ``marker`` file exists, sorted by name."""
-    fs, handle = _open(spark, f"{path}/*/{marker}")
+    fs, handle = open_path(spark, f"{path}/*/{marker}")
     found = fs.globStatus(handle) or []
     return sorted(status.getPath().getParent().getName() for status in found)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, handle = _open(spark, path)
+    fs, handle = open_path(spark, path)
     stream = fs.create(handle, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
@@ -40,7 +41,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_lines(spark: SparkSession, path: str) -> list[str]:
     """Lines of a small control file."""
-    fs, handle = _open(spark, path)
+    fs, handle = open_path(spark, path)
     stream = fs.open(handle)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -50,5 +51,5 @@ def read_lines(spark: SparkSession, path: str) -> list[str]:
 
 
 def remove(spark: SparkSession, path: str) -> bool:
-    fs, handle = _open(spark, path)
+    fs, handle = open_path(spark, path)
     return fs.delete(handle, True)
