@@ -32,8 +32,16 @@ def build_session(
     master: str | None = None,
     **settings: str,
 ) -> SparkSession:
-    """A session with one catalog per layer; ``settings`` use ``__`` for dots."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    """A session with one catalog per layer; ``settings`` use ``__`` for dots.
+
+    Recording the Python call site of every column expression is switched off: it costs a
+    micro-batch more than building its plan.
+    """
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
     if master:
         builder = builder.master(master)
     for name, value in layer_catalogs(layers or {}).items():
