@@ -19,6 +19,20 @@ def topic_schema() -> T.StructType:
     return T.StructType.fromDDL(CONTRACT)
 
 
+def broker_options(
+    topics: Iterable[str], streaming: bool, options: dict[str, str] | None = None
+) -> dict[str, str]:
+    """Reader options for a broker: all of the topics, from the earliest offset.
+
+    ``options`` win, and may choose the topics by ``subscribePattern`` or ``assign`` instead.
+    """
+    chosen = {"startingOffsets": "earliest", **({} if streaming else {"endingOffsets": "latest"})}
+    given = options or {}
+    if not {"subscribe", "subscribePattern", "assign"} & set(given):
+        chosen["subscribe"] = ",".join(topics)
+    return {**chosen, **given}
+
+
 def read_changes(
     spark: SparkSession,
     fmt: str = "kafka",
@@ -36,13 +50,7 @@ def read_changes(
     reader = spark.readStream if streaming else spark.read
     names = list(topics or [])
     if fmt == "kafka":
-        defaults = {"startingOffsets": "earliest", "subscribe": ",".join(names)}
-        if not streaming:
-            defaults["endingOffsets"] = "latest"
-        given = dict(options or {})
-        if "subscribePattern" in given or "assign" in given:
-            defaults.pop("subscribe")
-        loaded = reader.format("kafka").options(**{**defaults, **given}).load()
+        loaded = reader.format("kafka").options(**broker_options(names, streaming, options)).load()
     else:
         loaded = (
             reader.format(fmt).schema(topic_schema()).options(**(options or {})).load(path)

@@ -9,6 +9,9 @@ from dataclasses import field as dataclass_field
 # Columns that decoding adds; a captured column of the same name needs another one.
 RESERVED = {"op", "version", "lsn", "offset", "payload"}
 
+# Columns that may order events of one version: position in the source's log, in the topic.
+TIE_BREAKERS = ("lsn", "offset")
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -16,8 +19,8 @@ class TableSpec:
 
     ``key`` and ``columns`` map a column name to the Spark SQL type it is cast to.
     ``fields`` names the JSON field of a column where it differs from the column.
-    ``tie_breakers`` are the decoded or lineage columns that order two events of the
-    same key and version; columns a DataFrame does not carry are skipped.
+    ``tie_breakers`` order two events of the same key and version; the topic offset is
+    skipped where a DataFrame does not carry it.
     """
 
     name: str
@@ -25,12 +28,14 @@ class TableSpec:
     columns: dict[str, str] = dataclass_field(default_factory=dict)
     topic: str | None = None
     fields: dict[str, str] = dataclass_field(default_factory=dict)
-    tie_breakers: tuple[str, ...] = ("lsn", "offset")
+    tie_breakers: tuple[str, ...] = TIE_BREAKERS
     prefer_source_time: bool = False
 
     def __post_init__(self):
         if not self.key:
             raise ValueError(f"{self.name}: a captured table needs a key")
+        if not set(self.tie_breakers) <= set(TIE_BREAKERS):
+            raise ValueError(f"{self.name}: tie breakers are among {TIE_BREAKERS}")
         clash = (set(self.key) & set(self.columns)) | (set(self.row_columns) & RESERVED)
         if clash:
             raise ValueError(f"{self.name}: rename {sorted(clash)}, see fields")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from driftlake.functions.payload import normalize_value
 
@@ -47,7 +47,8 @@ def to_bronze(changes: DataFrame, normalize: bool = True, hook: Hook | None = No
     )
 
 
-def _trigger(writer, every: str | None):
+def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+    """Run ``every`` so often, or work off what is there and end."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
@@ -74,14 +75,14 @@ def start_bronze(
         .partitionBy("topic")
         .outputMode("append")
     )
-    writer = _trigger(writer, every)
+    writer = triggered(writer, every)
     return writer.toTable(table) if table else writer.start(path)
 
 
 def start_print(changes: DataFrame, rows: int = 20, every: str | None = None) -> StreamingQuery:
     """Show the first rows of each micro-batch with their metadata, for debugging."""
     writer = changes.writeStream.format("console").option("numRows", rows).option("truncate", "false")
-    return _trigger(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def start_archive(
@@ -104,7 +105,7 @@ def start_archive(
         .partitionBy("topic", "partition")
         .outputMode("append")
     )
-    return _trigger(writer, every).start(path)
+    return triggered(writer, every).start(path)
 
 
 def _names(failure: BaseException) -> str:
@@ -179,4 +180,4 @@ def start_bronze_batches(
     acknowledgement appends twice (at least once); the merge jobs are not affected by that.
     """
     writer = bronze.writeStream.foreachBatch(lambda batch, _: append_batch(batch, write))
-    return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
+    return triggered(writer.option("checkpointLocation", checkpoint), every).start()

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from driftlake.operators.latest import latest_per_key_agg
 from driftlake.spec import TableSpec
+from driftlake.streaming.bronze import triggered
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -33,7 +34,7 @@ def start_latest(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(record)
     )
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    writer = triggered(writer, every)
     before = spark.conf.get(PROVIDER)
     spark.conf.set(PROVIDER, ON_DISK)
     try:

@@ -36,6 +36,7 @@ from driftlake.operators.sizes import broadcast_limit, estimated_bytes
 from driftlake.sources import files
 from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
+from driftlake.streaming.bronze import triggered
 
 COVERED = "_COVERED"
 QUERY_ID = "sql.streaming.queryId"
@@ -70,36 +71,27 @@ def apply_batch(bronze: DataFrame, batch_name: str, path: str, spec: TableSpec)
 
 def _start(
     bronze: DataFrame,
+    record: Callable[[DataFrame, str], None],
     targets: list[tuple[TableSpec, str]],
-    select: Callable[[DataFrame, TableSpec], DataFrame],
     checkpoint: str,
     every: str | None,
     compact_every: int | None,
     buckets: int | None,
 ) -> StreamingQuery:
+    """Hand each micro-batch to ``record`` under its lasting name, and compact now and then."""
     if compact_every and not buckets:
         raise ValueError("compact_every needs the number of buckets")
 
-    def record(batch: DataFrame, batch_id: int) -> None:
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty(QUERY_ID)
-        for spec, path in targets:
-            apply_batch(select(batch, spec), f"{query}-{batch_id:012d}", path, spec)
-            if compact_every and (batch_id + 1) % compact_every == 0:
+        record(batch, f"{query}-{batch_id:012d}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            for spec, path in targets:
                 compact(spark, path, spec, buckets)
 
-    def record_kept(batch: DataFrame, batch_id: int) -> None:
-        """With several tables the batch is read from its source once."""
-        batch.persist()
-        try:
-            record(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    writer = bronze.writeStream.foreachBatch(record if len(targets) == 1 else record_kept)
-    writer = writer.option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    writer = bronze.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return triggered(writer, every).start()
 
 
 def start_scd1(
@@ -117,9 +109,11 @@ def start_scd1(
     finds its batches again, a new checkpoint cannot mistake them for its own.  Every
     ``compact_every`` batches the deltas are folded into the base.
     """
-    return _start(
-        bronze, [(spec, path)], lambda batch, _: batch, checkpoint, every, compact_every, buckets
-    )
+
+    def record(batch: DataFrame, name: str) -> None:
+        apply_batch(batch, name, path, spec)
+
+    return _start(bronze, record, [(spec, path)], checkpoint, every, compact_every, buckets)
 
 
 def start_scd1_tables(
@@ -130,12 +124,22 @@ def start_scd1_tables(
     compact_every: int | None = None,
     buckets: int | None = None,
 ) -> StreamingQuery:
-    """The same for several tables out of one stream that carries all their topics."""
+    """The same for several tables out of one stream that carries all their topics.
+
+    A micro-batch is read from its source once; a table it has nothing for is left alone.
+    """
 
-    def own(batch: DataFrame, spec: TableSpec) -> DataFrame:
-        return batch.filter(F.col("topic") == topic_name(spec))
+    def record(batch: DataFrame, name: str) -> None:
+        batch.persist()
+        try:
+            for spec, path in targets:
+                own = batch.filter(F.col("topic") == topic_name(spec))
+                if not own.isEmpty():
+                    apply_batch(own, name, path, spec)
+        finally:
+            batch.unpersist()
 
-    return _start(bronze, targets, own, checkpoint, every, compact_every, buckets)
+    return _start(bronze, record, targets, checkpoint, every, compact_every, buckets)
 
 
 def _latest_base(spark: SparkSession, path: str) -> str | None:

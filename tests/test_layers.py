@@ -21,7 +21,7 @@ from driftlake.plans import (
 )
 from driftlake.plans.layers import new_namespace
 from driftlake.sources import click_event_schema, preview, table_exists, typed_rows
-from driftlake.sources.changes import table_topic
+from driftlake.sources.changes import broker_options, table_topic
 from driftlake.spec import TableSpec
 
 SEED = [
@@ -180,5 +180,15 @@ def test_literal_rows_have_a_known_size(spark):
     assert typed_rows(spark, [], "k STRING, n INT").count() == 0
 
 
+def test_broker_options():
+    assert broker_options(["a", "b"], True) == {"startingOffsets": "earliest", "subscribe": "a,b"}
+    bounded = broker_options([], False, {"subscribePattern": "shop[.].*", "maxOffsetsPerTrigger": "9"})
+    assert bounded == {
+        "startingOffsets": "earliest", "endingOffsets": "latest",
+        "subscribePattern": "shop[.].*", "maxOffsetsPerTrigger": "9",
+    }
+    assert broker_options(["a"], True, {"startingOffsets": "latest"})["startingOffsets"] == "latest"
+
+
 def test_topic_names():
     assert table_topic("shop", "inventory", "orders") == "shop.inventory.orders"

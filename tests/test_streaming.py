@@ -5,8 +5,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from driftlake.operators import decode, valid_changes
 from driftlake.sources import read_changes, replay_options, topic_schema
 from driftlake.spec import TableSpec
@@ -20,6 +18,7 @@ from driftlake.streaming import (
     start_bronze_batches,
     start_print,
     start_scd1,
+    start_scd1_tables,
     to_bronze,
     with_retries,
 )
@@ -251,6 +250,27 @@ def test_compaction_steps(spark, tmp_path):
     assert view(spark, path) == {**expected(events), 0: "end"}
 
 
+def test_tables_of_one_stream(spark, tmp_path):
+    root = str(tmp_path)
+    other = TableSpec("o", {"id": "bigint"}, {"v": "string"}, topic="p.s.other", tie_breakers=("offset", "lsn"))
+    feed(spark, f"{root}/topic", [envelope(1, "a", "c", 1, 1), envelope(2, "b", "c", 1, 2)])
+    changes = read_changes(spark, "parquet", f"{root}/topic")
+    targets = [(SPEC, f"{root}/t"), (other, f"{root}/o")]
+    start_scd1_tables(to_bronze(changes), targets, f"{root}/c").awaitTermination()
+    assert view(spark, f"{root}/t") == {1: "a", 2: "b"}
+    assert not (tmp_path / "o").exists()
+    assert current_view(spark, f"{root}/o", other).count() == 0
+    feed(spark, f"{root}/topic", [envelope(1, "z", "c", 1, 1)], topic="p.s.other", start=9)
+    start_scd1_tables(
+        to_bronze(changes), targets, f"{root}/c", compact_every=2, buckets=2
+    ).awaitTermination()
+    assert view(spark, f"{root}/t") == {1: "a", 2: "b"}
+    assert [tuple(r) for r in current_view(spark, f"{root}/o", other).collect()] == [(1, "z")]
+    assert (tmp_path / "o" / "base").exists() and (tmp_path / "t" / "base").exists()
+    with pytest.raises(ValueError, match="tie"):
+        TableSpec("x", {"id": "bigint"}, tie_breakers=("partition",))
+
+
 def test_old_deletes_can_be_forgotten(spark, tmp_path):
     path = str(tmp_path / "state")
     events = [(1, "a", "d", 5, 1), (2, "b", "d", 50, 2), (3, "c", "c", 5, 3), (4, None, "d", None, 4)]
