@@ -17,72 +17,93 @@ DEFAULT_OP = "u"
 
 ENVELOPE_FIELDS = ("before", "after", "op", "ts_ms", "source")
 
-# Where from_json puts the text of a record it could not read in full.
+# Where from_json puts the text of a record it could not read as asked.
 UNREAD = "_unread"
 
+# Types a JSON number is read into directly, with the value its text would be cast to.
+NUMBERS = {"int", "integer", "bigint", "long", "double"}
 
-def _text(names) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
+def envelope_schema(spec: TableSpec, numbers: bool) -> T.StructType:
+    """The fields decoding looks at.
 
-def envelope_schema(spec: TableSpec) -> T.StructType:
-    """Every leaf is text, so a quoted, fractional or broken number cannot void the record."""
-    keys = [spec.json_field(n) for n in spec.keys]
-    row = [spec.json_field(n) for n in spec.row_columns]
+    With ``numbers``, numeric columns and clocks are read as numbers, which is quick but
+    voids a field that holds anything else.  Without, every leaf is text and nothing that
+    is JSON at all is lost.
+    """
+    typed = {
+        spec.json_field(n): T.DataType.fromDDL(t) if numbers and t.lower() in NUMBERS else T.StringType()
+        for n, t in {**spec.key, **spec.columns}.items()
+    }
+    clock = T.LongType() if numbers else T.StringType()
+    keys = [T.StructField(n, typed[n]) for n in map(spec.json_field, spec.keys)]
+    row = [T.StructField(n, t) for n, t in typed.items()]
     envelope = [
-        T.StructField("before", _text(keys)),
-        T.StructField("after", _text(row)),
+        T.StructField("before", T.StructType(keys)),
+        T.StructField("after", T.StructType(row)),
         T.StructField("op", T.StringType()),
-        T.StructField("ts_ms", T.StringType()),
-        T.StructField("source", _text(["ts_ms", "lsn"])),
+        T.StructField("ts_ms", clock),
+        T.StructField(
+            "source", T.StructType([T.StructField("ts_ms", clock), T.StructField("lsn", clock)])
+        ),
     ]
-    flat = [T.StructField(n, T.StringType()) for n in row if n not in ENVELOPE_FIELDS]
+    flat = [f for f in row if f.name not in ENVELOPE_FIELDS]
     return T.StructType([*envelope, *flat, T.StructField(UNREAD, T.StringType())])
 
 
+def _parse(text: str, schema: T.StructType, prefix: str) -> Column:
+    """The record's fields as columns.
+
+    ``inline`` keeps the optimizer from copying ``from_json`` into every expression and
+    filter that reads one of them, so the text is parsed once.
+    """
+    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": UNREAD})
+    return F.inline(F.array(record)).alias(*[prefix + n for n in schema.fieldNames()])
+
+
 def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFrame:
     """Payload text to key, attributes, ``op``, ``version`` and ``lsn``.
 
     Columns other than the payload (topic, partition, offset, ...) are carried along.
-    The text is parsed once: ``inline`` keeps the optimizer from copying ``from_json``
-    into every expression and filter that reads one of its fields.
-
-    A record of broken JSON gets no key, although its first fields could be read.  A field
-    of an unexpected shape (``"source": "web"``) is merely NULL; both kinds end up in
-    ``UNREAD``, so only those few are looked at a second time.
+    Records are read with native numbers.  Those that do not fit (a quoted or fractional
+    key, ``"source": "web"``, broken JSON) are read a second time as text and cast
+    leniently; all others pass NULL to that second reading.  A record of broken JSON gets
+    no key, although its first fields could be read.
     """
     carried = [c for c in raw.columns if c != payload]
-    schema = envelope_schema(spec)
-    names = [f"_{n}" for n in schema.fieldNames()]
-    record = F.from_json(payload, schema, {"columnNameOfCorruptRecord": UNREAD})
-    parsed = raw.select(*carried, F.inline(F.array(record)).alias(*names))
-    unread = F.col(f"_{UNREAD}")
-    readable = unread.isNull() | F.get_json_object(unread, "$").isNotNull()
-
-    def first(column: str, *parents: str) -> Column:
+    native, text = "_n_", "_t_"
+    rows = raw.select(*carried, _parse(payload, envelope_schema(spec, True), native)).select(
+        "*", _parse(native + UNREAD, envelope_schema(spec, False), text)
+    )
+    fits = F.col(native + UNREAD).isNull()
+    misread = F.col(text + UNREAD)
+    is_json = misread.isNull() | F.get_json_object(misread, "$").isNotNull()
+
+    def first(prefix: str, column: str, *parents: str) -> Column:
         name = spec.json_field(column)
-        found = [F.col(p)[name] for p in parents]
+        found = [F.col(prefix + p)[name] for p in parents]
         if name not in ENVELOPE_FIELDS:
-            found.append(F.col(f"_{name}"))
+            found.append(F.col(prefix + name))
         return F.coalesce(*found)
 
-    keys = [
-        F.when(readable, lenient_cast(first(n, "_after", "_before"), data_type)).alias(n)
-        for n, data_type in spec.key.items()
-    ]
-    attributes = [
-        lenient_cast(first(n, "_after"), data_type).alias(n)
-        for n, data_type in spec.columns.items()
-    ]
-    clocks = [F.col("_ts_ms"), F.col("_source")["ts_ms"]]
-    if spec.prefer_source_time:
-        clocks.reverse()
-    return parsed.select(
-        *keys,
-        *attributes,
-        F.lower(F.coalesce("_op", F.lit(DEFAULT_OP))).alias("op"),
-        lenient_bigint(F.coalesce(*clocks)).alias("version"),
-        lenient_bigint(F.col("_source")["lsn"]).alias("lsn"),
+    def value(column: str, data_type: str, *parents: str) -> Column:
+        quick, slow = (first(p, column, *parents) for p in (native, text))
+        if data_type.lower() not in NUMBERS:
+            quick = lenient_cast(quick, data_type)
+        return F.when(fits, quick).when(is_json, lenient_cast(slow, data_type)).alias(column)
+
+    def clock(prefix: str) -> Column:
+        times = [F.col(f"{prefix}ts_ms"), F.col(f"{prefix}source")["ts_ms"]]
+        return F.coalesce(*(reversed(times) if spec.prefer_source_time else times))
+
+    op = F.when(fits, F.col(f"{native}op")).otherwise(F.col(f"{text}op"))
+    lsn = F.col(f"{native}source")["lsn"], lenient_bigint(F.col(f"{text}source")["lsn"])
+    return rows.select(
+        *[value(n, t, "after", "before") for n, t in spec.key.items()],
+        *[value(n, t, "after") for n, t in spec.columns.items()],
+        F.lower(F.coalesce(op, F.lit(DEFAULT_OP))).alias("op"),
+        F.when(fits, clock(native)).otherwise(lenient_bigint(clock(text))).alias("version"),
+        F.when(fits, lsn[0]).otherwise(lsn[1]).alias("lsn"),
         *[c for c in carried if c not in spec.row_columns],
     )
 

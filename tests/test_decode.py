@@ -1,6 +1,7 @@
 """One golden row per decoding, casting and normalizing rule."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,9 +84,12 @@ def test_observed_counts(spark, golden):
 
 
 def test_payload_is_parsed_once(golden):
+    """Once as numbers; the second reading is of the records that did not fit."""
     plan = valid_changes(decode(golden, CUSTOMERS), CUSTOMERS)._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan =="):]
-    assert physical.count("from_json") == 1
+    assert physical.count("from_json") == 2
+    assert len(re.findall(r", payload#\d+, Some", physical)) == 1
+    assert len(re.findall(r", _n__unread#\d+, Some", physical)) == 1
 
 
 def test_commit_time_can_come_first(spark):
