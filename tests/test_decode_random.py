@@ -104,3 +104,29 @@ def test_the_last_of_repeated_names_counts(spark):
     raw = spark.createDataFrame([('{"id":1,"id":2,"a":"x","a":"y"}',)], "payload STRING")
     row = decode(raw, SPEC).first()
     assert (row.id, row.a) == ("2", "y")
+
+
+def test_normalized_values_as_python_would_wrap_them(spark):
+    """Every JSON value comes back equal: objects as they are, all others under "value"."""
+    from driftlake.functions import normalize_value
+
+    rnd = random.Random(3)
+
+    def anything(depth=0):
+        kind = rnd.randrange(8 if depth < 3 else 6)
+        if kind == 6:
+            return [anything(depth + 1) for _ in range(rnd.randrange(4))]
+        if kind == 7:
+            return {rnd.choice("abc") * i: anything(depth + 1) for i in range(rnd.randrange(4))}
+        return rnd.choice(SCALARS + [10**25, "\\", "{", "[1", "tab\t"])
+
+    values = [anything() for _ in range(3000)]
+    texts = [rnd.choice(["", " ", "\n"]) + json.dumps(v, ensure_ascii=rnd.random() < 0.5) for v in values]
+    df = spark.createDataFrame(list(enumerate(texts)), "n INT, v STRING")
+    rows = df.select(
+        "n", normalize_value(F.col("v")).alias("wrapped"), normalize_value(F.col("v"), False).alias("bare")
+    )
+    for row in rows.collect():
+        value = values[row.n]
+        assert json.loads(row.bare) == value
+        assert json.loads(row.wrapped) == (value if isinstance(value, dict) else {"value": value})
