@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm import exact_dedup, sharding, url_filter, warc
+from driftlake.llm import exact_dedup, packing, sharding, token_count, url_filter, warc
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
 
@@ -19,6 +19,17 @@ URL_RULES = [
 ]
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -56,6 +67,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_count.count_tokens(docs, vocabulary("word_bpe_49k.json"), limit=2048)
+
+
 OP10_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -76,8 +92,10 @@ FROM d WINDOW g AS (PARTITION BY payload_digest, payload_bytes)
 """
 
 QUERIES = {
+    "op1_packing": (op1_packing, None),
     "op2_url_filters": (op2_url_filters, None),
     "op4_sharding": (op4_sharding, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
+    "op9_token_counts": (op9_token_counts, None),
     "op10_warc": (op10_warc, OP10_SQL),
 }
