@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm import exact_dedup, packing, sharding, token_count, url_filter, warc
+from driftlake.llm import decontaminate, exact_dedup, lang_id, packing, sharding, token_count, url_filter, warc
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
 
@@ -42,6 +42,51 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find(docs.select("doc_id", "text"), items)
+    listed = F.array_join(F.array_sort("items"), ",")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed.cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ms AS (SELECT DISTINCT m FROM bw),
+dw AS (
+  SELECT doc_id, i, m, array_to_string(w[i : i + m - 1], ' ') AS k
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, ms WHERE len(w) >= m)),
+hits AS (SELECT dw.doc_id, dw.i, dw.m, bw.item_id FROM dw JOIN bw ON dw.m = bw.m AND dw.k = bw.k),
+words AS (SELECT doc_id, count(DISTINCT j) AS n FROM
+  (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
+       coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return lang_id.identify(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "held_out", "lang_pred", "score"
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -95,6 +140,8 @@ QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_url_filters": (op2_url_filters, None),
     "op4_sharding": (op4_sharding, None),
+    "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op7_language_id": (op7_language_id, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_token_counts": (op9_token_counts, None),
     "op10_warc": (op10_warc, OP10_SQL),
