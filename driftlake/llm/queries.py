@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm import decontaminate, exact_dedup, lang_id, packing, sharding, token_count, url_filter, warc
+from driftlake.llm import decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, token_count, url_filter, warc
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
 
@@ -80,6 +80,35 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.near_duplicates(docs, k=5, threshold=(75, 100)).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+r AS (
+  SELECT doc_id, doc_id AS other FROM w
+  UNION
+  SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.other)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY 1
+"""
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return lang_id.identify(docs).select(
@@ -141,6 +170,7 @@ QUERIES = {
     "op2_url_filters": (op2_url_filters, None),
     "op4_sharding": (op4_sharding, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op6_jaccard_join": (op6_jaccard_join, OP6_SQL),
     "op7_language_id": (op7_language_id, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_token_counts": (op9_token_counts, None),
