@@ -79,3 +79,11 @@ def ascii_lower(column):
 def partitions_for(df: DataFrame, least: int = 1) -> int:
     """How many shuffle partitions the session asks for."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end places of the runs of equal neighbours."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return first, np.append(first[1:], len(values))

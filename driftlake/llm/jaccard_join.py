@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import blocks, mix, partitions_for, stored, text_buffer
+from driftlake.llm.common import blocks, mix, partitions_for, runs, stored, text_buffer
 from driftlake.llm.graph import components
 
 BLOCK_BYTES = 8 << 20
@@ -169,9 +169,8 @@ def _deal(k: int, bucket_bits: int):
                 bucket = (hashes >> np.uint64(64 - bucket_bits)).astype(np.uint32 if bucket_bits > 16 else np.uint16)
                 order = np.argsort(bucket, kind="stable")
                 bucket, hashes, own = bucket[order], hashes[order], own[order]
-                cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
                 rows = [(-1 - (block & 63), block, classes.tobytes() + sizes.tobytes(), None, None)]
-                for x, y in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+                for x, y in zip(*runs(bucket), strict=True):
                     rows.append((int(bucket[x]), block, None, own[x:y].tobytes(), _low40(hashes[x:y])))
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.record_batch(
@@ -225,8 +224,7 @@ def _candidates(threshold: tuple[int, int]):
             own, shared, steps = own[keep], shared[keep], steps[keep]
             order = np.lexsort((shared, steps, own))
             own, shared = own[order], shared[order]
-            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
-            for a, b in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
+            for a, b in zip(*runs(own), strict=True):
                 i = own[a]
                 out.append((classes[i], sizes[i], prefix[i], shared[a:b].tobytes()))
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
@@ -242,15 +240,14 @@ def _deal_prefixes(bucket_bits: int):
             keys = [np.frombuffer(s, np.uint64)[:p] for s, p in zip(
                 batch.column("shared").to_pylist(), batch.column("prefix").to_pylist(), strict=True)]
             if not keys:
-                continue
+                continue  # an empty batch
             own = np.repeat(np.asarray(batch.column("class").to_numpy()), [len(k) for k in keys])
             keys = np.concatenate(keys)
             bucket = mix(keys) >> np.uint64(64 - bucket_bits)
             order = np.argsort(bucket, kind="stable")
             bucket, keys, own = bucket[order], keys[order], own[order]
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
             rows = [(int(bucket[x]), keys[x:y].tobytes(), own[x:y].tobytes())
-                    for x, y in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True)]
+                    for x, y in zip(*runs(bucket), strict=True)]
             kinds = (pa.int32(), pa.binary(), pa.binary())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
                                   names=["bucket", "keys", "classes"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm import decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, token_count, url_filter, warc
+from driftlake.llm import decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, suffix_dedup, token_count, url_filter, warc
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
 
@@ -34,6 +34,35 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+f AS (SELECT md5(k) AS m, min(doc_id) AS first FROM g GROUP BY 1),
+hit AS (SELECT g.doc_id, g.i FROM g JOIN f ON md5(g.k) = f.m WHERE g.doc_id > f.first),
+edge AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER w + 50, -1) AS fresh FROM hit
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+run AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM edge),
+span AS (SELECT doc_id, r, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY 1, 2),
+keep AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM span),
+part AS (
+  SELECT k.doc_id, string_agg(substr(d.h, 2 * k.before + 1, 2 * (k.a - k.before)), '' ORDER BY k.a) AS kept,
+         max(k.b) AS last, sum(k.b - k.a) AS removed, count(*) AS spans
+  FROM keep k JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+       coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(d.h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN part USING (doc_id)
+"""
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
     return rows.select(
@@ -168,6 +197,7 @@ FROM d WINDOW g AS (PARTITION BY payload_digest, payload_bytes)
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_url_filters": (op2_url_filters, None),
+    "op3_suffix_dedup": (op3_suffix_dedup, OP3_SQL),
     "op4_sharding": (op4_sharding, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op6_jaccard_join": (op6_jaccard_join, OP6_SQL),
