@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftlake.session import scratch_dir
@@ -87,3 +87,16 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
     return first, np.append(first[1:], len(values))
+
+
+def row_key(doc_id: Column, digest: Column) -> Column:
+    """Text that tells rows apart by id and digest of their content."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), digest.cast("string"))
+
+
+def one_row_each(docs: DataFrame, kept: DataFrame, digest: Column) -> DataFrame:
+    """Rows of ``docs`` whose key is among ``kept`` (key string), one of each key, all columns."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, row_key(F.col("doc_id"), digest).alias("key")).join(kept, "key", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    return rows.withColumn("nth", nth).filter("nth = 1").select("row.*")

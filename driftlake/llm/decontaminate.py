@@ -28,7 +28,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -251,6 +250,15 @@ def _occurrences(ids: np.ndarray, first: np.ndarray, phrases: Phrases) -> tuple[
     return word[index.locate(rows)], which
 
 
+def without(text: bytes, spans: list[dict]) -> str:
+    """What is left of a text once its spans are cut out."""
+    at, kept = 0, []
+    for span in spans:
+        kept.append(text[at : span["start"]])
+        at = span["end"]
+    return b"".join([*kept, text[at:]]).decode()
+
+
 def _finder(phrases: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,12 +269,13 @@ def _finder(phrases: Phrases):
                     earlier = tuple(batch.column(n).slice(a, b - a).to_pylist() for n in ("spans", "items"))
                 texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]
                 hits = search_shard(texts, phrases, earlier)
+                left = [without(t, spans) if spans else None for t, spans in zip(texts, hits.spans, strict=True)]
                 yield pa.record_batch(
                     [batch.column("row").slice(a, b - a), pa.array(hits.n_words, pa.int64()),
                      pa.array(hits.n_hit, pa.int64()),
                      pa.array(hits.spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     pa.array(hits.items, pa.list_(pa.string()))],
-                    names=["row", "n_words", "n_hit", "spans", "items"])
+                     pa.array(hits.items, pa.list_(pa.string())), pa.array(left, pa.string())],
+                    names=["row", "n_words", "n_hit", "spans", "items", "left"])
 
     return run
 
@@ -274,7 +283,8 @@ def _finder(phrases: Phrases):
 def _search(rows: DataFrame, items: list[tuple]) -> DataFrame:
     schema = T.StructType([
         rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-        T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType()))])
+        T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("left", T.StringType())])
     return rows.mapInArrow(_finder(Phrases.of(items)), schema)
 
 
@@ -289,7 +299,8 @@ def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
 
 
 def find(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Every document as a struct ``row`` with n_words, n_hit, spans (bytes of the text) and items.
+    """Every document as a struct ``row`` with n_words, n_hit, spans (bytes of the text), items and
+    left (the text without the spans, null if there are none).
 
     A hit word lies in an occurrence of a window; a span covers consecutive hit words.
     """
@@ -302,19 +313,16 @@ def find(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> D
 
 
 def remove_spans(found: DataFrame) -> DataFrame:
-    """The documents of :func:`find` with the spans cut out of their texts; others as they are."""
-    columns = found.schema["row"].dataType.fieldNames()
+    """The documents of :func:`find` with the spans cut out of their texts; others as they are.
 
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for t, own in zip(text, spans, strict=True):
-            data, at, kept = t.encode(), 0, []
-            for span in own:
-                kept.append(data[at : span["start"]])
-                at = span["end"]
-            out.append(b"".join([*kept, data[at:]]).decode())
-        return pd.Series(out)
-
-    text = F.when(F.col("n_hit") > 0, cut("row.text", "spans")).otherwise(F.col("row.text"))
-    return found.select(*(text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in columns))
+    Documents that consist of hit words alone go.  ``n_chars``, if there, follows the text.
+    """
+    columns = found.schema["row"].dataType.fieldNames()
+    hit = F.col("n_hit") > 0
+    changed = {
+        "text": F.when(hit, F.col("left")).otherwise(F.col("row.text")),
+        "n_chars": F.when(hit, F.length("left").cast("long")).otherwise(F.col("row.n_chars"))
+        if "n_chars" in columns else None,
+    }
+    kept = found.filter("n_hit = 0 or n_hit < n_words")
+    return kept.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))

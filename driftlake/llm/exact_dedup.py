@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import ASCII_SPACE, partitions_for
+from driftlake.llm.common import ASCII_SPACE, one_row_each, partitions_for, row_key
 
 FAN_OUT = 16
 GROUP_SCHEMA = "content binary, points long, keep_id long, rows long"
@@ -207,3 +207,16 @@ def exact_dedup(docs: DataFrame, limit: int = 64 << 20) -> DataFrame:
         "doc_id", "keep_id", "group_size",
         (F.col("stays") & (F.col("nth") == 1)).alias("kept"), "text_sha256",
     )
+
+
+def distinct_documents(docs: DataFrame, limit: int = 64 << 20) -> DataFrame:
+    """The documents that stay, one of each group, with all their columns.
+
+    Of rows that repeat the id and the text of the one that stays, any one is returned.
+    """
+    groups = equal_groups(docs, limit)
+    digest = F.concat_ws(":", F.sha2(normalized(F.col("text")).cast("binary"), 256),
+                         F.coalesce(F.length("text"), F.lit(0)).cast("string"))
+    kept = groups.select(row_key(
+        F.col("keep_id"), F.concat_ws(":", "text_sha256", F.col("points").cast("string"))).alias("key"))
+    return one_row_each(docs, kept, digest)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import blocks, mix, partitions_for, runs, stored, text_buffer
+from driftlake.llm.common import blocks, mix, one_row_each, partitions_for, row_key, runs, stored, text_buffer
 from driftlake.llm.graph import components
 
 BLOCK_BYTES = 8 << 20
@@ -129,9 +129,9 @@ def _profile(k: int):
         for batch in batches:
             sets = shingle_sets(*text_buffer(batch.column("text")), k)
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("digest"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([class_of(s) for s in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "class"])
+                names=["doc_id", "digest", "n_shingles", "class"])
 
     return run
 
@@ -432,15 +432,32 @@ def links(docs: DataFrame, k: int, threshold: tuple[int, int], chunk: int = CHUN
 def near_duplicates(
     docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (75, 100), chunk: int = CHUNK
 ) -> DataFrame:
-    """doc_id, n_shingles, class and component_id (smallest id reachable) of every document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = stored(rows.mapInArrow(_profile(k), "doc_id long, n_shingles long, class long"), "profile")
+    """doc_id, digest (of the text), n_shingles, class and component_id of every document.
+
+    The component_id is the smallest id reachable by links, the document's own included.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
+    profile = stored(
+        rows.mapInArrow(_profile(k), "doc_id long, digest long, n_shingles long, class long"), "profile")
     roots = components(links(rows, k, threshold, chunk))
     classes = profile.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     rooted = classes.join(roots, classes["class"] == roots["node"], "left").select(
         "class", "least", F.coalesce("root", "class").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(smallest, "root").select("class", "component")
+    named = rooted.join(smallest, "root").select("class", "root", "component")
     return profile.join(named, "class", "left").select(
-        "doc_id", "n_shingles", "class",
+        "doc_id", "digest", "n_shingles", "class", "root",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+    """The document with the smallest id of each component, with all its columns.
+
+    Documents without a shingle stay.  Of rows that repeat an id and a text any one is returned.
+    """
+    found = near_duplicates(docs, k, threshold)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    linked = found.filter("n_shingles > 0").groupBy("root").agg(first).select("first.doc_id", "first.digest")
+    alone = found.filter("n_shingles = 0").select("doc_id", "digest")
+    kept = linked.union(alone).select(row_key(F.col("doc_id"), F.col("digest")).alias("key"))
+    return one_row_each(docs, kept, F.xxhash64("text"))

@@ -167,3 +167,8 @@ def identify(docs: DataFrame, per_language: int = 5000) -> DataFrame:
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(_predictor(langs, prototypes), schema)
+
+
+def known_language(docs: DataFrame, per_language: int = 5000) -> DataFrame:
+    """The documents that have a language, with all their columns."""
+    return identify(docs, per_language).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
