@@ -68,6 +68,7 @@ def bundle(texts: list[bytes]) -> np.ndarray:
     symbols, owner = np.concatenate(parts), np.concatenate(owners)
     keep = symbols != 0
     keep[1:] |= symbols[:-1] != 0
+    keep[0] = True  # the blank before the first word
     symbols, owner = symbols[keep], owner[keep]
     inner = np.flatnonzero(symbols[1:-1]) + 1
     trigram = (symbols[inner - 1] << 24) | (symbols[inner] << 12) | symbols[inner + 1]
