@@ -185,7 +185,7 @@ def shard_bounds(pages: DataFrame, shard_bytes: int) -> tuple[int, int, list[int
 
 
 def write_archives(
-    pages: DataFrame, folder: str, shard_bytes: int = 256 << 20, file_bytes: int = 32 << 20,
+    pages: DataFrame, folder: str, shard_bytes: int = 64 << 20, file_bytes: int = 32 << 20,
     least: int = 0,
 ) -> DataFrame:
     """Write the archives and commit their manifest; returns the manifest."""
@@ -201,6 +201,8 @@ def write_archives(
     told = roles(pages, least).select(
         shard.alias("shard"), "page_id", "sha", F.lit(False).alias("page"), "first",
         F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
+    if files.exists(spark, f"{folder}/manifest"):
+        raise FileExistsError(f"{folder} holds a manifest already")
     fs, handle = files.open_path(spark, folder)
     fs.mkdirs(handle)
     uri = fs.makeQualified(handle).toUri().toString()
@@ -213,8 +215,8 @@ def write_archives(
     temporary = f"{folder}/.manifest-{uuid.uuid4().hex}"
     written.write.parquet(temporary)
     source, target = (files.open_path(spark, p)[1] for p in (temporary, f"{folder}/manifest"))
-    if not fs.rename(source, target):
-        raise FileExistsError(f"{folder} holds a manifest already")
+    if fs.exists(target) or not fs.rename(source, target):
+        raise FileExistsError(f"{folder} got a manifest from another writer")
     return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{folder}/manifest")
 
 
