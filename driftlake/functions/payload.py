@@ -25,6 +25,9 @@ def normalize_value(value: Column, normalize: bool = True) -> Column:
     Objects pass through untouched.  Every other value (string, number, array, null) is
     wrapped as ``{"value": ...}``; with ``normalize=False`` it is kept as bare JSON.
     Text that is no JSON at all is quoted first.  Only non-objects pay for a JSON check.
+    Spark's JSON reader takes texts of up to 20,000,000 characters; a bare value that holds a
+    longer one is no JSON to it and is quoted like other text, so it comes back as it was
+    delivered.  Objects of any size pass through.
     """
     is_object = F.ltrim(value, F.lit(JSON_BLANKS)).startswith("{")
     quoted = F.to_json(F.array(value))

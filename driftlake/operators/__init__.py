@@ -3,6 +3,7 @@ from driftlake.operators.access import (
     audit_access,
     effective_privileges,
     first_match,
+    granted_actions,
     load_rules,
 )
 from driftlake.operators.envelope import decode, rejected_changes, valid_changes
@@ -16,7 +17,7 @@ from driftlake.operators.merge import (
     repeated_keys,
     upsert,
 )
-from driftlake.operators.routing import route
+from driftlake.operators.routing import own_changes, own_rows, route
 
 __all__ = [
     "Rule",
@@ -26,6 +27,7 @@ __all__ = [
     "decode",
     "effective_privileges",
     "first_match",
+    "granted_actions",
     "latest_per_key",
     "latest_per_key_agg",
     "load_rules",
@@ -33,6 +35,8 @@ __all__ = [
     "merge_ledger_into_table",
     "merge_source",
     "newer",
+    "own_changes",
+    "own_rows",
     "rejected_changes",
     "repeated_keys",
     "route",

@@ -79,26 +79,52 @@ def permits(allow: Column, action: Column) -> Column:
     return F.coalesce(granted, F.lit(False))
 
 
-def audit_access(log: DataFrame, rules: Iterable[Rule], expected: DataFrame) -> DataFrame:
+def granted_actions(privileges: DataFrame, needed: DataFrame) -> DataFrame:
+    """user, catalog and action that a held privilege is enough for.
+
+    ``privileges(principal, catalog, privilege)`` as :func:`effective_privileges` gives them,
+    ``needed(privilege, action)`` which actions each privilege covers.
+    """
+    held = privileges.join(F.broadcast(needed), "privilege")
+    return held.select(F.col("principal").alias("user"), "catalog", "action").dropDuplicates()
+
+
+def audit_access(
+    log: DataFrame, rules: Iterable[Rule], expected: DataFrame, granted: DataFrame | None = None
+) -> DataFrame:
     """Requests per team, catalog and action, and how they differ from the expectation.
 
     ``log(user, team, catalog, action, allowed)`` is what happened; ``expected(team,
-    catalog, action, expected)`` is what should, one row per combination.  The log is
-    aggregated first, so the join handles a few rows however large or one-sided the log is.
+    catalog, action, expected)`` is what should, one row per combination.  What nothing is
+    expected for should be denied, as by the last line of a rule file; ``covered`` tells such
+    requests from others.  With ``granted(user, catalog, action)`` the report also says what the
+    grants allow and where they differ.  The log is aggregated first, by user at most, so the
+    joins handle few rows however large or one-sided the log is.
     """
     decided = permits(first_match(F.col("user"), F.col("catalog"), rules), F.col("action"))
-    totals = log.groupBy("team", "catalog", "action").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.count_if("allowed").alias("let_through"),
-        F.count_if(decided).alias("rules_allow"),
-    )
-
-    def differing(allowed: str) -> Column:
-        off = F.when(F.col("expected"), F.col("requests") - F.col(allowed))
-        return F.coalesce(off.when(~F.col("expected"), F.col(allowed)), F.lit(0).cast("bigint"))
-
-    return totals.join(expected, ["team", "catalog", "action"], "left").select(
-        "*",
-        differing("rules_allow").alias("rule_drift"),
-        differing("let_through").alias("violations"),
-    )
+    combination = ["team", "catalog", "action"]
+    counts = {
+        "requests": F.count(F.lit(1)),
+        "let_through": F.count_if("allowed"),
+        "rules_allow": F.count_if(decided),
+    }
+    checks = {"rule_drift": "rules_allow", "violations": "let_through"}
+    if granted is None:
+        totals = log.groupBy(*combination).agg(*(c.alias(n) for n, c in counts.items()))
+    else:
+        by_user = log.groupBy("user", *combination).agg(*(c.alias(n) for n, c in counts.items()))
+        held = granted.select("user", "catalog", "action", F.lit(True).alias("_held"))
+        known = by_user.join(held, ["user", "catalog", "action"], "left")
+        totals = known.groupBy(*combination).agg(
+            *(F.sum(n).alias(n) for n in counts),
+            F.sum(F.when(F.col("_held"), F.col("requests")).otherwise(0)).alias("grants_allow"),
+        )
+        checks["grant_drift"] = "grants_allow"
+    report = totals.join(expected, combination, "left").withColumns({
+        "covered": F.col("expected").isNotNull(),
+        "expected": F.coalesce("expected", F.lit(False)),
+    })
+    return report.withColumns({
+        name: F.when(F.col("expected"), F.col("requests") - F.col(allowed)).otherwise(F.col(allowed))
+        for name, allowed in checks.items()
+    })

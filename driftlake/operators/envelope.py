@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,9 @@ ENVELOPE_FIELDS = ("before", "after", "op", "ts_ms", "source")
 # Where from_json puts the text of a record it could not read as asked.
 UNREAD = "_unread"
 
+# Name of the flag that ``decode`` adds on request.
+UNREADABLE = "_unreadable"
+
 # Types a JSON number is read into directly, with the value its text would be cast to.
 NUMBERS = {"int", "integer", "bigint", "long", "double"}
 
@@ -61,14 +64,18 @@ def _parse(text: str, schema: T.StructType, prefix: str) -> Column:
     return F.inline(F.array(record)).alias(*[prefix + n for n in schema.fieldNames()])
 
 
-def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFrame:
+def decode(
+    raw: DataFrame, spec: TableSpec, payload: str = "payload", flag_unreadable: bool = False
+) -> DataFrame:
     """Payload text to key, attributes, ``op``, ``version`` and ``lsn``.
 
     Columns other than the payload (topic, partition, offset, ...) are carried along.
     Records are read with native numbers.  Those that do not fit (a quoted or fractional
     key, ``"source": "web"``, broken JSON) are read a second time as text and cast
     leniently; all others pass NULL to that second reading.  A record of broken JSON gets
-    no key, although its first fields could be read.
+    no key, although its first fields could be read.  So does a record with a text of more
+    than 20,000,000 characters, the most Spark's JSON reader takes.  ``flag_unreadable`` adds a
+    column that tells these from records that have no key of their own.
     """
     carried = [c for c in raw.columns if c != payload]
     native, text = "_n_", "_t_"
@@ -105,6 +112,7 @@ def decode(raw: DataFrame, spec: TableSpec, payload: str = "payload") -> DataFra
         F.when(fits, clock(native)).otherwise(lenient_bigint(clock(text))).alias("version"),
         F.when(fits, lsn[0]).otherwise(lsn[1]).alias("lsn"),
         *[c for c in carried if c not in spec.row_columns],
+        *([(~fits & ~is_json).alias(UNREADABLE)] if flag_unreadable else []),
     )
 
 
@@ -115,12 +123,12 @@ def _has_key(spec: TableSpec) -> Column:
     return present
 
 
-def valid_changes(decoded: DataFrame, spec: TableSpec, observe_as: str | None = None) -> DataFrame:
+def valid_changes(decoded: DataFrame, spec: TableSpec, observe_as: str | Observation | None = None) -> DataFrame:
     """Changes that can be applied: the key is known and the operation is c, r, u or d.
 
     Tombstones fall to the key test: with no ``op`` of their own they count as updates.
     With ``observe_as`` the counts of kept and dropped rows are reported as query metrics
-    under that name, in the same pass.
+    under that name, or to that observation, in the same pass.
     """
     keep = _has_key(spec) & F.col("op").isin(*OPS)
     if observe_as:
@@ -134,6 +142,13 @@ def valid_changes(decoded: DataFrame, spec: TableSpec, observe_as: str | None =
 
 
 def rejected_changes(decoded: DataFrame, spec: TableSpec) -> DataFrame:
-    """The rows ``valid_changes`` drops, each with a ``reason``."""
+    """The rows ``valid_changes`` drops, each with a ``reason``.
+
+    Broken or oversized JSON has a reason of its own if ``decode`` was asked to flag it.
+    """
     reason = F.when(~_has_key(spec), "no key").when(~F.col("op").isin(*OPS), "unknown operation")
+    if UNREADABLE in decoded.columns:
+        reason = F.when(F.col(UNREADABLE), "unreadable").otherwise(reason)
+        decoded = decoded.withColumn("reason", reason).drop(UNREADABLE)
+        return decoded.filter(F.col("reason").isNotNull())
     return decoded.withColumn("reason", reason).filter(F.col("reason").isNotNull())

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.operators.envelope import DELETE_OP, OPS, UPSERT_OPS
-from driftlake.operators.sizes import broadcast_limit, estimated_bytes
-from driftlake.spec import TableSpec
+from driftlake.operators.latest import event_order
+from driftlake.spec import TIE_BREAKERS, TableSpec
 
 STAMP = "processed_at"
 
@@ -87,12 +87,14 @@ def _merge(
     updated: list[str],
     skip_unchanged: list[str] | None,
     unkeyed: bool,
+    small: bool,
 ) -> DataFrame:
     """Merge ``source`` (keys, ``updated`` and ``_delete``) into ``target``.
 
-    A source small enough to broadcast goes to the target: the target is read in place and
-    its key column once more, to find the source rows that matched nothing.  Any other
-    source meets the target in one full outer join on the key.  ``unkeyed`` says that many
+    Source and target meet in one full outer join on the key, so both are computed once.  A
+    ``small`` source goes to the target instead: the target is read in place and its key column
+    once more, to find the source rows that matched nothing.  That uses the source three times,
+    so it should be stored, and its size known (as the jobs in ``plans.refine`` do).  ``unkeyed`` says that many
     rows may lack a key; they match nothing and are kept out of that join, where they would
     all be in one task.  That reads both inputs again, with a filter that stored tables
     answer from their statistics.
@@ -107,10 +109,10 @@ def _merge(
     marked = source.withColumn("_hit", F.lit(True))
     rows = target.withColumn("_row", F.lit(True))
     shape = (target.columns, keys, updated, skip_unchanged)
-    if estimated_bytes(source) <= broadcast_limit(source):
-        there = rows.alias("t").join(marked.alias("s"), _on(keys), "left_outer")
-        matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-        new = marked.join(matched, keys, "left_anti")
+    if small:
+        there = rows.alias("t").join(F.broadcast(marked).alias("s"), _on(keys), "left_outer")
+        matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+        new = marked.join(F.broadcast(matched.distinct()), keys, "left_anti")
         blank = target.limit(0).withColumn("_row", F.lit(True)).alias("t")
         added = new.alias("s").join(blank, _on(keys), "left_outer")
         return _outcome(there, *shape).unionByName(_outcome(added, *shape))
@@ -135,13 +137,14 @@ def apply_scd1(
     spec: TableSpec,
     as_of: Column | None = None,
     skip_unchanged: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """The target after merging the newest change of each key.
 
     Upserts overwrite every attribute, NULLs included; a delete removes the row, or does
     nothing where there is none; rows without a change stay.  ``changes`` needs one row per
     key (``latest_per_key``) and keys throughout (``valid_changes``).  Every change restamps
-    its row unless ``skip_unchanged``.
+    its row unless ``skip_unchanged``.  ``small`` changes are sent to the target.
     """
     usable = changes.filter(F.col("op").isin(*OPS))
     source = merge_source(usable, spec, as_of).withColumn("_delete", F.col("op") == DELETE_OP)
@@ -152,6 +155,7 @@ def apply_scd1(
         [*spec.attributes, STAMP],
         spec.attributes if skip_unchanged else None,
         unkeyed=False,
+        small=small,
     )
 
 
@@ -160,16 +164,14 @@ def upsert(
     source: DataFrame,
     keys: list[str],
     skip_unchanged: list[str] | None = None,
-    verify: bool = True,
+    small: bool = False,
 ) -> DataFrame:
     """The target with matched rows overwritten and unmatched source rows added.
 
     Target rows the source lacks stay.  ``source`` carries the columns to write, computed
-    ones included.  It is checked first that no key occurs in it twice; skip that with
-    ``verify=False`` where the source is unique by construction.
+    ones included, with at most one row per key: see ``check_unique``, which is a job of its own
+    and not started here.  A ``small`` source is sent to the target.
     """
-    if verify:
-        check_unique(source, keys)
     updated = [c for c in source.columns if c not in keys]
     return _merge(
         target,
@@ -178,6 +180,7 @@ def upsert(
         updated,
         skip_unchanged,
         unkeyed=True,
+        small=small,
     )
 
 
@@ -202,19 +205,30 @@ def merge_into_table(
     return writer.whenMatched(upserts).update(written).whenNotMatched(upserts).insert(inserted)
 
 
+def ledger_columns(spec: TableSpec) -> list[str]:
+    return [*spec.row_columns, "op", "version", *TIE_BREAKERS]
+
+
+def ledger_wins(spec: TableSpec, source: str, table: str) -> Column:
+    """Whether a source row is later than the table's, in full event order."""
+    columns = ledger_columns(spec)
+    order = [F.struct(*event_order(spec, columns, side)) for side in (source, table)]
+    return order[0] > order[1]
+
+
 def merge_ledger_into_table(changes: DataFrame, table: str, spec: TableSpec):
     """Order-safe variant of ``merge_into_table`` for repeated, late or replayed batches.
 
-    The table also holds ``op``, ``version`` and ``lsn``.  Deletes are stored as rows and a
-    change only wins over an older one; readers filter ``op <> 'd'``.
+    The table also holds ``op``, ``version`` and all tie-breakers (:func:`ledger_columns`).
+    Deletes are stored as rows and a change only wins over an older one, by the same order as
+    everywhere else; readers filter ``op <> 'd'``.
     """
-    order = ["version", "lsn"]
-    columns = [*spec.row_columns, "op", *order]
+    columns = ledger_columns(spec)
     on = _all([F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in spec.keys])
     values = {c: F.col(f"source.{c}") for c in columns}
-    later = F.struct(*[F.col(f"source.{c}") for c in order]) > F.struct(
-        *[F.col(f"{table}.{c}") for c in order]
-    )
+    later = ledger_wins(spec, "source", table)
+    if "offset" not in changes.columns:
+        changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
     writer = changes.select(*columns).alias("source").mergeInto(table, on)
     updated = {c: v for c, v in values.items() if c not in spec.keys}
     return writer.whenMatched(later).update(updated).whenNotMatched().insert(values)

@@ -1,15 +1,17 @@
-"""Spark's own size estimates, for choosing how two inputs meet."""
+"""How much may be sent to every task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
 
+from pyspark.sql import SparkSession
 
-def estimated_bytes(df: DataFrame) -> int:
-    """What the optimizer expects ``df`` to weigh; huge where it knows nothing."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+BROADCAST_THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
 
 
-def broadcast_limit(df: DataFrame) -> int:
+def broadcast_limit(spark: SparkSession) -> int:
     """The session's broadcast threshold in bytes, negative if broadcasting is off."""
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    text = spark.conf.get(BROADCAST_THRESHOLD, "10MB").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text).groups()
+    return int(number) * UNITS[unit[:1]]

@@ -32,14 +32,22 @@ def ensure_table(
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     properties: dict[str, str] | None = None,
+    bucket_by: list[str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Load a table, creating it empty if need be.
 
     ``partition_by`` takes columns, or transforms such as ``days(processed_at)`` where the
-    format has them.
+    format has them.  A table bucketed on its key (``bucket_by``, ``buckets``) need not be moved
+    between tasks when changes are merged into it; take its bytes / 256 MB or so.
     """
+    if bool(bucket_by) != bool(buckets):
+        raise ValueError("bucket_by and buckets belong together")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if bucket_by:
+        names = ", ".join(f"`{c}`" for c in bucket_by)
+        parts += f" CLUSTERED BY ({names}) INTO {buckets} BUCKETS"
     extra = ", ".join(f"'{k}'='{v}'" for k, v in (properties or {}).items())
     options = f" TBLPROPERTIES ({extra})" if extra else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{parts}{options}")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-DONE = "_SUCCESS"
+# Written by this package as the last step of a folder.  Spark's own _SUCCESS is not relied on:
+# clusters and committers may not write it.
+DONE = "_COMPLETE"
 
 
 def open_path(spark: SparkSession, path: str):
@@ -50,6 +52,22 @@ def read_lines(spark: SparkSession, path: str) -> list[str]:
     return [line for line in text.split("\n") if line]
 
 
+def mark_done(spark: SparkSession, folder: str, text: str = "") -> None:
+    """Make a folder count as complete; ``text`` may say more about it."""
+    write_text(spark, f"{folder}/{DONE}", text)
+
+
+def is_done(spark: SparkSession, folder: str) -> bool:
+    return exists(spark, f"{folder}/{DONE}")
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder unless the target is there; returns whether it was done."""
+    fs, old = open_path(spark, source)
+    new = open_path(spark, target)[1]
+    return not fs.exists(new) and fs.rename(old, new)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, handle = open_path(spark, path)
     return fs.delete(handle, True)

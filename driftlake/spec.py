@@ -56,10 +56,9 @@ class TableSpec:
         return self.fields.get(column, column)
 
     def order_columns(self, available: list[str]) -> list[str]:
-        """Event order, most significant first: version, tie-breakers, then content.
+        """Event order, most significant first: version, then the tie-breakers.
 
-        Ending on the content makes the order total, so two events that compare equal
-        are the same event and either may be kept.
+        :func:`driftlake.operators.latest.event_order` adds the content, as one hash, so that
+        the order is total.
         """
-        wanted = ["version", *self.tie_breakers, "op", *self.attributes]
-        return [c for c in wanted if c in available]
+        return [c for c in ["version", *self.tie_breakers] if c in available]

@@ -5,9 +5,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from driftlake.operators import Rule, audit_access, effective_privileges, first_match, load_rules
+from driftlake.operators import (
+    Rule,
+    audit_access,
+    effective_privileges,
+    first_match,
+    granted_actions,
+    load_rules,
+)
 from driftlake.operators.access import permits
-from driftlake.plans.access_queries import EXPECTED, GRANTS, ROLE_MAP, RULES
+from driftlake.plans.access_queries import EXPECTED, GRANTS, NEEDED, ROLE_MAP, RULES
 from driftlake.sources import typed_rows
 
 USERS = ["de_ann", "de_", "ds_bob", "xde_eve", "guest", "de_a\nb"]
@@ -81,6 +88,7 @@ def test_audit_shows_where_rules_and_expectation_differ(spark):
         ("ds_bob", "ds", "silver_ds", "write", True),  # let through against expectation
         ("de_ann", "de", "bronze_de", "read", True),
         ("guest", "guest", "system", "read", False),  # nothing is expected
+        ("guest", "guest", "gold_ds", "read", True),
     ]
     report = audit_access(
         typed_rows(spark, log, "user STRING, team STRING, catalog STRING, action STRING, allowed BOOLEAN"),
@@ -88,12 +96,34 @@ def test_audit_shows_where_rules_and_expectation_differ(spark):
         typed_rows(spark, EXPECTED, "team STRING, catalog STRING, action STRING, expected BOOLEAN"),
     )
     got = {
-        (r.team, r.catalog, r.action): (r.requests, r.let_through, r.rules_allow, r.expected, r.rule_drift, r.violations)
+        (r.team, r.catalog, r.action): (
+            r.requests, r.let_through, r.rules_allow, r.expected, r.covered, r.rule_drift, r.violations)
         for r in report.collect()
     }
     assert got == {
-        ("ds", "gold_ds", "write"): (2, 1, 0, True, 2, 1),
-        ("ds", "silver_ds", "write"): (1, 1, 1, False, 1, 1),
-        ("de", "bronze_de", "read"): (1, 1, 1, True, 0, 0),
-        ("guest", "system", "read"): (1, 0, 0, None, 0, 0),
+        ("ds", "gold_ds", "write"): (2, 1, 0, True, True, 2, 1),
+        ("ds", "silver_ds", "write"): (1, 1, 1, False, True, 1, 1),
+        ("de", "bronze_de", "read"): (1, 1, 1, True, True, 0, 0),
+        ("guest", "system", "read"): (1, 0, 0, False, False, 0, 0),
+        ("guest", "gold_ds", "read"): (1, 1, 0, False, False, 0, 1),  # let in where nobody expects it
     }
+
+
+def test_audit_against_grants(spark):
+    """A team that may read by expectation, but holds a privilege on properties only."""
+    roles = typed_rows(spark, [("ds_bob", "ds_team_role")], "principal STRING, principal_role STRING")
+    role_map = typed_rows(spark, ROLE_MAP, "principal_role STRING, catalog STRING, catalog_role STRING")
+    grants = typed_rows(spark, GRANTS, "catalog STRING, catalog_role STRING, privilege STRING")
+    needed = typed_rows(spark, NEEDED, "privilege STRING, action STRING")
+    granted = granted_actions(effective_privileges(roles, role_map, grants), needed)
+    granted = granted.withColumn("catalog", F.regexp_replace("catalog", "catalog$", "ds"))
+    log = [("ds_bob", "ds", "silver_ds", "read", True), ("ds_bob", "ds", "gold_ds", "read", True),
+           ("ds_eve", "ds", "gold_ds", "read", True)]
+    report = audit_access(
+        typed_rows(spark, log, "user STRING, team STRING, catalog STRING, action STRING, allowed BOOLEAN"),
+        load_rules(RULES),
+        typed_rows(spark, EXPECTED, "team STRING, catalog STRING, action STRING, expected BOOLEAN"),
+        granted,
+    )
+    got = {r.catalog: (r.requests, r.grants_allow, r.grant_drift) for r in report.collect()}
+    assert got == {"silver_ds": (1, 0, 1), "gold_ds": (2, 1, 1)}
