@@ -61,7 +61,8 @@ def decode_flat(spark, sf_dir):
 
 
 def _mixed(spark, sf_dir) -> DataFrame:
-    """By event type: tombstones, an unsupported operation, upper-case operations, no key."""
+    """By event type: tombstones, an unsupported operation, upper-case operations, no key or
+    (every other signup) a record that breaks off."""
     events = table(spark, sf_dir, "events")
     millis = epoch_millis(F.col("ts"))
     lsn = F.col("event_id")
@@ -78,7 +79,8 @@ def _mixed(spark, sf_dir) -> DataFrame:
         .when(F.col("event_type") == "click", told("t"))
         .when(F.col("event_type") == "purchase", told("U"))
         .when(F.col("event_type") == "error", told("D"))
-        .otherwise(no_key)
+        .when(F.col("event_id") % 2 == 0, no_key)
+        .otherwise(F.concat(F.lit('{"after": {"user_id": '), F.col("user_id").cast("string")))
     )
     return events.select(payload.alias("payload"))
 
@@ -88,7 +90,8 @@ def decode_filters(spark, sf_dir):
 
 
 def decode_rejects(spark, sf_dir):
-    dropped = rejected_changes(decode(_mixed(spark, sf_dir), EVENTS), EVENTS)
+    decoded = decode(_mixed(spark, sf_dir), EVENTS, flag_unreadable=True)
+    dropped = rejected_changes(decoded, EVENTS)
     return dropped.groupBy("reason", "op").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -221,8 +224,11 @@ QUERIES = {
     ),
     "d_rejects": (
         decode_rejects,
-        """SELECT CASE event_type WHEN 'click' THEN 'unknown operation' ELSE 'no key' END AS reason,
-               CASE event_type WHEN 'click' THEN 't' WHEN 'view' THEN 'u' ELSE 'c' END AS op,
+        """SELECT CASE WHEN event_type = 'click' THEN 'unknown operation'
+                    WHEN event_type = 'signup' AND event_id % 2 = 1 THEN 'unreadable'
+                    ELSE 'no key' END AS reason,
+               CASE WHEN event_type = 'click' THEN 't'
+                    WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'c' ELSE 'u' END AS op,
                count(*) AS n
         FROM events WHERE event_type IN ('view', 'click', 'signup') GROUP BY 1, 2""",
     ),

@@ -41,6 +41,11 @@ CUSTOMERS = TableSpec(
 )
 
 
+# Two captured tables whose records look alike and whose keys have the same name.
+ACTIVITY = TableSpec("activity", {"id": "bigint"}, {"amount": "double"}, topic="shop.activity.amounts")
+SALES = TableSpec("sales", {"id": "bigint"}, {"amount": "double"}, topic="shop.sales.amounts")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -102,6 +107,30 @@ def order_changes(orders: DataFrame) -> DataFrame:
     )
 
 
+def amount_changes(rows: DataFrame, spec: TableSpec, key: str, amount: str, op: Column, ms: Column, lsn: str) -> DataFrame:
+    """Rows of any table as topic rows of ACTIVITY or SALES."""
+    told = rows.select(
+        F.col(key).alias("id"), F.col(amount).alias("amount"), op.alias("op"), ms.alias("ms"), F.col(lsn).alias("lsn"))
+    return told.select(
+        F.col("id").cast("string").alias("key"),
+        envelope(spec, F.col("op"), F.col("ms"), F.col("lsn")).alias("value"),
+        F.lit(spec.topic).alias("topic"),
+        F.pmod("id", F.lit(4)).cast("int").alias("partition"),
+        F.col("lsn").alias("offset"),
+        F.timestamp_millis("ms").alias("timestamp"),
+    )
+
+
+def mixed_changes(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """events as ACTIVITY and orders as SALES, in one topic folder."""
+    activity = amount_changes(
+        events, ACTIVITY, "user_id", "value", event_op(), epoch_millis(F.col("ts")), "event_id")
+    status = mapped("o_orderstatus", ORDER_OPS, "u")
+    sales = amount_changes(
+        orders, SALES, "o_custkey", "o_totalprice", status, epoch_millis(F.col("o_orderdate")), "o_orderkey")
+    return activity.unionByName(sales)
+
+
 def line_changes(lineitem: DataFrame) -> DataFrame:
     """lineitem as raw rows with a two-part key."""
     op = mapped("l_returnflag", LINE_OPS, "u")

@@ -15,23 +15,24 @@ from driftlake.operators.routing import route
 from driftlake.plans import feeds
 from driftlake.plans.decode_queries import EVENT_ROWS, LATEST_EVENTS, LATEST_ORDERS
 from driftlake.plans.feeds import CUSTOMERS, EVENTS, ORDERS, table
-from driftlake.plans.refine import live_rows
+from driftlake.plans.refine import live_rows, refine
 from driftlake.session import scratch_dir
 from driftlake.sources.changes import read_changes, read_raw, replay_options
-from driftlake.sources.tables import typed_rows
 from driftlake.streaming.bronze import (
     start_archive,
     start_bronze,
     start_bronze_batches,
     to_bronze,
 )
-from driftlake.streaming.latest import read_latest, start_latest
+from driftlake.streaming.counts import read_counts, start_counted
+from driftlake.streaming.latest import fold_latest, read_latest, start_latest
 from driftlake.streaming.ledger import (
     apply_batch,
     compact,
     current_view,
     start_scd1,
     start_scd1_tables,
+    wait_for_compactions,
 )
 
 BATCHES = 8
@@ -158,6 +159,7 @@ def incremental(spark, sf_dir):
     start_scd1(
         bronze, EVENTS, state, checkpoint, compact_every=5, buckets=buckets
     ).awaitTermination()
+    wait_for_compactions()
     return current_view(spark, state, EVENTS)
 
 
@@ -184,7 +186,7 @@ def incremental_compacted(spark, sf_dir):
 
 
 def batch_metrics(spark, sf_dir):
-    """Kept and dropped rows as counted by the running stream, summed over its batches."""
+    """Kept and dropped rows as the running stream has written them down, over all its batches."""
     root = scratch_dir(spark, "metrics")
     topic = _event_topic(spark, sf_dir, root)
     shaped = to_bronze(_stream(spark, topic, 4)).select(
@@ -192,17 +194,9 @@ def batch_metrics(spark, sf_dir):
         .otherwise(F.col("payload"))
         .alias("payload")
     )
-    counted = valid_changes(decode(shaped, EVENTS), EVENTS, observe_as="changes")
-    query = (
-        counted.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{root}/out")
-    )
-    query.awaitTermination()
-    seen = [p.observedMetrics["changes"] for p in query.recentProgress if p.observedMetrics]
-    totals = tuple(sum(m[i] for m in seen) for i in range(3))
-    return typed_rows(spark, [totals], "decoded BIGINT, applied BIGINT, rejected BIGINT")
+    start_counted(shaped, EVENTS, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    counts = read_counts(spark, f"{root}/out")
+    return counts.agg(*(F.sum(c).alias(c) for c in ("decoded", "applied", "rejected")))
 
 
 def snapshot_then_changes(spark, sf_dir):
@@ -229,6 +223,64 @@ def streaming_newest(spark, sf_dir):
     return read_latest(spark, f"{root}/out", EVENTS)
 
 
+def streaming_newest_restarted(spark, sf_dir):
+    """The newer half first, then the older half under a new checkpoint, into the same folder."""
+    root = scratch_dir(spark, "stream-again")
+    events = table(spark, sf_dir, "events")
+    newer = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for number, half in enumerate((events.filter(newer), events.filter(~newer))):
+        topic = feeds.write_topic(feeds.event_changes(half), f"{root}/topic-{number}", waves=2)
+        changes = valid_changes(decode(to_bronze(_stream(spark, topic, 2)).select("payload"), EVENTS), EVENTS)
+        start_latest(changes, EVENTS, f"{root}/out", f"{root}/checkpoint-{number}").awaitTermination()
+        fold_latest(spark, f"{root}/out", EVENTS)
+    return read_latest(spark, f"{root}/out", EVENTS)
+
+
+def mixed_topics(spark, sf_dir):
+    """Two tables with the same key name in one raw table; a job and a stream for one of them."""
+    root = scratch_dir(spark, "mixed")
+    changes = feeds.mixed_changes(table(spark, sf_dir, "events"), table(spark, sf_dir, "orders"))
+    topic = feeds.write_topic(changes, f"{root}/topic", waves=2)
+    start_bronze(to_bronze(_stream(spark, topic, 2)), f"{root}/ingest", f"{root}/bronze").awaitTermination()
+    batch = refine(read_raw(spark, f"{root}/bronze"), feeds.ACTIVITY, f"{root}/table")
+    raw = read_raw(spark, f"{root}/bronze", streaming=True)
+    start_scd1(raw, feeds.ACTIVITY, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    streamed = current_view(spark, f"{root}/state", feeds.ACTIVITY)
+    return batch.select(F.lit("batch").alias("via"), "id", "amount").unionByName(
+        streamed.select(F.lit("stream").alias("via"), "id", "amount"))
+
+
+def _appended(spark, sf_dir, label: str, failures: int) -> DataFrame:
+    """events through the batch sink: an empty batch first, and so many failing writes."""
+    root = scratch_dir(spark, label)
+    topic = f"{root}/topic"
+    feeds.write_topic(feeds.order_changes(table(spark, sf_dir, "orders")), topic, waves=1)
+    feeds.write_topic(feeds.event_changes(table(spark, sf_dir, "events")), topic, waves=2)
+    changes = read_changes(spark, "parquet", topic, [EVENTS.topic], options=replay_options(spark, topic, 4))
+    left = [failures]
+
+    def append(batch: DataFrame) -> None:
+        if left[0]:
+            left[0] -= 1
+            raise ConnectionError("the target is away")
+        batch.write.mode("append").parquet(f"{root}/bronze")
+
+    start_bronze_batches(to_bronze(changes), append, f"{root}/checkpoint", pause=0).awaitTermination()
+    raw = spark.read.parquet(f"{root}/bronze").select("payload")
+    return valid_changes(decode(raw, EVENTS), EVENTS)
+
+
+def retried_writes(spark, sf_dir):
+    """Two writes in a row fail; every event arrives once."""
+    return _appended(spark, sf_dir, "retry", 2)
+
+
+def empty_batch(spark, sf_dir):
+    """A first batch without rows of the wanted topic writes nothing and stops nothing."""
+    return _appended(spark, sf_dir, "empty", 0)
+
+
+EVENT_CHANGES = f"SELECT user_id, event_type, value, props, op, version, event_id AS lsn FROM ({EVENT_ROWS})"
 EVENT_LIVE = f"SELECT user_id, event_type, value, props FROM ({LATEST_EVENTS}) WHERE op <> 'd'"
 
 QUERIES = {
@@ -288,6 +340,18 @@ QUERIES = {
         SELECT c_custkey, c_name, c_acctbal FROM customer
         WHERE c_custkey NOT IN (SELECT o_custkey FROM newest)""",
     ),
+    "k_retry": (retried_writes, EVENT_CHANGES),
+    "k_empty_batch": (empty_batch, EVENT_CHANGES),
+    "m_refine_mixed_topics": (
+        mixed_topics,
+        f"""SELECT 'batch' AS via, user_id AS id, value AS amount FROM ({LATEST_EVENTS}) WHERE op <> 'd'
+        UNION ALL SELECT 'stream', user_id, value FROM ({LATEST_EVENTS}) WHERE op <> 'd'""",
+    ),
+    "l_latest_stream_restarted": (
+        streaming_newest_restarted,
+        f"SELECT user_id, event_type, value, props, op, version, event_id AS lsn "
+        f"FROM ({LATEST_EVENTS})",
+    ),
     "l_latest_stream": (
         streaming_newest,
         f"SELECT user_id, event_type, value, props, op, version, event_id AS lsn "

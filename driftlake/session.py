@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 from driftlake.sources import files
 
 SHARED_DIR = "spark.checkpoint.dir"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def layer_catalogs(layers: dict[str, dict[str, str]]) -> dict[str, str]:
@@ -34,6 +36,7 @@ def build_session(
 ) -> SparkSession:
     """A session with one catalog per layer; ``settings`` use ``__`` for dots.
 
+    Streaming state is kept on local disk, with its changelog in the query's checkpoint.
     Recording the Python call site of every column expression is switched off: it costs a
     micro-batch more than building its plan.
     """
@@ -41,6 +44,7 @@ def build_session(
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config(STATE_STORE, STATE_ON_DISK)
     )
     if master:
         builder = builder.master(master)

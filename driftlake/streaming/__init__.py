@@ -6,7 +6,8 @@ from driftlake.streaming.bronze import (
     to_bronze,
     with_retries,
 )
-from driftlake.streaming.latest import read_latest, start_latest
+from driftlake.streaming.counts import read_counts, start_counted
+from driftlake.streaming.latest import fold_latest, read_latest, start_latest
 from driftlake.streaming.ledger import (
     apply_batch,
     compact,
@@ -15,6 +16,7 @@ from driftlake.streaming.ledger import (
     drop_superseded,
     start_scd1,
     start_scd1_tables,
+    wait_for_compactions,
 )
 
 __all__ = [
@@ -23,14 +25,18 @@ __all__ = [
     "current_state",
     "current_view",
     "drop_superseded",
+    "fold_latest",
+    "read_counts",
     "read_latest",
     "start_archive",
     "start_bronze",
     "start_bronze_batches",
+    "start_counted",
     "start_latest",
     "start_print",
     "start_scd1",
     "start_scd1_tables",
     "to_bronze",
+    "wait_for_compactions",
     "with_retries",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 
@@ -24,6 +25,9 @@ JAVA_CONNECTION_FAILURES = (
     "java.net.UnknownHostException",
 )
 
+LOG = logging.getLogger(__name__)
+QUERY_ID = "sql.streaming.queryId"
+
 Hook = Callable[[DataFrame], DataFrame]
 
 
@@ -108,19 +112,36 @@ def start_archive(
     return triggered(writer, every).start(path)
 
 
-def _names(failure: BaseException) -> str:
-    """Text that holds the Java exception classes behind a failed Spark job, if any."""
-    return f"{type(failure).__name__}: {failure}"
+def causes(failure: BaseException) -> list[object]:
+    """The failure and what it was raised from, Python exceptions and Java throwables alike."""
+    found, todo = [], [failure]
+    while todo and len(found) < 100:
+        one = todo.pop()
+        if one is None or any(one is f for f in found):
+            continue
+        found.append(one)
+        if isinstance(one, BaseException):
+            java = getattr(one, "_origin", None) or getattr(one, "java_exception", None)
+            todo += [one.__cause__, one.__context__, java]
+        else:
+            todo.append(one.getCause())
+    return found
+
+
+def _is_any(failure: BaseException, python: type, java: tuple[str, ...]) -> bool:
+    """Whether a cause is of a class; its message does not matter."""
+    return any(
+        isinstance(c, python) if isinstance(c, BaseException) else c.getClass().getName() in java
+        for c in causes(failure)
+    )
 
 
 def is_timeout(failure: BaseException) -> bool:
-    return isinstance(failure, TimeoutError) or any(n in _names(failure) for n in JAVA_TIMEOUTS)
+    return _is_any(failure, TimeoutError, JAVA_TIMEOUTS)
 
 
 def is_connection_failure(failure: BaseException) -> bool:
-    return isinstance(failure, ConnectionError) or any(
-        n in _names(failure) for n in JAVA_CONNECTION_FAILURES
-    )
+    return _is_any(failure, ConnectionError, JAVA_CONNECTION_FAILURES)
 
 
 def with_retries(
@@ -144,6 +165,7 @@ def with_retries(
             return
         except Exception as failure:
             if is_timeout(failure):
+                LOG.warning("write timed out, next try in %s s: %r", timeout_pause, failure)
                 sleep(timeout_pause)
                 continue
             if not is_connection_failure(failure):
@@ -151,6 +173,7 @@ def with_retries(
             failed += 1
             if failed == attempts:
                 raise SinkWriteError(f"write failed {attempts} times") from failure
+            LOG.warning("no connection, next try in %s s: %r", pause, failure)
             sleep(pause)
 
 
@@ -168,16 +191,23 @@ def append_batch(
     return True
 
 
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """A name that lasts: by the query's own id, which lives in its checkpoint, and the batch."""
+    query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    return f"{query}-{batch_id:012d}"
+
+
 def start_bronze_batches(
     bronze: DataFrame,
     write: Callable[[DataFrame], None],
     checkpoint: str,
     every: str | None = None,
+    pause: float = RETRY_PAUSE_SECONDS,
 ) -> StreamingQuery:
     """Append micro-batches to any table format through ``write``.
 
     For table formats without their own streaming sink.  A write repeated after a lost
     acknowledgement appends twice (at least once); the merge jobs are not affected by that.
     """
-    writer = bronze.writeStream.foreachBatch(lambda batch, _: append_batch(batch, write))
+    writer = bronze.writeStream.foreachBatch(lambda batch, _: append_batch(batch, write, pause=pause))
     return triggered(writer.option("checkpointLocation", checkpoint), every).start()

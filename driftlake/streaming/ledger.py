@@ -13,13 +13,15 @@ Layout under ``path``::
 
 A micro-batch costs work in proportion to its own rows, not to the state.  Reading joins
 the bucketed base with the reduced deltas, so the base is not shuffled.  ``_COVERED`` is
-written last and makes a base visible; a delta is visible once Spark has marked it done.
+written last and makes a base visible; a delta is visible once its own marker is written.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
@@ -29,17 +31,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from driftlake.operators.envelope import DELETE_OP, decode, valid_changes
-from driftlake.operators.latest import latest_per_key, newer
-from driftlake.operators.routing import topic_name
-from driftlake.operators.sizes import broadcast_limit, estimated_bytes
+from driftlake.operators.envelope import DELETE_OP
+from driftlake.operators.latest import event_order, latest_per_key, newer
+from driftlake.operators.routing import is_own, own_changes
+from driftlake.operators.sizes import broadcast_limit
 from driftlake.sources import files
 from driftlake.sources.tables import typed_rows
 from driftlake.spec import TableSpec
-from driftlake.streaming.bronze import triggered
+from driftlake.streaming.bronze import batch_name, triggered, with_retries
 
 COVERED = "_COVERED"
-QUERY_ID = "sql.streaming.queryId"
+# Catalog entries that make Spark see a base's buckets; readers need the right to create them.
+NAMESPACE = "driftlake_state"
+# Tables of one micro-batch that are written at the same time.
+WRITERS = 8
+# What a byte of a compressed file may take in memory.
+EXPANSION = 5
+
+_compactions: list[threading.Thread] = []
 
 
 def state_schema(spec: TableSpec) -> T.StructType:
@@ -61,12 +70,13 @@ def apply_batch(bronze: DataFrame, batch_name: str, path: str, spec: TableSpec)
     """
     spark = bronze.sparkSession
     folder = f"{path}/deltas/{batch_name}"
-    if files.exists(spark, f"{folder}/{files.DONE}"):
+    if files.is_done(spark, folder):
         return
-    changes = _state_rows(valid_changes(decode(bronze, spec), spec), spec)
+    changes = _state_rows(own_changes(bronze, spec), spec)
     latest_per_key(changes, spec).write.mode("overwrite").option("compression", "zstd").parquet(
         folder
     )
+    files.mark_done(spark, folder)
 
 
 def _start(
@@ -83,17 +93,36 @@ def _start(
         raise ValueError("compact_every needs the number of buckets")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        query = spark.sparkContext.getLocalProperty(QUERY_ID)
-        record(batch, f"{query}-{batch_id:012d}")
+        name = batch_name(batch, batch_id)
+        with_retries(lambda: record(batch, name))
         if compact_every and (batch_id + 1) % compact_every == 0:
-            for spec, path in targets:
-                compact(spark, path, spec, buckets)
+            _compact_aside(batch.sparkSession, targets, buckets)
 
     writer = bronze.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
 
 
+def _compact_aside(spark: SparkSession, targets: list[tuple[TableSpec, str]], buckets: int) -> None:
+    """Compact in a thread of its own, unless the last one still runs."""
+    _compactions[:] = [t for t in _compactions if t.is_alive()]
+    paths = tuple(path for _, path in targets)
+    if any(t.name == str(paths) for t in _compactions):
+        return
+
+    def run() -> None:
+        for spec, path in targets:
+            compact(spark, path, spec, buckets)
+
+    _compactions.append(threading.Thread(target=run, name=str(paths)))
+    _compactions[-1].start()
+
+
+def wait_for_compactions() -> None:
+    """Wait until the compactions that streams have started are over."""
+    for thread in list(_compactions):
+        thread.join()
+
+
 def start_scd1(
     bronze: DataFrame,
     spec: TableSpec,
@@ -107,7 +136,8 @@ def start_scd1(
 
     Batches are named by the query's own id, which lives in the checkpoint: a restart
     finds its batches again, a new checkpoint cannot mistake them for its own.  Every
-    ``compact_every`` batches the deltas are folded into the base.
+    ``compact_every`` batches the deltas are folded into the base, beside the running stream;
+    :func:`wait_for_compactions` waits for what is under way.  Raw rows of other topics are left out.
     """
 
     def record(batch: DataFrame, name: str) -> None:
@@ -126,16 +156,18 @@ def start_scd1_tables(
 ) -> StreamingQuery:
     """The same for several tables out of one stream that carries all their topics.
 
-    A micro-batch is read from its source once; a table it has nothing for is left alone.
+    A micro-batch is read from its source once; one aggregation tells which topics it has, and
+    their tables are written WRITERS at a time.
     """
 
     def record(batch: DataFrame, name: str) -> None:
         batch.persist()
         try:
-            for spec, path in targets:
-                own = batch.filter(F.col("topic") == topic_name(spec))
-                if not own.isEmpty():
-                    apply_batch(own, name, path, spec)
+            there = {r["topic"] for r in batch.select("topic").distinct().collect()}
+            own = [(spec, path) for spec, path in targets if any(is_own(t, spec) for t in there)]
+            with ThreadPoolExecutor(WRITERS) as writers:
+                for done in [writers.submit(apply_batch, batch, name, path, spec) for spec, path in own]:
+                    done.result()
         finally:
             batch.unpersist()
 
@@ -184,9 +216,14 @@ def _read_deltas(
     return latest_per_key(rows, spec)
 
 
-def _hashed_if_light(deltas: DataFrame, buckets: int) -> DataFrame:
+def _weight(spark: SparkSession, path: str, names: list[str]) -> int:
+    """About what the rows of some deltas take in memory, by the size of their files."""
+    return EXPANSION * sum(files.size_of(spark, f"{path}/deltas/{n}") for n in names)
+
+
+def _hashed_if_light(deltas: DataFrame, weight: int, buckets: int) -> DataFrame:
     """Deltas that fit in memory bucket by bucket are hashed, so the base is not sorted."""
-    light = estimated_bytes(deltas) // buckets <= broadcast_limit(deltas)
+    light = weight // buckets <= broadcast_limit(deltas.sparkSession)
     return deltas.hint("shuffle_hash") if light else deltas
 
 
@@ -198,10 +235,11 @@ def _read_base(spark: SparkSession, path: str, base: str, spec: TableSpec) -> Da
     """The base as a bucketed table, so that joins on the key need no shuffle of it.
 
     The catalog entry, under a name no other base ever has, only points at files that stay
-    where they are.
+    where they are.  It is in NAMESPACE, where readers need the right to create entries.
     """
     about = _describe(spark, path, base)
-    table = about.table
+    table = f"{NAMESPACE}.{about.table}"
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {NAMESPACE}")
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in state_schema(spec).fields
     )
@@ -219,9 +257,8 @@ def _on(spec: TableSpec) -> Column:
 def _winners(joined: DataFrame, spec: TableSpec) -> DataFrame:
     """The winning side of a base (``b``) and delta (``d``) join, row by row."""
     names = state_schema(spec).fieldNames()
-    order = spec.order_columns(names)
     key = spec.keys[0]
-    later = newer([F.col(f"d.{c}") for c in order], [F.col(f"b.{c}") for c in order])
+    later = newer(event_order(spec, names, "d"), event_order(spec, names, "b"))
     take = F.col(f"d.{key}").isNotNull() & (F.col(f"b.{key}").isNull() | later)
     decided = joined.withColumn("_take", take)
     return decided.select(
@@ -243,13 +280,15 @@ def current_state(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     if not names:
         return rows
     deltas = _read_deltas(spark, path, names, spec)
-    if estimated_bytes(deltas) <= broadcast_limit(deltas):
-        known = rows.alias("b").join(deltas.alias("d"), _on(spec), "left_outer")
-        seen = rows.select(*spec.keys).join(deltas.select(*spec.keys), spec.keys, "left_semi")
-        fresh = deltas.join(seen, spec.keys, "left_anti")
+    weight = _weight(spark, path, names)
+    if weight <= broadcast_limit(spark):
+        small = F.broadcast(deltas)
+        known = rows.alias("b").join(small.alias("d"), _on(spec), "left_outer")
+        seen = rows.select(*spec.keys).join(F.broadcast(deltas.select(*spec.keys)), spec.keys, "left_semi")
+        fresh = deltas.join(F.broadcast(seen), spec.keys, "left_anti")
         return _winners(known, spec).unionByName(fresh)
     buckets = _describe(spark, path, base).buckets
-    deltas = _hashed_if_light(_read_deltas(spark, path, names, spec, buckets), buckets)
+    deltas = _hashed_if_light(_read_deltas(spark, path, names, spec, buckets), weight, buckets)
     return _winners(rows.alias("b").join(deltas.alias("d"), _on(spec), "full_outer"), spec)
 
 
@@ -271,7 +310,8 @@ def compact(
     Known keys are rewritten bucket by bucket out of the previous base without moving it
     between tasks; keys new since then are appended to the same buckets.  The first base,
     and one with another bucket count, is shuffled once.  Only one compaction may run at a
-    time.  Deletes with a version below ``forget_deletes_before`` are let go; an even older
+    time.  What the previous base had made redundant is deleted afterwards, so readers may go on
+    for as long as it takes to the next compaction.  Deletes with a version below ``forget_deletes_before`` are let go; an even older
     event arriving after that would count as new.
     """
     base = _latest_base(spark, path)
@@ -290,7 +330,7 @@ def compact(
         parts = [current_state(spark, path, spec).repartition(buckets, *spec.keys)]
     else:
         old = _read_base(spark, path, base, spec)
-        light = _hashed_if_light(deltas, buckets).alias("d")
+        light = _hashed_if_light(deltas, _weight(spark, path, names), buckets).alias("d")
         known = old.alias("b").join(light, _on(spec), "left_outer")
         fresh = deltas.join(old.select(*spec.keys), spec.keys, "left_anti")
         parts = [_winners(known, spec), fresh]
@@ -301,6 +341,8 @@ def compact(
     name = f"driftlake_base_{uuid.uuid4().hex}"
     listing = "\n".join([str(buckets), name, *sorted(covered | set(names))])
     files.write_text(spark, f"{folder}/{COVERED}", listing)
+    if base:
+        _retire(spark, path, base)
     return number
 
 
@@ -325,11 +367,15 @@ def drop_superseded(spark: SparkSession, path: str) -> None:
     Run it when no reader can still be on the older files.
     """
     base = _latest_base(spark, path)
-    if base is None:
-        return
+    if base is not None:
+        _retire(spark, path, base)
+
+
+def _retire(spark: SparkSession, path: str, base: str) -> None:
+    """Delete the bases before ``base`` and the deltas it covers."""
     for name in files.finished_children(spark, f"{path}/base", COVERED):
         if name < base:
-            spark.sql(f"DROP TABLE IF EXISTS {_describe(spark, path, name).table}")
+            spark.sql(f"DROP TABLE IF EXISTS {NAMESPACE}.{_describe(spark, path, name).table}")
             files.remove(spark, f"{path}/base/{name}")
     for name in _describe(spark, path, base).covered:
         files.remove(spark, f"{path}/deltas/{name}")
