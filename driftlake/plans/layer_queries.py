@@ -62,7 +62,7 @@ def listing(spark, sf_dir):
 
 def typed_append(spark, sf_dir):
     """Click events appended to a table with a fixed schema, twice."""
-    name = f"{new_namespace(spark, 'clicks')}.click_events"
+    name = f"{new_namespace(spark, 'clicks')}.web_hits"
     ensure_table(spark, name, click_event_schema())
     events = table(spark, sf_dir, "events")
     clicks = events.select(

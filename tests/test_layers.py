@@ -52,9 +52,9 @@ def test_ordered_preview_is_a_top_n(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_click_events_append(spark):
-    ensure_namespace(spark, "event_streaming")
-    name = "event_streaming.click_events"
+def test_typed_rows_append(spark):
+    ensure_namespace(spark, "stream_in")
+    name = "stream_in.web_hits"
     assert ensure_table(spark, name, click_event_schema()).count() == 0
     rows = [
         (1, dt.datetime(2025, 5, 1, 8, 15, 0, 250), "u1", "click", "/start", 0.5),
@@ -88,10 +88,10 @@ def test_promote_is_create_if_not_exists(spark):
     for layer in ("l_bronze", "l_silver", "l_gold"):
         ensure_namespace(spark, layer)
     promote(spark.sql("SELECT * FROM VALUES (5L, 1.5D), (6L, 2.5D) AS t(id, amount)"), "l_bronze.events")
-    promote(spark.table("l_bronze.events").select("id", "amount"), "l_silver.daily_totals")
-    promote(spark.table("l_bronze.events").limit(0), "l_silver.daily_totals")
-    promote(spark.table("l_silver.daily_totals"), "l_gold.model_output")
-    assert sorted(map(tuple, spark.table("l_gold.model_output").collect())) == [(5, 1.5), (6, 2.5)]
+    promote(spark.table("l_bronze.events").select("id", "amount"), "l_silver.day_sums")
+    promote(spark.table("l_bronze.events").limit(0), "l_silver.day_sums")
+    promote(spark.table("l_silver.day_sums"), "l_gold.scores")
+    assert sorted(map(tuple, spark.table("l_gold.scores").collect())) == [(5, 1.5), (6, 2.5)]
 
 
 def test_partitioned_promote_writes_few_files(spark):
