@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from driftlake.session import scratch_dir
 # ASCII white space: the class [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
+_BLANKS = np.frombuffer(ASCII_SPACE.encode(), np.uint8)
+
 # Odd 64-bit constants of the integer mixer (fixed values).
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -71,6 +74,43 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def pieces(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """A long text in parts of about ``limit`` bytes, each but the last ending on white space.
+
+    A stretch without white space stays whole, however long it is.
+    """
+    start = 0
+    while start < len(data):
+        end = min(start + limit, len(data))
+        if end < len(data):
+            blank = np.flatnonzero(np.isin(data[start:end], _BLANKS))
+            while not len(blank) and end < len(data):
+                blank = end - start + np.flatnonzero(np.isin(data[end : end + limit], _BLANKS))[:1]
+                end = min(end + limit, len(data))
+            end = start + int(blank[-1]) + 1 if len(blank) else end
+        yield data[start:end]
+        start = end
+
+
+@functools.lru_cache(maxsize=4)
+def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2^64; not to be written to."""
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def low40(values: np.ndarray) -> bytes:
+    """The lowest 40 bits of each number, five bytes each."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def from40(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view("<u8")
+
+
 def ascii_lower(column):
     """Lower-case A-Z only, as the contracts say; other letters stay."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

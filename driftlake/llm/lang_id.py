@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlake.llm.common import blocks, mix, text_buffer
+from driftlake.llm.common import blocks, mix, pieces, text_buffer
 
 DIMENSIONS = 1024
 SLOTS = 4096
@@ -92,6 +92,10 @@ def bundle(texts: list[bytes]) -> np.ndarray:
 def _vectors(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     data, offsets = text_buffer(texts)
     for a, b in blocks(offsets, BLOCK_BYTES):
+        if b - a == 1:  # a long text is the sum of its parts, cut at white space
+            parts = pieces(data[offsets[a] : offsets[b]], BLOCK_BYTES)
+            yield a, b, sum((bundle([p.tobytes()]) for p in parts), np.zeros((1, DIMENSIONS), np.float32))
+            continue
         for start in range(a, b, 512):  # also bounds the rows of many short texts
             end = min(start + 512, b)
             yield start, end, bundle([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(start, end)])

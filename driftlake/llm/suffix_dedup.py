@@ -29,7 +29,6 @@ other; all rows are returned; no rows give no rows.  Only ``doc_id`` and ``text`
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import mix, partitions_for, runs, text_buffer
+from driftlake.llm.common import from40, low40, mix, partitions_for, powers, runs, text_buffer
 
 LENGTH = 50
 GRAM = 20
@@ -55,13 +54,6 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(1000))
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def difference_cover(v: int) -> list[int]:
     """A small set of residues whose differences are all residues modulo ``v``."""
     cover, missing = [0], set(range(1, v))
@@ -288,7 +280,7 @@ def find_segments(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> Se
     while begin + LENGTH <= total:
         part = data[begin : begin + HASH_BYTES + LENGTH - 1]
         with np.errstate(over="ignore"):
-            power, back = (_powers(b, HASH_BYTES + LENGTH) for b in (_BASE, _INVERSE))
+            power, back = (powers(b, HASH_BYTES + LENGTH) for b in (_BASE, _INVERSE))
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[part] * power[: len(part)])])
             grams = mix((sums[GRAM:] - sums[:-GRAM]) * back[: len(part) - GRAM + 1])
         low = np.uint64((1 << 20) - 1)
@@ -345,16 +337,6 @@ def _least_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch if len(order) == len(docs) else batch.take(pa.array(np.sort(order)))
 
 
-def _low40(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _from40(data: bytes, bucket: int) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view("<u8") | np.uint64(bucket) << np.uint64(40)
-
-
 def _short(anchors: np.ndarray, bits: int) -> np.ndarray:
     """Anchors as they are exchanged: the bucket's bits, then the lowest 40."""
     return (anchors >> np.uint64(64 - bits)) << np.uint64(40) | anchors & np.uint64((1 << 40) - 1)
@@ -382,7 +364,7 @@ def _anchors(bits: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         found = np.unique(_short(Block(rows).segments().anchor, bits))
         block = key[0].as_py()
-        return _table([(bucket, block, _low40(found[a:b])) for bucket, a, b in _by_bucket(found)], ANCHORS)
+        return _table([(bucket, block, low40(found[a:b])) for bucket, a, b in _by_bucket(found)], ANCHORS)
 
     return run
 
@@ -390,13 +372,14 @@ def _anchors(bits: int):
 def _meet(key: tuple, rows: pa.Table) -> pa.Table:
     """To each block those of its anchors that another block has too."""
     bucket, out = key[0].as_py(), []
-    anchors = [_from40(a, bucket) for a in rows.column("anchors").to_pylist()]
+    high = np.uint64(bucket) << np.uint64(40)
+    anchors = [from40(a) | high for a in rows.column("anchors").to_pylist()]
     every = np.sort(np.concatenate(anchors))
     shared = np.unique(every[1:][every[1:] == every[:-1]])
     for block, own in zip(rows.column("block").to_pylist(), anchors, strict=True):
         own = own[np.isin(own, shared, assume_unique=True)]
         if len(own):
-            out.append((bucket, block, _low40(own)))
+            out.append((bucket, block, low40(own)))
     return _table(out, ANCHORS)
 
 
@@ -406,7 +389,7 @@ def _send(bits: int):
         if not len(rows):
             return _table([], SEGMENTS)
         block, segments = key[0].as_py(), Block(rows).segments()
-        told = [_from40(a, b) for b, a in zip(shared.column("bucket").to_pylist(), shared.column("anchors").to_pylist(), strict=True)]
+        told = [from40(a) | np.uint64(b) << np.uint64(40) for b, a in zip(shared.column("bucket").to_pylist(), shared.column("anchors").to_pylist(), strict=True)]
         anchors = _short(segments.anchor, bits)
         order = np.lexsort([segments.own, anchors])
         a, o = anchors[order], segments.own[order]
