@@ -41,7 +41,7 @@ from driftlake.llm.common import blocks, stored, text_buffer
 GROUPS = 512
 SHARE = 4
 RANK_BUCKETS = 256
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -185,27 +185,48 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _resolver(path: str, separator: str = "<|startoftext|>"):
-    """Ids of distinct chunks by the library, many to a call, parted by a special token."""
+def in_order(values: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences that were found in ``order``, put back in their own order."""
+    back = np.argsort(order)
+    begins, own = np.cumsum(lengths) - lengths, lengths[back]
+    at = np.repeat(begins[back] - (np.cumsum(own) - own), own) + np.arange(len(values))
+    return values[at], own
+
+
+def _resolver(path: str, together: int = 500):
+    """Ids of distinct chunks by the library, many to a call, told apart by their places."""
     tokenizer = _tokenizer(path)
-    mark = tokenizer.token_to_id(separator)
+
+    last = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+    for token, number in tokenizer.get_vocab().items():
+        last[number] = token.endswith("</w>")
+
+    def by_ends(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of plain letters: each ends with a token that ends a word."""
+        ids = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(last[ids])
+        return ids, np.diff(ends, prepend=-1)
+
+    def by_places(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any chunks, told apart by where they begin."""
+        found = tokenizer.encode(" ".join(some), add_special_tokens=False)
+        begins = np.cumsum([0, *(len(t) + 1 for t in some[:-1])])
+        places = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+        own = np.searchsorted(begins, places, side="right") - 1
+        return np.array(found.ids, np.uint32), np.bincount(own, minlength=len(some))
 
     def resolve(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.array([mark is not None and b"<" not in c for c in chunks], bool)
         texts = [c.decode("utf-8", "replace") for c in chunks]
-        out: list = [None] * len(chunks)
-        together = np.flatnonzero(plain)
-        for a in range(0, len(together), 5000):
-            some = together[a : a + 5000]
-            joined = separator.join(texts[i] for i in some)
-            ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
-            for i, part in zip(some, np.split(ids, np.flatnonzero(ids == mark)), strict=True):
-                out[i] = part[1:] if i != some[0] else part
-        alone = np.flatnonzero(~plain)
-        found = tokenizer.encode_batch([texts[i] for i in alone], add_special_tokens=False)
-        for i, encoding in zip(alone, found, strict=True):
-            out[i] = np.array(encoding.ids, np.uint32)
-        return np.concatenate([np.zeros(0, np.uint32), *out]), np.array([len(o) for o in out], np.int64)
+        # Letters of one byte's range stay one letter each in lower case.
+        plain = np.fromiter((t.isalpha() and max(t) < "\u0100" for t in texts), bool, len(texts))
+        values, lengths, order = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], []
+        for which, encode in ((np.flatnonzero(plain), by_ends), (np.flatnonzero(~plain), by_places)):
+            for a in range(0, len(which), together):
+                ids, sizes = encode([texts[i] for i in which[a : a + together]])
+                values.append(ids)
+                lengths.append(sizes)
+            order.append(which)
+        return in_order(np.concatenate(values), np.concatenate(lengths), np.concatenate(order))
 
     return resolve
 
@@ -218,8 +239,7 @@ def _cutter(path: str, capacity: int, end_id: int):
             ids = batch.column("doc_id").to_pylist()
             rows = []
             for a, b in blocks(offsets, BLOCK_BYTES):
-                values, at = chunks.sequences(
-                    [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)])
+                values, at = chunks.sequences(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 for i in range(a, b):
                     own = np.append(values[at[i - a] : at[i - a + 1]], np.uint32(end_id)).astype("<u4")
                     for piece, start in enumerate(range(0, len(own), capacity)):

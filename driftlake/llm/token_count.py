@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from driftlake.llm.chunks import ChunkTable
 from driftlake.llm.common import blocks, text_buffer
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
 LONG = 4096
 NONE = np.int64(1) << 40
 
@@ -54,6 +54,7 @@ class WordBpe:
         steps = spec["pre_tokenizer"]["pretokenizers"]
         pattern = steps[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
         self.pattern = regex.compile(pattern)
+        self.lines = regex.compile(rf"\n|{pattern}")
         specials = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         characters = _byte_characters()
@@ -65,7 +66,7 @@ class WordBpe:
         order = np.argsort(keys)
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int64), merged[order]
 
-    def pre_tokens(self, chunk: bytes) -> tuple[list[bytes], int]:
+    def pre_tokens(self, chunk: bytes) -> tuple[list[str], int]:
         """Pre-tokens of a chunk, and how many special tokens it names."""
         text, specials = chunk.decode("utf-8", "replace"), 0
         parts = [text]
@@ -78,7 +79,7 @@ class WordBpe:
                 part = unicodedata.normalize("NFC", part)
             # Letter by letter: the library knows no final sigma.
             part = "".join(c.lower() for c in part) if "Σ" in part else part.lower()
-            out += [p.encode() for p in self.pattern.findall(part)]
+            out += self.pattern.findall(part)
         return out, specials
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,15 +168,26 @@ class WordBpe:
 
     def resolve(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Number of tokens of each chunk, in the form :class:`ChunkTable` takes."""
-        distinct: dict[bytes, int] = {}
+        distinct: dict[str, int] = {}
         places, owners, counts = [], [], np.zeros(len(chunks), np.int64)
-        for i, chunk in enumerate(chunks):
-            parts, counts[i] = self.pre_tokens(chunk)
+        rare = [i for i, c in enumerate(chunks) if b"<" in c or b"\xce\xa3" in c]  # specials, sigma
+        for i in rare:
+            parts, counts[i] = self.pre_tokens(chunks[i])
             for part in parts:
                 places.append(distinct.setdefault(part, len(distinct)))
                 owners.append(i)
+        # The others in one go, a line each.
+        plain = np.setdiff1d(np.arange(len(chunks)), rare)
+        text = b"\n".join([chunks[i] for i in plain]).decode("utf-8", "replace")
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        found = self.lines.findall(text.lower())
+        line = np.cumsum(np.fromiter((f == "\n" for f in found), bool, len(found)))
+        kept = np.fromiter((f != "\n" for f in found), bool, len(found))
+        places += [distinct.setdefault(f, len(distinct)) for f in found if f != "\n"]
+        owners = np.concatenate([np.array(owners, np.int64), plain[line[kept]] if len(plain) else line[kept]])
         if distinct:
-            sizes = self.count(list(distinct))
+            sizes = self.count([d.encode() for d in distinct])
             counts += np.bincount(owners, sizes[places], len(chunks)).astype(np.int64)
         return np.zeros(0, np.uint32), counts
 
@@ -192,8 +204,7 @@ def _counter(path: str):
             data, offsets = text_buffer(batch.column("text"))
             counts = [np.zeros(0, np.int64)]
             for a, b in blocks(offsets, BLOCK_BYTES):
-                counts.append(chunks.counts(
-                    [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]))
+                counts.append(chunks.counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(np.concatenate(counts))],
                 names=["doc_id", "n_bytes", "n_tokens"],

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -7,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from driftlake.llm import packing
+from driftlake.llm.chunks import ChunkTable
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -51,6 +53,22 @@ def test_random_plans_come_close_to_best_fit_decreasing(seed):
     assert fill(counts, 4096) <= 1.01 * best_fit_decreasing(lengths.tolist(), 4096) + 1
 
 
+def test_chunks_get_the_ids_of_the_library():
+    rng = random.Random(6)
+    letters = "Ab cdeéÉß'sl12.,;!#$\n\t\x0b　日<|>endoftextΣσİ́W̊ªŉ"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(300)]
+    texts += ["a.b,c!!x.'s '' 's'", "<|endoftext|>,x", "\xa0", "", "W̊,", "naïve Straße ÀÉÎ", "it's### $$$end 'tis"]
+    library = Tokenizer.from_file(PATH)
+    table = ChunkTable(packing._resolver(PATH, together=7), capacity=300)
+    for a in range(0, len(texts), 40):
+        data = [t.encode() for t in texts[a : a + 40]]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in data])]).astype(np.int64)
+        values, at = table.sequences(np.frombuffer(b"".join(data), np.uint8), offsets)
+        for i, text in enumerate(texts[a : a + 40]):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert values[at[i] : at[i + 1]].tolist() == want, text
+
+
 def test_odd_rows_are_cut_and_packed(docs_of, odd_rows):
     library = Tokenizer.from_file(PATH)
     got = packing.pack(docs_of(odd_rows), PATH, capacity=64, end_id=1).collect()

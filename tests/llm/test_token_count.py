@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -19,6 +20,12 @@ def lengths(library, texts):
     return [len(e.ids) for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def counts(table, texts):
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in data])]).astype(np.int64)
+    return list(table.counts(np.frombuffer(b"".join(data), np.uint8), offsets))
+
+
 def test_odd_rows(docs_of, odd_rows, library):
     got = token_count.count_tokens(docs_of(odd_rows), PATH, limit=5).collect()
     texts = [t for _, t in odd_rows]
@@ -28,15 +35,15 @@ def test_odd_rows(docs_of, odd_rows, library):
 
 def test_random_texts(library):
     rng = random.Random(4)
-    letters = "ab cdeéß'sl12\n\t\x0b　日<|>endoftextΣσİ́"
+    letters = "Ab cdeéß'sl12.,;!\n\t\x0b　日<|>endoftextΣσİ́W̊"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 300))) for _ in range(400)]
-    texts += ["aaaa aaaaaaa" * 5, "ǅ ﬁ ẞ", "a\x0bb\x0cc\x1cd\x1fe\x85f\xa0g", "<|endoftext|>x<|startoftext|>"]
+    texts += ["aaaa aaaaaaa" * 5, "ǅ ﬁ ẞ", "a\x0bb\x0cc\x1cd\x1fe\x85f\xa0g", "A.b,C!!x.'s (y,)", "W̊,E\u0301!", "", " ", "<|endoftext|>x<|startoftext|>"]
     table = ChunkTable(token_count.WordBpe(PATH).resolve, capacity=200)
-    got = [n for at in range(0, len(texts), 50) for n in table.counts([t.encode() for t in texts[at : at + 50]])]
+    got = [n for at in range(0, len(texts), 50) for n in counts(table, texts[at : at + 50])]
     assert got == lengths(library, texts)
 
 
 def test_long_pre_tokens_take_the_queue(library):
     texts = ["x" * 9000 + "ab" * 300, "日本語テキスト" * 900]
     table = ChunkTable(token_count.WordBpe(PATH).resolve)
-    assert list(table.counts([t.encode() for t in texts])) == lengths(library, texts)
+    assert counts(table, texts) == lengths(library, texts)
