@@ -19,6 +19,7 @@ give no rows.  Only ``page_id`` and ``url`` are read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,7 @@ from driftlake.llm.common import ascii_lower, mix, text_buffer
 ORDER = 4
 ALPHABET = 64
 CONTEXTS = 1 << 14
+PARTS = 32  # of the cells, each added up by a task
 HELD_OUT = 5  # one in so many labelled urls sets the threshold
 BINS = 2000  # of the scores between -CLIP and CLIP
 CLIP = 10.0
@@ -104,7 +106,7 @@ def _cells(urls: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cell counts of a task's accepted and rejected urls, added up before they are shuffled."""
+    """Cell counts of a task's accepted and rejected urls, added up and packed before a shuffle."""
     size = (ORDER + 1) * CONTEXTS * ALPHABET
     counts = np.zeros(2 * size, np.int64)
     for batch in batches:
@@ -113,39 +115,63 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in cells:
             np.add.at(counts, cell + size * label[rows], 1)
     used = np.flatnonzero(counts)
-    yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["cell", "n"])
+    cuts = np.searchsorted(used, np.arange(PARTS + 1) * (2 * size // PARTS))
+    rows = [(i, used[x:y].astype(np.uint32).tobytes(), counts[used[x:y]].tobytes())
+            for i, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x]
+    columns = list(zip(*rows, strict=True)) or [[]] * 3
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                          names=["part", "cells", "n"])
+
+
+def _add_up(rows: pa.Table) -> pa.Table:
+    """The tasks' counts of one part of the cells, added."""
+    width = 2 * (ORDER + 1) * CONTEXTS * ALPHABET // PARTS
+    base, total = rows.column("part")[0].as_py() * width, np.zeros(width, np.int64)
+    for cells, n in zip(rows.column("cells"), rows.column("n"), strict=True):
+        at = np.frombuffer(cells.as_buffer(), np.uint32).astype(np.int64) - base
+        total[at] += np.frombuffer(n.as_buffer(), np.int64)
+    used = np.flatnonzero(total)
+    return pa.table([pa.array([(used + base).astype(np.uint32).tobytes()], pa.binary()),
+                     pa.array([total[used].tobytes()], pa.binary())], names=["cells", "n"])
 
 
-@dataclass
 class Model:
-    """Log-probability of a cell's character after its context, accepted minus rejected."""
+    """Log-probability of a cell's character after its context, accepted minus rejected.
 
-    ratio: list[np.ndarray]  # per label: probability by (order, context, symbol), unsmoothed
-    weight: list[np.ndarray]  # per label: share of the longer context, by (order, context)
-    threshold: float = 0.0
+    What travels is the counts of the cells in use; tasks make the tables from them.
+    """
 
-    @classmethod
-    def fit(cls, cells: np.ndarray, n: np.ndarray) -> Model:
+    def __init__(self, cells: np.ndarray, n: np.ndarray, threshold: float = 0.0):
+        self.cells, self.n, self.threshold = cells.astype(np.uint32), n.astype(np.float32), threshold
+
+    def __getstate__(self):
+        return {"cells": self.cells, "n": self.n, "threshold": self.threshold}
+
+    @functools.cached_property
+    def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per label: unsmoothed probability by (order, context, symbol), and the share of the
+        longer context by (order, context)."""
         size = (ORDER + 1) * CONTEXTS * ALPHABET
-        ratio, weight = [], []
+        out = []
         for label in (0, 1):
             counts = np.zeros(size, np.float32)
-            own = (cells >= label * size) & (cells < (label + 1) * size)
-            counts[cells[own] - label * size] = n[own]
+            own = (self.cells >= label * size) & (self.cells < (label + 1) * size)
+            counts[self.cells[own] - label * size] = self.n[own]
             counts = counts.reshape(-1, ALPHABET)
             total, kinds = counts.sum(axis=1), (counts > 0).sum(axis=1)
-            ratio.append((counts / np.maximum(total, 1)[:, None]).astype(np.float32).ravel())
-            weight.append((total / np.maximum(total + kinds, 1)).astype(np.float32))
-        return cls(ratio, weight)
+            counts /= np.maximum(total, 1)[:, None]
+            out.append((counts.ravel(), (total / np.maximum(total + kinds, 1)).astype(np.float32)))
+        return out
 
     def score(self, urls: pa.Array) -> np.ndarray:
         cells, rows = _cells(urls)
         logs = []
-        for label in (0, 1):
+        for ratio, weight in self.tables:
             p = np.full(len(rows), 1.0 / ALPHABET)
             for cell in cells:
-                w = self.weight[label][cell // ALPHABET]
-                p = w * self.ratio[label][cell] + (1 - w) * p
+                w = weight[cell // ALPHABET]
+                p = w * ratio[cell] + (1 - w) * p
             logs.append(np.log(p))
         lengths = np.bincount(rows, minlength=len(urls))
         return np.bincount(rows, logs[0] - logs[1], minlength=len(urls)) / np.maximum(lengths, 1)
@@ -177,12 +203,14 @@ def best_threshold(bins: dict[tuple[int, int], int]) -> float:
 def fit(labelled: DataFrame) -> Model:
     """Model and threshold from (url, label) rows, label 0 accepted and 1 rejected."""
     held = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(HELD_OUT)) == 0
-    counted = (
+    found = (
         labelled.filter(~held).select("url", "label")
-        .mapInArrow(_count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    )
-    found = counted.toPandas()  # at most 2 * (ORDER + 1) * CONTEXTS * ALPHABET cells
-    model = Model.fit(found["cell"].to_numpy(np.int64), found["n"].to_numpy(np.float32))
+        .mapInArrow(_count, "part int, cells binary, n binary")
+        .groupBy("part").applyInArrow(_add_up, "cells binary, n binary").collect()
+    )  # PARTS rows, at most 2 * (ORDER + 1) * CONTEXTS * ALPHABET cells together
+    cells = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(r["cells"], np.uint32) for r in found)])
+    n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["n"], np.int64) for r in found)])
+    model = Model(cells, n)
     score = _scored(model)(F.col("url"))
     width = 2 * CLIP / BINS
     bins = (
