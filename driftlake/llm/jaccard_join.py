@@ -12,12 +12,19 @@
    below another node.  The tree is joined with itself: pairs of nodes whose bound is too small
    are left out, and so are pairs that are known to be connected already; what remains is compared
    exactly.  Of a group of many near copies about one comparison a copy is made.
-5. Groups above CHUNK sets are cut into chunks, and every pair of chunks is joined by a task.
+5. A group of more than CHUNK sets does not go to one task.  Its sets are first compared with the
+   group's smallest one.  Those linked with it are connected, and need not meet each other; in a
+   group of near copies that is nearly all of them.  The others are cut into chunks, and a task
+   joins, by a tree again, two such chunks or one of them with a chunk of those linked.  The work
+   grows with the group's size times the number of chunks of sets that are not linked.
 
 Shuffled are packed arrays, not rows per shingle.  A hot shingle weighs 5 bytes in its bucket for
 each document that has it (and copies within a block count once).  Hashes stand for shingles and
 classes: for two different ones to be taken for the same has a chance of about 1 in 2^64 a pair.
 
+Blocks are runs of an input partition's rows, so a task that is run again must meet the same rows in
+the same order: documents should come from a stored table, as between the stages of a pipeline.
+
 Edge cases: null and empty texts, and texts of white space, have empty sets and link with nothing;
 fewer words than a shingle are one shingle; repeated rows are one class and are all returned; a
 null id takes part but names no component unless the component has no other; no rows give no rows.
@@ -35,7 +42,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import blocks, mix, one_row_each, partitions_for, row_key, runs, stored, text_buffer
+from driftlake.llm.common import (
+    blocks,
+    from40,
+    low40,
+    mix,
+    one_row_each,
+    partitions_for,
+    pieces,
+    powers,
+    row_key,
+    runs,
+    stored,
+    text_buffer,
+)
 from driftlake.llm.graph import components
 
 BLOCK_BYTES = 8 << 20
@@ -43,7 +63,7 @@ HASH_BYTES = 1 << 20
 BITS = 2048
 LEAF = 16
 FAN_OUT = 4
-CHUNK = 8192
+CHUNK = 2048
 PAYLOAD_SCHEMA = "bucket int, block long, docs binary, own binary, hashes binary"
 SHARED_SCHEMA = "block long, docs binary, own binary, hashes binary, frequency binary"
 SETS_SCHEMA = "class long, n long, prefix int, shared binary"
@@ -57,12 +77,6 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 _BYTE = mix(np.arange(256, dtype=np.uint64))
 
 
@@ -77,9 +91,11 @@ def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     fresh[cuts] = inside[cuts]
     last[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(fresh), np.flatnonzero(last) + 1
-    power = _powers(_BASE, len(data) + 1)
+    # One pair of tables serves all parts of ordinary size.
+    n = HASH_BYTES if len(data) < HASH_BYTES else len(data)
+    power = powers(_BASE, n + 1)[: len(data) + 1]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[_LOWER[data]] * power[:-1])])
-    back = _powers(_INVERSE, len(data) + 1)
+    back = powers(_INVERSE, n + 1)
     words = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
     return words, np.diff(np.searchsorted(starts, offsets))
 
@@ -94,7 +110,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
             if not len(part):
                 out += [np.zeros(0, np.uint64)] * (b - a)
                 continue
-            words, counts = _word_hashes(part, offsets[a : b + 1] - offsets[a])
+            if b - a == 1:
+                found = [_word_hashes(p, np.array([0, len(p)])) for p in pieces(part, HASH_BYTES)]
+                words = np.concatenate([f[0] for f in found])
+                counts = np.array([len(words)])
+            else:
+                words, counts = _word_hashes(part, offsets[a : b + 1] - offsets[a])
             rolled = np.zeros(max(len(words) - k + 1, 0), np.uint64)
             for j in range(k if len(rolled) else 0):
                 rolled += words[j : j + len(rolled)] * factors[j]
@@ -136,16 +157,6 @@ def _profile(k: int):
     return run
 
 
-def _low40(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _from40(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view("<u8")
-
-
 def _deal(k: int, bucket_bits: int):
     """Shingles of each block, by bucket: the document's place in the block, 40 bits of the hash."""
 
@@ -171,7 +182,7 @@ def _deal(k: int, bucket_bits: int):
                 bucket, hashes, own = bucket[order], hashes[order], own[order]
                 rows = [(-1 - (block & 63), block, classes.tobytes() + sizes.tobytes(), None, None)]
                 for x, y in zip(*runs(bucket), strict=True):
-                    rows.append((int(bucket[x]), block, None, own[x:y].tobytes(), _low40(hashes[x:y])))
+                    rows.append((int(bucket[x]), block, None, own[x:y].tobytes(), low40(hashes[x:y])))
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -185,7 +196,7 @@ def _count(key: tuple, rows: pa.Table) -> pa.Table:
     names = ["block", "docs", "own", "hashes", "frequency"]
     if key[0].as_py() < 0:
         return rows.select(names[:4]).append_column("frequency", pa.nulls(len(rows), pa.binary()))
-    hashes = [_from40(h) for h in rows.column("hashes").to_pylist()]
+    hashes = [from40(h) for h in rows.column("hashes").to_pylist()]
     every = np.sort(np.concatenate(hashes))
     first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
     counts = np.diff(np.append(first, len(every)))
@@ -270,10 +281,14 @@ def _stars(rows: pa.Table) -> pa.Table:
 class SignatureTree:
     """Sets under nodes that hold OR-ed bitmaps and size ranges; joined with itself or another.
 
-    ``sizes`` are those of the whole sets, ``sets`` the sorted shingles that others share.
+    ``sizes`` are those of the whole sets, ``sets`` the sorted shingles that others share; sets
+    that are ``joined`` are known to be connected with each other.
     """
 
-    def __init__(self, classes: list[int], sizes: list[int], sets: list[np.ndarray], threshold: tuple[int, int]):
+    def __init__(
+        self, classes: list[int], sizes: list[int], sets: list[np.ndarray], threshold: tuple[int, int],
+        joined: list[bool] | None = None,
+    ):
         order = sorted(range(len(sets)), key=lambda i: (sizes[i], int(sets[i][0]) if len(sets[i]) else 0))
         self.classes = [classes[i] for i in order]
         self.sets = [sets[i] for i in order]
@@ -287,6 +302,9 @@ class SignatureTree:
         # Shingles beyond the first of a bit: a common bit may stand for that many more.
         self.excess = np.array([len(s) for s in self.sets]) - ones
         self.labels = np.arange(len(sets))
+        if joined is not None:
+            known = np.array([joined[i] for i in order], bool)
+            self.labels[known] = np.flatnonzero(known)[:1] if known.any() else 0
         self.nodes: dict[tuple[int, int], tuple] = {}
 
     def node(self, a: int, b: int) -> tuple:
@@ -372,7 +390,8 @@ def _join_groups(threshold: tuple[int, int]):
     def solve(rows: list[tuple]) -> list[tuple[int, int]]:
         distinct = {r[0]: r for r in rows}
         tree = SignatureTree(list(distinct), [r[1] for r in distinct.values()],
-                             [np.sort(np.frombuffer(r[2], np.uint64)) for r in distinct.values()], threshold)
+                             [np.sort(np.frombuffer(r[2], np.uint64)) for r in distinct.values()],
+                             threshold, [r[3] for r in distinct.values()])
         tree.join_self()
         first: dict[int, int] = {}
         edges = []
@@ -385,7 +404,7 @@ def _join_groups(threshold: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows, edges = None, [], []
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("part", "class", "n", "shared")]
+            columns = [batch.column(n).to_pylist() for n in ("part", "class", "n", "shared", "near")]
             for part, *row in zip(*columns, strict=True):
                 if part != current:
                     if len(rows) > 1:
@@ -411,22 +430,68 @@ def links(docs: DataFrame, k: int, threshold: tuple[int, int], chunk: int = CHUN
     sets = stored(shared.groupBy("block").applyInArrow(_candidates(threshold), SETS_SCHEMA), "sets")
     stars = sets.select("class", "prefix", "shared").mapInArrow(
         _deal_prefixes(bits), "bucket int, keys binary, classes binary").groupBy("bucket").applyInArrow(_stars, EDGE_SCHEMA)
-    groups = components(stars)
-    # A group that is too large for one task becomes chunks; each pair of chunks is a part.
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / F.lit(chunk)).cast("int").alias("chunks"))
-    of_chunk = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
-    members = (
-        groups.withColumnRenamed("node", "class").join(sizes, "root")
-        .withColumn("own", of_chunk)
-        .select("class", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda other: F.concat_ws(
-            ":", "root", F.least(F.col("own"), other), F.greatest(F.col("own"), other)))).alias("part"))
-    )
+    groups = stored(components(stars).withColumnRenamed("node", "class"), "groups")
     # Blocks that hold copies of a class have written it each; one is enough.
-    dealt = sets.select("class", "n", "shared").dropDuplicates(["class"]).join(members, "class")
-    return (
-        dealt.repartition(parts, "part").sortWithinPartitions("part", "class")
+    distinct = sets.select("class", "n", "shared").dropDuplicates(["class"])
+    sizes = groups.groupBy("root").agg(F.count("*").alias("members"))
+    whole = groups.join(sizes.filter(F.col("members") <= chunk), "root").select(
+        "class", F.lit(False).alias("near"), F.col("root").cast("string").alias("part"))
+    large = groups.join(sizes.filter(F.col("members") > chunk), "root").select("class", "root")
+    first = distinct.join(large.filter("class = root").select("class"), "class").select(
+        F.col("class").alias("root"), F.col("n").alias("first_n"), F.col("shared").alias("first_shared"))
+    compared = distinct.join(large, "class").join(first, "root").mapInArrow(
+        _near_first(threshold), "class long, root long, near boolean")
+    compared = stored(compared, "compared")
+    told = compared.filter("near and class <> root").select(F.col("class").alias("a"), F.col("root").alias("b"))
+    parts_of = whole.union(_parts(compared, chunk))
+    joined = (
+        distinct.join(parts_of, "class").repartition(parts, "part").sortWithinPartitions("part", "class")
         .mapInArrow(_join_groups(threshold), EDGE_SCHEMA)
     )
+    return told.union(joined)
+
+
+def _near_first(threshold: tuple[int, int]):
+    p, q = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for n, shared, m, other in zip(*(batch.column(c).to_pylist() for c in (
+                    "n", "shared", "first_n", "first_shared")), strict=True):
+                common = len(np.intersect1d(np.frombuffer(shared, np.uint64), np.frombuffer(other, np.uint64), assume_unique=True))
+                near.append(q * common >= p * (n + m - common))
+            yield pa.record_batch([batch.column("class"), batch.column("root"), pa.array(near, pa.bool_())],
+                                  names=["class", "root", "near"])
+
+    return run
+
+
+def _parts(compared: DataFrame, chunk: int) -> DataFrame:
+    """class, near and part: which tasks get which sets, for the pairs that are still open."""
+    sizes = compared.groupBy("root").agg(F.count_if("near").alias("nears"), F.count_if(~F.col("near")).alias("fars"))
+    # A lone far set has met the first one, and with no other near set that was all.
+    open_ = sizes.filter("fars > 1 or fars = 1 and nears > 1").select(
+        "root", *(F.ceil(F.col(c) / F.lit(chunk)).cast("int").alias(c) for c in ("nears", "fars")))
+    rows = compared.join(open_, "root").withColumn("own", F.pmod(
+        F.xxhash64("class"), F.when(F.col("near"), F.col("nears")).otherwise(F.col("fars"))).cast("int"))
+
+    def each(count: str, name):
+        return F.transform(F.sequence(F.lit(0), F.col(count) - 1), name)
+
+    def far_near(far, near):
+        return F.concat_ws(":", "root", far, F.lit("near"), near)
+
+    def far_far(other):
+        return F.concat_ws(":", "root", F.least("own", other), F.lit("far"), F.greatest("own", other))
+
+    single = (F.col("nears") == 1) & (F.col("fars") == 1)
+    where = (
+        F.when(single, F.array(F.col("root").cast("string")))
+        .when(F.col("near"), each("fars", lambda far: far_near(far, F.col("own"))))
+        .otherwise(F.concat(each("fars", far_far), each("nears", lambda near: far_near(F.col("own"), near))))
+    )
+    return rows.select("class", "near", F.explode(where).alias("part"))
 
 
 def near_duplicates(
