@@ -1,8 +1,8 @@
 """Exact deduplication by Grace hashing.
 
 Texts are equal when they are identical without ASCII white space.  Each map task first merges
-equal texts within a batch, comparing complete content, so a text that a third of all rows hold is
-shuffled once per batch and not once per row.  The merged records are shuffled by content hash;
+equal texts within a slice of some MB, comparing complete content, so a text that a third of all rows hold is
+shuffled once per slice and not once per row.  The merged records are shuffled by content hash;
 each task then partitions what it gets by further hash bits into spill files, recursively, until
 a bucket fits an open-addressing table that compares complete content.  A group of equal texts
 comes out as one row; the documents, which travel without their text, find it by their digest.
@@ -21,13 +21,16 @@ import struct
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import ASCII_SPACE, one_row_each, partitions_for, row_key
+from driftlake.llm.common import ASCII_SPACE, blocks, one_row_each, partitions_for, row_key
 
 FAN_OUT = 16
+SLICE_BYTES = 4 << 20
 GROUP_SCHEMA = "content binary, points long, keep_id long, rows long"
 FOUND_SCHEMA = "text_sha256 string, points long, keep_id long, group_size long"
 HEAD = struct.Struct("<16sqqqq")  # hash, length of the content, points, id, rows
@@ -131,11 +134,11 @@ def grace(records: Iterator[tuple], limit: int, folder: str, level: int = 0) ->
 
 def _merge_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        table = ContentTable()
-        columns = [batch.column(name).to_pylist() for name in ("content", "points", "doc_id")]
-        for content, points, doc_id in zip(*columns, strict=True):
-            table.add(_hash(content), content, points, doc_id, 1)
-        if table.entries:
+        for start, end in _slices(batch, "content"):
+            table, part = ContentTable(), batch.slice(start, end - start)
+            columns = [part.column(name).to_pylist() for name in ("content", "points", "doc_id")]
+            for content, points, doc_id in zip(*columns, strict=True):
+                table.add(_hash(content), content, points, doc_id, 1)
             _, contents, points, ids, rows = map(list, zip(*table.entries, strict=True))
             yield pa.record_batch(
                 [pa.array(contents, pa.binary()), pa.array(points, pa.int64()),
@@ -144,13 +147,21 @@ def _merge_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about SLICE_BYTES of content, so that few are Python objects at a time."""
+    sizes = pc.binary_length(batch.column(column)).to_numpy()
+    return blocks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), SLICE_BYTES)
+
+
 def _group_partition(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records():
+            names = ("content", "points", "keep_id", "rows")
             for batch in batches:
-                names = ("content", "points", "keep_id", "rows")
-                for content, *rest in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                    yield (_hash(content), content, *rest)
+                for start, end in _slices(batch, "content"):
+                    part = batch.slice(start, end - start)
+                    for content, *rest in zip(*(part.column(n).to_pylist() for n in names), strict=True):
+                        yield (_hash(content), content, *rest)
 
         folder, found = tempfile.mkdtemp(prefix="grace-"), []
 

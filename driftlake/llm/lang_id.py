@@ -34,7 +34,9 @@ from driftlake.llm.common import blocks, mix, pieces, text_buffer
 DIMENSIONS = 1024
 SLOTS = 4096
 SEED = 11
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+TEXTS = 256  # handled at once
+GRAMS = 4096  # distinct trigrams whose vectors are held at once
 UNIT = 1 << 20  # a text's direction is summed in these steps, exactly and in any order
 MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
@@ -79,10 +81,10 @@ def bundle(texts: list[bytes]) -> np.ndarray:
     distinct, column = np.unique(grams, return_inverse=True)
     a, b, c = _letters()
     out = np.zeros((len(texts), DIMENSIONS), np.float32)
-    for at in range(0, len(distinct), 8192):  # bounds the table of trigram vectors
-        some = distinct[at : at + 8192]
+    for at in range(0, len(distinct), GRAMS):  # bounds the table of trigram vectors
+        some = distinct[at : at + GRAMS]
         vectors = a[some >> 24] * b[(some >> 12) & 4095] * c[some & 4095]
-        own = (column >= at) & (column < at + 8192)
+        own = (column >= at) & (column < at + GRAMS)
         dense = np.zeros((len(texts), len(some)), np.float32)
         dense[rows[own], column[own] - at] = counts[own]
         out += dense @ vectors.astype(np.float32)
@@ -96,8 +98,8 @@ def _vectors(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
             parts = pieces(data[offsets[a] : offsets[b]], BLOCK_BYTES)
             yield a, b, sum((bundle([p.tobytes()]) for p in parts), np.zeros((1, DIMENSIONS), np.float32))
             continue
-        for start in range(a, b, 512):  # also bounds the rows of many short texts
-            end = min(start + 512, b)
+        for start in range(a, b, TEXTS):  # also bounds the rows of many short texts
+            end = min(start + TEXTS, b)
             yield start, end, bundle([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(start, end)])
 
 
