@@ -111,3 +111,18 @@ def test_unseen_labels_are_told_apart(spark, sf_dir):
     rows = u.judge_urls(pages, URL_RULES).filter("rule is not null").collect()
     mean = {v: np.mean([r["score"] for r in rows if r["verdict"] == v]) for v in ("allow", "block")}
     assert mean["allow"] > mean["block"]
+
+
+def test_contexts_are_not_mixed_up(spark):
+    """However many contexts there are, the model is that of the dictionaries, and the urls that set
+    the threshold are counted in the end."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    rows = [("http://" + "".join(rng.choice(letters, 60)) + f".{x}/", i % 2) for i, x in enumerate(["org", "com"] * 700)]
+    df = spark.createDataFrame(rows, "url string, label int")
+    kept = df.filter(F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(u.HELD_OUT)) != 0).collect()
+    urls = [x for x, _ in rows[:20]] + ["http://" + "".join(rng.choice(letters, 60)) for _ in range(20)]
+    slow = slow_model([r["url"] for r in kept], [r["label"] for r in kept])
+    assert np.allclose(u.fit(df).score(pa.array(urls)), [slow(x) for x in urls], atol=1e-9)
+    slow = slow_model(*zip(*rows, strict=True))
+    assert np.allclose(u.fit_whole(df).score(pa.array(urls)), [slow(x) for x in urls], atol=1e-9)
