@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 JSON_BLANKS = " \t\r\n"
 
+# Options of from_json: its parser takes texts and numbers of any length, nested as deep as may be.
+NO_LIMITS = {n: "2147483647" for n in ("maxStringLen", "maxNumLen", "maxNestingDepth")}
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 
 def pack_record(*columns: Column | str) -> Column:
     """Columns to one JSON object; null fields are written out, not dropped."""
@@ -15,8 +21,10 @@ def pack_record(*columns: Column | str) -> Column:
 
 
 def _is_json(text: Column) -> Column:
-    # json_array_length accepts arrays that a variant cannot hold (repeated object keys).
-    return F.json_array_length(text).isNotNull() | F.try_parse_json(text).isNotNull()
+    """Whether the text is one JSON value: the one before the mark in an array of two."""
+    mark = uuid.uuid4().hex  # nothing the text can hold
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]')), "array<string>", {**STRICT, **NO_LIMITS})
+    return F.coalesce((F.size(both) == 2) & (F.try_element_at(both, F.lit(2)) == mark), F.lit(False))
 
 
 def normalize_value(value: Column, normalize: bool = True) -> Column:
@@ -25,9 +33,7 @@ def normalize_value(value: Column, normalize: bool = True) -> Column:
     Objects pass through untouched.  Every other value (string, number, array, null) is
     wrapped as ``{"value": ...}``; with ``normalize=False`` it is kept as bare JSON.
     Text that is no JSON at all is quoted first.  Only non-objects pay for a JSON check.
-    Spark's JSON reader takes texts of up to 20,000,000 characters; a bare value that holds a
-    longer one is no JSON to it and is quoted like other text, so it comes back as it was
-    delivered.  Objects of any size pass through.
+    The size of a value makes no difference.
     """
     is_object = F.ltrim(value, F.lit(JSON_BLANKS)).startswith("{")
     quoted = F.to_json(F.array(value))

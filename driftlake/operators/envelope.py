@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftlake.functions.casts import lenient_bigint, lenient_cast
+from driftlake.functions.payload import NO_LIMITS
 from driftlake.spec import TableSpec
 
 # Operation codes of a change event.
@@ -26,6 +29,9 @@ UNREADABLE = "_unreadable"
 # Types a JSON number is read into directly, with the value its text would be cast to.
 NUMBERS = {"int", "integer", "bigint", "long", "double"}
 
+# Bytes of a record that can be written twice into one text.
+TWICE = 1_000_000_000
+
 
 def envelope_schema(spec: TableSpec, numbers: bool) -> T.StructType:
     """The fields decoding looks at.
@@ -60,10 +66,23 @@ def _parse(text: str, schema: T.StructType, prefix: str) -> Column:
     ``inline`` keeps the optimizer from copying ``from_json`` into every expression and
     filter that reads one of them, so the text is parsed once.
     """
-    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": UNREAD})
+    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": UNREAD, **NO_LIMITS})
     return F.inline(F.array(record)).alias(*[prefix + n for n in schema.fieldNames()])
 
 
+def _checked(text: Column, name: str) -> Column:
+    """The record itself if a path lookup reads it; else an object with the record under a name no
+    schema has and then under ``name``.
+
+    A path lookup does not read what is beyond the limits of a JSON parser.  ``from_json`` goes on
+    after errors in fields it is asked for, but not after one in a field it skips: of the object it
+    reads ``name`` only if the record is JSON.
+    """
+    twice = F.when(F.octet_length(text) <= TWICE, F.concat(
+        F.lit(f'{{"{name}_": '), text, F.lit(f', "{name}": '), text, F.lit("}")))
+    return F.when(F.get_json_object(text, "$").isNotNull(), text).otherwise(F.coalesce(twice, text))
+
+
 def decode(
     raw: DataFrame, spec: TableSpec, payload: str = "payload", flag_unreadable: bool = False
 ) -> DataFrame:
@@ -73,18 +92,27 @@ def decode(
     Records are read with native numbers.  Those that do not fit (a quoted or fractional
     key, ``"source": "web"``, broken JSON) are read a second time as text and cast
     leniently; all others pass NULL to that second reading.  A record of broken JSON gets
-    no key, although its first fields could be read.  So does a record with a text of more
-    than 20,000,000 characters, the most Spark's JSON reader takes.  ``flag_unreadable`` adds a
-    column that tells these from records that have no key of their own.
+    no key, although its first fields could be read.  Texts and numbers of any length and any
+    depth of nesting are read, but Spark cannot write values nested more than 1,000 deep
+    as text: a column that holds one is NULL.  ``flag_unreadable`` adds a column that tells
+    records of broken JSON from those that have no key of their own.
     """
     carried = [c for c in raw.columns if c != payload]
     native, text = "_n_", "_t_"
-    rows = raw.select(*carried, _parse(payload, envelope_schema(spec, True), native)).select(
-        "*", _parse(native + UNREAD, envelope_schema(spec, False), text)
+    inner = f"_{uuid.uuid4().hex}"  # a name that no record can have
+    leaves = envelope_schema(spec, False)
+    again = T.StructType([*leaves, T.StructField(inner, T.StructType(leaves[:-1]))])
+    rows = raw.select(*carried, _parse(payload, envelope_schema(spec, True), native))
+    rows = rows.withColumn(native + UNREAD, _checked(F.col(native + UNREAD), inner)).select(
+        "*", _parse(native + UNREAD, again, text)
     )
     fits = F.col(native + UNREAD).isNull()
-    misread = F.col(text + UNREAD)
-    is_json = misread.isNull() | F.get_json_object(misread, "$").isNotNull()
+    wrapped = F.col(native + UNREAD).startswith(f'{{"{inner}_": ')
+    is_json = F.when(wrapped, F.col(text + inner).isNotNull()).otherwise(
+        F.col(text + UNREAD).isNull() | F.get_json_object(text + UNREAD, "$").isNotNull())
+    rows = rows.withColumns({
+        text + n: F.when(wrapped, F.col(text + inner)[n]).otherwise(F.col(text + n)) for n in leaves.names[:-1]
+    })
 
     def first(prefix: str, column: str, *parents: str) -> Column:
         name = spec.json_field(column)
@@ -144,7 +172,7 @@ def valid_changes(decoded: DataFrame, spec: TableSpec, observe_as: str | Observa
 def rejected_changes(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     """The rows ``valid_changes`` drops, each with a ``reason``.
 
-    Broken or oversized JSON has a reason of its own if ``decode`` was asked to flag it.
+    Broken JSON has a reason of its own if ``decode`` was asked to flag it.
     """
     reason = F.when(~_has_key(spec), "no key").when(~F.col("op").isin(*OPS), "unknown operation")
     if UNREADABLE in decoded.columns:

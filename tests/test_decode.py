@@ -220,3 +220,50 @@ def test_lenient_bigint_is_the_cast_without_ansi(spark, settings):
     both = got.select("t", "n", F.col("t").cast("bigint").alias("legacy"))
     different = both.filter("NOT (n <=> legacy)").collect()
     assert different == []
+
+
+def test_size_does_not_matter(spark):
+    """Long texts, long numbers and deep nesting, in records that fit and in ones read again as text."""
+    texts = {
+        "long": "concat('\"', repeat('x', 20000100), '\"')",
+        "number": "repeat('7', 1200)",
+        "deep": "concat(repeat('[', 1100), repeat(']', 1100))",
+    }
+    shapes = {
+        "fits": ('{"after":{"id":1,"first_name":"A","last_name":', '},"op":"c","ts_ms":5}'),
+        "quoted": ('{"after":{"id":"1","first_name":"A","last_name":', '},"op":"c","ts_ms":5}'),
+        "misfit": ('{"source":"web","after":{"id":1,"first_name":"A","last_name":', '},"op":"c","ts_ms":5}'),
+        "beside": ('{"after":{"id":1,"first_name":"A"},"op":"c","ts_ms":5,"other":', "}"),
+        "broken": ('{"after":{"id":1,"first_name":"A","last_name":', ',"email":tru},"op":"c","ts_ms":5}'),
+        "cut": ('{"source":"web","after":{"id":1,"first_name":"A","last_name":', "}"),
+    }
+    raw = None
+    for kind, value in texts.items():
+        for shape, (start, end) in shapes.items():
+            row = spark.range(1).select(
+                F.lit(kind).alias("kind"), F.lit(shape).alias("shape"),
+                F.concat(F.lit(start), F.expr(value), F.lit(end)).alias("payload"))
+            raw = row if raw is None else raw.unionByName(row)
+    decoded = decode(raw, CUSTOMERS, flag_unreadable=True)
+    got = {
+        (r.kind, r.shape): (r.id, r.first_name, r.op, r.version, r.n)
+        for r in valid_changes(decoded, CUSTOMERS).select("*", F.length("last_name").alias("n")).collect()
+    }
+    size = {"long": 20_000_100, "number": 1200, "deep": None}
+    assert got == {
+        (k, s): (1, "A", "c", 5, None if s == "beside" else size[k])
+        for k in texts for s in shapes if s not in ("broken", "cut")
+    }
+    rejected = {(r.kind, r.shape): r.reason for r in rejected_changes(decoded, CUSTOMERS).select("kind", "shape", "reason").collect()}
+    assert rejected == {(k, s): "unreadable" for k in texts for s in ("broken", "cut")}
+
+
+def test_bare_values_of_any_size(spark):
+    long = "concat('\"', repeat('x', 20000100), '\"')"
+    df = spark.range(1).select(
+        F.expr(long).alias("s"), F.expr("repeat('7', 1200)").alias("n"),
+        F.expr(f"concat('[', {long}, ']')").alias("a"), F.lit('1],["x"').alias("no"), F.lit("1, 2").alias("two"))
+    for name in ("s", "n", "a"):
+        assert df.select(normalize_value(F.col(name), False) == F.col(name)).first()[0]
+    assert df.select(normalize_value(F.col("no"), False)).first()[0] == json.dumps('1],["x"')
+    assert df.select(normalize_value(F.col("two"), False)).first()[0] == '"1, 2"'
