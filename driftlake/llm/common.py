@@ -111,6 +111,12 @@ def from40(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def own_group(block: int) -> int:
+    """Bucket below 0 for a block's rows that only need to reach their block: a group of its own, so
+    no group grows with the number of blocks."""
+    return -1 - (block & 0x7FFFFFFF)
+
+
 def ascii_lower(column):
     """Lower-case A-Z only, as the contracts say; other letters stay."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

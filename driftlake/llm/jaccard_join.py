@@ -48,6 +48,7 @@ from driftlake.llm.common import (
     low40,
     mix,
     one_row_each,
+    own_group,
     partitions_for,
     pieces,
     powers,
@@ -180,7 +181,7 @@ def _deal(k: int, bucket_bits: int):
                 bucket = (hashes >> np.uint64(64 - bucket_bits)).astype(np.uint32 if bucket_bits > 16 else np.uint16)
                 order = np.argsort(bucket, kind="stable")
                 bucket, hashes, own = bucket[order], hashes[order], own[order]
-                rows = [(-1 - (block & 63), block, classes.tobytes() + sizes.tobytes(), None, None)]
+                rows = [(own_group(block), block, classes.tobytes() + sizes.tobytes(), None, None)]
                 for x, y in zip(*runs(bucket), strict=True):
                     rows.append((int(bucket[x]), block, None, own[x:y].tobytes(), low40(hashes[x:y])))
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())

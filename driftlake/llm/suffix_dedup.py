@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import from40, low40, mix, partitions_for, powers, runs, text_buffer
+from driftlake.llm.common import from40, low40, mix, own_group, partitions_for, powers, runs, text_buffer
 
 LENGTH = 50
 GRAM = 20
@@ -402,7 +402,7 @@ def _send(bits: int):
         spans = np.stack([segments.own[later], segments.start[later],
                           segments.start[later].astype(np.int64) + segments.size[later]], axis=1).astype("<i8")
         nothing = (None,) * (len(SEGMENTS) - 3)
-        out = [(-1 - (block & 63), block, spans.tobytes(), *nothing)]
+        out = [(own_group(block), block, spans.tobytes(), *nothing)]
         rest = segments.take(np.flatnonzero(~later))
         rest = rest.take(np.argsort(rest.anchor, kind="stable"))
         for bucket, a, b in _by_bucket(rest.anchor):

@@ -121,3 +121,10 @@ def test_trees_link_what_brute_force_links(seed, monkeypatch):
     for a in range(len(sets)):
         for b in range(a):
             assert (label[a] == label[b]) == (find(a) == find(b))
+
+
+def test_blocks_do_not_share_a_group(spark):
+    """Ids and sizes, which only need to reach their block, are grouped by it."""
+    docs = spark.range(0, 150, 1, 150).selectExpr("concat('text number ', id) AS text")
+    dealt = docs.mapInArrow(j._deal(5, 8), j.PAYLOAD_SCHEMA).filter("bucket < 0").select("bucket", "block").collect()
+    assert len({r["block"] for r in dealt}) == len({r["bucket"] for r in dealt}) == 150

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from driftlake.llm import suffix_dedup as s
@@ -104,3 +105,12 @@ def test_covers_and_orders():
     flat = rows.reshape(-1)
     keys = [flat[p : p + s.LENGTH].tobytes() for p in got]
     assert keys == sorted(keys)
+
+
+def test_blocks_do_not_share_a_group():
+    """Rows that only need to reach their block are grouped by it, however many blocks there are."""
+    text = "".join(chr(33 + i * i * 7 % 90) for i in range(400))
+    rows = pa.table({"block": [0, 0], "least": [1, 2], "sha": ["a", "b"], "text": [text, text + "x"]})
+    told = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "anchors": pa.array([], pa.binary())})
+    buckets = {s._send(8)((pa.scalar(b),), rows, told).column("bucket")[0].as_py() for b in range(200)}
+    assert len(buckets) == 200 and max(buckets) < 0
