@@ -1,8 +1,10 @@
 """Deterministic WARC archives: sharded, rolled by compressed size, committed by a manifest.
 
 Pages are cut into shards by ranges of their id: a histogram of payload bytes over RANGES equal
-id ranges is gathered (fixed size), and consecutive ranges make up a shard of about
-``shard_bytes``.  Each shard is sorted and written by one task, as gzip members of one record
+id ranges is gathered, ranges of more than ``shard_bytes`` are cut again in the same way until they
+are small enough or a single id, and consecutive ranges make up a shard of about ``shard_bytes``.
+An id with more than that, and the rows without an id, are dealt to several shards by the digest of
+their payload; only rows that repeat an id and its payload always stay together.  Each shard is sorted and written by one task, as gzip members of one record
 each; a new file starts once ``file_bytes`` compressed bytes are reached.  Headers and digests are
 made from the rows alone, so the same pages give the same files, byte by byte, on any cluster.
 
@@ -13,7 +15,7 @@ manifest, which is written last and renamed into place; readers use only files i
 Paths are opened through ``pyarrow.fs`` and may be of any store that it knows.
 
 Edge cases: null html is an empty payload; a null url becomes an empty target; rows with a null id
-are written last, in a shard of their own; of repeated rows one is the response and the others
+are written last, in shards of their own; of repeated rows one is the response and the others
 revisit it (a null id answers only for payloads that no id has).  No pages give no archives and no
 rows.  Only ``page_id``, ``url`` and ``html`` are read.
 """
@@ -22,16 +24,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import partitions_for
+from driftlake.llm.common import partitions_for, stored
 from driftlake.sources import files
 
 RANGES = 65_536
@@ -166,22 +169,62 @@ def roles(pages: DataFrame, least: int) -> DataFrame:
     return keys.join(first, "sha").filter(later).select("page_id", "sha", "first")
 
 
-def shard_bounds(pages: DataFrame, shard_bytes: int) -> tuple[int, int, list[int]]:
-    """Smallest id, width of an id range, and the first range of each shard."""
-    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
+def _weight() -> Column:
+    return F.sum(F.octet_length(F.coalesce("html", F.lit(""))) + 512).alias("bytes")
+
+
+def _last(values: list[int]) -> Column:
+    """Place, from 1 on, of the last of the sorted ids that is not above the page's; 0 if none is."""
+    return F.array_size(F.filter(F.lit(values).cast("array<long>"), lambda v: v <= F.col("page_id")))
+
+
+def shard_bounds(pages: DataFrame, shard_bytes: int) -> tuple[list[int], list[int]]:
+    """The first id of each range of ids, and in how many shards its rows are; more than one only
+    if the range is one id.  The last number is that of the rows without an id."""
+    low, high, none = pages.agg(
+        F.min("page_id"), F.max("page_id"),
+        F.sum(F.when(F.col("page_id").isNull(), F.octet_length(F.coalesce("html", F.lit(""))) + 512))).first()
+    pieces = [max(1, -(-(none or 0) // shard_bytes))]
     if low is None:
-        return 0, 1, [0]
-    width = max(1, -(-(high - low + 1) // RANGES))
-    cell = F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)).cast("int")
-    sizes = pages.filter("page_id is not null").groupBy(cell.alias("cell")).agg(
-        F.sum(F.octet_length(F.coalesce("html", F.lit(""))) + 512).alias("bytes"))
-    starts, filled = [], 0
-    for row in sorted(sizes.collect()):  # at most RANGES rows
-        if not starts or filled + row["bytes"] > shard_bytes:
-            starts.append(row["cell"])
+        return [], pieces
+    sizes = pages.filter("page_id is not null").select("page_id", "html")
+    weight, open_, done, first = _weight(), [(low, high)], [], True
+    while open_:
+        each = max(16, RANGES // len(open_))
+        widths = [-(-(y - x + 1) // each) for x, y in open_]
+        at = _last([x for x, _ in open_])
+
+        def of(values):
+            numbers = F.lit([str(v) for v in values]).cast("array<decimal(20,0)>")
+            return F.element_at(numbers, F.col("at"))
+
+        cells = (
+            sizes.withColumn("at", at).filter("at > 0").withColumns({
+                "low": of([x for x, _ in open_]), "high": of([y for _, y in open_]), "width": of(widths)})
+            .filter(F.col("page_id") <= F.col("high"))
+            .groupBy("at", F.expr("(cast(page_id as decimal(20,0)) - low) div width").alias("cell")).agg(weight)
+        )
+        again = []
+        for row in sorted(cells.collect()):  # at most RANGES rows, or 16 a range that is cut again
+            (x, y), width = open_[row["at"] - 1], widths[row["at"] - 1]
+            x += row["cell"] * width
+            y = min(y, x + width - 1)
+            if row["bytes"] > shard_bytes and y > x:
+                again.append((x, y))
+            else:
+                done.append((x, row["bytes"], x == y))
+        open_ = again
+        if open_ and first:  # what is read again is one row an id
+            sizes = stored(sizes.groupBy("page_id").agg(weight), "id_sizes")
+            weight, first = F.sum("bytes").alias("bytes"), False
+    starts, counts, filled = [], [], 0
+    for start, size, single in sorted(done):
+        if not starts or filled + size > shard_bytes:
+            starts.append(start)
+            counts.append(max(1, -(-size // shard_bytes)) if single else 1)
             filled = 0
-        filled += row["bytes"]
-    return low, width, starts
+        filled += size
+    return starts, counts + pieces
 
 
 def write_archives(
@@ -191,15 +234,23 @@ def write_archives(
     """Write the archives and commit their manifest; returns the manifest."""
     spark = pages.sparkSession
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    low, width, starts = shard_bounds(pages, shard_bytes)
-    cell = F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)).cast("int")
-    shard = F.array_size(F.filter(F.lit(starts).cast("array<int>"), lambda s: s <= cell)) - 1
-    shard = F.when(F.col("page_id").isNull(), len(starts)).otherwise(shard).cast("int")
+    starts, counts = shard_bounds(pages, shard_bytes)
+    first = [0, *itertools.accumulate(counts)][:-1]
+    place = F.when(F.col("page_id").isNull(), len(counts)).otherwise(F.greatest(_last(starts), F.lit(1)))
+
+    def shard(sha: Column) -> Column:
+        """The first shard of the row's range, or that of several which the digest says."""
+        base = F.element_at(F.lit(first).cast("array<int>"), place)
+        if max(counts) > 1:
+            of = F.element_at(F.lit(counts).cast("array<int>"), place)
+            base = base + F.when(of > 1, F.pmod(F.crc32(sha.cast("binary")), of)).otherwise(0)
+        return base.cast("int").alias("shard")
+
     plain = pages.select(
-        shard.alias("shard"), "page_id", _digest(least).alias("sha"), F.lit(True).alias("page"),
+        shard(_digest(0)), "page_id", _digest(least).alias("sha"), F.lit(True).alias("page"),
         F.lit(None).cast("long").alias("first"), "url", "html")
     told = roles(pages, least).select(
-        shard.alias("shard"), "page_id", "sha", F.lit(False).alias("page"), "first",
+        shard(F.col("sha")), "page_id", "sha", F.lit(False).alias("page"), "first",
         F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     if files.exists(spark, f"{folder}/manifest"):
         raise FileExistsError(f"{folder} holds a manifest already")
@@ -208,7 +259,7 @@ def write_archives(
     uri = fs.makeQualified(handle).toUri().toString()
     written = (
         plain.union(told)
-        .repartition(max(1, min(len(starts) + 1, partitions_for(pages, 1) * 8)), "shard")
+        .repartition(max(1, min(sum(counts), partitions_for(pages, 1) * 8)), "shard")
         .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "sha", "page", "url")
         .mapInArrow(_writer(uri, file_bytes), MANIFEST_SCHEMA)
     )

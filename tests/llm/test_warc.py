@@ -82,3 +82,18 @@ def test_damage_is_noticed():
     assert warc.parse(data)["html"] == "payload"
     with pytest.raises(ValueError, match="digest"):
         warc.parse(data.replace(b"payload\r\n", b"paYload\r\n"))
+
+
+def test_shards_of_skewed_ids(spark, tmp_path):
+    """One far id, ids of all 64 bits, a repeated id and many rows without one: no shard takes all."""
+    html = [f"<p>{i} " + "x" * 500 for i in range(300)]
+    rows = [(i, f"u{i}", html[i]) for i in range(100)] + [(2**63 - 1, "far", "far"), (-(2**63), "low", html[3])]
+    rows += [(7, f"again{i}", html[i]) for i in range(100, 200)] + [(None, f"none{i}", html[i]) for i in range(200, 300)]
+    manifest = warc.write_archives(pages_of(spark, rows), f"{tmp_path}/archives", 10_000, 1 << 20)
+    shards = {}
+    for r in manifest.collect():
+        name = r["file"].split("-")[1]
+        shards[name] = shards.get(name, 0) + r["records"]
+    assert sum(shards.values()) == len(rows)
+    assert max(shards.values()) <= 40
+    assert result(warc.read_archives(spark, f"{tmp_path}/archives")) == brute(rows)
