@@ -151,31 +151,39 @@ def _predictor(langs: list[str], prototypes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            best, score = np.full(n, -1), np.zeros(n)
-            for start, end, found in _vectors(pc.struct_field(batch.column("row"), "text")) if langs else ():
+            best, score, letters = np.full(n, -1), np.zeros(n), np.zeros(n, bool)
+            for start, end, found in _vectors(pc.struct_field(batch.column("row"), "text")):
                 norm = np.linalg.norm(found, axis=1)
+                letters[start:end] = norm > 0
+                if not langs:
+                    continue
                 cosine = (found @ prototypes.T) / np.maximum(norm, 1e-9)[:, None]
                 best[start:end] = np.where(norm > 0, cosine.argmax(axis=1), -1)
                 score[start:end] = np.where(norm > 0, np.clip(cosine.max(axis=1), 0, 1), 0)
             names = [langs[i] if i >= 0 else UNKNOWN for i in best]
             yield pa.record_batch(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(score)],
-                names=[*batch.schema.names, "lang_pred", "score"])
+                [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(letters)],
+                names=[*batch.schema.names, "lang_pred", "score", "has_letters"])
 
     return run
 
 
-def identify(docs: DataFrame, per_language: int = 5000) -> DataFrame:
-    """Every document as a struct ``row``, with its held_out, lang_pred and score."""
+def _judged(docs: DataFrame, per_language: int) -> DataFrame:
     out = held_out(F.col("doc_id"))
     labelled = docs.filter(~out & F.col("lang").isNotNull() & F.col("text").isNotNull())
     langs, prototypes = fit(labelled.select("doc_id", "text", "lang"), per_language)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), out.alias("held_out"))
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("has_letters", T.BooleanType())])
     return rows.mapInArrow(_predictor(langs, prototypes), schema)
 
 
+def identify(docs: DataFrame, per_language: int = 5000) -> DataFrame:
+    """Every document as a struct ``row``, with its held_out, lang_pred and score."""
+    return _judged(docs, per_language).drop("has_letters")
+
+
 def known_language(docs: DataFrame, per_language: int = 5000) -> DataFrame:
-    """The documents that have a language, with all their columns."""
-    return identify(docs, per_language).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """The documents that have a letter, with all their columns, whatever their language is called
+    and also if there was nothing to learn from."""
+    return _judged(docs, per_language).filter("has_letters").select("row.*")

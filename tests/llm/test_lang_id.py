@@ -41,3 +41,13 @@ def test_bundles_do_not_depend_on_neighbours():
     together = lang_id.bundle([t.encode() for t in texts])
     for text, row in zip(texts, together, strict=True):
         assert (lang_id.bundle([text.encode()])[0] == row).all()
+
+
+def test_texts_with_letters_stay_whatever_the_labels(spark):
+    rows = [(i, "plain words here" if i % 3 else "123 ?!") for i in range(30)] + [(30, None)]
+    want = sorted(i for i, t in rows if i % 3 and t)
+    for lang in (None, "und"):
+        docs = spark.createDataFrame([(i, t, lang) for i, t in rows], "doc_id long, text string, lang string")
+        kept = lang_id.known_language(docs)
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] for r in kept.collect()) == want
