@@ -111,6 +111,17 @@ def from40(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def low56(values: np.ndarray) -> bytes:
+    """The lowest 56 bits of each number, seven bytes each."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+
+
+def from56(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return out.reshape(-1).view("<u8")
+
+
 def own_group(block: int) -> int:
     """Bucket below 0 for a block's rows that only need to reach their block: a group of its own, so
     no group grows with the number of blocks."""

@@ -18,7 +18,7 @@
    joins, by a tree again, two such chunks or one of them with a chunk of those linked.  The work
    grows with the group's size times the number of chunks of sets that are not linked.
 
-Shuffled are packed arrays, not rows per shingle.  A hot shingle weighs 5 bytes in its bucket for
+Shuffled are packed arrays, not rows per shingle.  A hot shingle weighs 7 bytes in its bucket for
 each document that has it (and copies within a block count once).  Hashes stand for shingles and
 classes: for two different ones to be taken for the same has a chance of about 1 in 2^64 a pair.
 
@@ -44,8 +44,8 @@ from pyspark.sql import functions as F
 
 from driftlake.llm.common import (
     blocks,
-    from40,
-    low40,
+    from56,
+    low56,
     mix,
     one_row_each,
     own_group,
@@ -159,7 +159,8 @@ def _profile(k: int):
 
 
 def _deal(k: int, bucket_bits: int):
-    """Shingles of each block, by bucket: the document's place in the block, 40 bits of the hash."""
+    """Shingles of each block, by bucket: the document's place in the block, and of the hash what
+    the bucket, which is its first ``bucket_bits`` (8 or more), does not say."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = 0
@@ -183,7 +184,7 @@ def _deal(k: int, bucket_bits: int):
                 bucket, hashes, own = bucket[order], hashes[order], own[order]
                 rows = [(own_group(block), block, classes.tobytes() + sizes.tobytes(), None, None)]
                 for x, y in zip(*runs(bucket), strict=True):
-                    rows.append((int(bucket[x]), block, None, own[x:y].tobytes(), low40(hashes[x:y])))
+                    rows.append((int(bucket[x]), block, None, own[x:y].tobytes(), low56(hashes[x:y])))
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -192,12 +193,19 @@ def _deal(k: int, bucket_bits: int):
     return run
 
 
-def _count(key: tuple, rows: pa.Table) -> pa.Table:
+def _count(bucket_bits: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        return _shared(key, rows, bucket_bits)
+
+    return run
+
+
+def _shared(key: tuple, rows: pa.Table, bucket_bits: int) -> pa.Table:
     """Of a bucket's shingles those of two documents or more, with how frequent they are."""
     names = ["block", "docs", "own", "hashes", "frequency"]
     if key[0].as_py() < 0:
         return rows.select(names[:4]).append_column("frequency", pa.nulls(len(rows), pa.binary()))
-    hashes = [from40(h) for h in rows.column("hashes").to_pylist()]
+    hashes = [from56(h) for h in rows.column("hashes").to_pylist()]
     every = np.sort(np.concatenate(hashes))
     first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
     counts = np.diff(np.append(first, len(every)))
@@ -209,7 +217,7 @@ def _count(key: tuple, rows: pa.Table) -> pa.Table:
         at = np.minimum(np.searchsorted(shared, some), max(len(shared) - 1, 0))
         hit = np.flatnonzero(shared[at] == some) if len(shared) else np.zeros(0, np.int64)
         if len(hit):
-            whole = some[hit] | np.uint64(key[0].as_py()) << np.uint64(40)
+            whole = some[hit] | np.uint64(key[0].as_py()) << np.uint64(64 - bucket_bits)
             out.append((block, None, np.frombuffer(own, np.uint32)[hit].tobytes(), whole.tobytes(), steps[at[hit]].tobytes()))
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
     columns = list(zip(*out, strict=True)) or [[]] * 5
@@ -424,10 +432,10 @@ def _join_groups(threshold: tuple[int, int]):
 def links(docs: DataFrame, k: int, threshold: tuple[int, int], chunk: int = CHUNK) -> DataFrame:
     """Edges (a, b) between classes that connect what links connect."""
     parts = partitions_for(docs)
-    bits = max(4, math.ceil(math.log2(4 * parts)))
+    bits = max(8, math.ceil(math.log2(4 * parts)))
     texts = docs.select("text")
     dealt = texts.mapInArrow(_deal(k, bits), PAYLOAD_SCHEMA)
-    shared = dealt.groupBy("bucket").applyInArrow(_count, SHARED_SCHEMA)
+    shared = dealt.groupBy("bucket").applyInArrow(_count(bits), SHARED_SCHEMA)
     sets = stored(shared.groupBy("block").applyInArrow(_candidates(threshold), SETS_SCHEMA), "sets")
     stars = sets.select("class", "prefix", "shared").mapInArrow(
         _deal_prefixes(bits), "bucket int, keys binary, classes binary").groupBy("bucket").applyInArrow(_stars, EDGE_SCHEMA)

@@ -128,3 +128,14 @@ def test_blocks_do_not_share_a_group(spark):
     docs = spark.range(0, 150, 1, 150).selectExpr("concat('text number ', id) AS text")
     dealt = docs.mapInArrow(j._deal(5, 8), j.PAYLOAD_SCHEMA).filter("bucket < 0").select("bucket", "block").collect()
     assert len({r["block"] for r in dealt}) == len({r["bucket"] for r in dealt}) == 150
+
+
+def test_all_bits_of_a_shingle_are_kept(spark):
+    """What comes back from the buckets is all 64 bits of the hashes."""
+    text = "one two three four five six seven eight nine"
+    docs = spark.createDataFrame([(text,), (text + " ten",)], "text string").repartition(1)
+    whole = set(j.shingle_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 5)[0].tolist())
+    for bits in (8, 11):
+        dealt = docs.mapInArrow(j._deal(5, bits), j.PAYLOAD_SCHEMA)
+        rows = dealt.groupBy("bucket").applyInArrow(j._count(bits), j.SHARED_SCHEMA).filter("hashes is not null").collect()
+        assert {x for r in rows for x in np.frombuffer(r["hashes"], np.uint64).tolist()} == whole
