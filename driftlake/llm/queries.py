@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm import decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, suffix_dedup, token_count, url_filter, warc
+from driftlake.llm import (
+    decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, suffix_dedup, token_alignment, token_count,
+    url_filter, warc,
+)
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
 
@@ -194,6 +197,12 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d WINDOW g AS (PARTITION BY payload_digest, payload_bytes)
 """
 
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_url_filters": (op2_url_filters, None),
@@ -205,4 +214,5 @@ QUERIES = {
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_token_counts": (op9_token_counts, None),
     "op10_warc": (op10_warc, OP10_SQL),
+    "op13_token_alignment": (op13_token_alignment, None),
 }

@@ -20,7 +20,7 @@ def test_matches_sql(spark, name):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         whole = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
         whole.limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert QUERIES[name][0](spark, str(tmp_path)).collect() == []
