@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftlake.llm import (
     decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, suffix_dedup, token_alignment, token_count,
-    url_filter, warc,
+    turn_repair, url_filter, warc,
 )
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
@@ -198,6 +198,90 @@ FROM d WINDOW g AS (PARTITION BY payload_digest, payload_bytes)
 """
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = turn_repair.damage(table(spark, sf_dir, "conversations"))
+    return turn_repair.repair(rows, copies)
+
+
+# The damage's CRC-32 bit by bit; then all edits of a row after another, the best for each state
+# (0 nothing yet, 1 after system, 2 after user, 3 after assistant) carried on.
+OP11_SQL = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                        lambda c: ascii(c)::BIGINT) AS bytes
+  FROM conversations),
+dealt AS (
+  SELECT * EXCLUDE (bytes), xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda i: i::BIGINT)), lambda d, i:
+      xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) % 20 AS k
+  FROM raw),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS c FROM dealt WHERE k <> 0)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM hurt),
+judged AS (
+  SELECT *, substr(role, 1, 1) AS c,
+         CASE WHEN trim(text, E' 	
+') = '' THEN 'b'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN right(trim(text, E' 	
+'), 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY 1),
+put(s, m, e, line) AS (  -- states after inserts
+  SELECT s, 0, s, ''::VARCHAR FROM range(4) t(s)
+  UNION ALL
+  SELECT s, m + 1, CASE WHEN e = 2 THEN 3 ELSE 2 END,
+         line || CASE WHEN e = 2 THEN E'
+assistant:' ELSE E'
+user:' END FROM put WHERE m < 3),
+states(conv_id, i, s, cost, audit, line) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0::BIGINT, 0::BIGINT, ''::VARCHAR, ''::VARCHAR FROM judged
+  UNION ALL
+  SELECT conv_id, i, e, min(cost), min(audit), min(line) FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, e ORDER BY cost, audit) AS best FROM (
+      SELECT j.conv_id, j.i, s.cost + 3 * p.m + o.price AS cost,
+             s.audit || repeat('I', p.m::BIGINT) || o.letter AS audit,
+             s.line || p.line || o.line AS line,
+             CASE o.out WHEN '-' THEN p.e WHEN 's' THEN CASE WHEN p.e = 0 THEN 1 END
+                        WHEN 'u' THEN CASE WHEN p.e IN (0, 1, 3) THEN 2 END
+                        WHEN 'a' THEN CASE WHEN p.e = 2 THEN 3 END END AS e
+      FROM states s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.i = s.i + 1
+      JOIN put p ON p.s = s.s,
+      LATERAL (
+        SELECT 'D' AS letter, 4 AS price, '-' AS out, '' AS line
+        UNION ALL SELECT 'K', CASE WHEN j.fault = 't' THEN 3 ELSE 0 END, j.c, E'
+' || j.role || ':' || j.text
+        WHERE j.fault IN ('k', 't')
+        UNION ALL SELECT 'R', CASE WHEN j.fault = 't' THEN 6 ELSE 3 END, r[1:1], E'
+' || r || ':' || j.text
+        FROM unnest(['user', 'assistant']) u(r) WHERE j.fault IN ('k', 't')) o)
+    WHERE e IS NOT NULL) WHERE best = 1 GROUP BY ALL),
+ends AS (
+  SELECT s.conv_id, s.cost + 3 * m AS cost, s.audit || repeat('I', m::BIGINT) AS audit, s.line || p.line AS line,
+         row_number() OVER (PARTITION BY s.conv_id ORDER BY s.cost + 3 * m, s.audit || repeat('I', m::BIGINT)) AS best
+  FROM states s JOIN (SELECT conv_id, max(i) AS i FROM judged GROUP BY 1) n
+    ON n.conv_id IS NOT DISTINCT FROM s.conv_id AND n.i = s.i
+  JOIN put p ON p.s = s.s WHERE p.e IN (0, 3))
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+       sha256(substr(coalesce(line, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.best = 1
+"""
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
@@ -214,5 +298,6 @@ QUERIES = {
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_token_counts": (op9_token_counts, None),
     "op10_warc": (op10_warc, OP10_SQL),
+    "op11_turn_repair": (op11_turn_repair, OP11_SQL),
     "op13_token_alignment": (op13_token_alignment, None),
 }
