@@ -45,9 +45,10 @@ from pyspark.sql import functions as F
 
 from driftlake.llm.common import blocks, stored, text_buffer
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PIECE = 16 << 20
-CAPACITY = 500_000
+CAPACITY = 400_000
+TOGETHER = 8192  # chunks given to the tokenizers at once
 MOST_BYTES = 64 << 20
 B_BITS = 32
 SPACE = 0x20
@@ -255,8 +256,8 @@ class _Chunks:
         encoded = chunks.dictionary_encode()
         distinct = encoded.dictionary.to_pylist()
         new = [c for c in distinct if c not in self.index]
-        if new:
-            self._add(new)
+        for i in range(0, len(new), TOGETHER):
+            self._add(new[i : i + TOGETHER])
         known = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
         return known, encoded.indices.to_numpy().astype(np.int64)
 
