@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlake.llm import (
-    decontaminate, exact_dedup, jaccard_join, lang_id, packing, sharding, suffix_dedup, token_alignment, token_count,
-    turn_repair, url_filter, warc,
+    decontaminate, exact_dedup, jaccard_join, lang_id, license_scan, packing, sharding, suffix_dedup, token_alignment,
+    token_count, turn_repair, url_filter, warc,
 )
 from driftlake.llm.common import table
 from driftlake.session import scratch_dir
@@ -21,6 +21,13 @@ URL_RULES = [
     url_filter.Rule("block", "com/de/"),
 ]
 
+# Phrases every licence scan looks for (fixed values).
+BASE_LICENSES = [
+    license_scan.Template("cc-by", "cc by", base=True),
+    license_scan.Template("gpl", "general public license", base=True),
+    license_scan.Template("reserved", "all rights reserved", base=True),
+]
+
 
 def vocabulary(name: str) -> str:
     import public_tokenizers
@@ -225,10 +232,12 @@ placed AS (
 judged AS (
   SELECT *, substr(role, 1, 1) AS c,
          CASE WHEN trim(text, E' 	
-') = '' THEN 'b'
+
+') = '' THEN 'b'
               WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
               WHEN right(trim(text, E' 	
-'), 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
+
+'), 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
          lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
   FROM placed),
 faults AS (
@@ -282,6 +291,78 @@ LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.best = 1
 """
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.find(docs, BASE_LICENSES + license_scan.TEMPLATES)
+    base = F.filter("places", lambda p: p["base"])
+    return found.select("doc_id", "n_words", "places", base.alias("base")).select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.col("base.start")).alias("first_word"), F.array_max(F.col("base.start")).alias("last_word"),
+        license_scan.labels(F.col("base")).alias("base_labels"), license_scan.labels(F.col("places")).alias("labels"),
+        F.round(F.coalesce(F.array_max(F.col("places.score")), F.lit(0.0)), 9).alias("score"))
+
+
+def _license_rows() -> str:
+    """Templates as SQL rows: number, label, base, words, key phrases."""
+    rows = []
+    for t, x in enumerate(BASE_LICENSES + license_scan.TEMPLATES):
+        keys = ", ".join(f"'{k}'" for k in x.keys or (x.text,))
+        rows.append(f"({t}, '{x.label}', {x.base}, '{x.text}', {bool(x.keys)}, [{keys}])")
+    return ",\n    ".join(rows)
+
+
+OP12_SQL = r"""
+WITH tpl(t, label, base, text, keyed, keys) AS (VALUES
+    %s),
+tw AS (
+  SELECT t, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS word
+  FROM (SELECT t, string_split(text, ' ') AS w FROM tpl)),
+kw AS (
+  SELECT DISTINCT t, length(regexp_replace(substr(text, 1, strpos(' ' || text || ' ', ' ' || k || ' ') - 1), '[^ ]', '', 'g'))
+                     + i AS pos, word
+  FROM (SELECT t, text, k, generate_subscripts(string_split(k, ' '), 1) - 1 AS i, unnest(string_split(k, ' ')) AS word
+        FROM (SELECT t, text, unnest(keys) AS k FROM tpl))),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dw AS (
+  SELECT r, i, word FROM (SELECT r, generate_subscripts(w, 1) - 1 AS i, unnest(w) AS word FROM d)
+  WHERE word IN (SELECT word FROM tw)),
+df AS (SELECT word, count(DISTINCT r) AS n FROM dw GROUP BY 1),
+weight AS (
+  SELECT word, ln(1 + ((SELECT count(*) FROM d) + 1) / (coalesce(df.n, 0) + 1)) AS x
+  FROM (SELECT DISTINCT word FROM tw) LEFT JOIN df USING (word)),
+rare AS (
+  SELECT t, pos, word FROM (
+    SELECT t, word, min(pos) AS pos, row_number() OVER (PARTITION BY t ORDER BY any_value(x) DESC, min(pos)) AS nth
+    FROM tw JOIN weight USING (word) GROUP BY t, word) JOIN tpl USING (t)
+  WHERE nth <= CASE WHEN keyed THEN 4 ELSE 1 END),
+need AS (SELECT t, (count(*) + 1) // 2 AS need FROM rare GROUP BY 1),
+prop AS (SELECT DISTINCT r, t, i - pos AS start FROM dw JOIN rare USING (word)),
+hit AS (
+  SELECT p.r, p.t, p.start, sum(x) AS got,
+         count(*) FILTER ((p.t, tw.pos, tw.word) IN (SELECT (t, pos, word) FROM rare)) AS agreed,
+         count(*) FILTER ((p.t, tw.pos, tw.word) IN (SELECT (t, pos, word) FROM kw)) AS keyed_at
+  FROM prop p JOIN tw USING (t) JOIN dw ON dw.r = p.r AND dw.i = p.start + tw.pos AND dw.word = tw.word
+  JOIN weight ON weight.word = tw.word GROUP BY 1, 2, 3),
+place AS (
+  SELECT r, label, base, start, least(got / total, 1.0) AS score
+  FROM hit JOIN tpl USING (t) JOIN need USING (t)
+  JOIN (SELECT t, count(*) AS n_keys FROM kw GROUP BY 1) USING (t)
+  JOIN (SELECT t, sum(x) AS total FROM tw JOIN weight USING (word) GROUP BY 1) USING (t)
+  WHERE agreed >= need AND keyed_at = n_keys AND got / total >= 0.6),
+found AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM place GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(coalesce(score, 0.0), 9)::DOUBLE AS score
+FROM d LEFT JOIN found USING (r)
+""" % _license_rows()
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
@@ -299,5 +380,6 @@ QUERIES = {
     "op9_token_counts": (op9_token_counts, None),
     "op10_warc": (op10_warc, OP10_SQL),
     "op11_turn_repair": (op11_turn_repair, OP11_SQL),
+    "op12_license_scan": (op12_license_scan, OP12_SQL),
     "op13_token_alignment": (op13_token_alignment, None),
 }
