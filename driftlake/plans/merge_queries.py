@@ -18,12 +18,15 @@ from driftlake.plans.refine import (
     table_schema,
     upsert_rows,
 )
+from driftlake.plans.touched import PART, ensure_scd1, key_part, merge_touched
 from driftlake.session import scratch_dir
 
 # Orders before this day make the target, the others are the changes to apply.
 CUTOFF = "2001-01-01"
 FIRST_RUN = "2001-01-01"
 SECOND_RUN = "2001-08-02"
+# Parts of the table that is merged part by part.
+PARTS = 16
 
 
 def _stamp(day: str):
@@ -86,6 +89,22 @@ def scd1_catalog_table(spark, sf_dir):
     return spark.table(name).withColumn(DAY, F.col(DAY).cast("string")).drop(STAMP)
 
 
+def scd1_touched_parts(spark, sf_dir):
+    """The same two runs on a table parted by its key; the second one in four merges, each of which
+    rewrites a quarter of the parts and leaves the others alone."""
+    before, _ = _split(spark, sf_dir)
+    name = f"{new_namespace(spark, 'touched')}.orders"
+    ensure_scd1(spark, name, ORDERS, PARTS)
+    merge_touched(before, ORDERS, name, _stamp(FIRST_RUN))
+    orders = table(spark, sf_dir, "orders")
+    since = orders.filter(F.col("o_orderdate") >= F.lit(CUTOFF).cast("timestamp_ntz"))
+    quarter = F.pmod(key_part(ORDERS.keys, PARTS), F.lit(4))
+    for n in range(4):
+        changes = feeds.as_raw(feeds.order_changes(since.filter(quarter == n))).select("payload")
+        merge_touched(changes, ORDERS, name, _stamp(SECOND_RUN))
+    return _with_day(spark.table(name).drop(PART))
+
+
 def upsert_catalog_table(spark, sf_dir):
     """Raw typed table to refined table, twice; rows gone from the raw table stay."""
     customers = _customers(spark, sf_dir)
@@ -183,6 +202,7 @@ QUERIES = {
     "m_rerun": (scd1_rerun, ORDER_STATE.format(touched=SECOND_RUN)),
     "m_refine_two_runs": (refine_two_runs, ORDER_STATE.format(touched=SECOND_RUN)),
     "m_scd1_table": (scd1_catalog_table, ORDER_STATE.format(touched=SECOND_RUN)),
+    "m_scd1_touched": (scd1_touched_parts, ORDER_STATE.format(touched=SECOND_RUN)),
     "m_upsert_table": (upsert_catalog_table, RAISED_BUILDING),
     "m_scd1_skip_unchanged": (scd1_skip_unchanged, ORDER_STATE.format(touched=CUTOFF)),
     "m_upsert": (

@@ -53,7 +53,7 @@ def table_schema(spec: TableSpec) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields))
 
 
-def _stored(rows: DataFrame, label: str) -> tuple[DataFrame, bool]:
+def stored_source(rows: DataFrame, label: str) -> tuple[DataFrame, bool]:
     """``rows`` computed once and stored, and whether they may be sent to every task."""
     spark = rows.sparkSession
     folder = f"{scratch_dir(spark, label)}/rows"
@@ -122,7 +122,7 @@ def refine(
     spark = bronze.sparkSession
     number = next_version(spark, path)
     target = read_current(spark, path, spec)
-    changes, small = _stored(latest_changes(bronze, spec), "changes")
+    changes, small = stored_source(latest_changes(bronze, spec), "changes")
     merged = apply_scd1(target, changes, spec, as_of, skip_unchanged, small)
     write_version(merged, path, number, keep)
     return read_current(spark, path, spec)
@@ -140,6 +140,11 @@ def _described(spark: SparkSession, table: str) -> dict[str, str]:
     return {**found, **{r["key"]: r["value"] for r in properties}}
 
 
+def table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    """One of a table's properties, or its ``Location``."""
+    return _described(spark, table).get(name)
+
+
 def _write_like(rows: DataFrame, folder: str, parts: list[str], about: dict[str, str]) -> None:
     """Write ``rows`` to a new folder with the layout of a catalog table."""
     writer = rows.hint("rebalance", *parts) if parts else rows
@@ -157,7 +162,9 @@ def _write_like(rows: DataFrame, folder: str, parts: list[str], about: dict[str,
 
 
 def _literal(value) -> str:
-    return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def stage_rows(rows: DataFrame, table: str) -> str:
@@ -224,7 +231,7 @@ def merge_changes(
         merge_into_table(changes, table, spec, as_of).merge()
         return
     target = spark.table(table)
-    changes, small = _stored(changes, "changes")
+    changes, small = stored_source(changes, "changes")
     merged = apply_scd1(target.drop(DAY), changes, spec, as_of, small=small)
     if DAY in target.columns:
         merged = merged.withColumn(DAY, F.to_date(STAMP))
@@ -239,7 +246,7 @@ def upsert_rows(
     The source is stored first, and checked there that no key occurs in it twice.
     """
     spark = source.sparkSession
-    source, small = _stored(source, "source")
+    source, small = stored_source(source, "source")
     if verify:
         check_unique(source, keys)
     if not native:
