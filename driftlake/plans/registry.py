@@ -8,6 +8,7 @@ from driftlake.plans import (
     ingest_queries,
     layer_queries,
     merge_queries,
+    upkeep_queries,
 )
 
 REGISTRY = {
@@ -16,4 +17,5 @@ REGISTRY = {
     **ingest_queries.QUERIES,
     **layer_queries.QUERIES,
     **access_queries.QUERIES,
+    **upkeep_queries.QUERIES,
 }

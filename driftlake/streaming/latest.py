@@ -1,43 +1,46 @@
 """Newest change per key of a stream, kept in Structured Streaming's own state.
 
-Layout under ``path``: one folder per micro-batch, named by query and batch, and folded ones,
-``folded-...``, that stand for the folders their marker names.  A folder counts once its marker is
-written.  Which row of a key is newest is decided by event order, so it does not matter which
-query wrote it, or when.
+What a micro-batch touched is written to a folder of its own (see ``folded``).  Which row of a key
+is newest is decided by event order, so it does not matter which query wrote it, or when.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from driftlake.operators.latest import latest_per_key, latest_per_key_agg
-from driftlake.sources import files
 from driftlake.spec import TableSpec
-from driftlake.streaming.bronze import batch_name, triggered, with_retries
+from driftlake.streaming.bronze import triggered
+from driftlake.streaming.folded import counting, fold, read_counting, record_batch
+
 
-FOLDED = "folded-"
+def _write(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
 def start_latest(
-    changes: DataFrame, spec: TableSpec, path: str, checkpoint: str, every: str | None = None
+    changes: DataFrame,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    fold_beyond: int | None = 64,
 ) -> StreamingQuery:
     """Write, per micro-batch, the keys it touched with their newest change.
 
     State is one row per key, spread over the shuffle partitions.  It may outgrow executor memory
     if the session keeps it on disk, as those of :func:`driftlake.session.build_session` do.
+    Once more than ``fold_beyond`` folders count they are folded into one, so what
+    :func:`read_latest` reads stays within that many folders and about twice the keys.  The fold
+    is part of the batch: one that fails stops the query, and the batch's repetition folds again.
+    Of several queries on one path only one should fold; give the others None.
     """
 
-    def write(batch: DataFrame, folder: str) -> None:
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(folder)
-        files.mark_done(batch.sparkSession, folder)
-
     def record(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/{batch_name(batch, batch_id)}"
-        if not files.is_done(batch.sparkSession, folder):
-            with_retries(lambda: write(batch, folder))
+        record_batch(batch, batch_id, path, _write)
+        if fold_beyond and len(counting(batch.sparkSession, path)[0]) > fold_beyond:
+            fold_latest(batch.sparkSession, path, spec)
 
     writer = (
         latest_per_key_agg(changes, spec)
@@ -48,34 +51,11 @@ def start_latest(
     return triggered(writer, every).start()
 
 
-def _folders(spark: SparkSession, path: str) -> tuple[list[str], set[str]]:
-    """Finished folders that count, and those that a folded one stands for."""
-    done = files.finished_children(spark, path)
-    covered = set()
-    for name in done:
-        if name.startswith(FOLDED):
-            covered.update(files.read_lines(spark, f"{path}/{name}/{files.DONE}"))
-    return [name for name in done if name not in covered], covered & set(done)
-
-
 def read_latest(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The newest written row of every key, in event order."""
-    names, _ = _folders(spark, path)
-    if not names:
-        raise FileNotFoundError(f"{path} holds no finished batch")
-    return latest_per_key(spark.read.parquet(*[f"{path}/{n}" for n in names]), spec)
+    return latest_per_key(read_counting(spark, path), spec)
 
 
 def fold_latest(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """Bring the written batches together in one folder.
-
-    Folders that an earlier fold has made redundant are deleted; those of this one stay until the
-    next, for readers that have planned on them.  One fold may run at a time.
-    """
-    names, redundant = _folders(spark, path)
-    if len(names) > 1:
-        folder = f"{path}/{FOLDED}{uuid.uuid4().hex}"
-        read_latest(spark, path, spec).write.option("compression", "zstd").parquet(folder)
-        files.mark_done(spark, folder, "\n".join(names))
-    for name in redundant:
-        files.remove(spark, f"{path}/{name}")
+    """Bring the written batches together in one folder; see :func:`driftlake.streaming.folded.fold`."""
+    fold(spark, path, lambda rows: latest_per_key(rows, spec), _write)
