@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,11 +21,29 @@ def pack_record(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), KEEP_NULLS)
 
 
-def _is_json(text: Column) -> Column:
+def _ends_marked(both: Column, marked: Callable[[Column], Column]) -> Column:
+    """Whether an array, which is computed once, has two elements and the second is the mark."""
+    found = F.exists(F.array(both), lambda b: (F.size(b) == 2) & marked(F.try_element_at(b, F.lit(2))))
+    return F.coalesce(found, F.lit(False))
+
+
+def is_json(text: Column) -> Column:
     """Whether the text is one JSON value: the one before the mark in an array of two."""
     mark = uuid.uuid4().hex  # nothing the text can hold
     both = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]')), "array<string>", {**STRICT, **NO_LIMITS})
-    return F.coalesce((F.size(both) == 2) & (F.try_element_at(both, F.lit(2)) == mark), F.lit(False))
+    return _ends_marked(both, lambda last: last == mark)
+
+
+def is_json_object(text: Column) -> Column:
+    """Whether the text is one JSON object: the one before the marked one in an array of two.
+
+    The object's own fields are skipped, not read, so its size and depth don't matter.
+    """
+    mark = uuid.uuid4().hex  # nothing the text can hold
+    both = F.from_json(
+        F.concat(F.lit("["), text, F.lit(f',{{"{mark}":true}}]')), f"array<struct<`{mark}`: boolean>>",
+        {**STRICT, **NO_LIMITS})
+    return _ends_marked(both, lambda last: last[mark])
 
 
 def normalize_value(value: Column, normalize: bool = True) -> Column:
@@ -32,13 +51,13 @@ def normalize_value(value: Column, normalize: bool = True) -> Column:
 
     Objects pass through untouched.  Every other value (string, number, array, null) is
     wrapped as ``{"value": ...}``; with ``normalize=False`` it is kept as bare JSON.
-    Text that is no JSON at all is quoted first.  Only non-objects pay for a JSON check.
-    The size of a value makes no difference.
+    Text that is no JSON at all is quoted first, text that only begins like an object included.
+    An object's fields are skipped by that check, not read.  The size of a value makes no difference.
     """
-    is_object = F.ltrim(value, F.lit(JSON_BLANKS)).startswith("{")
+    is_object = F.ltrim(value, F.lit(JSON_BLANKS)).startswith("{") & is_json_object(value)
     quoted = F.to_json(F.array(value))
     as_text = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-    bare = F.when(value.isNull(), F.lit("null")).when(_is_json(value), value).otherwise(as_text)
+    bare = F.when(value.isNull(), F.lit("null")).when(is_json(value), value).otherwise(as_text)
     if not normalize:
         return F.when(is_object, value).otherwise(bare)
     return F.when(is_object, value).otherwise(F.concat(F.lit('{"value": '), bare, F.lit("}")))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftlake.functions.casts import lenient_bigint, lenient_cast
-from driftlake.functions.payload import NO_LIMITS
+from driftlake.functions.payload import NO_LIMITS, is_json, is_json_object
 from driftlake.spec import TableSpec
 
 # Operation codes of a change event.
@@ -29,9 +29,6 @@ UNREADABLE = "_unreadable"
 # Types a JSON number is read into directly, with the value its text would be cast to.
 NUMBERS = {"int", "integer", "bigint", "long", "double"}
 
-# Bytes of a record that can be written twice into one text.
-TWICE = 1_000_000_000
-
 
 def envelope_schema(spec: TableSpec, numbers: bool) -> T.StructType:
     """The fields decoding looks at.
@@ -60,27 +57,48 @@ def envelope_schema(spec: TableSpec, numbers: bool) -> T.StructType:
     return T.StructType([*envelope, *flat, T.StructField(UNREAD, T.StringType())])
 
 
-def _parse(text: str, schema: T.StructType, prefix: str) -> Column:
-    """The record's fields as columns.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
 
-    ``inline`` keeps the optimizer from copying ``from_json`` into every expression and
-    filter that reads one of them, so the text is parsed once.
+def _readable(text: Column) -> Column:
+    """Whether a record that was not read as asked is JSON at all.
+
+    A path lookup settles almost all.  It does not read what is beyond the limits of a JSON parser;
+    that is judged by whether something follows the record where a parser has to skip it.
     """
-    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": UNREAD, **NO_LIMITS})
-    return F.inline(F.array(record)).alias(*[prefix + n for n in schema.fieldNames()])
+    return F.get_json_object(text, "$").isNotNull() | is_json_object(text) | is_json(text)
 
 
-def _checked(text: Column, name: str) -> Column:
-    """The record itself if a path lookup reads it; else an object with the record under a name no
-    schema has and then under ``name``.
+def _row(record: Column, spec: TableSpec, numbers: bool, readable: Column) -> Column:
+    """Key, attributes, operation, clock, position and readability out of a parsed record."""
 
-    A path lookup does not read what is beyond the limits of a JSON parser.  ``from_json`` goes on
-    after errors in fields it is asked for, but not after one in a field it skips: of the object it
-    reads ``name`` only if the record is JSON.
-    """
-    twice = F.when(F.octet_length(text) <= TWICE, F.concat(
-        F.lit(f'{{"{name}_": '), text, F.lit(f', "{name}": '), text, F.lit("}")))
-    return F.when(F.get_json_object(text, "$").isNotNull(), text).otherwise(F.coalesce(twice, text))
+    def first(column: str, *parents: str) -> Column:
+        name = spec.json_field(column)
+        found = [record[p][name] for p in parents]
+        if name not in ENVELOPE_FIELDS:
+            found.append(record[name])
+        return F.coalesce(*found)
+
+    def value(column: str, data_type: str, *parents: str) -> Column:
+        found = first(column, *parents)
+        if not (numbers and data_type.lower() in NUMBERS):
+            found = lenient_cast(found, data_type)
+        return (found if numbers else F.when(readable, found)).alias(column)
+
+    def whole(found: Column) -> Column:
+        return found if numbers else lenient_bigint(found)
+
+    times = [record["ts_ms"], record["source"]["ts_ms"]]
+    return F.struct(
+        *[value(n, t, "after", "before") for n, t in spec.key.items()],
+        *[value(n, t, "after") for n, t in spec.columns.items()],
+        F.lower(F.coalesce(record["op"], F.lit(DEFAULT_OP))).alias("op"),
+        whole(F.coalesce(*(reversed(times) if spec.prefer_source_time else times))).alias("version"),
+        whole(record["source"]["lsn"]).alias("lsn"),
+        (~readable).alias(UNREADABLE),
+    )
 
 
 def decode(
@@ -91,57 +109,29 @@ def decode(
     Columns other than the payload (topic, partition, offset, ...) are carried along.
     Records are read with native numbers.  Those that do not fit (a quoted or fractional
     key, ``"source": "web"``, broken JSON) are read a second time as text and cast
-    leniently; all others pass NULL to that second reading.  A record of broken JSON gets
+    leniently; only they pay for that.  A record of broken JSON gets
     no key, although its first fields could be read.  Texts and numbers of any length and any
     depth of nesting are read, but Spark cannot write values nested more than 1,000 deep
     as text: a column that holds one is NULL.  ``flag_unreadable`` adds a column that tells
     records of broken JSON from those that have no key of their own.
+
+    A record is read and taken apart in one ``inline``, which the optimizer does not look into: it
+    would copy ``from_json`` into every column and filter that reads a field of it.
     """
-    carried = [c for c in raw.columns if c != payload]
-    native, text = "_n_", "_t_"
-    inner = f"_{uuid.uuid4().hex}"  # a name that no record can have
-    leaves = envelope_schema(spec, False)
-    again = T.StructType([*leaves, T.StructField(inner, T.StructType(leaves[:-1]))])
-    rows = raw.select(*carried, _parse(payload, envelope_schema(spec, True), native))
-    rows = rows.withColumn(native + UNREAD, _checked(F.col(native + UNREAD), inner)).select(
-        "*", _parse(native + UNREAD, again, text)
-    )
-    fits = F.col(native + UNREAD).isNull()
-    wrapped = F.col(native + UNREAD).startswith(f'{{"{inner}_": ')
-    is_json = F.when(wrapped, F.col(text + inner).isNotNull()).otherwise(
-        F.col(text + UNREAD).isNull() | F.get_json_object(text + UNREAD, "$").isNotNull())
-    rows = rows.withColumns({
-        text + n: F.when(wrapped, F.col(text + inner)[n]).otherwise(F.col(text + n)) for n in leaves.names[:-1]
-    })
-
-    def first(prefix: str, column: str, *parents: str) -> Column:
-        name = spec.json_field(column)
-        found = [F.col(prefix + p)[name] for p in parents]
-        if name not in ENVELOPE_FIELDS:
-            found.append(F.col(prefix + name))
-        return F.coalesce(*found)
+    carried = [c for c in raw.columns if c != payload and c not in spec.row_columns]
+    quick, text = envelope_schema(spec, True), T.StructType(envelope_schema(spec, False)[:-1])
+    record = F.from_json(payload, quick, {"columnNameOfCorruptRecord": UNREAD, **NO_LIMITS})
 
-    def value(column: str, data_type: str, *parents: str) -> Column:
-        quick, slow = (first(p, column, *parents) for p in (native, text))
-        if data_type.lower() not in NUMBERS:
-            quick = lenient_cast(quick, data_type)
-        return F.when(fits, quick).when(is_json, lenient_cast(slow, data_type)).alias(column)
-
-    def clock(prefix: str) -> Column:
-        times = [F.col(f"{prefix}ts_ms"), F.col(f"{prefix}source")["ts_ms"]]
-        return F.coalesce(*(reversed(times) if spec.prefer_source_time else times))
-
-    op = F.when(fits, F.col(f"{native}op")).otherwise(F.col(f"{text}op"))
-    lsn = F.col(f"{native}source")["lsn"], lenient_bigint(F.col(f"{text}source")["lsn"])
-    return rows.select(
-        *[value(n, t, "after", "before") for n, t in spec.key.items()],
-        *[value(n, t, "after") for n, t in spec.columns.items()],
-        F.lower(F.coalesce(op, F.lit(DEFAULT_OP))).alias("op"),
-        F.when(fits, clock(native)).otherwise(lenient_bigint(clock(text))).alias("version"),
-        F.when(fits, lsn[0]).otherwise(lsn[1]).alias("lsn"),
-        *[c for c in carried if c not in spec.row_columns],
-        *([(~fits & ~is_json).alias(UNREADABLE)] if flag_unreadable else []),
-    )
+    def again(unread: Column) -> Column:
+        read = F.struct(F.from_json(unread, text, NO_LIMITS).alias("record"), _readable(unread).alias("is_json"))
+        return _let(read, lambda r: _row(r["record"], spec, False, r["is_json"]))
+
+    def taken_apart(found: Column) -> Column:
+        fits = found[UNREAD].isNull()
+        return F.when(fits, _row(found, spec, True, F.lit(True))).otherwise(again(found[UNREAD]))
+
+    rows = raw.select(F.inline(F.transform(F.array(record), taken_apart)), *carried)
+    return rows if flag_unreadable else rows.drop(UNREADABLE)
 
 
 def _has_key(spec: TableSpec) -> Column:

@@ -140,9 +140,12 @@ def decode_composite_key(spark, sf_dir):
 
 
 def _topic_values(spark, sf_dir) -> DataFrame:
-    """By event type: an object, an array, a number, bare text, null."""
+    """By event type: an object, an array, a number, bare text, null; of the objects some break off
+    (ids that end on 7) and some have more text behind them (on 8)."""
+    props, last = F.col("props"), F.col("event_id") % 10
     value = (
-        F.when(F.col("event_type") == "view", F.col("props"))
+        F.when(F.col("event_type") == "view", F.when(last == 7, F.regexp_replace(props, "[}]$", ""))
+               .when(last == 8, F.concat(props, F.lit(" x"))).otherwise(props))
         .when(F.col("event_type") == "click", F.format_string("[%d]", "event_id"))
         .when(F.col("event_type") == "purchase", F.col("user_id").cast("string"))
         .when(F.col("event_type") == "signup", F.col("event_type"))
@@ -196,7 +199,11 @@ def live_events(spark, sf_dir):
     return live_rows(_event_payloads(spark, sf_dir), EVENTS)
 
 
-VALUE_CASE = """CASE event_type WHEN 'view' THEN props
+BROKEN_OBJECT = "event_type = 'view' AND event_id % 10 IN (7, 8)"
+VALUE_CASE = """CASE event_type
+                WHEN 'view' THEN CASE event_id % 10
+                     WHEN 7 THEN to_json(regexp_replace(props, '[}]$', ''))
+                     WHEN 8 THEN to_json(props || ' x') ELSE props END
                 WHEN 'click' THEN '[' || event_id || ']'
                 WHEN 'purchase' THEN CAST(user_id AS VARCHAR)
                 WHEN 'signup' THEN '"signup"' ELSE 'null' END"""
@@ -252,7 +259,7 @@ QUERIES = {
     ),
     "n_normalize": (
         normalize_values,
-        f"""SELECT event_id, CASE WHEN event_type = 'view' THEN props
+        f"""SELECT event_id, CASE WHEN event_type = 'view' AND NOT ({BROKEN_OBJECT}) THEN props
                ELSE '{{"value": ' || {VALUE_CASE} || '}}' END AS payload FROM events""",
     ),
     "n_verbatim": (normalize_verbatim, f"SELECT event_id, {VALUE_CASE} AS payload FROM events"),

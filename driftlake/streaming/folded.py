@@ -20,10 +20,16 @@ FOLDED = "folded-"
 Writer = Callable[[DataFrame, str], None]
 
 
-def record_batch(batch: DataFrame, batch_id: int, path: str, write: Writer) -> None:
-    """Write a micro-batch to its own folder, unless it is there; an interrupted one is written anew."""
+def record_batch(batch: DataFrame, batch_id: int, path: str, write: Writer, stateful: bool = False) -> None:
+    """Write a micro-batch to its own folder, unless it is there; an interrupted one is written anew.
+
+    A ``stateful`` query's batch is run in any case: its state is stored while its rows are computed,
+    and Spark refuses a batch that has stored none.
+    """
     folder = f"{path}/{batch_name(batch, batch_id)}"
     if files.is_done(batch.sparkSession, folder):
+        if stateful:
+            batch.write.format("noop").mode("overwrite").save()
         return
 
     def once() -> None:

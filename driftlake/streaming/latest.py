@@ -38,7 +38,7 @@ def start_latest(
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        record_batch(batch, batch_id, path, _write)
+        record_batch(batch, batch_id, path, _write, stateful=True)
         if fold_beyond and len(counting(batch.sparkSession, path)[0]) > fold_beyond:
             fold_latest(batch.sparkSession, path, spec)
 
