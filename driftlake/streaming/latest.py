@@ -15,7 +15,7 @@ from driftlake.streaming.bronze import triggered
 from driftlake.streaming.folded import counting, fold, read_counting, record_batch
 
 
-def _write(rows: DataFrame, folder: str) -> None:
+def write_rows(rows: DataFrame, folder: str) -> None:
     rows.write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
@@ -38,7 +38,7 @@ def start_latest(
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        record_batch(batch, batch_id, path, _write, stateful=True)
+        record_batch(batch, batch_id, path, write_rows, stateful=True)
         if fold_beyond and len(counting(batch.sparkSession, path)[0]) > fold_beyond:
             fold_latest(batch.sparkSession, path, spec)
 
@@ -58,4 +58,4 @@ def read_latest(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
 
 def fold_latest(spark: SparkSession, path: str, spec: TableSpec) -> None:
     """Bring the written batches together in one folder; see :func:`driftlake.streaming.folded.fold`."""
-    fold(spark, path, lambda rows: latest_per_key(rows, spec), _write)
+    fold(spark, path, lambda rows: latest_per_key(rows, spec), write_rows)

@@ -1,0 +1,258 @@
+"""Expiring state, stored progress counts, rules as a table, discovered schemas, SQL functions."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from test_decode import CUSTOMERS as GOLDEN_SPEC
+from test_decode import GOLDEN
+from test_upkeep import ODD, SPEC, stream, topic
+
+from driftlake import TableSpec
+from driftlake.operators import decode, valid_changes
+from driftlake.operators.access import Rule, first_match
+from driftlake.operators.discover import draft_spec, drift_report, row_fields, spec_drift, topic_shapes
+from driftlake.operators.rule_table import decide, matching_patterns
+from driftlake.plans.layers import new_namespace
+from driftlake.plans.sql_functions import create_changes_function
+from driftlake.sources import files
+from driftlake.streaming import read_latest, to_bronze
+from driftlake.streaming import listener as lst
+from driftlake.streaming.expiring import start_latest_expiring
+from driftlake.streaming.state_audit import read_state
+
+HOUR = 3_600_000
+
+
+# -- expiring state ---------------------------------------------------------------------------
+
+def run_expiring(spark, root, spec=SPEC, horizon="2 hours"):
+    changes = valid_changes(decode(to_bronze(stream(spark, f"{root}/topic")).drop("topic"), spec), spec)
+    query = start_latest_expiring(
+        changes.drop("partition", "ingest_ts"), spec, f"{root}/out", f"{root}/checkpoint", horizon)
+    query.awaitTermination()
+    return query
+
+
+def served(spark, root, spec=SPEC):
+    return {r.id: (r.op, r.name) for r in read_latest(spark, f"{root}/out", spec).collect()}
+
+
+def test_late_events_on_either_side_of_the_horizon(spark, tmp_path):
+    root = str(tmp_path)
+    waves = [
+        [(1 * HOUR, 1, "a"), (1 * HOUR + 1, 2, "b"), (2 * HOUR, 1, None), (2 * HOUR + 1, 2, None)],
+        [(3 * HOUR, 3, "c")],
+        [(2 * HOUR - 1, 1, "late")],  # within two hours of the newest event: older than the delete
+        [(9 * HOUR, 3, "d")],  # the deletes are more than two hours old from here on
+        [(9 * HOUR + 1, 4, "e")],
+        [(2 * HOUR - 1, 2, "later")],  # beyond the horizon: not applied, so the delete stands
+        [(9 * HOUR + 2, 1, "again")],  # a new life of the key
+    ]
+    for wave in waves:
+        topic(spark, f"{root}/topic", wave)
+        run_expiring(spark, root)
+    assert served(spark, root) == {1: ("u", "again"), 2: ("d", None), 3: ("u", "d"), 4: ("u", "e")}
+    assert {r.key.id for r in read_state(spark, f"{root}/checkpoint").filter("value.groupState is not null").select("key").collect()} >= {1, 3, 4}
+
+
+def test_state_of_deleted_keys_goes(spark, tmp_path):
+    root, held = str(tmp_path), []
+    topic(spark, f"{root}/topic", [(HOUR + i, i, "x") for i in range(200)])
+    topic(spark, f"{root}/topic", [(2 * HOUR + i, i, None) for i in range(150)])
+    topic(spark, f"{root}/topic", [(30 * HOUR, 1000, "y")])
+    topic(spark, f"{root}/topic", [(31 * HOUR, 1001, "z")])
+    query = run_expiring(spark, root)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) >= 200 and held[-1] == 52
+    rows = served(spark, root)
+    assert sum(op == "d" for op, _ in rows.values()) == 150 and len(rows) == 202
+
+
+def test_random_order_within_the_horizon_gives_the_newest(spark, tmp_path):
+    rng, root, want = random.Random(8), str(tmp_path), {}
+    events = [(HOUR + i, rng.randrange(15), rng.choice(["a", "b", None])) for i in range(300)]
+    for offset, key, name in events:
+        want[key] = ("d", None) if name is None else ("u", name)
+    rng.shuffle(events)
+    for n in range(3):
+        topic(spark, f"{root}/topic", events[n::3])
+    run_expiring(spark, root)
+    assert served(spark, root) == want
+
+
+def test_large_numbers_and_times_survive_the_state(spark, tmp_path):
+    spec = TableSpec("people", {"id": "bigint"}, {"at": "timestamp", "big": "bigint", "name": "string"}, topic=SPEC.topic)
+    payload = '{"after":{"id":9007199254740993,"at":"2024-01-02 03:04:05.678901","big":9223372036854775807,"name":"\\"é\\""},"op":"c","ts_ms":5}'
+    rows = [("k", payload, SPEC.topic, 0, (1 << 60) + 1)]
+    raw = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
+    raw.withColumn("timestamp", F.current_timestamp()).write.parquet(f"{tmp_path}/topic")
+    run_expiring(spark, str(tmp_path), spec)
+    row = read_latest(spark, f"{tmp_path}/out", spec).select("*", F.col("at").cast("string").alias("t")).first()
+    assert (row.id, row.big, row.offset, row.t, row["name"]) == (
+        9007199254740993, 9223372036854775807, (1 << 60) + 1, "2024-01-02 03:04:05.678901", '"é"')
+
+
+# -- counts from progress ---------------------------------------------------------------------
+
+def start_counted_sink(spark, root):
+    raw = to_bronze(stream(spark, f"{root}/topic"))
+    rows = lst.observed(raw, "raw")
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    return writer.trigger(availableNow=True).start(f"{root}/out")
+
+
+def test_counts_outlast_the_progress_a_query_remembers(spark, tmp_path, settings):
+    settings(spark__sql__streaming__numRecentProgressUpdates="3")
+    root = str(tmp_path)
+    for run in range(2):
+        for n in range(5):
+            topic(spark, f"{root}/topic", [(run * 100 + n * 10 + k, k, "a") for k in range(n + 1)])
+        listener = lst.store_counts(spark, f"{root}/counts", "raw")
+        query = start_counted_sink(spark, root)
+        listener.wait_for(query)
+        spark.streams.removeListener(listener)
+        assert len(query.recentProgress) <= 3
+    counts = lst.read_stored(spark, f"{root}/counts")
+    assert counts.count() == 10
+    row = counts.agg(F.sum(F.col("counts")["records"]).alias("n"), F.sum("input_rows").alias("i")).first()
+    assert (row.n, row.i) == (30, 30)
+    assert lst.uncounted(spark, f"{root}/counts", f"{root}/checkpoint") == []
+    name = sorted(r.f for r in counts.select(F.input_file_name().alias("f")).distinct().collect())[4]
+    files.remove(spark, name)
+    assert lst.uncounted(spark, f"{root}/counts", f"{root}/checkpoint") == [4]
+
+
+def test_a_listener_that_cannot_write_says_so(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    topic(spark, f"{root}/topic", [(1, 1, "a")])
+
+    def broken(*_):
+        raise OSError("read only")
+
+    monkeypatch.setattr(lst.files, "write_text", broken)
+    listener = lst.store_counts(spark, f"{root}/counts", "raw")
+    with pytest.raises(OSError, match="read only"):
+        listener.wait_for(start_counted_sink(spark, root))
+    spark.streams.removeListener(listener)
+    monkeypatch.undo()
+    assert lst.read_stored(spark, f"{root}/counts").count() == 0
+
+
+# -- rules ------------------------------------------------------------------------------------
+
+def plain_decision(rules, user, catalog):
+    for ord_, user_re, catalog_re, allow in sorted(rules, key=lambda r: r[0]):
+        if all(v is not None and (p is None or re.fullmatch(p, v)) for v, p in ((user, user_re), (catalog, catalog_re))):
+            return ord_, allow
+    return None, None
+
+
+RULE_SCHEMA = "ord long, user_re string, catalog_re string, allow string"
+
+
+def test_five_thousand_rules(spark):
+    rng = random.Random(2)
+    users = [f"{t}_{i}" for t in ("de", "ds", "guest") for i in range(80)] + ["a.b", "x", ""]
+    catalogs = [f"{layer}_{t}" for layer in ("bronze", "silver", "gold") for t in ("de", "ds")] + ["system"]
+    user_patterns = users[:60] + ["de_.*", "d[es]_1.*", ".*_7", "guest_[0-9]", "de_1|ds_2", "(?:de|ds)_3", "de?_4.*", "a.b", "x*", None, ".*"]
+    catalog_patterns = catalogs + ["silver_.*", ".*_de", "bronze_(de|ds)", None, ".*", "g.*"]
+    rules = [(i, rng.choice(user_patterns), rng.choice(catalog_patterns), f"allow {i % 7}") for i in range(5000)]
+    rules += [(i + 5000, u, c, "tail") for i, (u, c) in enumerate([("de_.*", ".*"), (None, "system")])]
+    rng.shuffle(rules)
+    log = [(i, rng.choice(users), rng.choice(catalogs)) for i in range(600)] + [(600, None, "system"), (601, "x", None)]
+    got = decide(spark.createDataFrame(log, "n long, user string, catalog string"), spark.createDataFrame(rules, RULE_SCHEMA))
+    want = {n: plain_decision(rules, user, catalog) for n, user, catalog in log}
+    assert {r.n: (r.ord, r.allow) for r in got.collect()} == want
+
+
+def test_same_decisions_as_a_case_expression(spark):
+    rules = [Rule("read-only", "system", "de_.*"), Rule("all", "bronze_de", "de_.*"), Rule("none", ".*"), Rule("all", "x", "y")]
+    log = spark.createDataFrame(
+        [(u, c) for u in ("de_1", "ds_1", "y") for c in ("system", "bronze_de", "x", "")], "user string, catalog string")
+    table = spark.createDataFrame([(i, r.user, r.catalog, r.allow) for i, r in enumerate(rules)], RULE_SCHEMA)
+    case = log.withColumn("allow", first_match(F.col("user"), F.col("catalog"), rules))
+    key = lambda r: (r.user, r.catalog, r.allow)
+    assert sorted(map(key, decide(log, table).collect())) == sorted(map(key, case.collect()))
+
+
+def test_patterns_find_what_regular_expressions_find(spark):
+    patterns = ["ab", "ab*", "ab+c?", "a{2}b", "a.c", "ab.*", "ab|cd", "(ab)+", "[ab]c", "abcdefghijklmnopqrstuvw.*", "é.", "a\\.b", ""]
+    values = ["ab", "a", "abb", "abc", "aab", "axc", "cd", "abab", "ac", "bc", "abcdefghijklmnopqrstuvwxyz", "éx", "a.b", "", "abx"]
+    got = matching_patterns(
+        spark.createDataFrame([(v,) for v in values], "value string"),
+        spark.createDataFrame([(p,) for p in [*patterns, ".*"]], "pattern string")).collect()
+    want = sorted((v, p) for v in values for p in [*patterns, ".*"] if re.fullmatch(p, v))
+    assert sorted((r.value, r.pattern) for r in got) == want
+
+
+# -- discovery --------------------------------------------------------------------------------
+
+def test_shapes_and_drafts(spark):
+    rows = [
+        ("s.people", '{"after":{"id":1,"name":"a","score":1.5,"op":"x"},"op":"c"}'),
+        ("s.people", '{"before":{"id":20000000000,"name":null},"after":null,"op":"d"}'),
+        ("s.people", '{"after":{"id":3,"tags":[1],"nothing":null},"op":"u"}'), ("s.people", "{broken"), ("s.people", None),
+        ("s.flat", '{"n":12345678901234567890123,"ok":true}'), ("s.flat", '{"n":1,"ok":"mixed"}'), ("s.bare", "[1]"),
+    ]
+    shapes = topic_shapes(spark.createDataFrame(rows, "topic string, payload string").repartition(4))
+    by = {r.topic: r for r in shapes.collect()}
+    assert (by["s.people"].records, by["s.people"].unreadable, by["s.people"].enveloped) == (5, 1, 3)
+    fields = {"id": "bigint", "name": "string", "score": "double", "op": "string", "tags": "string", "nothing": "string"}
+    assert row_fields(by["s.people"].row) == fields
+    assert row_fields(by["s.flat"].row) == {"n": "decimal(23,0)", "ok": "string"}
+    assert row_fields(by["s.bare"].row) == row_fields("VOID") == row_fields(None) == {}
+    spec = draft_spec("s.people", by["s.people"].row, ["id"])
+    assert (spec.name, spec.key, spec.fields) == ("people", {"id": "bigint"}, {"row_op": "op"})
+    raw = spark.createDataFrame(rows[:3], "topic string, payload string")
+    assert [r.row_op for r in decode(raw, spec).orderBy("id").collect()] == ["x", None, None]
+    with pytest.raises(ValueError, match="no field"):
+        draft_spec("s.people", by["s.people"].row, ["key"])
+    old = TableSpec("people", {"id": "int"}, {"name": "string", "score": "bigint", "age": "int"})
+    drift = {f: s for f, _, _, s in spec_drift(old, by["s.people"].row)}
+    assert drift == {"id": "same", "name": "same", "score": "other type", "age": "gone", "op": "new", "tags": "new", "nothing": "new"}
+    report = drift_report(shapes, [old])
+    assert {r.topic for r in report.filter("status = 'undescribed'").collect()} == {"s.flat"}
+    assert drift_report(shapes.limit(0), [old]).collect() == []
+
+
+# -- SQL functions ----------------------------------------------------------------------------
+
+def test_sql_functions_decode_as_the_operator_does(spark):
+    namespace = new_namespace(spark, "tools")
+    name = create_changes_function(spark, namespace, GOLDEN_SPEC)
+    rows = [(i, p) for i, p in enumerate([p for p, _ in GOLDEN] + ODD)]
+    raw = spark.createDataFrame(rows, "n int, payload string")
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(namespace)
+    try:
+        got = spark.sql(f"SELECT n, c.* FROM {{raw}}, LATERAL {name}(payload) AS c", raw=raw).collect()
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    want = valid_changes(decode(raw, GOLDEN_SPEC), GOLDEN_SPEC).select("n", *GOLDEN_SPEC.row_columns, "op", "version", "lsn").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    numbers = ["7", " 7 ", "1.5", "-1.9", ".5", "1e3", "x", "9223372036854775808"]
+    found = spark.createDataFrame([(t,) for t in numbers], "t string").selectExpr(f"{namespace}.lenient_bigint(t) AS n")
+    assert [r.n for r in found.collect()] == [7, 7, 1, -1, 0, None, None, None]
+    allowed = spark.sql(
+        f"SELECT {namespace}.permits('all', 'write') a, {namespace}.permits('read-only', 'write') b, "
+        f"{namespace}.permits('read-only', 'read') c, {namespace}.permits(NULL, 'read') d").first()
+    assert tuple(allowed) == (True, False, True, False)
+
+
+def test_sql_functions_parse_a_payload_once_and_refuse_odd_names(spark):
+    namespace = new_namespace(spark, "tools")
+    name = create_changes_function(spark, namespace, SPEC)
+    raw = spark.createDataFrame([("{}",)], "payload string")
+    spark.catalog.setCurrentDatabase(namespace)
+    try:
+        plan = spark.sql(f"SELECT c.id, c.name FROM {{raw}}, LATERAL {name}(payload) AS c WHERE c.version > 3", raw=raw)
+        physical = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+    assert physical.count("from_json") == 1 and "Python" not in physical
+    with pytest.raises(ValueError):
+        create_changes_function(spark, namespace, TableSpec("a b", {"id": "int"}))
+    with pytest.raises(ValueError):
+        create_changes_function(spark, namespace, TableSpec("t", {"id": "int"}, fields={"id": "x.y"}))
