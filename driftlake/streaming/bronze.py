@@ -16,6 +16,8 @@ from driftlake.functions.payload import normalize_value
 WRITE_ATTEMPTS = 3
 RETRY_PAUSE_SECONDS = 3.0
 TIMEOUT_PAUSE_SECONDS = 30.0
+# Timeouts in a row from which on the log calls them an error.
+LASTING = 10
 
 JAVA_TIMEOUTS = ("java.net.SocketTimeoutException", "java.util.concurrent.TimeoutException")
 JAVA_CONNECTION_FAILURES = (
@@ -150,22 +152,28 @@ def with_retries(
     pause: float = RETRY_PAUSE_SECONDS,
     timeout_pause: float = TIMEOUT_PAUSE_SECONDS,
     sleep: Callable[[float], None] = time.sleep,
+    timeouts: int | None = None,
 ) -> None:
     """Run ``write`` with bounded retries.
 
     A connection failure is retried after ``pause``, ``attempts`` times in all.  A timeout
     means the target is overloaded: the batch waits ``timeout_pause`` and is tried again,
-    and since the next micro-batch waits for this one, no more is read meanwhile.  Anything
-    else is raised at once.
+    and since the next micro-batch waits for this one, no more is read meanwhile.  That goes on
+    for ever, as an error in the log from the LASTING-th time on, unless ``timeouts`` says after how
+    many the write has failed.  Anything else is raised at once.
     """
-    failed = 0
+    failed = waited = 0
     while True:
         try:
             write()
             return
         except Exception as failure:
             if is_timeout(failure):
-                LOG.warning("write timed out, next try in %s s: %r", timeout_pause, failure)
+                waited += 1
+                if waited == timeouts:
+                    raise SinkWriteError(f"write timed out {timeouts} times") from failure
+                level = logging.ERROR if waited >= LASTING else logging.WARNING
+                LOG.log(level, "write timed out %s times, next try in %s s: %r", waited, timeout_pause, failure)
                 sleep(timeout_pause)
                 continue
             if not is_connection_failure(failure):

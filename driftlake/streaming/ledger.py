@@ -10,18 +10,18 @@ Layout under ``path``::
     deltas/<query>-<batch>/     newest change per key within one micro-batch
     base/<n>/                   newest change per key over the deltas named in its _COVERED
                                 file, hash-bucketed on the key
+    building/<id>/              a base that isn't finished
 
 A micro-batch costs work in proportion to its own rows, not to the state.  Reading joins
-the bucketed base with the reduced deltas, so the base is not shuffled.  ``_COVERED`` is
-written last and makes a base visible; a delta is visible once its own marker is written.
+the bucketed base with the reduced deltas, so the base is not shuffled.  A base is moved to its
+place once it is whole; a delta is visible once its own marker is written.
 """
 
 from __future__ import annotations
 
-import threading
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
@@ -48,7 +48,13 @@ WRITERS = 8
 # What a byte of a compressed file may take in memory.
 EXPANSION = 5
 
-_compactions: list[threading.Thread] = []
+# Compactions that streams have started, by the paths they work on.
+_compactions: dict[tuple[str, ...], Future] = {}
+_aside = ThreadPoolExecutor(WRITERS, thread_name_prefix="driftlake-compact")
+
+
+class CompactionConflictError(RuntimeError):
+    """Another compaction has put a base on top of the one this was built on."""
 
 
 def state_schema(spec: TableSpec) -> T.StructType:
@@ -92,35 +98,49 @@ def _start(
     if compact_every and not buckets:
         raise ValueError("compact_every needs the number of buckets")
 
+    paths = tuple(path for _, path in targets)
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        _raise_failure(paths)
         name = batch_name(batch, batch_id)
         with_retries(lambda: record(batch, name))
         if compact_every and (batch_id + 1) % compact_every == 0:
-            _compact_aside(batch.sparkSession, targets, buckets)
+            _compact_aside(batch.sparkSession, targets, paths, buckets)
 
     writer = bronze.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
 
 
-def _compact_aside(spark: SparkSession, targets: list[tuple[TableSpec, str]], buckets: int) -> None:
+def _raise_failure(paths: tuple[str, ...]) -> None:
+    """Raise what the last compaction of these paths has failed with, once."""
+    last = _compactions.get(paths)
+    if last is not None and last.done():
+        del _compactions[paths]
+        last.result()
+
+
+def _compact_aside(
+    spark: SparkSession, targets: list[tuple[TableSpec, str]], paths: tuple[str, ...], buckets: int
+) -> None:
     """Compact in a thread of its own, unless the last one still runs."""
-    _compactions[:] = [t for t in _compactions if t.is_alive()]
-    paths = tuple(path for _, path in targets)
-    if any(t.name == str(paths) for t in _compactions):
+    _raise_failure(paths)
+    if paths in _compactions:
         return
 
     def run() -> None:
         for spec, path in targets:
             compact(spark, path, spec, buckets)
 
-    _compactions.append(threading.Thread(target=run, name=str(paths)))
-    _compactions[-1].start()
+    _compactions[paths] = _aside.submit(run)
 
 
 def wait_for_compactions() -> None:
-    """Wait until the compactions that streams have started are over."""
-    for thread in list(_compactions):
-        thread.join()
+    """Wait until the compactions that streams have started are over; raise what one failed with."""
+    started = list(_compactions.values())
+    _compactions.clear()
+    for failure in [one.exception() for one in started]:
+        if failure is not None:
+            raise failure
 
 
 def start_scd1(
@@ -136,8 +156,9 @@ def start_scd1(
 
     Batches are named by the query's own id, which lives in the checkpoint: a restart
     finds its batches again, a new checkpoint cannot mistake them for its own.  Every
-    ``compact_every`` batches the deltas are folded into the base, beside the running stream;
-    :func:`wait_for_compactions` waits for what is under way.  Raw rows of other topics are left out.
+    ``compact_every`` batches the deltas are folded into the base, beside the running stream.  One
+    that failed stops the query at its next batch; :func:`wait_for_compactions` waits for what is
+    under way and raises what went wrong.  Raw rows of other topics are left out.
     """
 
     def record(batch: DataFrame, name: str) -> None:
@@ -309,8 +330,8 @@ def compact(
 
     Known keys are rewritten bucket by bucket out of the previous base without moving it
     between tasks; keys new since then are appended to the same buckets.  The first base,
-    and one with another bucket count, is shuffled once.  Only one compaction may run at a
-    time.  What the previous base had made redundant is deleted afterwards, so readers may go on
+    and one with another bucket count, is shuffled once.  Of two compactions at a time the one
+    that ends first counts, the other leaves nothing behind and raises.  What the previous base had made redundant is deleted afterwards, so readers may go on
     for as long as it takes to the next compaction.  Deletes with a version below ``forget_deletes_before`` are let go; an even older
     event arriving after that would count as new.
     """
@@ -321,8 +342,9 @@ def compact(
     covered = _describe(spark, path, base).covered if base else set()
     covered &= set(files.finished_children(spark, f"{path}/deltas"))
     number = f"{int(base) + 1:012d}" if base else f"{0:012d}"
-    folder = f"{path}/base/{number}"
-    files.remove(spark, folder)  # left behind by an interrupted run; it was never visible
+    folder, building = f"{path}/base/{number}", f"{path}/building/{uuid.uuid4().hex}"
+    if files.exists(spark, folder) and not files.exists(spark, f"{folder}/{COVERED}"):
+        files.remove(spark, folder)  # of a run that wrote in place and broke off; never visible
     deltas = _read_deltas(spark, path, names, spec, buckets)
     if base is None:
         parts = [deltas]
@@ -337,10 +359,16 @@ def compact(
     if forget_deletes_before is not None:
         old_delete = (F.col("op") == DELETE_OP) & (F.col("version") < forget_deletes_before)
         parts = [part.filter(~F.coalesce(old_delete, F.lit(False))) for part in parts]
-    _write_buckets(parts, folder, spec, buckets)
-    name = f"driftlake_base_{uuid.uuid4().hex}"
-    listing = "\n".join([str(buckets), name, *sorted(covered | set(names))])
-    files.write_text(spark, f"{folder}/{COVERED}", listing)
+    try:
+        _write_buckets(parts, building, spec, buckets)
+        name = f"driftlake_base_{uuid.uuid4().hex}"
+        listing = "\n".join([str(buckets), name, *sorted(covered | set(names))])
+        files.write_text(spark, f"{building}/{COVERED}", listing)
+        if _latest_base(spark, path) != base or not files.move_new(spark, building, folder):
+            raise CompactionConflictError(f"{path} was compacted by somebody else meanwhile")
+    except BaseException:
+        files.remove(spark, building)
+        raise
     if base:
         _retire(spark, path, base)
     return number
