@@ -1,11 +1,11 @@
 """Deterministic WARC archives: sharded, rolled by compressed size, committed by a manifest.
 
-Pages are cut into shards by ranges of their id: a histogram of payload bytes over RANGES equal
-id ranges is gathered, ranges of more than ``shard_bytes`` are cut again in the same way until they
-are small enough or a single id, and consecutive ranges make up a shard of about ``shard_bytes``.
-An id with more than that, and the rows without an id, are dealt to several shards by the digest of
-their payload; only rows that repeat an id and its payload always stay together.  Each shard is sorted and written by one task, as gzip members of one record
-each; a new file starts once ``file_bytes`` compressed bytes are reached.  Headers and digests are
+Pages are cut into shards by ranges of their id: in order of the ids, a shard begins at every
+``shard_bytes``.  A page finds its shard by binary search among the bounds, of which there are at
+most MOST_SHARDS, as shards grow with the pages beyond that.
+An id with more bytes than a shard, and the rows without an id, are dealt to several shards by the
+digest of their payload; only rows that repeat an id and its payload always stay together.  Each
+shard is sorted and written by one task, as gzip members of one record each; a new file starts once ``file_bytes`` compressed bytes are reached.  Headers and digests are
 made from the rows alone, so the same pages give the same files, byte by byte, on any cluster.
 
 A file is written under a temporary name and then moved to its own, so a repeated or lost task
@@ -28,16 +28,18 @@ import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.llm.common import partitions_for, stored
 from driftlake.sources import files
 
-RANGES = 65_536
+SHARD_BYTES = 64 << 20
+MOST_SHARDS = 65_536
 DATE = "2024-01-01T00:00:00Z"  # of every record: the date is not part of the rows
 MANIFEST_SCHEMA = "file string, records long, bytes long"
 
@@ -170,79 +172,114 @@ def roles(pages: DataFrame, least: int) -> DataFrame:
 
 
 def _weight() -> Column:
-    return F.sum(F.octet_length(F.coalesce("html", F.lit(""))) + 512).alias("bytes")
-
-
-def _last(values: list[int]) -> Column:
-    """Place, from 1 on, of the last of the sorted ids that is not above the page's; 0 if none is."""
-    return F.array_size(F.filter(F.lit(values).cast("array<long>"), lambda v: v <= F.col("page_id")))
-
-
-def shard_bounds(pages: DataFrame, shard_bytes: int) -> tuple[list[int], list[int]]:
-    """The first id of each range of ids, and in how many shards its rows are; more than one only
-    if the range is one id.  The last number is that of the rows without an id."""
-    low, high, none = pages.agg(
-        F.min("page_id"), F.max("page_id"),
-        F.sum(F.when(F.col("page_id").isNull(), F.octet_length(F.coalesce("html", F.lit(""))) + 512))).first()
-    pieces = [max(1, -(-(none or 0) // shard_bytes))]
-    if low is None:
-        return [], pieces
-    sizes = pages.filter("page_id is not null").select("page_id", "html")
-    weight, open_, done, first = _weight(), [(low, high)], [], True
-    while open_:
-        each = max(16, RANGES // len(open_))
-        widths = [-(-(y - x + 1) // each) for x, y in open_]
-        at = _last([x for x, _ in open_])
-
-        def of(values):
-            numbers = F.lit([str(v) for v in values]).cast("array<decimal(20,0)>")
-            return F.element_at(numbers, F.col("at"))
-
-        cells = (
-            sizes.withColumn("at", at).filter("at > 0").withColumns({
-                "low": of([x for x, _ in open_]), "high": of([y for _, y in open_]), "width": of(widths)})
-            .filter(F.col("page_id") <= F.col("high"))
-            .groupBy("at", F.expr("(cast(page_id as decimal(20,0)) - low) div width").alias("cell")).agg(weight)
-        )
-        again = []
-        for row in sorted(cells.collect()):  # at most RANGES rows, or 16 a range that is cut again
-            (x, y), width = open_[row["at"] - 1], widths[row["at"] - 1]
-            x += row["cell"] * width
-            y = min(y, x + width - 1)
-            if row["bytes"] > shard_bytes and y > x:
-                again.append((x, y))
-            else:
-                done.append((x, row["bytes"], x == y))
-        open_ = again
-        if open_ and first:  # what is read again is one row an id
-            sizes = stored(sizes.groupBy("page_id").agg(weight), "id_sizes")
-            weight, first = F.sum("bytes").alias("bytes"), False
-    starts, counts, filled = [], [], 0
-    for start, size, single in sorted(done):
-        if not starts or filled + size > shard_bytes:
-            starts.append(start)
-            counts.append(max(1, -(-size // shard_bytes)) if single else 1)
-            filled = 0
-        filled += size
-    return starts, counts + pieces
+    return F.octet_length(F.coalesce("html", F.lit(""))) + 512
+
+
+class Bounds(NamedTuple):
+    """Runs of ids: the first id of each, its first shard, and over how many shards its rows are
+    dealt (more than one only if the run is one id).  The last number is that of the rows without an
+    id, which come after all shards."""
+
+    starts: list[int]
+    shards: list[int]
+    counts: list[int]
+
+    @property
+    def with_id(self) -> int:
+        return max((s + c for s, c in zip(self.shards, self.counts)), default=0)
+
+    @property
+    def total(self) -> int:
+        return self.with_id + self.counts[-1]
+
+
+def shard_bounds(pages: DataFrame, shard_bytes: int | None = None) -> Bounds:
+    """Where the shards begin: at every ``shard_bytes`` of the pages in order of their ids.
+
+    The bytes of each id are summed, and laid out in order over the partitions of a range shuffle.
+    The bytes before a partition come from the totals, those before an id from a running sum, and an
+    id's shard is what these make.  So bounds depend on the rows alone, not on how Spark has dealt
+    them.  The driver gathers a number a partition and a row a shard.
+    """
+    spark = pages.sparkSession
+    sizes = pages.groupBy("page_id").agg(F.sum(_weight()).alias("bytes"), F.count("*").alias("rows"))
+    laid = stored(
+        sizes.repartitionByRange("page_id").withColumn("part", F.spark_partition_id()), "id_sizes")
+    with_id = laid.filter("page_id is not null")
+    totals = {r["part"]: r["n"] for r in with_id.groupBy("part").agg(F.sum("bytes").alias("n")).collect()}
+    none, unnamed = laid.filter("page_id is null").agg(F.sum("bytes"), F.sum("rows")).first()
+    none = none or 0
+    if shard_bytes is None:
+        shard_bytes = max(SHARD_BYTES, -(-(sum(totals.values()) + none) // MOST_SHARDS))
+    pieces = max(1, min(-(-none // shard_bytes), unnamed or 0))
+    parts = sorted(totals)
+    before = dict(zip(parts, itertools.accumulate([0, *(totals[p] for p in parts)]), strict=False))
+    offsets = spark.createDataFrame(list(before.items()), "part int, before long")
+    order = Window.partitionBy("part").orderBy("page_id")
+    placed = with_id.join(F.broadcast(offsets), "part").withColumn(
+        "ends", F.col("before") + F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    shard = F.expr(f"(ends - bytes) div {shard_bytes}")
+    count = F.when(F.col("bytes") > shard_bytes, F.expr(f"(ends - 1) div {shard_bytes}") - shard + 1).otherwise(1)
+    placed = placed.select("part", "page_id", "rows", shard.alias("shard"), count.alias("count"))
+    changed = (
+        F.lag("shard").over(order).isNull() | (F.lag("shard").over(order) != F.col("shard"))
+        | (F.col("count") > 1) | (F.lag("count").over(order) > 1)
+    )
+    found = placed.withColumn("new", changed).filter("new").select("page_id", "shard", "count", "rows").collect()
+    starts, shards, counts, last, end = [], [], [], None, -1
+    for page_id, first, span, rows in sorted(tuple(r) for r in found):
+        # Shards in which nothing begins get no number, and no id has more than it has rows.
+        starts.append(page_id)
+        shards.append(end if first == last else end + 1)
+        counts.append(min(span, rows))
+        last, end = first + span - 1, shards[-1] + counts[-1] - 1
+    return Bounds(starts, shards, [*counts, pieces])
+
+
+def _numbers(values: list[int]) -> Column:
+    """An array from one literal, however long it is."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _run_of(page_id: Column, starts: list[int]) -> Column:
+    """Place, from 1 on, of the last of the sorted starts that is not above the id; 0 if none is.
+
+    A binary search: half of what is left goes in each step.
+    """
+    array = _numbers(starts)
+
+    def half(left, _):
+        low, high = left["low"], left["high"]
+        middle = F.shiftright(low + high + 1, 1)
+        up = F.get(array, middle - 1) <= page_id
+        return F.when(low >= high, left).when(up, F.struct(middle.alias("low"), high.alias("high"))).otherwise(
+            F.struct(low.alias("low"), (middle - 1).alias("high")))
+
+    whole = F.struct(F.lit(0).alias("low"), F.lit(len(starts)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(len(starts).bit_length() + 1))
+    return F.aggregate(steps, whole, half, lambda found: found["low"])
 
 
 def write_archives(
-    pages: DataFrame, folder: str, shard_bytes: int = 64 << 20, file_bytes: int = 32 << 20,
+    pages: DataFrame, folder: str, shard_bytes: int | None = None, file_bytes: int = 32 << 20,
     least: int = 0,
 ) -> DataFrame:
-    """Write the archives and commit their manifest; returns the manifest."""
+    """Write the archives and commit their manifest; returns the manifest.
+
+    ``shard_bytes`` is SHARD_BYTES, or as much more as makes MOST_SHARDS of the pages.  A shard is
+    sorted (and spilled, if need be) and written by a task of its own.
+    """
     spark = pages.sparkSession
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    starts, counts = shard_bounds(pages, shard_bytes)
-    first = [0, *itertools.accumulate(counts)][:-1]
-    place = F.when(F.col("page_id").isNull(), len(counts)).otherwise(F.greatest(_last(starts), F.lit(1)))
+    bounds = shard_bounds(pages, shard_bytes)
+    run = F.greatest(_run_of(F.col("page_id"), bounds.starts), F.lit(1)) if bounds.starts else F.lit(1)
+    place = F.when(F.col("page_id").isNull(), len(bounds.counts)).otherwise(run)
 
     def shard(sha: Column) -> Column:
-        """The first shard of the row's range, or that of several which the digest says."""
-        base = F.element_at(F.lit(first).cast("array<int>"), place)
-        if max(counts) > 1:
-            of = F.element_at(F.lit(counts).cast("array<int>"), place)
+        """The first shard of the row's run, or that of several which the digest says."""
+        base = F.element_at(_numbers([*bounds.shards, bounds.with_id]), place)
+        if max(bounds.counts) > 1:
+            of = F.element_at(_numbers(bounds.counts), place)
             base = base + F.when(of > 1, F.pmod(F.crc32(sha.cast("binary")), of)).otherwise(0)
         return base.cast("int").alias("shard")
 
@@ -259,7 +296,7 @@ def write_archives(
     uri = fs.makeQualified(handle).toUri().toString()
     written = (
         plain.union(told)
-        .repartition(max(1, min(sum(counts), partitions_for(pages, 1) * 8)), "shard")
+        .repartitionById(min(bounds.total, MOST_SHARDS), "shard")
         .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "sha", "page", "url")
         .mapInArrow(_writer(uri, file_bytes), MANIFEST_SCHEMA)
     )
@@ -338,7 +375,7 @@ def read_archives(spark, folder: str, with_html: bool = True) -> DataFrame:
     fs, handle = files.open_path(spark, folder)
     uri = fs.makeQualified(handle).toUri().toString()
     manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{folder}/manifest")
-    named = manifest.select("file").repartition(partitions_for(manifest), "file")
+    named = manifest.select("file").repartition(partitions_for(manifest))  # in turn: files are alike in size
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, "
               "record_type string, refers_to long, file string")
     return named.mapInArrow(_reader(uri, with_html), schema + (", html string" if with_html else ""))

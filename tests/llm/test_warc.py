@@ -97,3 +97,67 @@ def test_shards_of_skewed_ids(spark, tmp_path):
     assert sum(shards.values()) == len(rows)
     assert max(shards.values()) <= 40
     assert result(warc.read_archives(spark, f"{tmp_path}/archives")) == brute(rows)
+
+
+def test_bounds_do_not_depend_on_the_partitions(spark, settings):
+    html = "x" * 88
+    rows = [(i * 3, "u", html) for i in range(400)] + [(30, "u", html)] * 40 + [(None, "u", html)] * 7
+    found = []
+    for parts in ("2", "7"):
+        settings(spark__sql__shuffle__partitions=parts)
+        bounds = warc.shard_bounds(pages_of(spark, rows).repartition(int(parts) + 1), 6000)
+        # What a run says of every id, however the runs are cut.
+        places = {}
+        for page_id in {r[0] for r in rows} - {None}:
+            at = max(i for i, start in enumerate(bounds.starts) if start <= page_id)
+            places[page_id] = (bounds.shards[at], bounds.counts[at])
+        found.append((places, bounds.counts[-1], bounds.with_id))
+    assert found[0] == found[1]
+    places, none, shards = found[0]
+    assert none == 1 and shards == -(-440 * 600 // 6000)
+    assert [i for i, (_, count) in places.items() if count > 1] == [30]
+    size, before = {i: 600 * (41 if i == 30 else 1) for i in places}, 0
+    for page_id in sorted(places):
+        assert places[page_id][0] == before // 6000
+        before += size[page_id]
+
+
+def test_a_shard_is_found_among_many_as_fast_as_among_few(spark):
+    """20,000 bounds take some steps more a row than 20, not a thousand times as long."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    def seconds(starts):
+        rows = spark.range(0, 400_000, 1, 4).select(warc._run_of(F.col("id"), starts).alias("run"))
+        best = []
+        for _ in range(3):
+            began = time.time()
+            rows.agg(F.sum("run")).collect()
+            best.append(time.time() - began)
+        return min(best)
+
+    few, many = seconds(list(range(0, 400_000, 20_000))), seconds(list(range(0, 400_000, 20)))
+    assert many < 6 * few + 1
+    starts = [3, 5, 9, 2**62]
+    ids = [-(2**63), 2, 3, 4, 5, 8, 9, 10, 2**62 - 1, 2**62, 2**63 - 1]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = [r.run for r in rows.select(warc._run_of(F.col("id"), starts).alias("run")).collect()]
+    assert got == [sum(s <= i for s in starts) for i in ids]
+
+
+def test_every_shard_has_a_task_of_its_own(spark, tmp_path):
+    rows = [(i, "u", "x" * 1000) for i in range(200)]
+    manifest = warc.write_archives(pages_of(spark, rows), f"{tmp_path}/a", 20_000, 1 << 20)
+    from pyspark.sql import functions as F
+
+    files = manifest.groupBy(F.input_file_name().alias("task")).agg(F.count_distinct(F.substring("file", 1, 12)).alias("n"))
+    counts = [r.n for r in files.filter("n > 0").collect()]
+    assert len(counts) == 16 and set(counts) == {1}
+
+
+def test_number_of_shards_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(warc, "MOST_SHARDS", 8)
+    bounds = warc.shard_bounds(pages_of(spark, [(i, "u", "x" * 488) for i in range(500)]))
+    assert bounds.with_id == 8 and bounds.total == 9
