@@ -12,7 +12,8 @@ searched backward at once; every row found walks back until a sampled place says
 Places become word spans, overlapping spans merge, and documents get them as byte spans.
 
 The test phrases go to the tasks in blocks of about ``block_bytes``; with more than one, each pass
-over the documents searches one block and adds to the hits before, so each task holds one block.
+over the documents searches one block and adds to the hits before.  Passes are stages of their own
+with written rows in between, so each task, and the driver, holds one block.
 
 Edge cases: a null or empty document has no words and no hits; items without words match nothing;
 an item shorter than a window matches as a whole; a null item id is listed as an empty string;
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlake.llm.common import blocks, text_buffer
+from driftlake.llm.common import blocks, stored, text_buffer
 
 WINDOW = 10
 SAMPLE = 16
@@ -307,8 +308,9 @@ def find(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> D
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     parts = item_blocks(items, block_bytes)
     found = rows
-    for part in parts:
-        found = _search(found, part)
+    for number, part in enumerate(parts):
+        # A pass of its own for each block: a stage then holds the phrases of one.
+        found = _search(stored(found, "decontamination") if number else found, part)
     return found
 
 

@@ -89,3 +89,19 @@ def test_odd_rows_and_item_blocks(spark, docs_of, odd_rows, block_bytes):
     assert len(rows) == sum(not (w[1] and w[1] == w[0]) for w in brute(texts, items))
     assert {r["doc_id"]: r["text"] for r in rows}[1] == "The  again."
     assert {r["doc_id"]: r["n_chars"] for r in rows}[1] == 11
+
+
+def test_each_stage_searches_one_block_of_phrases(spark, docs_of):
+    """A benchmark in several blocks gives the hits of one pass, and no stage with two searches."""
+    items = [(f"i{n}", " ".join(f"w{n}x{k}" for k in range(14))) for n in range(12)]
+    docs = docs_of([(n, "before " + items[n][1] + " and " + items[(n + 5) % 12][1]) for n in range(12)] + [(99, None)])
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one, many = d.find(docs, bench), d.find(docs, bench, block_bytes=300)
+    assert one._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+    def key(df):
+        return sorted(str((r["row"]["doc_id"], r.n_words, r.n_hit, r.spans, sorted(r["items"]), r.left)) for r in df.collect())
+
+    assert key(one) == key(many)
+    assert len(list(d.item_blocks(bench, 300))) > 3
