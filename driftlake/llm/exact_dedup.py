@@ -5,7 +5,11 @@ equal texts within a slice of some MB, comparing complete content, so a text tha
 shuffled once per slice and not once per row.  The merged records are shuffled by content hash;
 each task then partitions what it gets by further hash bits into spill files, recursively, until
 a bucket fits an open-addressing table that compares complete content.  A group of equal texts
-comes out as one row; the documents, which travel without their text, find it by their digest.
+comes out as one row; the documents, which travel without their text, find it by their digest, and
+groups of a large share of all rows are sent to them instead.
+
+A table counts its content and what its entries take, so texts of a few bytes fill it as well.  A
+text of any length is one record; two of them must fit into a task.
 
 Edge cases: a null text counts as empty; texts without any other character than white space form
 one group; among equal candidates a null id comes after any id; rows that repeat an id and a text
@@ -27,13 +31,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import ASCII_SPACE, blocks, one_row_each, partitions_for, row_key
+from driftlake.llm.common import ASCII_SPACE, blocks, join_groups, one_row_each, partitions_for, row_key, stored
 
 FAN_OUT = 16
 SLICE_BYTES = 4 << 20
 GROUP_SCHEMA = "content binary, points long, keep_id long, rows long"
 FOUND_SCHEMA = "text_sha256 string, points long, keep_id long, group_size long"
 HEAD = struct.Struct("<16sqqqq")  # hash, length of the content, points, id, rows
+# What an entry takes beside its content: the list, five objects in it, its share of the slots.
+ENTRY_BYTES = 360
 NO_ID = -(2**63)  # stands for a null id in spill files
 
 
@@ -79,7 +85,7 @@ class ContentTable:
             return
         self.slots[at] = len(self.entries)
         self.entries.append([digest, content, points, doc_id, rows])
-        self.bytes += len(content)
+        self.bytes += len(content) + ENTRY_BYTES
         if len(self.entries) * 2 > len(self.slots):
             self.slots = [-1] * (2 * len(self.slots))
             for place, entry in enumerate(self.entries):
@@ -105,7 +111,8 @@ def _read(path: str) -> Iterator[tuple]:
 def grace(records: Iterator[tuple], limit: int, folder: str, level: int = 0) -> Iterator[list]:
     """Groups of equal content among (hash, content, points, id, rows) records.
 
-    Holds at most ``limit`` bytes of distinct content, plus one record.  Beyond that, the table
+    Holds distinct content and what its entries take, ``limit`` bytes in all, plus one record.  Beyond
+    that, the table
     and all later records go to FAN_OUT spill files by the next hash byte, each handled alike.
     Repeats merge in the table and take no room, so only distinct content can overfill a bucket.
     """
@@ -209,7 +216,7 @@ def exact_dedup(docs: DataFrame, limit: int = 64 << 20) -> DataFrame:
         .groupBy("doc_id", "text_sha256", "own")
         .agg(F.count("*").cast("int").alias("times"))
     )
-    joined = members.join(equal_groups(docs, limit), "text_sha256")
+    joined = join_groups(members, stored(equal_groups(docs, limit), "groups"), "text_sha256", "group_size")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own") == F.col("points"))
     return joined.select(
         "doc_id", "keep_id", "group_size", "text_sha256", stays.alias("stays"),

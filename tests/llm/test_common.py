@@ -44,3 +44,24 @@ def test_long_texts_in_parts_give_the_same(monkeypatch):
     assert len(jaccard_join.shingle_sets(data, ends, 5)[0]) == len(shingles(text))
     ((_, _, parts),) = lang_id._vectors(pa.array([text]))
     assert np.array_equal(parts, vector)
+
+
+def test_groups_of_many_rows_are_sent_to_the_rows(spark, monkeypatch):
+    from driftlake.llm import common
+
+    monkeypatch.setattr(common, "HEAVY_ROWS", 5)
+    rows = [(i, "hot", i % 7) for i in range(400)] + [(None, "hot", 1)] + [(i, f"k{i // 3}", 2) for i in range(90)]
+    rows += [(7, "warm", 3)] * 5 + [(8, "brisk", 3)] * 6
+    df = spark.createDataFrame(rows, "doc_id long, sha string, x int")
+    groups = df.groupBy("sha").count().withColumnRenamed("count", "n").selectExpr("sha", "n", "upper(sha) AS big").cache()
+    got = common.join_groups(df, groups, "sha", "n")
+    assert got.columns == ["doc_id", "sha", "x", "n", "big"]
+    sizes = {}
+    for _, sha, _ in rows:
+        sizes[sha] = sizes.get(sha, 0) + 1
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((*r, sizes[r[1]], r[1].upper())) for r in rows)
+    # The hot key's rows are spread: no task after the shuffle has most of them.
+    spread = got.filter("sha = 'hot'")
+    plan = spread._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan or "broadcast" in plan.lower()
+    assert common.join_groups(df.limit(0), groups.limit(0), "sha", "n").collect() == []

@@ -69,3 +69,24 @@ def test_one_document_of_each_group_with_all_columns(docs_of, odd_rows):
     got = [(r["doc_id"], hashlib.sha256("".join(c for c in r["text"] or "" if c not in SPACE).encode()).hexdigest())
            for r in kept.collect()]
     assert sorted(got, key=str) == want
+
+
+def test_many_short_texts_stay_within_the_limit(tmp_path):
+    """A million distinct texts of ten bytes: what the table takes, not only its content, counts."""
+    import tracemalloc
+
+    from driftlake.llm import exact_dedup
+
+    limit, n = 24 << 20, 1_000_000
+
+    def records():
+        for i in range(n):
+            content = b"%010d" % i
+            yield exact_dedup._hash(content), content, 10, i, 1
+
+    tracemalloc.start()
+    groups = sum(1 for _ in exact_dedup.grace(records(), limit, str(tmp_path)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert groups == n
+    assert peak < 1.5 * limit
