@@ -38,7 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import from40, low40, mix, own_group, partitions_for, powers, runs, text_buffer
+from driftlake.llm.common import (
+    from40, join_groups, low40, mix, own_group, partitions_for, powers, runs, stored, text_buffer,
+)
 
 LENGTH = 50
 GRAM = 20
@@ -483,7 +485,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 8 << 20, with_text: bool
     found = by_block.cogroup(spans.groupBy("block")).applyInArrow(_cut(with_text), _schema(RESULTS))
     # Only ids, sizes and digests of the rows are left to be joined.
     plain = rows.select("doc_id", "least", "n_bytes", "sha")
-    first = plain.groupBy("sha").agg(F.min("least").alias("first"))
+    first = plain.groupBy("sha").agg(F.min("least").alias("first"), F.count("*").alias("times"))
     copy = (F.col("least") > F.col("first")) & (F.col("n_bytes") >= LENGTH)
     columns = [
         "doc_id", "n_bytes",
@@ -493,4 +495,8 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 8 << 20, with_text: bool
     ]
     if with_text:
         columns.append(F.when(copy, "").otherwise(F.col("kept")).alias("kept"))
-    return plain.join(first.join(found, "sha"), "sha").select(*columns)
+        return plain.join(first.join(found, "sha"), "sha").select(*columns)
+    groups = stored(first.join(found.drop("kept"), "sha"), "removed")
+    once = plain.groupBy(*plain.columns).agg(F.count("*").cast("int").alias("again"))
+    joined = join_groups(once, groups, "sha", "times")
+    return joined.select(*columns, F.explode(F.sequence(F.lit(1), F.col("again")))).drop("col")
