@@ -34,3 +34,40 @@ def test_permutation_of_small_counts(spark):
     for total in (1, 2, 3, 5, 17, 64, 1000):
         x = spark.range(total).select(sharding.walk(F.col("id"), F.lit(total).cast("long"), 3).alias("y"))
         assert sorted(r["y"] for r in x.collect()) == list(range(total))
+
+
+def plain_place(x, total, seed):
+    """Feistel rounds and the cycle walk by plain integers."""
+    import math
+    import struct
+
+    import xxhash
+
+    def mixed(*parts):
+        out = 42  # Spark hashes column by column, each with the hash before as its seed
+        for data in parts:
+            out = xxhash.xxh64_intdigest(data, out)
+        return out - (1 << 64) if out >> 63 else out
+
+    a = max(math.ceil(math.sqrt(total)), 1)
+    b = (total + a - 1) // a
+    while True:
+        left, right = divmod(x, b)
+        for i in range(sharding.ROUNDS):
+            keys = struct.pack("<i", seed), struct.pack("<i", i)
+            if i % 2 == 0:
+                left = (left + mixed(struct.pack("<q", right), *keys) % a) % a
+            else:
+                right = (right + mixed(struct.pack("<q", left), *keys) % b) % b
+        x = left * b + right
+        if x < total:
+            return x
+
+
+def test_places_against_a_plain_feistel(spark, docs_of, odd_rows):
+    rows = odd_rows + [(100 + i, f"text {i % 30}") for i in range(300)]
+    found = sharding.shard_rows(docs_of(rows), shards=24, seed=5).collect()
+    assert sorted(r.row_number for r in found) == list(range(len(rows)))
+    for r in found:
+        place = plain_place(r.row_number, len(rows), 5)
+        assert (r.shard, r.slot) == (place % 24, place // 24)

@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -46,8 +47,7 @@ def test_hosts_paths_and_rules(spark):
 
 def slow_model(urls, labels):
     """The same model by dictionaries: Witten-Bell over exact contexts of up to ORDER symbols.
-
-    The model hashes long contexts, a few of which collide; hence the tolerance below."""
+    """
     table = u._symbols()
     counts = [defaultdict(lambda: defaultdict(int)) for _ in (0, 1)]
 
@@ -86,7 +86,7 @@ def test_model_against_dictionaries(spark):
         F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(u.HELD_OUT)) != 0).collect()
     slow = slow_model([r["url"] for r in counted], [r["label"] for r in counted])
     urls = ["http://good.example/3/page", "http://bad-7.example/buy", "", "ftp://é.x/"]
-    assert np.allclose(model.score(pa.array(urls)), [slow(x) for x in urls], atol=0.01)
+    assert np.allclose(model.score(pa.array(urls)), [slow(x) for x in urls], atol=1e-9)
     good, bad = model.score(pa.array(urls[:2]))
     assert good >= model.threshold > bad
 
@@ -126,3 +126,39 @@ def test_contexts_are_not_mixed_up(spark):
     assert np.allclose(u.fit(df).score(pa.array(urls)), [slow(x) for x in urls], atol=1e-9)
     slow = slow_model(*zip(*rows, strict=True))
     assert np.allclose(u.fit_whole(df).score(pa.array(urls)), [slow(x) for x in urls], atol=1e-9)
+
+
+def test_verdicts_end_to_end(spark):
+    """Urls without a rule: threshold and verdict by dictionaries and by trying every cut."""
+    rng = np.random.default_rng(9)
+    words = {"allow": ["library", "history", "garden", "org"], "block": ["casino", "prize", "click", "win"]}
+    urls = []
+    for i in range(240):
+        kind = "allow" if i % 2 else "block"
+        tail = "-".join(rng.choice(words[kind], 3)) + str(rng.integers(0, 50))
+        urls.append(f"http://site{i % 9}.org/{tail}" if kind == "allow" else f"http://site{i % 9}.com/de/{tail}")
+    loose = [f"http://x{i}.net/" + "-".join(rng.choice(words["allow"] + words["block"], 3)) for i in range(60)] + ["", None, "é"]
+    rows = [(i, x) for i, x in enumerate(urls + loose)]
+    got = {r.page_id: r for r in u.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()}
+    labels = [0 if plain_rule(x)[3] == "allow" else 1 for x in urls]
+    held = [zlib.crc32(x.encode()) % u.HELD_OUT == 0 for x in urls]
+    part = slow_model([x for x, h in zip(urls, held) if not h], [y for y, h in zip(labels, held) if not h])
+    width, bins = 2 * u.CLIP / u.BINS, [[], []]
+    for x, y, h in zip(urls, labels, held):
+        if h:
+            bins[y].append(min(max(math.floor((part(x) + u.CLIP) / width), 0), u.BINS))
+    best = []
+    for cut in range(u.BINS + 2):
+        accuracy = sum(b >= cut for b in bins[0]) / len(bins[0]) + sum(b < cut for b in bins[1]) / len(bins[1])
+        best.append((round(accuracy, 9), cut))
+    top = [cut for accuracy, cut in best if accuracy == max(best)[0]]
+    threshold = top[len(top) // 2] * width - u.CLIP
+    score = slow_model(urls, labels)
+    judged_ = 0
+    for i, url in rows[len(urls):]:
+        own = score(url)
+        assert math.isclose(got[i].score, own, abs_tol=1e-9) and got[i].rule is None
+        if abs(own - threshold) > 1e-9:
+            assert got[i].verdict == ("allow" if own >= threshold else "block")
+            judged_ += 1
+    assert judged_ > 50 and {got[i].verdict for i in range(len(urls), len(rows))} == {"allow", "block"}
