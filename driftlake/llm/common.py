@@ -162,21 +162,21 @@ def one_row_each(docs: DataFrame, kept: DataFrame, digest: Column) -> DataFrame:
     return rows.withColumn("nth", nth).filter("nth = 1").select("row.*")
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, n_rows: str) -> DataFrame:
-    """``rows`` (doc_id, ``key`` and others) with the columns of their group, ``groups`` holding one
-    row for each key and in ``n_rows`` how many rows it has.
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, n_rows: str, spread: str = "doc_id") -> DataFrame:
+    """``rows`` (``spread``, ``key`` and others) with the columns of their group, ``groups`` holding one
+    row for each key and in ``n_rows`` how many rows it has.  Rows without a group stay, with nulls.
 
     A key that a third of all rows hold doesn't lead them into one task: groups with more than
     1 / HEAVY_GROUPS of all rows, of which there can't be more than HEAVY_GROUPS, are sent to every
-    task, and their rows go on by their id.  ``groups`` is used three times, so it should be stored.
+    task, and their rows go on by ``spread``.  ``groups`` is used three times, so it should be stored.
     """
     total = groups.agg(F.sum(n_rows)).first()[0] or 0
     least = max(HEAVY_ROWS, total // HEAVY_GROUPS)
     found = F.struct(*(F.col(c) for c in groups.columns if c != key))
     heavy = groups.filter(F.col(n_rows) > least).select(F.col(key).alias("_heavy_key"), found.alias("_heavy"))
-    light = groups.filter(F.col(n_rows) <= least).select(F.col(key).alias("_at"), found.alias("_light"))
-    away = F.concat(F.lit("row "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    at = F.when(F.col("_heavy").isNull(), F.col(key)).otherwise(away)
+    light = groups.filter(F.col(n_rows) <= least).select(F.col(key).cast("string").alias("_at"), found.alias("_light"))
+    away = F.concat(F.lit("row "), F.coalesce(F.col(spread).cast("string"), F.lit("")))
+    at = F.when(F.col("_heavy").isNull(), F.col(key).cast("string")).otherwise(away)
     joined = (
         rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left").withColumn("_at", at)
         .join(light, "_at", "left").withColumn("_found", F.coalesce("_heavy", "_light"))

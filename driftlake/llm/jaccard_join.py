@@ -14,9 +14,12 @@
    exactly.  Of a group of many near copies about one comparison a copy is made.
 5. A group of more than CHUNK sets does not go to one task.  Its sets are first compared with the
    group's smallest one.  Those linked with it are connected, and need not meet each other; in a
-   group of near copies that is nearly all of them.  The others are cut into chunks, and a task
-   joins, by a tree again, two such chunks or one of them with a chunk of those linked.  The work
-   grows with the group's size times the number of chunks of sets that are not linked.
+   group of near copies that is nearly all of them.  The others meet in one of two ways, whichever
+   sends fewer sets: where they share one of their rarest shingles (see 3), each of these a group
+   of its own, so a set is sent once for each; or in chunks, every two of which meet, and every one
+   with each chunk of those linked.  Chained groups go the first way, however large, and what is
+   sent grows with their size alone.  Only sets that share one single rare shingle, more than CHUNK
+   of them and not linked with the first one, are left to meet chunk by chunk.
 
 Shuffled are packed arrays, not rows per shingle.  A hot shingle weighs 7 bytes in its bucket for
 each document that has it (and copies within a block count once).  Hashes stand for shingles and
@@ -45,6 +48,7 @@ from pyspark.sql import functions as F
 from driftlake.llm.common import (
     blocks,
     from56,
+    join_groups,
     low56,
     mix,
     one_row_each,
@@ -441,20 +445,25 @@ def links(docs: DataFrame, k: int, threshold: tuple[int, int], chunk: int = CHUN
         _deal_prefixes(bits), "bucket int, keys binary, classes binary").groupBy("bucket").applyInArrow(_stars, EDGE_SCHEMA)
     groups = stored(components(stars).withColumnRenamed("node", "class"), "groups")
     # Blocks that hold copies of a class have written it each; one is enough.
-    distinct = sets.select("class", "n", "shared").dropDuplicates(["class"])
-    sizes = groups.groupBy("root").agg(F.count("*").alias("members"))
-    whole = groups.join(sizes.filter(F.col("members") <= chunk), "root").select(
+    distinct = sets.dropDuplicates(["class"])
+    sizes = stored(groups.groupBy("root").agg(F.count("*").alias("members")), "group_sizes")
+    sized = join_groups(groups, sizes, "root", "members", "class")
+    whole = sized.filter(F.col("members") <= chunk).select(
         "class", F.lit(False).alias("near"), F.col("root").cast("string").alias("part"))
-    large = groups.join(sizes.filter(F.col("members") > chunk), "root").select("class", "root")
-    first = distinct.join(large.filter("class = root").select("class"), "class").select(
-        F.col("class").alias("root"), F.col("n").alias("first_n"), F.col("shared").alias("first_shared"))
-    compared = distinct.join(large, "class").join(first, "root").mapInArrow(
+    # The first set of a large group goes to its members in lots of about a chunk.
+    lots = F.ceil(F.col("members") / F.lit(chunk)).cast("int")
+    large = sized.filter(F.col("members") > chunk).select(
+        "class", "root", "members", F.pmod(F.xxhash64("class"), lots).cast("int").alias("lot"))
+    first = distinct.join(large.filter("class = root").select("class", "members"), "class").select(
+        F.col("class").alias("root"), F.col("n").alias("first_n"), F.col("shared").alias("first_shared"),
+        F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"))
+    compared = distinct.join(large.drop("members"), "class").join(first, ["root", "lot"]).mapInArrow(
         _near_first(threshold), "class long, root long, near boolean")
     compared = stored(compared, "compared")
     told = compared.filter("near and class <> root").select(F.col("class").alias("a"), F.col("root").alias("b"))
-    parts_of = whole.union(_parts(compared, chunk))
+    parts_of = whole.union(_parts(stored(_units(compared, distinct, chunk), "units"), chunk))
     joined = (
-        distinct.join(parts_of, "class").repartition(parts, "part").sortWithinPartitions("part", "class")
+        distinct.drop("prefix").join(parts_of, "class").repartition(parts, "part").sortWithinPartitions("part", "class")
         .mapInArrow(_join_groups(threshold), EDGE_SCHEMA)
     )
     return told.union(joined)
@@ -476,27 +485,63 @@ def _near_first(threshold: tuple[int, int]):
     return run
 
 
-def _parts(compared: DataFrame, chunk: int) -> DataFrame:
-    """class, near and part: which tasks get which sets, for the pairs that are still open."""
-    sizes = compared.groupBy("root").agg(F.count_if("near").alias("nears"), F.count_if(~F.col("near")).alias("fars"))
-    # A lone far set has met the first one, and with no other near set that was all.
-    open_ = sizes.filter("fars > 1 or fars = 1 and nears > 1").select(
-        "root", *(F.ceil(F.col(c) / F.lit(chunk)).cast("int").alias(c) for c in ("nears", "fars")))
-    rows = compared.join(open_, "root").withColumn("own", F.pmod(
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each of a set's rarest shingles."""
+    for batch in batches:
+        keys = [np.frombuffer(s, np.uint64)[:p] for s, p in zip(
+            batch.column("shared").to_pylist(), batch.column("prefix").to_pylist(), strict=True)]
+        own = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+        shingles = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
+        yield pa.record_batch([*(batch.column(c).take(own) for c in ("class", "root", "near")), pa.array(shingles)],
+                              names=["class", "root", "near", "shingle"])
+
+
+def _counted(rows: DataFrame, *by: str) -> DataFrame:
+    """Sets linked with the first one (``nears``) and others (``fars``), where pairs are still open."""
+    sizes = rows.groupBy(*by).agg(F.count_if("near").alias("nears"), F.count_if(~F.col("near")).alias("fars"))
+    return sizes.withColumn("members", F.col("nears") + F.col("fars")).filter("fars > 0 and members > 1")
+
+
+def _units(compared: DataFrame, distinct: DataFrame, chunk: int) -> DataFrame:
+    """class, near and unit: the sets of a large group that have to meet, as one unit of the whole
+    group or one for each rare shingle, whichever sends fewer sets."""
+    keyed = stored(
+        compared.join(distinct.select("class", "prefix", "shared"), "class")
+        .mapInArrow(_prefixes, "class long, root long, near boolean, shingle long"), "prefixes")
+    shared = _counted(keyed, "root", "shingle")
+    nears, fars = (F.ceil(F.col(c) / F.lit(chunk)) for c in ("nears", "fars"))
+    by_chunk = _counted(compared, "root").withColumn(
+        "by_chunk", F.col("nears") * fars + F.col("fars") * (fars + F.when(F.col("nears") > 0, nears).otherwise(0)))
+    by_prefix = shared.groupBy("root").agg(F.sum("members").alias("by_prefix"))
+    ways = stored(by_chunk.join(by_prefix, "root", "left").select(
+        "root", "members", (F.col("by_prefix") < F.col("by_chunk")).alias("split")), "ways")
+    unit = F.col("root").cast("string")
+    whole = join_groups(compared, ways, "root", "members", "class").filter("members is not null and not coalesce(split, false)")
+    split = join_groups(keyed, ways.filter("split"), "root", "members", "class").filter("split")
+    return whole.select("class", "near", unit.alias("unit")).union(
+        split.select("class", "near", F.concat_ws("/", unit, "shingle").alias("unit")))
+
+
+def _parts(units: DataFrame, chunk: int) -> DataFrame:
+    """class, near and part: which tasks get which sets, for the pairs of a unit that are still open."""
+    open_ = stored(_counted(units, "unit").select(
+        "unit", "members", *(F.ceil(F.col(c) / F.lit(chunk)).cast("int").alias(c) for c in ("nears", "fars"))), "open")
+    rows = join_groups(units, open_, "unit", "members", "class").filter("members is not null").withColumn("own", F.pmod(
         F.xxhash64("class"), F.when(F.col("near"), F.col("nears")).otherwise(F.col("fars"))).cast("int"))
 
     def each(count: str, name):
-        return F.transform(F.sequence(F.lit(0), F.col(count) - 1), name)
+        return F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col(count) - 1, F.lit(0))), name)).otherwise(
+            F.array().cast("array<string>"))
 
     def far_near(far, near):
-        return F.concat_ws(":", "root", far, F.lit("near"), near)
+        return F.concat_ws(":", "unit", far, F.lit("near"), near)
 
     def far_far(other):
-        return F.concat_ws(":", "root", F.least("own", other), F.lit("far"), F.greatest("own", other))
+        return F.concat_ws(":", "unit", F.least("own", other), F.lit("far"), F.greatest("own", other))
 
-    single = (F.col("nears") == 1) & (F.col("fars") == 1)
+    single = (F.col("members") <= chunk) | (F.col("nears") == 1) & (F.col("fars") == 1)
     where = (
-        F.when(single, F.array(F.col("root").cast("string")))
+        F.when(single, F.array(F.col("unit")))
         .when(F.col("near"), each("fars", lambda far: far_near(far, F.col("own"))))
         .otherwise(F.concat(each("fars", far_far), each("nears", lambda near: far_near(F.col("own"), near))))
     )

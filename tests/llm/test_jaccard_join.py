@@ -139,3 +139,42 @@ def test_all_bits_of_a_shingle_are_kept(spark):
         dealt = docs.mapInArrow(j._deal(5, bits), j.PAYLOAD_SCHEMA)
         rows = dealt.groupBy("bucket").applyInArrow(j._count(bits), j.SHARED_SCHEMA).filter("hashes is not null").collect()
         assert {x for r in rows for x in np.frombuffer(r["hashes"], np.uint64).tolist()} == whole
+
+
+def chain(n):
+    """Texts of four blocks of words each, three of them shared with the next text: a similarity of
+    0.6, so none is linked, but most are candidates of their neighbours.  Some are copied closely."""
+    blocks = [" ".join(f"b{i}w{k}" for k in range(16)) for i in range(n + 4)]
+    rows = [(i, " ".join(blocks[i : i + 4])) for i in range(n)]
+    return rows + [(n + i, rows[i * 9][1] + f" end{i}") for i in range(n // 20)]
+
+
+def test_a_chained_group_is_sent_in_proportion_to_its_size(spark, docs_of, monkeypatch):
+    """3,000 sets in chained groups: linear in what is sent, and no link is lost."""
+    sent = {}
+    whole = j._parts
+
+    def counting(units, chunk):
+        found = whole(units, chunk)
+        sent[chunk] = found.count()
+        return found
+
+    monkeypatch.setattr(j, "_parts", counting)
+    rows = chain(3000)
+    got = {r["doc_id"]: r["component_id"] for r in j.near_duplicates(docs_of(rows), chunk=16).collect()}
+    assert got == {i: (i - 3000) * 9 if i >= 3000 else i for i, _ in rows}
+    # Chunk by chunk a group of n sets would send n * n / 16; a set has 17 rarest shingles at most here.
+    assert 0 < sent[16] <= 17 * len(rows)
+
+
+def test_one_rare_shingle_that_many_sets_share(docs_of):
+    """More than a chunk of unlinked sets behind one shingle still meet, chunk by chunk."""
+    import itertools
+
+    common = "one two three four five"
+    pairs = list(itertools.combinations(range(9), 2))
+    parts = [" ".join(f"p{i}w{k}" for k in range(9)) for i in range(9)]
+    rows = [(n, f"{common} {parts[a]} {parts[b]}") for n, (a, b) in enumerate(pairs)]
+    rows += [(100 + n, t + f" more{n}") for n, t in rows[::5]]
+    for chunk in (1, 3, 8):
+        assert result(j.near_duplicates(docs_of(rows), chunk=chunk)) == brute(rows)
