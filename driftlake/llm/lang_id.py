@@ -9,7 +9,8 @@ Trigrams lie within words, with a blank on either side; letters are lower-cased,
 characters count as blanks.  Code points from SLOTS on share vectors by a hash.
 
 Prototypes are fitted on a bounded sample: of each language about ``per_language`` of the rows to
-learn from, chosen by a hash of the id.  Their size is languages times DIMENSIONS numbers.
+learn from, chosen by a hash of the id.  Their size is languages times DIMENSIONS numbers; of more
+than MOST_LANGUAGES the prototypes are made and compared in blocks, one pass over the texts for each.
 
 Edge cases: null text, and text without a letter, is ``und`` with score 0; so is everything if
 there is no labelled text to learn from.  Of languages equally near the first by name is taken.
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlake.llm.common import blocks, mix, pieces, text_buffer
+from driftlake.llm.common import blocks, mix, pieces, stored, text_buffer
 
 DIMENSIONS = 1024
 SLOTS = 4096
@@ -38,7 +39,7 @@ BLOCK_BYTES = 1 << 19
 TEXTS = 256  # handled at once
 GRAMS = 4096  # distinct trigrams whose vectors are held at once
 UNIT = 1 << 20  # a text's direction is summed in these steps, exactly and in any order
-MOST_LANGUAGES = 10_000
+MOST_LANGUAGES = 1_000  # whose prototypes are held at once
 UNKNOWN = "und"
 
 
@@ -124,11 +125,23 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
-def fit(labelled: DataFrame, per_language: int) -> tuple[list[str], np.ndarray]:
-    """Languages and their prototypes from (doc_id, text, lang) rows."""
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: prototypes would not stay small")
+def language_blocks(labelled: DataFrame) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """Rows to learn from, about MOST_LANGUAGES languages at a time, and how many each of them has."""
+    def sizes(rows: DataFrame) -> dict[str, int]:
+        return {r["lang"]: r["count"] for r in rows.collect()}
+
+    found = sizes(labelled.groupBy("lang").count().limit(MOST_LANGUAGES + 1))
+    if len(found) <= MOST_LANGUAGES:
+        yield labelled, found
+        return
+    number = -(-labelled.agg(F.count_distinct("lang")).first()[0] // MOST_LANGUAGES)
+    for i in range(number):
+        own = labelled.filter(F.pmod(F.xxhash64("lang"), F.lit(number)) == i)
+        yield own, sizes(own.groupBy("lang").count())
+
+
+def fit(labelled: DataFrame, sizes: dict[str, int], per_language: int) -> tuple[list[str], np.ndarray]:
+    """Languages and their prototypes from (doc_id, text, lang) rows, ``sizes`` of each language."""
     if not sizes:
         return [], np.zeros((0, DIMENSIONS), np.float32)
     share = {lang: min(UNIT, -(-per_language * UNIT // n)) for lang, n in sizes.items()}
@@ -137,21 +150,23 @@ def fit(labelled: DataFrame, per_language: int) -> tuple[list[str], np.ndarray]:
         F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(UNIT)) < F.col("share"))
     sums = (
         sample.select("text", "lang").mapInArrow(_learn, "lang string, dimension int, value long")
-        .groupBy("lang", "dimension").agg(F.sum("value").alias("value")).collect()
+        .groupBy("lang", "dimension").agg(F.sum("value").alias("value")).toArrow()
     )  # languages times DIMENSIONS rows
-    langs = sorted({r["lang"] for r in sums})
+    names = sums.column("lang").to_pylist()
+    langs = sorted(set(names))
     place, out = {lang: i for i, lang in enumerate(langs)}, np.zeros((len(langs), DIMENSIONS))
-    for lang, dimension, value in sums:
-        out[place[lang], dimension] = value
+    out[[place[n] for n in names], sums.column("dimension").to_numpy()] = sums.column("value").to_numpy()
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
     return langs, out.astype(np.float32)
 
 
 def _predictor(langs: list[str], prototypes: np.ndarray):
+    """The nearest language of each text and its cosine; that of an earlier pass stays if it is nearer."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            best, score, letters = np.full(n, -1), np.zeros(n), np.zeros(n, bool)
+            best, score, letters = np.full(n, -1), np.full(n, -np.inf), np.zeros(n, bool)
             for start, end, found in _vectors(pc.struct_field(batch.column("row"), "text")):
                 norm = np.linalg.norm(found, axis=1)
                 letters[start:end] = norm > 0
@@ -159,23 +174,31 @@ def _predictor(langs: list[str], prototypes: np.ndarray):
                     continue
                 cosine = (found @ prototypes.T) / np.maximum(norm, 1e-9)[:, None]
                 best[start:end] = np.where(norm > 0, cosine.argmax(axis=1), -1)
-                score[start:end] = np.where(norm > 0, np.clip(cosine.max(axis=1), 0, 1), 0)
+                score[start:end] = np.where(norm > 0, cosine.max(axis=1), -np.inf)
             names = [langs[i] if i >= 0 else UNKNOWN for i in best]
+            if "lang_pred" in batch.schema.names:
+                before = batch.column("lang_pred").to_pylist(), batch.column("score").to_numpy()
+                for i, (name, cosine) in enumerate(zip(*before, strict=True)):
+                    if best[i] < 0 or cosine > score[i] or cosine == score[i] and name < names[i]:
+                        names[i], score[i] = name, cosine
             yield pa.record_batch(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(letters)],
-                names=[*batch.schema.names, "lang_pred", "score", "has_letters"])
+                [batch.column("row"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(score), pa.array(letters)],
+                names=["row", "held_out", "lang_pred", "score", "has_letters"])
 
     return run
 
 
 def _judged(docs: DataFrame, per_language: int) -> DataFrame:
     out = held_out(F.col("doc_id"))
-    labelled = docs.filter(~out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs, prototypes = fit(labelled.select("doc_id", "text", "lang"), per_language)
+    labelled = docs.filter(~out & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), out.alias("held_out"))
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("has_letters", T.BooleanType())])
-    return rows.mapInArrow(_predictor(langs, prototypes), schema)
+    for number, (own, sizes) in enumerate(language_blocks(labelled)):
+        # A pass of its own for each block of languages: a task holds the prototypes of one.
+        rows = stored(rows, "languages") if number else rows
+        rows = rows.mapInArrow(_predictor(*fit(own, sizes, per_language)), schema)
+    return rows.withColumn("score", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
 
 
 def identify(docs: DataFrame, per_language: int = 5000) -> DataFrame:

@@ -108,3 +108,23 @@ def test_a_text_beyond_a_block_is_judged_whole(spark):
     found = lang_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     got = {r.row.doc_id: r.lang_pred for r in found.filter("row.doc_id >= 1000").collect()}
     assert got == {1000: "de", 1001: "en", 1002: "und"}
+
+
+def test_more_languages_than_are_held_at_once(spark, monkeypatch):
+    """In blocks of languages the same predictions come out as in one."""
+    rng = __import__("random").Random(4)
+    rows = []
+    for i in range(40):
+        words = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(6)]
+        rows += [(len(rows) + k, " ".join(rng.choices(words, k=8)), f"l{i:02}") for k in range(8)]
+    rows += [(5000, None, None), (5001, "123", None), (None, "abc", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def found():
+        got = lang_id.identify(docs).collect()
+        return sorted((str(r.row.doc_id), r.held_out, r.lang_pred, round(r.score, 5)) for r in got)
+
+    whole = found()
+    monkeypatch.setattr(lang_id, "MOST_LANGUAGES", 7)
+    assert found() == whole
+    assert len({r[2] for r in whole}) > 30
