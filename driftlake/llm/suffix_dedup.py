@@ -475,7 +475,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 8 << 20, with_text: bool
         F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     number = max(1, -(-total // block_bytes))
-    bits = max(4, math.ceil(math.log2(4 * parts)))
+    bits = max(4, math.ceil(math.log2(8 * parts)))
     texts = rows.select(F.pmod(F.xxhash64("sha"), F.lit(number)).alias("block"), "least", "sha", "text").mapInArrow(
         _least_of_batch, "block long, least long, sha string, text string")
     by_block = texts.groupBy("block")
