@@ -18,7 +18,8 @@ with written rows in between, so each task, and the driver, holds one block.
 Edge cases: a null or empty document has no words and no hits; items without words match nothing;
 an item shorter than a window matches as a whole; a null item id is listed as an empty string;
 items with equal texts are all listed; repeated documents are all returned with equal results; no
-documents give no rows.  Of documents only ``text`` is read, the rest is handed on in ``row``.
+documents give no rows.  A text beyond SHARD_BYTES is a shard of its own, whose words and index one
+task holds, some ten times its size.  Of documents only ``text`` is read, the rest is handed on in ``row``.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlake.llm.common import blocks, stored, text_buffer
+from driftlake.llm.common import blocks, stored, text_buffer, tidy
 
 WINDOW = 10
 SAMPLE = 16
@@ -286,7 +287,7 @@ def _search(rows: DataFrame, items: list[tuple]) -> DataFrame:
         rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType())),
         T.StructField("left", T.StringType())])
-    return rows.mapInArrow(_finder(Phrases.of(items)), schema)
+    return rows.mapInArrow(tidy(_finder(Phrases.of(items))), schema)
 
 
 def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import ASCII_SPACE, blocks, join_groups, one_row_each, partitions_for, row_key, stored
+from driftlake.llm.common import ASCII_SPACE, blocks, join_groups, one_row_each, partitions_for, row_key, stored, tidy
 
 FAN_OUT = 16
 SLICE_BYTES = 4 << 20
@@ -198,10 +198,10 @@ def equal_groups(docs: DataFrame, limit: int = 64 << 20) -> DataFrame:
         normalized(F.col("text")).cast("binary").alias("content"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("points"),
         F.col("doc_id").cast("long").alias("doc_id"),
-    ).mapInArrow(_merge_batch, GROUP_SCHEMA)
+    ).mapInArrow(tidy(_merge_batch), GROUP_SCHEMA)
     parts = partitions_for(docs)
     return merged.repartition(parts, F.xxhash64("content")).mapInArrow(
-        _group_partition(limit), FOUND_SCHEMA
+        tidy(_group_partition(limit)), FOUND_SCHEMA
     )
 
 

@@ -30,7 +30,8 @@ the same order: documents should come from a stored table, as between the stages
 
 Edge cases: null and empty texts, and texts of white space, have empty sets and link with nothing;
 fewer words than a shingle are one shingle; repeated rows are one class and are all returned; a
-null id takes part but names no component unless the component has no other; no rows give no rows.
+null id takes part but names no component unless the component has no other; a text beyond a block's
+size is hashed in parts, and its set, eight bytes a shingle, is held by one task; no rows give no rows.
 Only ``doc_id`` and ``text`` are read.
 """
 
@@ -60,6 +61,7 @@ from driftlake.llm.common import (
     runs,
     stored,
     text_buffer,
+    tidy,
 )
 from driftlake.llm.graph import components
 
@@ -438,7 +440,7 @@ def links(docs: DataFrame, k: int, threshold: tuple[int, int], chunk: int = CHUN
     parts = partitions_for(docs)
     bits = max(8, math.ceil(math.log2(4 * parts)))
     texts = docs.select("text")
-    dealt = texts.mapInArrow(_deal(k, bits), PAYLOAD_SCHEMA)
+    dealt = texts.mapInArrow(tidy(_deal(k, bits)), PAYLOAD_SCHEMA)
     shared = dealt.groupBy("bucket").applyInArrow(_count(bits), SHARED_SCHEMA)
     sets = stored(shared.groupBy("block").applyInArrow(_candidates(threshold), SETS_SCHEMA), "sets")
     stars = sets.select("class", "prefix", "shared").mapInArrow(
@@ -464,7 +466,7 @@ def links(docs: DataFrame, k: int, threshold: tuple[int, int], chunk: int = CHUN
     parts_of = whole.union(_parts(stored(_units(compared, distinct, chunk), "units"), chunk))
     joined = (
         distinct.drop("prefix").join(parts_of, "class").repartition(parts, "part").sortWithinPartitions("part", "class")
-        .mapInArrow(_join_groups(threshold), EDGE_SCHEMA)
+        .mapInArrow(tidy(_join_groups(threshold)), EDGE_SCHEMA)
     )
     return told.union(joined)
 
@@ -557,7 +559,7 @@ def near_duplicates(
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     profile = stored(
-        rows.mapInArrow(_profile(k), "doc_id long, digest long, n_shingles long, class long"), "profile")
+        rows.mapInArrow(tidy(_profile(k)), "doc_id long, digest long, n_shingles long, class long"), "profile")
     roots = components(links(rows, k, threshold, chunk))
     classes = profile.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     rooted = classes.join(roots, classes["class"] == roots["node"], "left").select(

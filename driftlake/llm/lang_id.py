@@ -15,7 +15,8 @@ than MOST_LANGUAGES the prototypes are made and compared in blocks, one pass ove
 Edge cases: null text, and text without a letter, is ``und`` with score 0; so is everything if
 there is no labelled text to learn from.  Of languages equally near the first by name is taken.
 A null id counts as empty text where the split is decided.  Repeated rows are judged alike; no
-rows give no rows.  Only ``doc_id``, ``text`` and, for learning, ``lang`` are read.
+rows give no rows.  A text beyond BLOCK_BYTES is the sum of its parts, cut at white space.  Only
+``doc_id``, ``text`` and, for learning, ``lang`` are read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlake.llm.common import blocks, mix, pieces, stored, text_buffer
+from driftlake.llm.common import blocks, mix, pieces, stored, text_buffer, tidy
 
 DIMENSIONS = 1024
 SLOTS = 4096
@@ -149,7 +150,7 @@ def fit(labelled: DataFrame, sizes: dict[str, int], per_language: int) -> tuple[
     sample = labelled.join(F.broadcast(shares), "lang").filter(
         F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(UNIT)) < F.col("share"))
     sums = (
-        sample.select("text", "lang").mapInArrow(_learn, "lang string, dimension int, value long")
+        sample.select("text", "lang").mapInArrow(tidy(_learn), "lang string, dimension int, value long")
         .groupBy("lang", "dimension").agg(F.sum("value").alias("value")).toArrow()
     )  # languages times DIMENSIONS rows
     names = sums.column("lang").to_pylist()
@@ -197,7 +198,7 @@ def _judged(docs: DataFrame, per_language: int) -> DataFrame:
     for number, (own, sizes) in enumerate(language_blocks(labelled)):
         # A pass of its own for each block of languages: a task holds the prototypes of one.
         rows = stored(rows, "languages") if number else rows
-        rows = rows.mapInArrow(_predictor(*fit(own, sizes, per_language)), schema)
+        rows = rows.mapInArrow(tidy(_predictor(*fit(own, sizes, per_language))), schema)
     return rows.withColumn("score", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
 
 

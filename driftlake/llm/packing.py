@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.llm.chunks import ChunkTable
-from driftlake.llm.common import blocks, stored, text_buffer
+from driftlake.llm.common import blocks, stored, text_buffer, tidy
 
 GROUPS = 512
 SHARE = 4
@@ -256,7 +256,7 @@ def _cutter(path: str, capacity: int, end_id: int):
 def cut(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_cutter(path, capacity, end_id), PIECE_SCHEMA)
+    return rows.mapInArrow(tidy(_cutter(path, capacity, end_id)), PIECE_SCHEMA)
 
 
 def _ranked(pieces: DataFrame) -> DataFrame:

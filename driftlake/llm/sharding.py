@@ -9,6 +9,7 @@ computes the row number that sits in a given shard and slot without any table.
 
 Edge cases: null text counts as empty (size 8, crc 0); rows with a null id take part, numbered
 after the others of their bucket; repeated rows get places of their own; no rows give no rows.
+Of a text of any length only size and checksum travel.
 Only ``doc_id`` and ``text`` are read, so further columns may have any names.
 """
 

@@ -24,7 +24,8 @@ they are sent, so a passage that a third of all texts share is sent once a block
 
 Edge cases: a null text counts as empty; texts shorter than ``length`` keep everything; a null id
 counts as the largest; rows that repeat an id, with equal or other texts, remove nothing from each
-other; all rows are returned; no rows give no rows.  Only ``doc_id`` and ``text`` are read.
+other; all rows are returned; a text beyond a block's size is a block of its own, which one task
+holds; no rows give no rows.  Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.llm.common import (
-    from40, join_groups, low40, mix, own_group, partitions_for, powers, runs, stored, text_buffer,
+    from40, give_back, join_groups, low40, mix, own_group, partitions_for, powers, runs, stored, text_buffer,
 )
 
 LENGTH = 50
@@ -416,6 +417,7 @@ def _send(bits: int):
 
 def _sort_bucket(key: tuple, rows: pa.Table) -> pa.Table:
     """Spans to remove, by block, of one suffix bucket."""
+    give_back()  # what the bucket before took
     names = [n for n, _ in SEGMENTS]
     blocks = rows.column("block").to_pylist()
     if key[0].as_py() < 0:
@@ -437,6 +439,7 @@ def _sort_bucket(key: tuple, rows: pa.Table) -> pa.Table:
 
 def _cut(with_text: bool):
     def run(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()  # what the block before took
         if not len(rows):
             return _table([], RESULTS)
         block = Block(rows)

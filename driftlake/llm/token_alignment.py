@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import blocks, stored, text_buffer
+from driftlake.llm.common import blocks, stored, text_buffer, tidy
 
 BLOCK_BYTES = 4 << 20
 PIECE = 16 << 20
@@ -390,7 +390,7 @@ def _blocks(a_path: str, b_path: str, with_groups: bool):
 def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False) -> DataFrame:
     """A row for each block of documents, written to the shared folder."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(_blocks(a_path, b_path, with_groups), BLOCK_SCHEMA), "aligned")
+    return stored(rows.mapInArrow(tidy(_blocks(a_path, b_path, with_groups)), BLOCK_SCHEMA), "aligned")
 
 
 def _block_pairs(aligned: DataFrame) -> DataFrame:

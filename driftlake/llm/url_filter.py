@@ -16,7 +16,8 @@ out is counted too.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and no rule; the text
 scored is then whatever there is.  Without labelled urls of both kinds the threshold is 0; without
-any, every score is 0 too, so all urls pass.  Repeated rows are judged alike; no rows
+any, every score is 0 too, so all urls pass.  A url of any length is scored whole, in one task.
+Repeated rows are judged alike; no rows
 give no rows.  Only ``page_id`` and ``url`` are read.
 """
 

@@ -16,7 +16,8 @@ Paths are opened through ``pyarrow.fs`` and may be of any store that it knows.
 
 Edge cases: null html is an empty payload; a null url becomes an empty target; rows with a null id
 are written last, in shards of their own; of repeated rows one is the response and the others
-revisit it (a null id answers only for payloads that no id has).  No pages give no archives and no
+revisit it (a null id answers only for payloads that no id has); a payload of any length is one
+record, which one task holds a few times over.  No pages give no archives and no
 rows.  Only ``page_id``, ``url`` and ``html`` are read.
 """
 
