@@ -6,8 +6,9 @@ delete is held for ``horizon`` of event time and then let go.  Events that come
 them), so a forgotten delete can't be undone by an older update; they stay in the raw layer, from
 which ``refine`` computes the table with every event.
 
-Keys pass through Python workers, some ten times the cost a row of the JVM's aggregate: choose it
-where most keys are deleted in the end and their state would be most of all.
+Keys pass through Python workers, which costs more than the JVM's aggregate (100,000 events on 8
+busy cores: 13 s with all else, against 10 s for ``start_latest``): choose it where most keys are
+deleted in the end and their state would be most of all.
 """
 
 from __future__ import annotations
