@@ -13,7 +13,7 @@ deleted in the end and their state would be most of all.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,35 +33,53 @@ from driftlake.streaming.latest import write_rows
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 STATE = "rank string, change string, deleted_at long"
 _AT = "_at"
+_EVENT = "_event"
+# Digits of a number in a rank, and what is added to it so that it has no sign.
+_DIGITS = 20
+_SHIFT = 1 << 63
+_DELETED = "-"
 
 
 def _sortable(number: Column) -> Column:
     """Text of a long that sorts as the number does; NULL comes first."""
-    shifted = (number.cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("string")
-    return F.coalesce(F.lpad(shifted, 20, "0"), F.lit(" " * 20))
-
-
-def _newest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keep the greatest change of a key; a delete until the watermark has passed its time."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    best = tuple(state.get) if state.exists else None
-    for rows in batches:
-        i = rows["rank"].idxmax()
-        if best is None or rows["rank"][i] > best[0]:
-            deleted_at = int(rows["at_ms"][i]) if rows["deleted"][i] else -1
-            best = (rows["rank"][i], rows["change"][i], deleted_at)
-    if best is None:
-        return
-    if best[2] < 0:
-        state.update(best)
-    elif best[2] > state.getCurrentWatermarkMs():
-        state.update(best)
-        state.setTimeoutTimestamp(best[2])
-    elif state.exists:
-        state.remove()
-    yield pd.DataFrame({"change": [best[1]]})
+    shifted = (number.cast("decimal(20,0)") + F.lit(str(_SHIFT)).cast("decimal(20,0)")).cast("string")
+    return F.coalesce(F.lpad(shifted, _DIGITS, "0"), F.lit(" " * _DIGITS))
+
+
+def _keep_newest(width: int) -> Callable[..., Iterator[pd.DataFrame]]:
+    """What keeps the greatest change of a key; a delete until the watermark has passed its time.
+
+    An event is one text: its rank of ``width`` characters, which begins with the version, a mark of
+    deletes, and the change.  Spark turns every column of every key into a series of its own, which
+    costs more than all that is done with it here.
+    """
+
+    def rank(event: str) -> str:
+        return event[:width]
+
+    def newest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = state.getOption
+        for rows in batches:
+            event = max(rows[_EVENT].tolist(), key=rank)
+            if best is None or rank(event) > best[0]:
+                deleted, version = event[width] == _DELETED, event[:_DIGITS].strip()
+                deleted_at = max(int(version) - _SHIFT, 0) if deleted and version else 0 if deleted else -1
+                best = (rank(event), event[width + 1:], deleted_at)
+        if best is None:
+            return
+        if best[2] < 0:
+            state.update(best)
+        elif best[2] > state.getCurrentWatermarkMs():
+            state.update(best)
+            state.setTimeoutTimestamp(best[2])
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"change": [best[1]]})
+
+    return newest
 
 
 def expiring_latest(changes: DataFrame, spec: TableSpec, horizon: str) -> DataFrame:
@@ -72,15 +90,16 @@ def expiring_latest(changes: DataFrame, spec: TableSpec, horizon: str) -> DataFr
     """
     order = event_order(spec, changes.columns)
     row = F.struct(*changes.columns)
+    at_ms = F.greatest(F.coalesce("version", F.lit(0)), F.lit(0))
+    mark = F.when(F.col("op") == DELETE_OP, _DELETED).otherwise("+")
+    change = F.to_json(row, {"ignoreNullFields": "false", **JSON_TIMES})
     timed = changes.select(
         *spec.keys,
-        F.concat(*map(_sortable, order)).alias("rank"),
-        F.to_json(row, {"ignoreNullFields": "false", **JSON_TIMES}).alias("change"),
-        F.greatest(F.coalesce("version", F.lit(0)), F.lit(0)).alias("at_ms"),
-        (F.col("op") == DELETE_OP).alias("deleted"),
-    ).withColumn(_AT, F.timestamp_millis("at_ms")).withWatermark(_AT, horizon)
+        F.concat(*map(_sortable, order), mark, change).alias(_EVENT),
+        F.timestamp_millis(at_ms).alias(_AT),
+    ).withWatermark(_AT, horizon)
     newest = timed.groupBy(*spec.keys).applyInPandasWithState(
-        _newest, "change string", STATE, "update", GroupStateTimeout.EventTimeTimeout)
+        _keep_newest(_DIGITS * len(order)), "change string", STATE, "update", GroupStateTimeout.EventTimeTimeout)
     read = F.from_json("change", T.StructType(changes.schema.fields), JSON_TIMES)
     return newest.select(F.inline(F.array(read)))
 

@@ -19,7 +19,7 @@ from driftlake.plans.sql_functions import create_changes_function
 from driftlake.sources import files
 from driftlake.streaming import read_latest, to_bronze
 from driftlake.streaming import listener as lst
-from driftlake.streaming.expiring import start_latest_expiring
+from driftlake.streaming.expiring import expiring_latest, start_latest_expiring
 from driftlake.streaming.state_audit import read_state
 
 HOUR = 3_600_000
@@ -94,6 +94,30 @@ def test_large_numbers_and_times_survive_the_state(spark, tmp_path):
         9007199254740993, 9223372036854775807, (1 << 60) + 1, "2024-01-02 03:04:05.678901", '"é"')
 
 
+def test_a_key_comes_to_python_as_two_columns(spark, tmp_path):
+    topic(spark, f"{tmp_path}/topic", [(1, 1, "a")])
+    changes = decode(to_bronze(stream(spark, f"{tmp_path}/topic")).select("payload"), SPEC)
+    node = expiring_latest(changes, SPEC, "1 hour")._jdf.queryExecution().analyzed()
+    while node.nodeName() != "FlatMapGroupsInPandasWithState":
+        node = node.children().head()
+    columns = node.children().head().output()
+    names = {columns.apply(i).name() for i in range(columns.size())}
+    assert len(names - {"id"}) == 2  # the event, and its time for the watermark
+
+
+def test_events_of_one_batch_are_compared_as_numbers(spark, tmp_path):
+    def record(key, name, version):
+        side = f'"before": {{"id": {key}}}, "op": "d"' if name is None else f'"after": {{"id": {key}, "name": "{name}"}}, "op": "u"'
+        return f'{{{side}, "ts_ms": {version}}}'
+
+    told = [(1, "tenth", 10), (1, "ninth", 9), (2, "first", 7), (2, "second", 7), (3, None, 100), (3, "-", 99), (4, "-", 99), (4, "on", 100)]
+    rows = [(str(k), record(k, n, v), SPEC.topic, 0, 9 + i) for i, (k, n, v) in enumerate(told)]
+    raw = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
+    raw.withColumn("timestamp", F.current_timestamp()).coalesce(1).write.parquet(f"{tmp_path}/topic")
+    run_expiring(spark, str(tmp_path))
+    assert served(spark, str(tmp_path)) == {1: ("u", "tenth"), 2: ("u", "second"), 3: ("d", None), 4: ("u", "on")}
+
+
 # -- counts from progress ---------------------------------------------------------------------
 
 def start_counted_sink(spark, root):
