@@ -45,6 +45,9 @@ CUSTOMERS = TableSpec(
 ACTIVITY = TableSpec("activity", {"id": "bigint"}, {"amount": "double"}, topic="shop.activity.amounts")
 SALES = TableSpec("sales", {"id": "bigint"}, {"amount": "double"}, topic="shop.sales.amounts")
 
+# Bytes of a row group of a topic's files.  Spark deals files out in pieces of 4 MB and more.
+TOPIC_GROUP_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -185,12 +188,19 @@ def as_raw(changes: DataFrame) -> DataFrame:
     return changes.select(F.col("value").alias("payload"), "topic", "partition", "offset")
 
 
+def spread(rows: DataFrame, column: str) -> DataFrame:
+    """The rows dealt over the tasks by a column of many values, in however few row groups they are stored."""
+    return rows.repartition(column)
+
+
 def write_topic(changes: DataFrame, path: str, waves: int = 8, mode: str = "append") -> str:
     """Store topic rows as files that arrive out of order.
 
-    Each task spreads its rows over ``waves`` files by hash; no shuffle.
+    Each task spreads its rows over ``waves`` files by hash; no shuffle.  Row groups are small, so that
+    many tasks can share the reading of a file.
     """
     wave = F.pmod(F.xxhash64("key", "offset"), F.lit(waves))
     rows = changes.withColumn("wave", wave).write.mode(mode).option("compression", "zstd")
+    rows = rows.option("parquet.block.size", TOPIC_GROUP_BYTES)
     rows.partitionBy("wave").parquet(path)
     return path

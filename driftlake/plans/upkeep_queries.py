@@ -39,7 +39,7 @@ def _stream(spark, topic: str, batches: int) -> DataFrame:
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     events = table(spark, sf_dir, "events")
     later = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
-    return events.filter(~later), events.filter(later)
+    return feeds.spread(events.filter(~later), "event_id"), feeds.spread(events.filter(later), "event_id")
 
 
 def variant_bronze(spark, sf_dir):

@@ -11,6 +11,7 @@ from driftlake import TableSpec
 from driftlake.operators import decode
 from driftlake.operators.latest import latest_per_key
 from driftlake.operators.variants import SHREDDING, decode_variant, shredding, to_variant
+from driftlake.plans import feeds, upkeep_queries
 from driftlake.sources import files
 from driftlake.sources.changes import read_changes
 from driftlake.streaming import read_latest, start_bronze, start_latest, to_bronze
@@ -145,6 +146,23 @@ def test_history_of_one_key_with_deletes_and_repeats(spark, tmp_path):
         hist.key_history(spark, f"{root}/h", SPEC, {"name": "a"})
 
 
+def test_a_topic_out_of_one_row_group_is_written_and_read_by_many_tasks(spark, tmp_path, settings):
+    settings(spark__sql__shuffle__partitions="4", spark__sql__adaptive__coalescePartitions__enabled="false")
+    events = spark.range(60_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-02 00:00:00'").alias("ts"),
+        (F.col("id") % 50).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"),
+        F.concat(*[F.sha2(F.concat("id", F.lit(str(i))), 512) for i in range(3)]).alias("props"))
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    earlier, _ = upkeep_queries._halves(spark, str(tmp_path))
+    feeds.write_topic(feeds.event_changes(earlier), f"{tmp_path}/topic", waves=1)
+    assert len(spark.read.parquet(f"{tmp_path}/topic").inputFiles()) == 4
+    whole = feeds.event_changes(spark.read.parquet(f"{tmp_path}/events.parquet")).coalesce(1)
+    feeds.write_topic(whole, f"{tmp_path}/one", waves=1)
+    assert len(spark.read.parquet(f"{tmp_path}/one").inputFiles()) == 1
+    rows = spark.read.parquet(f"{tmp_path}/one").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 60_000 and len(rows) > 1
+
+
 # -- first deliveries -------------------------------------------------------------------------
 
 def offsets(spark, path):
