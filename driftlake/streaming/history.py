@@ -29,7 +29,7 @@ from driftlake.streaming.folded import fold, read_counting, record_batch
 
 # Bytes of a row group, and rows a page of its column indexes speaks for.
 GROUP_BYTES = 16 << 20
-PAGE_ROWS = 5_000
+PAGE_ROWS = 800
 
 
 def _order(rows: DataFrame, spec: TableSpec) -> list[Column]:
